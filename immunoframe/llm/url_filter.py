@@ -118,9 +118,15 @@ def index_bytes(rules: Iterable[Rule]) -> bytes:
     ])
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
 def ship(spark: SparkSession, content: bytes) -> str:
-    """Serves the index to all executors; its name is its content's hash."""
+    """Serves the index to all executors, once for each application; its name is its content's hash."""
     name = f"urls-{hashlib.sha256(content).hexdigest()[:24]}.idx"
+    if (spark.sparkContext.applicationId, name) in _shipped:
+        return name
+    _shipped.add((spark.sparkContext.applicationId, name))
     path = os.path.join(tempfile.mkdtemp(), name)
     with open(path, "wb") as out:
         out.write(content)
