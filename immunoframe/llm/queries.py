@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, url_filter, warc
+from . import quality, sharding, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -25,12 +25,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", SHARDS)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_url_filter, op3_sharding, op9_warc)}
+    return {f.__name__: f for f in (op2_url_filter, op3_sharding, op6_quality_rules, op9_warc)}
 
 
 OP2_SQL = """
