@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, sharding, url_filter, warc
+from . import quality, sharding, toxicity, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -17,6 +17,10 @@ URL_RULES = [
 SHARDS = 24
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url", URL_RULES)
 
@@ -34,7 +38,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_url_filter, op3_sharding, op6_quality_rules, op9_warc)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op6_quality_rules, op9_warc)}
 
 
 OP2_SQL = """
