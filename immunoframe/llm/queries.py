@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, sharding, toxicity, url_filter, warc
+from . import bpe, quality, sharding, toxicity, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -37,8 +37,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op6_quality_rules, op9_warc)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op6_quality_rules, op9_warc, op10_bpe)}
 
 
 OP2_SQL = """
