@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, sharding, toxicity, url_filter, warc
+from . import bpe, decontaminate, licenses, quality, sharding, toxicity, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -29,10 +29,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", SHARDS)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -42,7 +50,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op6_quality_rules, op9_warc, op10_bpe)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op5_decontamination, op6_quality_rules, op7_license_scan, op9_warc, op10_bpe)}
 
 
 OP2_SQL = """
@@ -81,6 +89,40 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
 FROM crc JOIN own USING (doc_id), n
 """
 
+OP5_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+it AS (
+  SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+sized AS (SELECT item_id, least(5, len(w)) AS k, w FROM it WHERE len(w) > 0),
+item_sh AS (
+  SELECT item_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS s FROM sized),
+doc_sh AS (
+  SELECT doc_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS s
+  FROM doc, (SELECT DISTINCT k FROM sized) WHERE len(w) >= k),
+n AS (SELECT item_id, count(*) AS n_item FROM item_sh GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM doc_sh JOIN item_sh USING (k, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item, n_shared, round(n_shared / n_item, 6) AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * 80
+"""
+
+OP7_SQL = r"""
+WITH tpl(license_id, t) AS (VALUES """ + ", ".join(
+    "('{}', '{}')".format(i, t.replace("'", "''")) for i in sorted(licenses.TEMPLATES) for t in licenses.TEMPLATES[i]) + r"""),
+unit AS (
+  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10)))))::INT AS line, unnest(string_split(text, chr(10))) AS u FROM documents
+  UNION ALL SELECT doc_id, -1, text FROM documents WHERE contains(text, chr(10))),
+words AS (
+  SELECT doc_id, line, list_filter(string_split_regex(lower(u), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM unit),
+ub AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM words WHERE len(w) > 1),
+tw AS (SELECT license_id, list_filter(string_split_regex(lower(t), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM tpl),
+tb AS (SELECT license_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS tb FROM tw),
+met AS (
+  SELECT doc_id, line, license_id, round(2.0 * len(list_intersect(b, tb)) / (len(b) + len(tb)), 6)::DOUBLE AS dice FROM ub, tb
+  WHERE 2.0 * least(len(b), len(tb)) >= 0.799 * (len(b) + len(tb)))
+SELECT doc_id, line, arg_min(license_id, (-dice, license_id)) AS license_id, max(dice) AS dice FROM met WHERE dice >= 0.8 GROUP BY doc_id, line
+"""
+
 #: Base 32 of the hex digest: five bits at a time.
 OP9_SQL = """
 WITH page AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hx FROM pages),
@@ -98,4 +140,4 @@ FROM page JOIN last USING (hx) JOIN b32 USING (hx)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op3_sharding": OP3_SQL, "op9_warc": OP9_SQL}
+    return {"op2_url_filter": OP2_SQL, "op3_sharding": OP3_SQL, "op5_decontamination": OP5_SQL, "op7_license_scan": OP7_SQL, "op9_warc": OP9_SQL}
