@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, quality, sharding, toxicity, url_filter, warc
+from . import bpe, decontaminate, licenses, ngram_join, quality, sharding, toxicity, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -41,6 +41,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -50,7 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op5_decontamination, op6_quality_rules, op7_license_scan, op9_warc, op10_bpe)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op5_decontamination, op6_quality_rules, op7_license_scan, op8_ngram_jaccard_join, op9_warc, op10_bpe)}
 
 
 OP2_SQL = """
