@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 #: Bytes of one Arrow batch handed to Python, so that a batch of very long texts stays small.
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 2000
@@ -62,7 +64,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds the rows and bytes of Arrow batches for this session."""
+    """Bounds the rows and bytes of Arrow batches for this session, and gives the executors this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

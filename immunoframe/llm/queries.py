@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, ngram_join, quality, sharding, toxicity, url_filter, warc
+from . import bpe, decontaminate, gru_lm, licenses, ngram_join, quality, sharding, toxicity, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -29,6 +29,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", SHARDS)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +58,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op5_decontamination, op6_quality_rules, op7_license_scan, op8_ngram_jaccard_join, op9_warc, op10_bpe)}
+    return {f.__name__: f for f in (
+        op1_toxicity, op2_url_filter, op3_sharding, op4_lm_scoring, op5_decontamination, op6_quality_rules, op7_license_scan,
+        op8_ngram_jaccard_join, op9_warc, op10_bpe)}
 
 
 OP2_SQL = """
