@@ -90,7 +90,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     texts = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(
         found.select("doc").distinct(), F.col("_d").eqNullSafe(F.col("doc")), "left_semi")
     both = texts.join(wanted, F.col("_d").eqNullSafe(F.col("doc")))
-    shared = both.select("doc", "item", F.size("_is").alias("n_item"), F.size(F.array_intersect("_is", shingle_texts(words_of(F.col("_t")), F.col("width")))).alias("n_shared"))
+    both = both.select("doc", "item", "width", "_is", words_of(F.col("_t")).alias("_w"))  # split once, not for each shingle
+    shared = both.select("doc", "item", F.size("_is").alias("n_item"), F.size(F.array_intersect("_is", shingle_texts(F.col("_w"), F.col("width")))).alias("n_shared"))
     best = shared.where(F.col("n_shared") * 100 >= F.col("n_item") * SIMILARITY).groupBy("doc", "item", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return best.select(
         F.col("doc").alias(key), F.col("item").alias(item_key), F.col("n_item").cast("long").alias("n_item"),
