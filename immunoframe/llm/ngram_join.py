@@ -12,7 +12,7 @@ nothing. Two documents link when 100 * |A & B| >= 80 * |A | B|.
    share a shingle of both prefixes. A posting carries size, position and the numbers of
    shingles in four hash ranges, for the length, positional and suffix filters.
 3. Postings are sorted by shingle within hash partitions and streamed: what shares its shingle
-   with nothing is dropped there. Shingles that the counters call very frequent are dealt
+   with nothing it could link with is dropped there. Shingles that the counters call very frequent are dealt
    to several partitions and kept whole.
 4. Links are sought in rounds. First every set is paired with one leader of each shingle it
    shares, which joins groups of near copies in linearly many pairs. Then only shingles whose
@@ -211,41 +211,75 @@ def _postings(docs: DataFrame, text: str, levels) -> DataFrame:
 
 # --- 3: shared shingles --------------------------------------------------------------------------------
 
-_LIVE = f"{_POST}, lead binary, lead_n int, lead_pos int, lead_ranges long"
+_LIVE = f"{_POST}, lead binary, more boolean"
+
+
+def _passes(n, m, i, j, a, b) -> np.ndarray:
+    """:func:`_may_link` for arrays."""
+    need = -(-(n + m) * SIMILARITY // (100 + SIMILARITY))
+    length = np.minimum(n, m) * 100 >= np.maximum(n, m) * SIMILARITY
+    positional = np.minimum(i, j) + np.minimum(n - i, m - j) >= need
+    common = sum(np.minimum(a >> 16 * k & 0xFFFF, b >> 16 * k & 0xFFFF) for k in range(4))
+    return length & positional & ((a == -1) | (b == -1) | (common >= need))
 
 
 def _live(posts: DataFrame, partitions: int) -> DataFrame:
-    """Postings whose shingle others share, each with its run's leader (the run's first set)."""
+    """Postings that can link, from runs of equal shingles.
+
+    ``lead`` is the run's first set where the pair of both passes the filters. ``more`` marks all postings
+    of runs of three or more (and of shingles dealt to several partitions), which may hold other pairs too.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None  # the leader of the run that the last batch ended in
-        shown = False
+        held: pa.Table | None = None  # the last run's rows so far: its leader, and the second row while that is all
+        big = False  # whether the held run has shown three rows already
         for b in batches:
             if not b.num_rows:
                 continue
-            with_lead = held is not None
-            t = pa.Table.from_batches([held, b]).combine_chunks() if with_lead else pa.Table.from_batches([b])
-            token, salt = t.column("token").to_numpy(), t.column("salt").to_numpy()
+            t = pa.Table.from_batches([b])
+            if held is not None:
+                t = pa.concat_tables([held, t]).combine_chunks()
+            col = lambda k, t=t: t.column(k).to_numpy()
+            token, salt = col("token"), col("salt")
             start = np.ones(len(token), bool)
             start[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])
-            run_of = np.cumsum(start) - 1
-            starts = np.flatnonzero(start)
+            run_of, starts = np.cumsum(start) - 1, np.flatnonzero(start)
             size = np.diff(np.append(starts, len(token)))
-            keep = (size[run_of] > 1) | (salt > 0)  # salted shingles go on to the joins even where alone
-            if with_lead and shown:
-                keep[0] = False
-            last_lead = int(starts[-1])
-            shown = bool(keep[last_lead]) or (shown and last_lead == 0 and with_lead)
-            held = t.slice(last_lead, 1).combine_chunks().to_batches()[0]
-            at = np.flatnonzero(keep)
-            if len(at):
-                rows, leads = t.take(pa.array(at)), t.take(pa.array(starts[run_of[at]]))
-                cols = [*rows.columns, leads.column("sid"), leads.column("n"), leads.column("pos"), leads.column("ranges")]
-                out = pa.Table.from_arrays(cols, names=[*t.column_names, "lead", "lead_n", "lead_pos", "lead_ranges"])
-                yield from out.combine_chunks().to_batches(max_chunksize=20_000)
+            shown = np.zeros(len(token), bool)  # rows that an earlier batch gave out
+            if held is not None and big:
+                shown[: held.num_rows] = True
+                size[0] += 3
+            last = int(starts[-1])
+            tail = len(token) - last
+            wait = np.zeros(len(token), bool)
+            if size[-1] <= 2:  # may go on in the next batch
+                wait[last:] = True
+            out = _emit(t, run_of, starts, size, salt, ~shown & ~wait)
+            big = bool(size[-1] > 2)
+            held = t.slice(last, 1 if big else tail)
+            yield from out.to_batches(max_chunksize=20_000)
+        if held is not None and not big:
+            token = held.column("token").to_numpy()
+            zero = np.zeros(len(token), np.int64)
+            yield from _emit(held, zero, zero[:1], np.array([len(token)]), held.column("salt").to_numpy(), np.ones(len(token), bool)).to_batches()
 
     return posts.repartition(partitions, "token", "salt").sortWithinPartitions("token", "salt", "sid").mapInArrow(run, _LIVE)
 
 
+_ARROW_LIVE = pa.schema([
+    ("token", pa.int64()), ("salt", pa.int32()), ("sid", pa.binary()), ("n", pa.int32()), ("pos", pa.int32()), ("ranges", pa.int64()), ("lead", pa.binary()), ("more", pa.bool_())])
+
+
+def _emit(t: pa.Table, run_of: np.ndarray, starts: np.ndarray, size: np.ndarray, salt: np.ndarray, asked: np.ndarray) -> pa.Table:
+    n, pos, ranges = (t.column(k).to_numpy() for k in ("n", "pos", "ranges"))
+    lead = starts[run_of]
+    pair = (lead != np.arange(len(lead))) & _passes(n.astype(np.int64), n[lead].astype(np.int64), pos, pos[lead], ranges, ranges[lead])
+    more = (size[run_of] > 2) | (salt > 0)
+    at = np.flatnonzero(asked & (pair | more))
+    rows = t.take(pa.array(at))
+    leads = t.column("sid").take(pa.array(np.where(pair[at], lead[at], 0), mask=~pair[at]))
+    return pa.Table.from_arrays([*rows.columns, leads, pa.array(more[at])], names=_ARROW_LIVE.names).cast(_ARROW_LIVE).combine_chunks()
+
+
 def _required(n: Column, m: Column) -> Column:
     """Least number of shared shingles of linked sets of n and m."""
     return F.ceil((n + m) * SIMILARITY / (100 + SIMILARITY) - 1e-9)
@@ -293,6 +327,17 @@ def _contract(links: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "sid")
 
 
+def _links(pairs: DataFrame, rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The linked ones of distinct pairs (x, y); only the texts of their ends are read again."""
+    pairs = staged(pairs, "pairs")
+    ends = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).distinct()
+    whose = rows.where("n > 0").join(ends, "sid", "left_semi").groupBy("sid", "doc").agg(F.count("*").alias("k"))
+    whose = staged(whose.groupBy("sid").agg(F.min_by(F.struct("doc", "k"), F.struct(F.col("doc").isNull(), "doc")).alias("d")).select("sid", "d.doc", "d.k"), "ends")
+    found = staged(_verified(pairs, staged(_sets(docs, whose, key, text), "sets")), "links")
+    _tidy(docs.sparkSession)
+    return found
+
+
 def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> DataFrame:
     """sid and root of all sets that link with another."""
     spark = docs.sparkSession
@@ -300,33 +345,31 @@ def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> Da
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // PARTITION_ROWS) + 1)
     live = staged(_live(_postings(docs, text, levels), partitions), "live")
     _tidy(spark)
-    ends = live.select("sid").distinct()
-    whose = rows.where("n > 0").join(ends, "sid", "left_semi").groupBy("sid").agg(F.min("doc").alias("doc"), F.count("doc").alias("k"))
-    sets = staged(_sets(docs, whose, key, text), "sets")
-    _tidy(spark)
-
     c = F.col
-    led = live.where(c("sid") != c("lead")).where(_may_link(c("n"), c("lead_n"), c("pos"), c("lead_pos"), c("ranges"), c("lead_ranges")))
-    pairs = led.select(c("sid").alias("x"), c("lead").alias("y")).distinct()
-    links = staged(_verified(pairs, sets), "links")
+    links = _links(live.where("lead is not null").select(c("sid").alias("x"), c("lead").alias("y")).distinct(), rows, docs, key, text)
     roots = staged(_contract(links), "roots")
-    named = live.select("token", "sid", "n", "pos", "ranges").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    named = live.where("more").select("token", "sid", "n", "pos", "ranges").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    named = staged(named, "named-postings")
     mixed = named.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-    open_ = staged(named.join(mixed, "token", "left_semi"), "open")
+    open_ = named.join(mixed, "token", "left_semi")
     x, y = open_.alias("x"), open_.alias("y")
     met = x.join(y, c("x.token") == c("y.token")).where((c("x.sid") < c("y.sid")) & (c("x.root") != c("y.root"))).where(
         _may_link(c("x.n"), c("y.n"), c("x.pos"), c("y.pos"), c("x.ranges"), c("y.ranges")))
-    rest = met.select(c("x.sid").alias("x"), c("y.sid").alias("y")).distinct()
-    more = staged(_verified(rest, sets), "links")
-    _tidy(spark)
+    more = _links(met.select(c("x.sid").alias("x"), c("y.sid").alias("y")).distinct(), rows, docs, key, text)
     return _contract(links.unionByName(more))
 
 
+#: Documents whose ids are broadcast to read their texts again; of more, both sides are shuffled.
+BROADCAST_IDS = 1_000_000
+
+
 def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
     """sid and its shingles, read again from one document of each set asked for."""
     own = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
-    picked = own.join(whose.where("k > 0").select("doc").distinct(), "doc", "left_semi").select("_t")
-    if whose.where("k = 0").limit(1).count():  # sets that only documents without an id have
+    ids = whose.where("doc is not null").select("doc").distinct()
+    facts = whose.agg(F.count("*").alias("n"), F.coalesce(F.max("k"), F.lit(0)).alias("most"), F.count_if(F.col("doc").isNull()).alias("nameless")).first()
+    picked = own.join(F.broadcast(ids) if facts["n"] <= BROADCAST_IDS else ids, "doc", "left_semi").select("_t")
+    if facts["nameless"]:  # sets that only documents without an id have
         picked = picked.unionByName(own.where("doc is null").select("_t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +381,8 @@ def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
                 [pa.array([set_name(s) for s in all_sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["sid", "s"])
 
     made = picked.mapInArrow(run, "sid binary, s array<long>")
-    return made.join(whose.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
+    # only rows that repeat an id and a text, or have no id, can give a set twice
+    return made.dropDuplicates(["sid"]) if facts["most"] > 1 or facts["nameless"] else made
 
 
 def _tidy(spark: SparkSession) -> None:
