@@ -36,6 +36,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once: as a lambda's argument no optimizer rule can copy it to each of its uses."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shingle_hashes(words: Column, width: int = WIDTH) -> Column:
     """Hashes of all runs of ``width`` words; empty where there are fewer."""
     at = F.sequence(F.lit(0), F.size(words) - width)
@@ -86,12 +91,12 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     found = staged(candidates(docs, items, key, text, item_key, item_text), "leak-candidates")
     wanted = found.join(
         items.select(F.col(item_key).alias("_i"), words_of(F.col(item_text)).alias("_iw")), F.col("item").eqNullSafe(F.col("_i"))
-    ).select("doc", "item", "width", shingle_texts(F.col("_iw"), F.col("width")).alias("_is"))
+    ).select("doc", "item", "width", let(F.col("_iw"), lambda w: shingle_texts(w, F.col("width"))).alias("_is"))
     texts = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(
         found.select("doc").distinct(), F.col("_d").eqNullSafe(F.col("doc")), "left_semi")
     both = texts.join(wanted, F.col("_d").eqNullSafe(F.col("doc")))
-    both = both.select("doc", "item", "width", "_is", words_of(F.col("_t")).alias("_w"))  # split once, not for each shingle
-    shared = both.select("doc", "item", F.size("_is").alias("n_item"), F.size(F.array_intersect("_is", shingle_texts(F.col("_w"), F.col("width")))).alias("n_shared"))
+    own = let(words_of(F.col("_t")), lambda w: F.size(F.array_intersect("_is", shingle_texts(w, F.col("width")))))
+    shared = both.select("doc", "item", F.size("_is").alias("n_item"), own.alias("n_shared"))
     best = shared.where(F.col("n_shared") * 100 >= F.col("n_item") * SIMILARITY).groupBy("doc", "item", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return best.select(
         F.col("doc").alias(key), F.col("item").alias(item_key), F.col("n_item").cast("long").alias("n_item"),
