@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .decontaminate import words_of
+from .decontaminate import let, words_of
 
 LEAST_DICE = 0.8
 MAX_TEMPLATE_ROWS = 200_000
@@ -56,7 +56,7 @@ def bigrams(words: Column) -> Column:
 def template_sizes(df: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
     """license_id and bigrams of each template under every unit size n that it may match."""
     rows = [(i, t) for i in sorted(templates) for t in templates[i]]
-    own = df.sparkSession.createDataFrame(rows, "license_id string, t string").select("license_id", bigrams(words_of(F.col("t"))).alias("tb"))
+    own = df.sparkSession.createDataFrame(rows, "license_id string, t string").select("license_id", let(words_of(F.col("t")), bigrams).alias("tb"))
     m = F.size("tb").cast("double")
     sizes = F.sequence(F.ceil(m * least / (2 - least) - 1e-9).cast("int"), F.floor(m * (2 - least) / least + 1e-9).cast("int"))
     return own.where("size(tb) > 0").select("license_id", "tb", F.explode(sizes).alias("n"))
@@ -70,8 +70,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
         wanted = F.broadcast(wanted)
     lines = docs.select(F.col(key).alias("_k"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "unit"))
     whole = docs.where(F.col(text).contains("\n")).select(F.col(key).alias("_k"), F.lit(WHOLE).alias("line"), F.col(text).alias("unit"))
-    units = lines.unionByName(whole).select("_k", "line", bigrams(words_of(F.col("unit"))).alias("b"))
-    met = units.withColumn("n", F.size("b")).where("n > 0").join(wanted, "n")
+    units = lines.unionByName(whole).select("_k", "line", let(words_of(F.col("unit")), bigrams).alias("b"))
+    met = units.withColumn("n", F.coalesce(F.size("b"), F.lit(0))).join(wanted, "n")  # never null: no filter that would work b out twice
     dice = F.round(2.0 * F.size(F.array_intersect("b", "tb")) / (F.col("n") + F.size("tb")), 6)
     best = met.withColumn("dice", dice).where(F.col("dice") >= least).groupBy("_k", "line").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license_id")).alias("m"))
     return best.select(F.col("_k").alias(key), "line", F.col("m.license_id").alias("license_id"), (-F.col("m.d")).alias("dice"))
