@@ -180,8 +180,8 @@ def group_keys(stats: DataFrame, by: list[str]) -> DataFrame:
     """
     own = _named(stats.where(~F.col("base_failed")), by).groupBy("_lang", "_source").agg(F.count("*").alias("n"))
     langs = own.groupBy("_lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
-    total = langs.agg(F.coalesce(F.sum("n_lang"), F.lit(0)).alias("n_all"), F.min("n_lang").alias("least_lang"))
-    keyed = own.join(langs, "_lang").join(F.broadcast(total))  # total is one row
+    total = langs.agg(F.coalesce(F.sum("n_lang"), F.lit(0)).alias("n_all"), F.coalesce(F.min("n_lang"), F.lit(0)).alias("least_lang")).first()
+    keyed = own.join(langs, "_lang").withColumns({k: F.lit(total[k]) for k in ("n_all", "least_lang")})
     name = F.concat_ws("\x00", "_lang", "_source")
     grp = F.when(F.col("n") >= MIN_GROUP, name).when(F.col("n_lang") >= MIN_GROUP, F.col("_lang")).when(F.col("n_all") >= MIN_GROUP, F.lit(""))
     feeds = F.array(
