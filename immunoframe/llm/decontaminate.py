@@ -3,14 +3,15 @@
 A test item is found in a document when at least ``SIMILARITY`` per cent of the item's
 distinct word shingles (five words; shorter items count as one shingle of their own length)
 are the document's too. Items are partitioned by size (powers of two). The sketch of an item
-is its ``k`` smallest shingle hashes (bottom-k MinHash), where k is one more than the most
-shingles that an item of its partition can miss; so a document that holds enough of an item
-holds at least one hash of its sketch, however long the document is, and no match is lost.
-Document shingles are looked up in the sketches by an equality join on the hash; candidates
-that are too small for the partition go, and the rest is verified by intersecting the exact
-shingles.
-
-The sketches are few (a fifth of the items' shingles), so Spark broadcasts them where their size
+is its ``k`` smallest shingle hashes (bottom-k MinHash), where k is somewhat more than twice the
+shingles that an item of its partition can miss; a document that holds enough of an item
+misses no more of the sketch than of the item, however long the document is, so asking for the rest
+of the sketch loses no match and passes few documents that share a common phrase.
+A document's distinct shingles are looked up in the sketches by an equality join on the hash and
+counted for (document, item) before the shuffle; documents that are too small for the item go,
+and the rest is verified by intersecting the exact shingles.
+
+The sketches hold about half of the items' shingles; Spark broadcasts them where their size
 allows it and shuffles both sides otherwise. Texts are never shuffled for the search; the
 verification reads the candidates' texts again.
 
@@ -56,7 +57,7 @@ def shingle_texts(words: Column, width: Column) -> Column:
 
 
 def sketches(items: DataFrame, key: str, text: str) -> DataFrame:
-    """item, width, n (distinct shingles) and the sketch of each item that has a word."""
+    """item, width, n (distinct shingles), the sketch and how much of it a match holds at least, of each item that has a word."""
     w = F.col("_w")
     own = items.select(F.col(key).alias("item"), words_of(F.col(text)).alias("_w")).where(F.size(w) > 0)
     parts = [own.where(F.size(w) >= WIDTH).select("item", F.lit(WIDTH).alias("width"), F.array_distinct(shingle_hashes(w)).alias("h"))]
@@ -66,24 +67,26 @@ def sketches(items: DataFrame, key: str, text: str) -> DataFrame:
         found = found.unionByName(p)
     n = F.size("h")
     largest = F.pow(F.lit(2), F.ceil(F.log2(n.cast("double"))))  # the partition: sizes up to this power of two
-    missed = F.floor(largest * (100 - SIMILARITY) / 100)
-    return found.select("item", "width", n.alias("n"), F.slice(F.sort_array("h"), 1, F.least(n, (missed + 1).cast("int"))).alias("sketch"))
+    share = (100 - SIMILARITY) / 100
+    kept = F.least(n, (2 * F.floor(largest * share) + 4).cast("int"))
+    need = kept - F.floor(n * (100 - SIMILARITY) / 100).cast("int")
+    return found.select("item", "width", n.alias("n"), F.slice(F.sort_array("h"), 1, kept).alias("sketch"), need.alias("need"))
 
 
 def candidates(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str) -> DataFrame:
-    """Distinct (doc, item, width) that share a sketch hash and pass the size bound."""
+    """Distinct (doc, item, width) that share enough of the sketch and pass the size bound."""
     own = staged(sketches(items, item_key, item_text), "sketches")
-    probe = own.select("item", "width", "n", F.explode("sketch").alias("hash"))
+    probe = own.select("item", "width", "n", "need", F.explode("sketch").alias("hash"))
     widths = [r.width for r in own.select("width").distinct().collect()]  # at most five
     w = F.col("_w")
     texts = docs.select(F.col(key).alias("doc"), words_of(F.col(text)).alias("_w"))
     found = None
     for width in sorted(widths) or [WIDTH]:
-        rows = texts.select("doc", F.size(w).alias("_size"), F.explode(shingle_hashes(w, width)).alias("hash"))
+        rows = texts.select("doc", F.size(w).alias("_size"), F.explode(F.array_distinct(shingle_hashes(w, width))).alias("hash"))
         some = rows.join(probe.where(F.col("width") == width), "hash").where((F.col("_size") - width + 1) * 100 >= F.col("n") * SIMILARITY)
-        some = some.select("doc", "item", "width")
+        some = some.groupBy("doc", "item", "width", "need").agg(F.count("*").alias("hits")).where("hits >= need").select("doc", "item", "width")
         found = some if found is None else found.unionByName(some)
-    return found.distinct()
+    return found
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
