@@ -22,10 +22,15 @@ BATCH_BYTES = 8 << 20
 BATCH_ROWS = 2000
 
 
+#: Bytes a core reads at once; tables below that for every core are dealt out evenly.
+SPREAD_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table, dealt to all cores where its files are fewer than these (at scale they are not)."""
+    """A table; a small one in fewer files than there are cores is dealt to all cores."""
     df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    small = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < SPREAD_BYTES * cores
+    return df.repartition(cores) if small and len(df.inputFiles()) < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
