@@ -31,7 +31,9 @@ table gives an empty result; other columns are passed over.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -348,10 +350,11 @@ def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> Da
     c = F.col
     links = _links(live.where("lead is not null").select(c("sid").alias("x"), c("lead").alias("y")).distinct(), rows, docs, key, text)
     roots = staged(_contract(links), "roots")
-    named = live.where("more").select("token", "sid", "n", "pos", "ranges").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    named = staged(named, "named-postings")
-    mixed = named.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-    open_ = named.join(mixed, "token", "left_semi")
+    small = roots.count() <= BROADCAST_IDS
+    named = live.where("more").select("token", "sid", "n", "pos", "ranges").join(F.broadcast(roots) if small else roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    mixed = staged(named.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token"), "mixed")
+    open_ = staged(named.join(mixed, "token", "left_semi"), "open")
+    _tidy(spark)
     x, y = open_.alias("x"), open_.alias("y")
     met = x.join(y, c("x.token") == c("y.token")).where((c("x.sid") < c("y.sid")) & (c("x.root") != c("y.root"))).where(
         _may_link(c("x.n"), c("y.n"), c("x.pos"), c("y.pos"), c("x.ranges"), c("y.ranges")))
@@ -359,7 +362,7 @@ def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> Da
     return _contract(links.unionByName(more))
 
 
-#: Documents whose ids are broadcast to read their texts again; of more, both sides are shuffled.
+#: Rows of ids or names that are broadcast; of more, both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 
 
@@ -387,10 +390,10 @@ def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
 
 def _tidy(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished steps."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Spark drops them once the plans that made them are collected, first here, then in its own memory
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def _named_rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
