@@ -14,10 +14,10 @@ nothing. Two documents link when 100 * |A & B| >= 80 * |A | B|.
 3. Postings are sorted by shingle within hash partitions and streamed: what shares its shingle
    with nothing it could link with is dropped there. Shingles that the counters call very frequent are dealt
    to several partitions and kept whole.
-4. Links are sought in rounds. First every set is paired with one leader of each shingle it
-   shares, which joins groups of near copies in linearly many pairs. Then only shingles whose
-   holders still lie in different groups are joined with themselves, on pairs of different
-   groups; those pass the filters and are verified on the whole sets, once for each pair. Pairs
+4. Links are sought in rounds. First every set is paired with the least leader of the shingles it
+   shares, which joins groups of near copies in one pair for each set. Then its other leaders
+   in different groups follow, and shingles whose holders still lie in different groups
+   are joined with themselves, on pairs of different groups; those pass the filters and are verified on the whole sets, once for each pair. Pairs
    left out lie within one group already, so no link between groups is lost.
 
 Groups are named by min-label contraction over written tables. Nothing that grows
@@ -49,7 +49,7 @@ from .common import bounded_batches, staged, utf8
 WIDTH = 5
 SIMILARITY = 80
 #: Hashed counters, in slices that are summed apart; a broadcast of COUNTERS bytes.
-COUNTERS = 1 << 21
+COUNTERS = 1 << 23
 SLICES = 32
 #: Occurrences of a shingle from which its postings are dealt to several partitions.
 HOT = 20_000
@@ -118,7 +118,7 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)  # of one task
         names = ["doc", "n", "sid", "slice", "counts"]
         arrow = to_arrow_type(doc_type)
         for b in batches:
@@ -132,7 +132,7 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(arrow), pa.array(n, pa.int32()), pa.array(sid, pa.binary()), pa.nulls(nothing, pa.int32()), pa.nulls(nothing, pa.binary())], names=names)
         step = COUNTERS // SLICES
-        packed = [zlib.compress(np.minimum(counts[i * step : (i + 1) * step], (1 << 32) - 1).astype("<u4").tobytes(), 1) for i in range(SLICES)]
+        packed = [zlib.compress(counts[i * step : (i + 1) * step].astype("<u4").tobytes(), 1) for i in range(SLICES)]
         if counts.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(SLICES, arrow), pa.nulls(SLICES, pa.int32()), pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], names=names)
@@ -348,8 +348,11 @@ def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> Da
     live = staged(_live(_postings(docs, text, levels), partitions), "live")
     _tidy(spark)
     c = F.col
-    links = _links(live.where("lead is not null").select(c("sid").alias("x"), c("lead").alias("y")).distinct(), rows, docs, key, text)
+    pairs = staged(live.where("lead is not null").select(c("sid").alias("x"), c("lead").alias("y")).distinct(), "leads")
+    links = _links(pairs.groupBy("x").agg(F.min("y").alias("y")), rows, docs, key, text)
     roots = staged(_contract(links), "roots")
+    of = lambda k: roots.select(c("sid").alias(k), c("root").alias(f"{k}_root"))
+    apart = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left").where(F.coalesce("x_root", "x") != F.coalesce("y_root", "y")).select("x", "y")
     small = roots.count() <= BROADCAST_IDS
     named = live.where("more").select("token", "sid", "n", "pos", "ranges").join(F.broadcast(roots) if small else roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = staged(named.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token"), "mixed")
@@ -358,7 +361,8 @@ def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> Da
     x, y = open_.alias("x"), open_.alias("y")
     met = x.join(y, c("x.token") == c("y.token")).where((c("x.sid") < c("y.sid")) & (c("x.root") != c("y.root"))).where(
         _may_link(c("x.n"), c("y.n"), c("x.pos"), c("y.pos"), c("x.ranges"), c("y.ranges")))
-    more = _links(met.select(c("x.sid").alias("x"), c("y.sid").alias("y")).distinct(), rows, docs, key, text)
+    both = met.select(c("x.sid").alias("x"), c("y.sid").alias("y")).unionByName(apart.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
+    more = _links(both.distinct(), rows, docs, key, text)
     return _contract(links.unionByName(more))
 
 
