@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 
+#: Most reads of a group, the reference's default.
+MAX_READS = 999_999
 #: Group column of each library, and those it may be set to.
 GROUP_FIELDS = {"bulk": ("umi",), "visium": ("spbcumi", "umi"), "visiumhd": ("umispbcid", "umi")}
 

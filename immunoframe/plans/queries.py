@@ -584,9 +584,9 @@ def seqtag_split(spark, sf_dir):
 
 @query()
 def molecule_alignment(spark, sf_dir):
-    own = reads(spark, sf_dir).where("user_id % 5 = 0").select("read_id", "user_id", F.substr("sequence", F.lit(1), F.length("sequence") - F.col("read_id") % 3).alias("sequence"))
-    few = groups.subsample(own, "user_id", 12, "read_id")
-    return consensus.consensus(consensus.align_groups(few, "user_id"), "user_id", max_error=1.0)
+    own = reads(spark, sf_dir).select("read_id", "user_id", F.substr("sequence", F.lit(1), F.length("sequence") - F.col("read_id") % 3).alias("sequence"))
+    bounded = groups.subsample(own, "user_id", groups.MAX_READS, "read_id")
+    return consensus.consensus(consensus.align_groups(bounded, "user_id"), "user_id", max_error=1.0)
 
 
 @query()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from immunoframe.functions import sequence as S
 from immunoframe.operators import anchors, barcodes, clones, components, consensus, filters, groups, runmeta, vdj
-from immunoframe.plans import pipelines
+from immunoframe.plans import pipelines, queries
 from immunoframe.sources import metadata, sequences
 
 
@@ -98,6 +98,64 @@ def test_consensus_and_alignment(spark):
     assert len(a) == len(b) and b.replace("-", "") == "ACGACGT" and b.count("-") == 1
 
 
+def brute_alignment(seqs):
+    """Plain centre-star alignment, cell by cell: the rows of seqs, equally long."""
+    def pair(a, b):
+        d = [[-2 * (i + j) for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = max(d[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), d[i - 1][j] - 2, d[i][j - 1] - 2)
+        i, j, out = len(a), len(b), []
+        while i or j:
+            if i and j and d[i][j] == d[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1):
+                i, j = i - 1, j - 1
+                out.append((a[i], b[j]))
+            elif i and d[i][j] == d[i - 1][j] - 2:
+                i -= 1
+                out.append((a[i], "-"))
+            else:
+                j -= 1
+                out.append(("-", b[j]))
+        return out[::-1]
+
+    if len({len(s) for s in seqs}) == 1:
+        return seqs
+    distinct = sorted(set(seqs), key=lambda s: (len(s), s))
+    centre = distinct[len(distinct) // 2]
+    slots = []  # of each sequence: the inserted bases before each centre base and after the last, and its base at each
+    for s in seqs:
+        before, at = [""], []
+        for x, y in pair(centre, s):
+            if x == "-":
+                before[-1] += y
+            else:
+                at.append(y)
+                before.append("")
+        slots.append((before, at))
+    width = [max(len(b[i]) for b, _ in slots) for i in range(len(centre) + 1)]
+    return ["".join(b[i].ljust(width[i], "-") + (at[i] if i < len(at) else "") for i in range(len(centre) + 1)) for b, at in slots]
+
+
+def test_molecule_alignment_of_all_reads_against_brute_force(spark, tmp_path):
+    users = [u for u in (1, 2, 3, 5, 7) for _ in range(4)] + [4] * 30
+    spark.createDataFrame([(i, u) for i, u in enumerate(users)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    reads = queries.reads(spark, str(tmp_path)).select("read_id", "user_id", "sequence").collect()
+    members = {}
+    for r in reads:
+        members.setdefault(r.user_id, []).append(r.sequence[: len(r.sequence) - r.read_id % 3])
+    want = []
+    for u, seqs in members.items():
+        text, depth, same = "", 0, 0
+        for column in zip(*brute_alignment(seqs), strict=True):
+            bases = [c for c in column if c != "-"]
+            if bases and 2 * (len(column) - len(bases)) <= len(column):
+                best = min(set(bases), key=lambda c: (-bases.count(c), c))
+                text, depth, same = text + best, depth + len(column), same + bases.count(best)
+        want.append((u, text, len(seqs), round(1 - same / depth, 6)))
+    got = rows(queries.queries()["molecule_alignment"](spark, str(tmp_path)))
+    assert got == sorted(want) and len(got) == 6 and max(r[2] for r in got) == 30
+
+
 def test_anchor_search_against_brute_force(spark):
     def edits(p, t):  # least edits of p against any stretch of t
         row = [0] * (len(t) + 1)
