@@ -401,7 +401,7 @@ def _tidy(spark: SparkSession) -> None:
 
 
 def _named_rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """The row of each document (doc, n, sid), and sid with the smallest doc of its group."""
+    """The row of each document (doc, n, sid), and of each sid its smallest doc (low) and its group's root."""
     spark = docs.sparkSession
     bounded_batches(spark)
     both = staged(_documents(docs, key, text), "sets-of-rows")
@@ -409,25 +409,27 @@ def _named_rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     levels = spark.sparkContext.broadcast(_sum_counters(both).tobytes())
     roots = _groups(rows, docs, key, text, levels)
     least = rows.where("n > 0").groupBy("sid").agg(F.min("doc").alias("low")).join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = staged(least, "named")
-    lowest = least.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows, staged(least.join(lowest, "root").select("sid", "component_id"), "components")
+    return rows, staged(least, "named")
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles and component_id of every row."""
-    rows, named = _named_rows(docs, key, text)
+    rows, least = _named_rows(docs, key, text)
+    lowest = least.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = staged(least.join(lowest, "root").select("sid", "component_id"), "components")
     full = rows.where("n > 0").join(named, "sid").select("doc", "n", "component_id")
     empty = rows.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
     return full.unionByName(empty).select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group (that with the smallest id), with all columns; wordless rows stay."""
-    rows, named = _named_rows(docs, key, text)
-    first = rows.where("n > 0").join(named, "sid").where(F.col("doc").eqNullSafe(F.col("component_id")))
-    kept = first.groupBy("doc", "component_id").agg(F.min("sid").alias("sid")).select(F.col("doc").alias("_doc"), F.col("sid").alias("_sid"))
-    kept = staged(kept, "kept")
+    """One row of each group (that with the smallest id, null ids last), with all columns; wordless rows stay.
+
+    Groups go by their root, so different groups stay apart where they share an id or have none.
+    """
+    _, least = _named_rows(docs, key, text)
+    first = least.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("nameless"), "low", "sid")).alias("f"))
+    kept = staged(first.select(F.col("f.low").alias("_doc"), F.col("f.sid").alias("_sid")), "kept")
     bounded_batches(docs.sparkSession)
     name = "_set"
     while name in docs.columns:

@@ -251,6 +251,13 @@ def test_one_of_each(spark):
     assert ngram_join.one_of_each(frame.limit(0)).count() == 0
 
 
+def test_one_of_each_group_with_null_and_repeated_ids(spark):
+    texts = ["the quick brown fox jumps over a lazy dog", "seven wise owls sat in the old oak tree", "cold rain fell on the grey roofs all night"]
+    docs = [(None, t) for t in texts] + [(None, texts[0])] + [(8, "a first text under the id eight here"), (8, "quite another text that has the same id"), (9, texts[1])]
+    got = [(r.doc_id, r.text) for r in ngram_join.one_of_each(docs_of(spark, docs)).collect()]
+    assert sorted(got, key=repr) == sorted([(None, texts[0]), (9, texts[1]), (None, texts[2]), *docs[4:6]], key=repr)
+
+
 # --- 9 ------------------------------------------------------------------------------------------------
 
 def test_warc_round_trip(spark):
