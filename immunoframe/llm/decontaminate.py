@@ -107,6 +107,11 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that hold no test item, with all their columns."""
-    found = staged(leaks(docs, items, key, text).select(F.col(key).alias("_leak")).distinct(), "leaks")
-    return docs.join(found, docs[key].eqNullSafe(found["_leak"]), "left_anti")
+    """The rows of docs that hold no test item, with all their columns.
+
+    Rows are told apart by their text's digest, not by key: ids may be null or shared by other texts.
+    """
+    digest = lambda t: F.unhex(F.sha2(t, 256))
+    own = docs.select(digest(F.col(text)).alias("_row"), F.col(text).alias("_text"))
+    found = staged(leaks(own, items, "_row", "_text").select(F.col("_row").alias("_leak")).distinct(), "leaks")
+    return docs.join(found, digest(docs[text]) == found["_leak"], "left_anti")

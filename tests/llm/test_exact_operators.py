@@ -138,6 +138,14 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs_of(spark, docs), it.limit(0)).count() == 0
 
 
+def test_leaks_are_dropped_by_row(spark):
+    items = spark.createDataFrame([(1, "seven wise owls sat in the old oak tree")], "item_id long, text string")
+    leak, clean = "they say seven wise owls sat in the old oak tree today", "cold rain fell on the grey roofs all night"
+    docs = [(None, leak), (None, clean), (None, None), (7, leak), (7, clean), (8, clean), (9, leak)]
+    got = [(r.doc_id, r.text) for r in decontaminate.drop_leaks(docs_of(spark, docs), items).collect()]
+    assert sorted(got, key=repr) == sorted([d for d in docs if d[1] != leak], key=repr)
+
+
 # --- 7 ------------------------------------------------------------------------------------------------
 
 def brute_licenses(docs):
