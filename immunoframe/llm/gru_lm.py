@@ -14,9 +14,8 @@ the counts, so the untrained network is the unigram model.
 
 Training. Truncated backpropagation over windows of ``STEPS`` words with the state carried from
 window to window. A start of at most ``WARM_DOCS`` documents is trained in one task; from
-there every task trains on its part of the ``TRAIN_SHARE`` of all training documents (a share
-by hash, so it grows with the corpus), and the tasks' weights are averaged by their words, in a
-tree of sums.
+there every task trains on its part of all training documents, and the tasks' weights are
+averaged by their words, in a tree of sums.
 
 Scoring. Every document runs through the network whole, many at a time: a lane that comes to
 its document's end takes the next one with a fresh state, and a lane's state goes on from window
@@ -54,7 +53,6 @@ TRAIN_LANES = 64
 SCORE_LANES = 256
 WARM_DOCS = 1500
 WARM_EPOCHS = 2
-TRAIN_SHARE = 1 / 8
 RATE = 0.01
 END = b"\xff"  # not UTF-8, so no word
 FLUSH = 400_000
@@ -260,19 +258,27 @@ def _gradients(w: Weights, words: Words, given, target, starts, states, store) -
     full[at] = back
     full = full.reshape(steps, lanes, HIDDEN)
     before, gates, news, inner = store
+    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+    to_n, to_r, to_z = (1 - z) * (1 - news * news), inner * r * (1 - r), (before - news) * z * (1 - z)
     da = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
     du = np.empty_like(da)
     alive = (~starts).astype(np.float32)[:, :, None]
+    any_start = starts.any(axis=1)
+    turned = np.ascontiguousarray(w["u"].T)
     carried = np.zeros((lanes, HIDDEN), np.float32)
     for t in range(steps - 1, -1, -1):
-        dh = full[t] + carried
-        h, z, r, n, hn = before[t], gates[t][:, :HIDDEN], gates[t][:, HIDDEN:], news[t], inner[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dr = dn * hn * r * (1 - r)
-        dz = dh * (h - n) * z * (1 - z)
-        da[t] = np.concatenate([dz, dr, dn], axis=1)
-        du[t] = np.concatenate([dz, dr, dn * r], axis=1)
-        carried = (dh * z + du[t] @ w["u"].T) * alive[t]
+        dh, a, b = full[t], da[t], du[t]
+        dh += carried
+        dn = np.multiply(dh, to_n[t], out=a[:, 2 * HIDDEN :])
+        np.multiply(dn, to_r[t], out=a[:, HIDDEN : 2 * HIDDEN])
+        np.multiply(dh, to_z[t], out=a[:, :HIDDEN])
+        b[:, : 2 * HIDDEN] = a[:, : 2 * HIDDEN]
+        np.multiply(dn, r[t], out=b[:, 2 * HIDDEN :])
+        carried = b @ turned
+        dh *= z[t]
+        carried += dh
+        if any_start[t]:
+            carried *= alive[t]
     grads["u"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
     ids = given.ravel()
     order = np.argsort(ids, kind="stable")
@@ -393,8 +399,7 @@ def fit_network(trainable: DataFrame, words: Words, n_docs: int) -> Weights:
         if total:
             yield pa.RecordBatch.from_pandas(_pack(own, total), preserve_index=False).cast(_ARROW)
 
-    share = F.shiftrightunsigned(F.col("_key"), 21) % 1024 < int(1024 * TRAIN_SHARE)
-    parts = trainable.where(share).select("_t").mapInArrow(go_on, _MODEL)
+    parts = trainable.select("_t").mapInArrow(go_on, _MODEL)
     some = parts.groupBy((F.xxhash64("model") % 64).alias("_part")).applyInPandas(_average, _MODEL)
     mean = some.groupBy("k").applyInPandas(_average, _MODEL).first()
     return w if mean is None else pickle.loads(mean["model"])

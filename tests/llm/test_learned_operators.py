@@ -160,6 +160,16 @@ def test_lanes_give_every_document_whole():
         assert abs(gru_lm.log_likelihood(w, words, states, s[:, None]).sum() - sums[i]) < 1e-2
 
 
+def test_every_training_document_gives_gradient_steps(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "WARM_DOCS", 0)
+    words = gru_lm.Words([(b"a", 9), (b"b", 5)], 4, np.full(gru_lm.OTHER, 5.0))
+    start = gru_lm.fresh(words)
+    for key in (-1, 200 << 21, 1000 << 21):  # each the only document
+        df = spark.createDataFrame([("a b a a b", key)], "_t string, _key long")
+        trained = gru_lm.fit_network(df, words, 1)
+        assert any(not np.array_equal(trained[k], start[k]) for k in start)
+
+
 def test_language_model(spark, monkeypatch):
     monkeypatch.setattr(gru_lm, "TOP", 40)  # most words take the way of the join
     rng = random.Random(5)
