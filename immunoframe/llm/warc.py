@@ -5,8 +5,8 @@ shared folder, so a task that is retried on another executor leaves no half file
 is the member without its last byte, NUL, and the line separator is NUL; see ``_member``.)
 
 The reader walks a file member by member. Where a member, version line, header, length,
-block digest or end mark fails its check, it searches for the next gzip member (or, in
-plain files, the next ``WARC/1.`` line) that yields a whole record, goes on from there, and
+block digest or end mark fails its check, it searches for the next gzip member or ``WARC/1.``
+line, whichever is nearer, that yields a whole record, goes on from there, and
 reports the byte range in between as a quarantined gap. No bad byte costs more than the
 records it lies in.
 
@@ -137,20 +137,24 @@ def _gzip_record(raw: bytes, at: int) -> tuple[str, dict[str, str], bytes, int]:
         return kind, headers, block, end
 
 
+#: How a record can begin: with a gzip member or a plain version line.
+_MARK = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+
+
 def salvage(raw: bytes) -> Iterator[Found]:
-    """All whole records of an archive, gzip or plain, and the gaps between them."""
-    zipped = MAGIC in raw[:4096] or not raw.lstrip().startswith(b"WARC/1.") and MAGIC in raw
-    mark, read = (MAGIC, _gzip_record) if zipped else (b"WARC/1.", _parse)
+    """All whole records of an archive, gzip, plain or both, and the gaps between them."""
     at, bad_from, why = 0, -1, ""
     while at < len(raw):
         try:
+            read = _gzip_record if raw.startswith(MAGIC, at) else _parse
             kind, headers, block, end = read(raw, at)
         except ValueError as e:
             if bad_from < 0:
                 bad_from, why = at, str(e)
-            at = raw.find(mark, at + 1)
-            if at < 0:
+            mark = _MARK.search(raw, at + 1)
+            if mark is None:
                 break
+            at = mark.start()
             continue
         if bad_from >= 0:
             yield Found(bad_from, at, None, None, None, why)

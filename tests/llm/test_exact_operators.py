@@ -308,6 +308,19 @@ def test_salvage(zipped):
     assert list(warc.salvage(b"")) == [] and [f.gap != "" for f in warc.salvage(b"garbage")] == [True]
 
 
+def test_salvage_of_plain_archives_with_gzip_payloads():
+    payloads = [b"plain", warc.gzip_member(b"<p>an HTTP body</p>"), b"more", b"last"]
+    parts = [warc.record_bytes("response", {"Page-Id": str(i)}, p) for i, p in enumerate(payloads)]
+    ids = lambda raw: [f.headers["Page-Id"] for f in warc.salvage(raw) if not f.gap]
+    assert ids(b"".join(parts)) == ["0", "1", "2", "3"]
+    late = [parts[0], parts[2], warc.record_bytes("response", {"Page-Id": "4"}, b"x" * 5000), parts[1], parts[3]]
+    assert ids(b"junk" + b"".join(late)[4:]) == ["2", "4", "1", "3"]
+    mixed = [parts[0], warc.gzip_member(parts[1]), parts[2], warc.gzip_member(parts[3])]
+    assert ids(b"".join(mixed)) == ["0", "1", "2", "3"]
+    mixed[1] = mixed[1][:20]
+    assert ids(b"".join(mixed)) == ["0", "2", "3"]
+
+
 def test_members_beyond_the_length_field(monkeypatch):
     big = warc.record_bytes("response", {"Page-Id": "1"}, b"x" * ((1 << 24) + 5))
     m = warc._member(big)
