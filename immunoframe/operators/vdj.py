@@ -31,6 +31,15 @@ class Index:
             for i in range(len(seq) - SEED + 1):
                 self.seeds[seq[i : i + SEED]].append((g, i))
 
+    def bound(self, votes: int, length: int) -> int:
+        """The most that a stretch of an overlap of this length can score with so many seeds in it.
+
+        With m mismatches it has m + 1 runs of matches, each at most SEED - 1 longer than its seeds' number, so its
+        score is at most votes + 8 (m + 1) - 2 m, and at most length - 3 m.
+        """
+        m = max(0, (length - votes - (SEED - 1)) // SEED)
+        return max(min(votes + (SEED - 1) * (k + 1) - 2 * k, length - 3 * k) for k in (m, m + 1))
+
     def best(self, read: str, start: int = 0, least: int = 12) -> tuple[list[int], int, int, int, float] | None:
         """Best germlines, first read base, first germline base, length and identity of the best ungapped overlap."""
         votes: dict[tuple[int, int], int] = defaultdict(int)
@@ -39,24 +48,28 @@ class Index:
                 votes[g, i - j] += 1
         if not votes:
             return None
-        found = []
-        for (g, shift), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0]))[:12]:
+        open_ = []
+        for (g, shift), n in votes.items():
             seq = self.rows[g][2]
             a, b = max(shift, start), min(shift + len(seq), len(read))
-            if b - a < min(least, len(seq)):
-                continue
+            if b - a >= min(least, len(seq)):
+                open_.append((-self.bound(n, b - a), -n, g, shift, a, b))
+        found, top = [], 0
+        for limit, n, g, shift, a, b in sorted(open_):
+            if -limit < top:
+                break  # none of the rest can reach the best
+            seq = self.rows[g][2]
             same = np.frombuffer(read[a:b].encode(), np.uint8) == np.frombuffer(seq[a - shift : b - shift].encode(), np.uint8)
             gain = np.cumsum(np.where(same, 1, -2))
             low = np.minimum.accumulate(np.concatenate([[0], gain[:-1]]))
             end = int(np.argmax(gain - low))
             first = int(np.argmin(np.concatenate([[0], gain[: end + 1]])[: end + 1]))
             score = int(gain[end] - low[end])
-            found.append((score, -(end + 1 - first), g, a + first, a + first - shift, end + 1 - first, float(same[first : end + 1].mean())))
-        if not found:
-            return None
-        top = max(f[0] for f in found)
-        if top < min(least, SEED):
+            top = max(top, score)
+            found.append((score, (n, g, shift), g, a + first, a + first - shift, end + 1 - first, float(same[first : end + 1].mean())))
+        if not found or top < min(least, SEED):
             return None
+        found.sort(key=lambda f: f[1])  # of equal stretches the one with most seeds
         ties = sorted({f[2] for f in found if f[0] == top}, key=lambda g: self.rows[g][0])
         one = next(f for f in found if f[0] == top and f[2] == ties[0])
         return ties, one[3], one[4], one[5], one[6]
@@ -66,7 +79,7 @@ def annotate(reads: DataFrame, germlines: DataFrame, column: str = "sequence") -
     """reads with gene calls and positions (1-based). germlines: allele, locus, segment (V, D, J, C), seq, anchor.
 
     anchor is the 0-based germline position of the conserved codon that begins (V) or ends (J) the junction.
-    Seeds shared with a germline give diagonals; the best ungapped stretch on the strongest ones decides, equal
+    Seeds shared with a germline give diagonals; the best ungapped stretch on any of them decides, equal
     ones are listed together. The strand with the better V match counts. The germline set is bounded and checked.
     """
     ship_package(reads.sparkSession)

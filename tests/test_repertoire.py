@@ -185,6 +185,40 @@ def test_vdj(spark):
     assert out[2][1:] == out[3][1:] == (None, None, None, None, False)
 
 
+def brute_best(germlines, read):
+    """The best score of an ungapped stretch on any diagonal with a seed, and the alleles that have it."""
+    scores = {}
+    for name, seq in germlines:
+        for shift in range(-len(seq) + 1, len(read)):
+            a, b = max(shift, 0), min(shift + len(seq), len(read))
+            same = [read[i] == seq[i - shift] for i in range(a, b)]
+            if b - a < 12 or not any(all(same[i : i + 9]) for i in range(len(same) - 8)):
+                continue
+            now = 0
+            for x in same:
+                now = max(now, 0) + (1 if x else -2)
+                scores[name] = max(scores.get(name, 0), now)
+    top = max(scores.values(), default=0)
+    return sorted(n for n, s in scores.items() if s == top) if top >= 9 else None
+
+
+def test_every_germline_that_can_be_best_is_scored():
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    shared = text(60)
+    family = [(f"V1*{i:02}", text(20) + shared) for i in range(30)]  # a 3' read cannot tell them apart
+    index = vdj.Index([(n, "IGH", s, None) for n, s in family])
+    assert [family[g][0] for g in index.best(shared)[0]] == [n for n, _ in family]
+    base = text(70)
+    near = [(f"V{i:02}", "".join(rng.choice("ACGT") if rng.random() < rng.choice([0.02, 0.15]) else c for c in base)) for i in range(40)]
+    index = vdj.Index([(n, "IGH", s, None) for n, s in near])
+    for _ in range(60):
+        own = "".join(rng.choice("ACGT") if rng.random() < 0.12 else c for c in rng.choice(near)[1])
+        read = text(rng.randint(0, 8)) + own[rng.randint(0, 30) :] + text(rng.randint(0, 8))
+        hit = index.best(read)
+        assert (hit and [near[g][0] for g in hit[0]]) == brute_best(near, read)
+
+
 def test_clones_of_golden_rows(spark):
     data = [
         ("a", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"), ("b", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"),
