@@ -2,33 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def written(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder that all executors share (Spark's own checkpoint where it is unset)."""
-    spark = df.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            import tempfile
-
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
-        return df.checkpoint()
-    path = f"{top.rstrip('/')}/components-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..scratch import drop_staged, staged
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """node and component (its smallest node) of every node that has an edge.
+    """node and component (its smallest node) of every node that has an edge to another.
 
     Large-star and small-star contraction; each step is an aggregate summed before the shuffle and an equality join.
+    Edges with a null end and loops are passed over; no edges give no rows. Every step's table replaces the one before.
     """
-    own = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    own = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     mark = None
     while True:
         both = own.unionByName(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -36,7 +22,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
-        own = written(small.distinct())
+        before, own = own, staged(small.distinct(), "edges")
+        drop_staged(before)
         now = own.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == mark:
             break

@@ -11,17 +11,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..scratch import staged
 from ..session import ship_package
 
 
 def majority(rows: DataFrame, group: str, *columns: str) -> DataFrame:
-    """The commonest value of each column in each group (the larger one on a tie) and its count ``<column>_n``."""
-    out = None
-    for c in columns:
-        counts = rows.where(F.col(c).isNotNull()).groupBy(group, c).agg(F.count("*").alias("_n"))
-        best = counts.groupBy(group).agg(F.max(F.struct("_n", c)).alias("_m")).select(group, F.col(f"_m.{c}").alias(c), F.col("_m._n").alias(f"{c}_n"))
-        out = best if out is None else out.join(best, group, "full")
-    return out
+    """The commonest value of each column in each group (the larger one on a tie) and its count ``<column>_n``.
+
+    All columns are counted in one aggregation over (group, column, value), summed before the shuffle. Null values
+    have no vote; a group without any vote for a column has null there, one without votes at all no row.
+    """
+    kinds = {c: rows.schema[c].dataType for c in columns}
+    votes = F.array(*[F.struct(F.lit(i).alias("at"), *[(F.col(c) if c == d else F.lit(None).cast(kinds[d])).alias(f"v{k}") for k, d in enumerate(columns)]) for i, c in enumerate(columns)])
+    names = [f"v{k}" for k in range(len(columns))]
+    each = rows.select(F.col(group).alias("_g"), F.explode(votes).alias("s")).select("_g", "s.*").where(" OR ".join(f"{n} IS NOT NULL" for n in names))
+    counts = each.groupBy("_g", "at", *names).agg(F.count("*").alias("n"))
+    best = counts.groupBy("_g").agg(*[F.max(F.when(F.col("at") == i, F.struct("n", n))).alias(f"_{n}") for i, n in enumerate(names)])
+    return best.select(F.col("_g").alias(group), *[x for i, c in enumerate(columns) for x in (F.col(f"_v{i}")[f"v{i}"].alias(c), F.col(f"_v{i}")["n"].alias(f"{c}_n"))])
 
 
 def consensus(aligned: DataFrame, group: str, column: str = "aligned", max_gap: float = 0.5, max_error: float = 0.2, least: int = 1) -> DataFrame:
@@ -47,12 +53,17 @@ def consensus(aligned: DataFrame, group: str, column: str = "aligned", max_gap:
 
 
 def numbered(rows: DataFrame, order: str, prefix: str = "seq") -> DataFrame:
-    """sequence_id seq1, seq2, ... by ``order``: range partitions are numbered apart and shifted by the counts before them."""
-    spread = rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
-    spread = spread.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(order)))
-    counts = spread.groupBy("_part").agg(F.count("*").alias("_k"))
+    """sequence_id seq1, seq2, ... by ``order`` (nulls first; equal ones in the order of a hash of the row).
+
+    The range partitions are written once with their numbers, so that counting them and numbering their rows
+    see the same ones however often Spark evaluates the plan. No row is lost; no rows give none.
+    """
+    parts = staged(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_k"))
     before = counts.select("_part", (F.sum("_k").over(W.orderBy("_part")) - F.col("_k")).alias("_before"))  # a row for each partition
-    return spread.join(F.broadcast(before), "_part").withColumn(
+    hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map" not in f.dataType.simpleString()]
+    own = parts.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(order, F.xxhash64(*hashed))))
+    return own.join(F.broadcast(before), "_part").withColumn(
         "sequence_id", F.concat(F.lit(prefix), (F.col("_n") + F.col("_before")).cast("string"))).drop("_part", "_n", "_before")
 
 
@@ -99,7 +110,8 @@ def pairwise(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2)
 
 
 def star_alignment(seqs: list[str]) -> list[str]:
-    """Centre-star alignment: all against the sequence of median length, gaps merged."""
+    """Centre-star alignment: all against the sequence of median length, gaps merged; null counts as empty."""
+    seqs = [s or "" for s in seqs]
     if len({len(s) for s in seqs}) <= 1:
         return list(seqs)
     centre = sorted(seqs, key=lambda s: (len(s), s))[len(seqs) // 2]

@@ -98,6 +98,28 @@ def test_consensus_and_alignment(spark):
     assert len(a) == len(b) and b.replace("-", "") == "ACGACGT" and b.count("-") == 1
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("n", [400_000, 1_500_000])
+def test_numbers_of_many_rows(spark, n, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(0, n, 1, 7).select((F.col("id") * 7919 % n).alias("k"), F.concat(F.lit("ACGTACGTTTGCA"), F.col("id").cast("string")).alias("sequence"))
+        out = consensus.numbered(df, "k")
+        seen = out.agg(F.count("*").alias("n"), F.countDistinct("sequence").alias("d"), F.count_if(F.col("sequence_id") == F.concat(F.lit("seq"), (F.col("k") + 1).cast("string"))).alias("right")).first()
+        assert tuple(seen) == (n, n, n)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_numbers_and_votes_of_odd_rows(spark):
+    assert consensus.numbered(spark.createDataFrame([], "k int, m map<string,string>"), "k").count() == 0
+    odd = spark.createDataFrame([(1, "a", {"x": "y"}), (None, "b", None), (1, "a", {"x": "y"})], "k int, s string, m map<string,string>")
+    assert sorted((r.sequence_id, r.s) for r in consensus.numbered(odd, "k").collect()) == [("seq1", "b"), ("seq2", "a"), ("seq3", "a")]
+    df = spark.createDataFrame([("g", "A", 1), ("g", "B", 1), ("g", None, 2), ("h", None, None), ("i", "A", None)], "g string, a string, b int")
+    assert rows(consensus.majority(df, "g", "a", "b")) == [("g", "B", 1, 1, 2), ("i", "A", 1, None, None)]
+    assert consensus.star_alignment([None, "AC", "AC"]) == ["--", "AC", "AC"]
+
+
 def brute_alignment(seqs):
     """Plain centre-star alignment, cell by cell: the rows of seqs, equally long."""
     def pair(a, b):
@@ -281,7 +303,7 @@ def test_collapse_end_to_end(spark):
     assert out == [("seq1", b + "A" * 12, body[0], 2, 2, 5), ("seq2", b + "AAAAAAGGGGGG", body[1], 1, 1, 5)]
     bulk = pipelines.CollapseParams(library="bulk", window=60, umi_length=4)
     own = spark.createDataFrame([("r1", "AACCGGTT" + r1 + body[0], 1), ("r2", "AACC" + r1 + body[1], 2)], "read_id string, sequence string, read_ord long")
-    assert [r[0] for r in rows(pipelines.collapse(own, anchor, bulk).select("umi" if False else "group"))] == ["AACC", "GGTT"]
+    assert [r[0] for r in rows(pipelines.collapse(own, anchor, bulk).select("group"))] == ["AACC", "GGTT"]
     assert filters.counters(pipelines.annotate(reads, anchor, p, white)).first().asDict() == {"total": 4, "passed": 3, "failed": 1}
 
 
