@@ -6,15 +6,15 @@ what ``bytes.split()`` gives; lower-casing touches A-Z only, as ``bytes.lower()`
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import drop_path, drop_staged, scratch_path, shared_dir, staged  # noqa: F401  shared with the operators
 from ..session import ship_package
 
 #: Bytes of one Arrow batch handed to Python, so that a batch of very long texts stays small.
@@ -33,43 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(cores) if small and len(df.inputFiles()) < cores else df
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='immunoframe-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-_made: set[str] = set()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; removed when the driver ends."""
-    top = f"{shared_dir(spark)}/immunoframe-{spark.sparkContext.applicationId}"
-    if top not in _made:
-        _made.add(top)
-        atexit.register(drop_path, spark, top)
-    return f"{top}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # the session has ended; the folder's owner clears it
-        return
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read back: cuts lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the rows and bytes of Arrow batches for this session, and gives the executors this package."""
     ship_package(spark)
@@ -92,6 +55,19 @@ def crc_remainder(key: Column, divisor: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % divisor, F.lit(0))
 
 
-def batches_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *caches: Callable[[], object]):
+    """run, after which a reused Python worker gives back what it held: the named caches, Arrow's pool and freed memory."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            for forget in caches:
+                forget()
+            gc.collect()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped

@@ -4,58 +4,66 @@ A document's set holds its distinct 5-word shingles (as 64-bit hashes); document
 words have one shingle, the whole sequence; without words the set is empty and links with
 nothing. Two documents link when 100 * |A & B| >= 80 * |A | B|.
 
-1. One pass over the texts makes a row for each document (set size and a 128-bit name of its
-   set, so exact copies share a name) and counts how often each shingle occurs, in a fixed
-   table of hashed counters over all documents. The counters only order the shingles (rare
-   first, then by hash): any one order gives the same links, a good one short posting lists.
+1. One pass over the texts makes a row for each document: set size, a 64-bit name of its set (exact
+   copies share it), numbers of shingles in four hash ranges and a parity bit for each of 512 hash
+   classes. Each task also reports the shingles that it met twice or more within a block of
+   BLOCK shingles; summed over all documents, the most frequent MOST_FREQUENT of them get a level.
+   Levels only order the shingles (rare first, then by hash): any one order gives the same links.
 2. A second pass writes, once for each set, the postings of its prefix: two sets that link
-   share a shingle of both prefixes. A posting carries size, position and the numbers of
-   shingles in four hash ranges, for the length, positional and suffix filters.
+   share a shingle of both prefixes. A posting carries size and position, for the length and positional filters.
 3. Postings are sorted by shingle within hash partitions and streamed: what shares its shingle
-   with nothing it could link with is dropped there. Shingles that the counters call very frequent are dealt
-   to several partitions and kept whole.
-4. Links are sought in rounds. First every set is paired with the least leader of the shingles it
-   shares, which joins groups of near copies in one pair for each set. Then its other leaders
-   in different groups follow, and shingles whose holders still lie in different groups
-   are joined with themselves, on pairs of different groups; those pass the filters and are verified on the whole sets, once for each pair. Pairs
-   left out lie within one group already, so no link between groups is lost.
+   with nothing is dropped there, and each other posting is told the first set of its run.
+   Shingles of high levels are dealt to several partitions and kept whole.
+4. Links are sought in rounds. First every set is paired with the run leader that it meets most often,
+   then, where its group still differs, with that of the groups so made; that ties groups of near copies with a pair
+   or two for each set. Last, shingles whose holders still lie in different groups are joined with
+   themselves on pairs of different groups. There a pair is made at the first shingle it shares only (as far as the
+   PREDECESSORS shingles before tell), and if it passes the length, positional and suffix filters: range counts bound the
+   common part from above, parity bits the difference from below. Tested pairs are taken out, so each is verified
+   once, on the whole sets. Pairs left out lie within one group already, so no link between groups is lost.
 
 Groups are named by min-label contraction over written tables. Nothing that grows
-with the documents reaches the driver, and all joins are equality joins whose frequent keys
-Spark can split (adaptive skew join).
+with the documents reaches the driver (the levels are bounded by MOST_FREQUENT), and all joins are equality
+joins whose frequent keys Spark can split (adaptive skew join). Finished tables are deleted as soon as the next stands.
 
 Defined cases: null text counts as empty; null doc_ids take part and are named only by the
 smallest known id of their group; rows that share a doc_id are judged one by one; an empty
-table gives an empty result; other columns are passed over.
+table gives an empty result; other columns are passed over. The 64-bit names are taken as true: of a thousand million
+different sets, two share one with a probability of 3 %.
 """
 
 from __future__ import annotations
 
-import gc
-import hashlib
-import time
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, staged, utf8
+from ..operators.components import components as contracted
+from .common import bounded_batches, drop_staged, frugal, staged, utf8
 
 WIDTH = 5
 SIMILARITY = 80
-#: Hashed counters, in slices that are summed apart; a broadcast of COUNTERS bytes.
-COUNTERS = 1 << 23
-SLICES = 32
+#: Shingles with a level: a broadcast of 9 bytes each. The bound changes the order of the rest, never the result.
+MOST_FREQUENT = 1 << 20
+#: Shingles that a task looks at together for repeats.
+BLOCK = 1 << 20
 #: Occurrences of a shingle from which its postings are dealt to several partitions.
 HOT = 20_000
 #: Postings that one partition is made for.
 PARTITION_ROWS = 1_000_000
-WORD_CACHE = 400_000
+#: Names that a task keeps to write copies once; words whose hashes it keeps.
+SEEN, WORD_CACHE = 50_000, 100_000
+#: Bits of the parity sketch, in longs.
+SKETCH = [f"s{k}" for k in range(8)]
+#: Shared shingles before one that show a pair to have been made already.
+PREDECESSORS = 3
+#: Rows of ids or names that are broadcast; of more, both sides are shuffled.
+BROADCAST_IDS = 1_000_000
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -91,8 +99,9 @@ def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
     return np.unique(total)
 
 
-def set_name(own: np.ndarray) -> bytes:
-    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+def set_name(own: np.ndarray) -> int:
+    """A 64-bit name of a set, as a signed number."""
+    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes()))))
 
 
 def prefix_length(n: np.ndarray | int):
@@ -100,186 +109,206 @@ def prefix_length(n: np.ndarray | int):
     return n - (n * SIMILARITY + 99) // 100 + 1
 
 
-def _counter(own: np.ndarray) -> np.ndarray:
-    return (own & np.uint64(COUNTERS - 1)).astype(np.int64)
+# --- 1: documents and frequent shingles ---------------------------------------------------------------
 
+def _ranges(own: np.ndarray) -> int:
+    """Numbers of shingles in four hash ranges, 16 bits each; -1 (no bound) for sets too large for that."""
+    if len(own) > 0x7FFF:
+        return -1
+    c = np.bincount((own >> np.uint64(62)).astype(np.int64), minlength=4)
+    return int(c[0] | c[1] << 16 | c[2] << 32 | c[3] << 48)
 
-# --- 1: documents and counters -----------------------------------------------------------------------
 
-_DOC = "doc {}, n int, sid binary, slice int, counts binary"
+def _parities(own: np.ndarray) -> np.ndarray:
+    """A bit for each of 512 classes: whether the set has an odd number of shingles in it."""
+    odd = np.bincount((own >> np.uint64(20) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row for each document (sid not null), and the compressed counters of each task in slices."""
-    own = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
-    kind = own.dtypes[0][1]
+def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """A row for each document (id not null), and rows of shingles that a block holds twice or more (token not null).
+
+    ``mark`` is a hash of the text, with which a document is found again where ids repeat or are missing.
+    """
+    own = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("_t"))
     doc_type = own.schema["doc"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        counts = np.zeros(COUNTERS, np.int32)  # of one task
-        names = ["doc", "n", "sid", "slice", "counts"]
         arrow = to_arrow_type(doc_type)
+        names = ["doc", "mark", "n", "id", "ranges", *SKETCH, "token", "seen"]
+        kinds = [arrow, pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int64()] * len(SKETCH), pa.int64(), pa.int64()]
+        block, held, copies = [], 0, set()
+
+        def repeated() -> pa.RecordBatch:
+            found, count = np.unique(np.concatenate(block), return_counts=True)
+            twice = count > 1
+            k = int(twice.sum())
+            return pa.RecordBatch.from_arrays([*[pa.nulls(k, x) for x in kinds[:-2]], pa.array(found[twice].view(np.int64)), pa.array(count[twice])], names=names)
+
         for b in batches:
-            n, sid = [], []
-            for t in utf8(b.column(1)):
+            n, ids, ranges, bits = [], [], [], []
+            for t in utf8(b.column(2)):
                 s = shingles(t)
+                name = set_name(s)
                 n.append(len(s))
-                sid.append(set_name(s))
-                np.add.at(counts, _counter(s), 1)
-            nothing = len(n)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(arrow), pa.array(n, pa.int32()), pa.array(sid, pa.binary()), pa.nulls(nothing, pa.int32()), pa.nulls(nothing, pa.binary())], names=names)
-        step = COUNTERS // SLICES
-        packed = [zlib.compress(counts[i * step : (i + 1) * step].astype("<u4").tobytes(), 1) for i in range(SLICES)]
-        if counts.any():
+                ids.append(name)
+                ranges.append(_ranges(s))
+                bits.append(_parities(s))
+                if len(s) and name not in copies:
+                    copies.add(name)
+                    block.append(s)
+                    held += len(s)
+                    if held >= BLOCK:
+                        yield repeated()
+                        block, held, copies = [], 0, set()
+            k = len(n)
+            sketch = np.vstack([np.empty((0, len(SKETCH)), np.int64), *bits])
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(SLICES, arrow), pa.nulls(SLICES, pa.int32()), pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], names=names)
-
-    return own.mapInArrow(run, _DOC.format(kind))
-
-
-def _sum_counters(parts: DataFrame) -> np.ndarray:
-    """All counters, as their logarithms in bytes (of a fixed number, so the driver may hold them)."""
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(COUNTERS // SLICES, np.uint64)
-        for c in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(c), "<u4")
-        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "counts": [zlib.compress(np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes(), 1)]})
-
-    schema = "slice int, counts binary"
-    some = parts.where("counts is not null").select("slice", "counts")
-    first = some.groupBy("slice", (F.xxhash64("counts") % 64).alias("_part")).applyInPandas(add, schema)  # a tree: no task gets all tasks' counters
-    levels = np.zeros(COUNTERS, np.uint8)
-    step = COUNTERS // SLICES
-    for r in first.groupBy("slice").applyInPandas(add, schema).toLocalIterator():
-        total = np.frombuffer(zlib.decompress(r["counts"]), "<u4")
-        levels[r["slice"] * step : (r["slice"] + 1) * step] = np.minimum(np.rint(8 * np.log2(1 + total.astype(float))), 255)
-    return levels
+                [b.column(0).cast(arrow), b.column(1), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), pa.array(ranges, pa.int64()),
+                 *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))], pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+        if block:
+            yield repeated()
+
+    schema = f"doc {own.dtypes[0][1]}, mark long, n int, id long, ranges long, {', '.join(f'{k} long' for k in SKETCH)}, token long, seen long"
+    return own.mapInArrow(frugal(run, _words.clear), schema)
+
+
+def _levels(scanned: DataFrame) -> tuple[bytes, bytes]:
+    """The most frequent shingles (sorted, unsigned) and their levels."""
+    summed = scanned.where("token is not null").groupBy("token").agg(F.sum("seen").alias("k"))
+    leveled = staged(summed.select("token", F.least(F.lit(255), F.round(8 * F.log2("k"))).cast("int").alias("level")), "levels")
+    sizes, total, least = leveled.groupBy("level").count().orderBy(F.desc("level")).collect(), 0, 256  # a row for each level
+    for r in sizes:
+        total += r["count"]
+        if total > MOST_FREQUENT:
+            break
+        least = r["level"]
+    table = leveled.where(F.col("level") >= least).toArrow()
+    drop_staged(leveled)
+    tokens, levels = table.column("token").to_numpy().view(np.uint64), table.column("level").to_numpy().astype(np.uint8)
+    order = np.argsort(tokens)
+    return tokens[order].tobytes(), levels[order].tobytes()
 
 
 # --- 2: postings -------------------------------------------------------------------------------------
 
-_POST = "token long, salt int, sid binary, n int, pos int, ranges long"
+_POST = "token long, salt int, id long, n int, pos int"
 
 
-def _ranges(own: np.ndarray) -> int:
-    """Numbers of shingles in four hash ranges, 16 bits each; -1 (no bound) for sets too large for that."""
-    if len(own) > 0x7FFF:
-        return -1
-    c = np.bincount((own >> np.uint64(62)).astype(np.int64), minlength=4)
-    return int(c[0] | c[1] << 16 | c[2] << 32 | c[3] << 48)
-
-
-def _postings(docs: DataFrame, text: str, levels) -> DataFrame:
+def _postings(docs: DataFrame, text: str, known) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, seen = np.frombuffer(levels.value, np.uint8), set()
-        hot_level = 8 * np.log2(1 + HOT)
+        frequent, levels = (np.frombuffer(x, k) for x, k in zip(known.value, (np.uint64, np.uint8), strict=True))
+        seen, hot_level = set(), 8 * np.log2(1 + HOT)
         for b in batches:
-            tokens, sids, ns, pos, rng, count = [], [], [], [], [], []
+            tokens, ids, ns, pos, salt = [], [], [], [], []
             for t in utf8(b.column(0)):
                 s = shingles(t)
-                if not len(s):
+                if not len(s) or (name := set_name(s)) in seen:
                     continue
-                sid = set_name(s)
-                if sid in seen:
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(sid)
-                p = int(prefix_length(len(s)))
-                level = rank[_counter(s)]
-                order = np.lexsort((s, level))[:p]
-                tokens.append(s[order])
-                salts = np.maximum(1, np.rint(2.0 ** (np.maximum(level[order] - hot_level, 0) / 8))).astype(np.int32)
-                rng.append(np.full(p, _ranges(s), np.int64))
+                if len(seen) < SEEN:
+                    seen.add(name)
+                size = len(s)
+                p = int(prefix_length(size))
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+                    level = np.where(frequent[at] == s, levels[at], 0).astype(np.uint8)
+                    order = np.argsort(level, kind="stable")[:p]
+                    s, level = s[order], level[order]
+                else:
+                    s, level = s[:p], np.zeros(p, np.uint8)
+                ways = np.maximum(1, np.rint(2.0 ** ((level - hot_level).clip(0) / 8))).astype(np.int32)
+                tokens.append(s)
+                ids.append(np.full(p, name, np.int64))
+                ns.append(np.full(p, size, np.int32))
                 pos.append(np.arange(p, dtype=np.int32))
-                ns.append(np.full(p, len(s), np.int32))
-                sids.append(sid * p)
-                count.append(np.where(level[order] > hot_level, 1 + int.from_bytes(sid[:3], "little") % salts, 0).astype(np.int32))
-            if not tokens:
-                continue
-            raw = b"".join(sids)
-            total = len(raw) // 16
-            sid_array = pa.Array.from_buffers(pa.binary(), total, [None, pa.py_buffer(np.arange(0, 16 * total + 1, 16, dtype=np.int32)), pa.py_buffer(raw)])
-            cat = lambda x, k: pa.array(np.concatenate(x).astype(k, copy=False))
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens).view(np.int64)), cat(count, np.int32), sid_array, cat(ns, np.int32), cat(pos, np.int32), cat(rng, np.int64)],
-                names=["token", "salt", "sid", "n", "pos", "ranges"])
-            yield from (out.slice(i, 50_000) for i in range(0, total, 50_000))
+                salt.append(np.where(level > hot_level, 1 + (name & 0xFFFFFF) % ways, 0).astype(np.int32))
+            if tokens:
+                own = [np.concatenate(x) for x in (tokens, salt, ids, ns, pos)]
+                out = pa.RecordBatch.from_arrays([pa.array(own[0].view(np.int64)), *map(pa.array, own[1:])], names=["token", "salt", "id", "n", "pos"])
+                yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
 
-    return docs.select(F.col(text).alias("_t")).mapInArrow(run, _POST)
+    return docs.select(F.col(text).alias("_t")).mapInArrow(frugal(run, _words.clear), _POST)
 
 
 # --- 3: shared shingles --------------------------------------------------------------------------------
 
-_LIVE = f"{_POST}, lead binary, more boolean"
+_LIVE = "token long, id long, n int, pos int, lead long, more boolean"
 
 
-def _passes(n, m, i, j, a, b) -> np.ndarray:
-    """:func:`_may_link` for arrays."""
+def _passes(n, m, i, j) -> np.ndarray:
+    """Length and positional filter for arrays."""
     need = -(-(n + m) * SIMILARITY // (100 + SIMILARITY))
-    length = np.minimum(n, m) * 100 >= np.maximum(n, m) * SIMILARITY
-    positional = np.minimum(i, j) + np.minimum(n - i, m - j) >= need
-    common = sum(np.minimum(a >> 16 * k & 0xFFFF, b >> 16 * k & 0xFFFF) for k in range(4))
-    return length & positional & ((a == -1) | (b == -1) | (common >= need))
+    return (np.minimum(n, m) * 100 >= np.maximum(n, m) * SIMILARITY) & (np.minimum(i, j) + np.minimum(n - i, m - j) >= need)
 
 
 def _live(posts: DataFrame, partitions: int) -> DataFrame:
-    """Postings that can link, from runs of equal shingles.
+    """Postings that share their shingle, from runs of equal shingles; a set that several tasks wrote counts once.
 
     ``lead`` is the run's first set where the pair of both passes the filters. ``more`` marks all postings
     of runs of three or more (and of shingles dealt to several partitions), which may hold other pairs too.
     """
+    def told(cols: list[np.ndarray], starts: np.ndarray, size: np.ndarray, asked: np.ndarray) -> Iterator[pa.RecordBatch]:
+        token, salt, name, n, pos = cols
+        run_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(token))))
+        lead = starts[run_of]
+        wide = n.astype(np.int64)
+        pair = (lead != np.arange(len(lead))) & _passes(wide, wide[lead], pos, pos[lead])
+        more = (size[run_of] > 2) | (salt > 0)
+        at = np.flatnonzero(asked & (pair | more))
+        leads = pa.array(name[lead[at]], mask=~pair[at])
+        out = pa.RecordBatch.from_arrays([*[pa.array(c[at]) for c in (token, name, n, pos)], leads, pa.array(more[at])], names=["token", "id", "n", "pos", "lead", "more"])
+        yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None  # the last run's rows so far: its leader, and the second row while that is all
-        big = False  # whether the held run has shown three rows already
+        held: list[np.ndarray] | None = None  # the last run's rows so far: its leader, and the second row while that is all
+        big, last = False, None  # whether the held run has shown three rows already; the row before
         for b in batches:
-            if not b.num_rows:
+            cols = [c.to_numpy() for c in b.columns]
+            if not len(cols[0]):
                 continue
-            t = pa.Table.from_batches([b])
-            if held is not None:
-                t = pa.concat_tables([held, t]).combine_chunks()
-            col = lambda k, t=t: t.column(k).to_numpy()
-            token, salt = col("token"), col("salt")
+            fresh = np.ones(len(cols[0]), bool)
+            fresh[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])
+            fresh[0] = last != tuple(int(c[0]) for c in cols[:3])
+            last = tuple(int(c[-1]) for c in cols[:3])
+            cols = [c[fresh] for c in cols]
+            before = len(held[0]) if held is not None else 0
+            if before:
+                cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
+            token, salt = cols[:2]
             start = np.ones(len(token), bool)
             start[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])
-            run_of, starts = np.cumsum(start) - 1, np.flatnonzero(start)
+            starts = np.flatnonzero(start)
             size = np.diff(np.append(starts, len(token)))
-            shown = np.zeros(len(token), bool)  # rows that an earlier batch gave out
-            if held is not None and big:
-                shown[: held.num_rows] = True
+            asked = np.ones(len(token), bool)
+            if before and big:
+                asked[:before] = False  # given out before
                 size[0] += 3
-            last = int(starts[-1])
-            tail = len(token) - last
-            wait = np.zeros(len(token), bool)
             if size[-1] <= 2:  # may go on in the next batch
-                wait[last:] = True
-            out = _emit(t, run_of, starts, size, salt, ~shown & ~wait)
+                asked[starts[-1] :] = False
+            yield from told(cols, starts, size, asked)
             big = bool(size[-1] > 2)
-            held = t.slice(last, 1 if big else tail)
-            yield from out.to_batches(max_chunksize=20_000)
+            held = [c[starts[-1] : starts[-1] + 1 if big else len(token)] for c in cols]
         if held is not None and not big:
-            token = held.column("token").to_numpy()
-            zero = np.zeros(len(token), np.int64)
-            yield from _emit(held, zero, zero[:1], np.array([len(token)]), held.column("salt").to_numpy(), np.ones(len(token), bool)).to_batches()
+            yield from told(held, np.zeros(1, np.int64), np.array([len(held[0])]), np.ones(len(held[0]), bool))
 
-    return posts.repartition(partitions, "token", "salt").sortWithinPartitions("token", "salt", "sid").mapInArrow(run, _LIVE)
+    return posts.repartition(partitions, "token", "salt").sortWithinPartitions("token", "salt", "id").mapInArrow(frugal(run), _LIVE)
 
 
-_ARROW_LIVE = pa.schema([
-    ("token", pa.int64()), ("salt", pa.int32()), ("sid", pa.binary()), ("n", pa.int32()), ("pos", pa.int32()), ("ranges", pa.int64()), ("lead", pa.binary()), ("more", pa.bool_())])
-
+# --- 4: verified links and groups ------------------------------------------------------------------------
 
-def _emit(t: pa.Table, run_of: np.ndarray, starts: np.ndarray, size: np.ndarray, salt: np.ndarray, asked: np.ndarray) -> pa.Table:
-    n, pos, ranges = (t.column(k).to_numpy() for k in ("n", "pos", "ranges"))
-    lead = starts[run_of]
-    pair = (lead != np.arange(len(lead))) & _passes(n.astype(np.int64), n[lead].astype(np.int64), pos, pos[lead], ranges, ranges[lead])
-    more = (size[run_of] > 2) | (salt > 0)
-    at = np.flatnonzero(asked & (pair | more))
-    rows = t.take(pa.array(at))
-    leads = t.column("sid").take(pa.array(np.where(pair[at], lead[at], 0), mask=~pair[at]))
-    return pa.Table.from_arrays([*rows.columns, leads, pa.array(more[at])], names=_ARROW_LIVE.names).cast(_ARROW_LIVE).combine_chunks()
+def _may_link(x: str, y: str) -> Column:
+    """Length, positional and suffix filters for two postings of one shingle, at the first that a pair shares."""
+    c = F.col
+    n, m, i, j = c(f"{x}.n"), c(f"{y}.n"), c(f"{x}.pos"), c(f"{y}.pos")
+    length = F.least(n, m) * 100 >= F.greatest(n, m) * SIMILARITY
+    positional = F.least(i, j) + F.least(n - i, m - j) >= _required(n, m)
+    new = F.lit(True)
+    for k in range(1, PREDECESSORS + 1):
+        for h in range(1, PREDECESSORS + 1):
+            new = new & ~F.coalesce(c(f"{x}.p{k}") == c(f"{y}.p{h}"), F.lit(False))
+    return length & positional & new & _suffix(x, y)
 
 
 def _required(n: Column, m: Column) -> Column:
@@ -287,95 +316,65 @@ def _required(n: Column, m: Column) -> Column:
     return F.ceil((n + m) * SIMILARITY / (100 + SIMILARITY) - 1e-9)
 
 
-def _may_link(n: Column, m: Column, i: Column, j: Column, a: Column, b: Column) -> Column:
-    """Length, positional and suffix filters for two postings of one shingle."""
-    need = _required(n, m)
-    length = (F.least(n, m) * 100 >= F.greatest(n, m) * SIMILARITY)
-    positional = F.least(i, j) + 1 + F.least(n - i, m - j) - 1 >= need
-    part = lambda r, k: F.shiftrightunsigned(r, 16 * k).bitwiseAND(F.lit(0xFFFF))
-    suffix = F.least(part(a, 0), part(b, 0))
-    for k in (1, 2, 3):
-        suffix = suffix + F.least(part(a, k), part(b, k))
-    return length & positional & ((a == -1) | (b == -1) | (suffix >= need))
-
+def _suffix(x: str, y: str) -> Column:
+    """Suffix filter on whole sets: bounds of the common part by hash ranges and of the difference by parities."""
+    c = F.col
+    n, m = c(f"{x}.n"), c(f"{y}.n")
+    differing, common = F.lit(0), F.lit(0)
+    for s in SKETCH:
+        differing = differing + F.bit_count(c(f"{x}.{s}").bitwiseXOR(c(f"{y}.{s}")))
+    for k in range(4):
+        part = lambda r, k=k: F.shiftrightunsigned(c(f"{r}.ranges"), 16 * k).bitwiseAND(F.lit(0xFFFF))
+        common = common + F.least(part(x), part(y))
+    unbounded = (c(f"{x}.ranges") == -1) | (c(f"{y}.ranges") == -1)
+    return (differing * (100 + SIMILARITY) <= (n + m) * (100 - SIMILARITY)) & (unbounded | (common >= _required(n, m)))
 
-# --- 4: verified links and groups ------------------------------------------------------------------------
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the distinct (x, y) the linked ones."""
-    left = sets.select(F.col("sid").alias("x"), F.col("s").alias("xs"))
-    right = sets.select(F.col("sid").alias("y"), F.col("s").alias("ys"))
+    left = sets.select(F.col("id").alias("x"), F.col("s").alias("xs"))
+    right = sets.select(F.col("id").alias("y"), F.col("s").alias("ys"))
     both = pairs.join(left, "x").join(right, "y")
     shared = F.size(F.array_intersect("xs", "ys"))
     total = F.size("xs") + F.size("ys")
     return both.where(shared * (100 + SIMILARITY) >= total * SIMILARITY).select("x", "y")
 
 
-def _contract(links: DataFrame) -> DataFrame:
-    """sid and root of every linked set: min-label contraction (large star, then small star) to a fixed point."""
-    edges = staged(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct(), "edges")
-    mark = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        edges = staged(small, "edges")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == mark:
-            break
-        mark = now
-    return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "sid")
+def _facts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, n, ranges and parities of the sets asked for."""
+    return rows.where("n > 0").join(ids, "id", "left_semi").select("id", "n", "ranges", *SKETCH).dropDuplicates(["id"])
 
 
-def _links(pairs: DataFrame, rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The linked ones of distinct pairs (x, y); only the texts of their ends are read again."""
-    pairs = staged(pairs, "pairs")
-    ends = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).distinct()
-    whose = rows.where("n > 0").join(ends, "sid", "left_semi").groupBy("sid", "doc").agg(F.count("*").alias("k"))
-    whose = staged(whose.groupBy("sid").agg(F.min_by(F.struct("doc", "k"), F.struct(F.col("doc").isNull(), "doc")).alias("d")).select("sid", "d.doc", "d.k"), "ends")
-    found = staged(_verified(pairs, staged(_sets(docs, whose, key, text), "sets")), "links")
-    _tidy(docs.sparkSession)
-    return found
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
 
 
-def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, levels) -> DataFrame:
-    """sid and root of all sets that link with another."""
-    spark = docs.sparkSession
-    size = rows.where("n > 0").agg(F.coalesce(F.sum(F.col("n") * (100 - SIMILARITY) / 100 + 1), F.lit(0)).alias("k")).first()["k"]
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // PARTITION_ROWS) + 1)
-    live = staged(_live(_postings(docs, text, levels), partitions), "live")
-    _tidy(spark)
-    c = F.col
-    pairs = staged(live.where("lead is not null").select(c("sid").alias("x"), c("lead").alias("y")).distinct(), "leads")
-    links = _links(pairs.groupBy("x").agg(F.min("y").alias("y")), rows, docs, key, text)
-    roots = staged(_contract(links), "roots")
-    of = lambda k: roots.select(c("sid").alias(k), c("root").alias(f"{k}_root"))
-    apart = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left").where(F.coalesce("x_root", "x") != F.coalesce("y_root", "y")).select("x", "y")
-    small = roots.count() <= BROADCAST_IDS
-    named = live.where("more").select("token", "sid", "n", "pos", "ranges").join(F.broadcast(roots) if small else roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    mixed = staged(named.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token"), "mixed")
-    open_ = staged(named.join(mixed, "token", "left_semi"), "open")
-    _tidy(spark)
-    x, y = open_.alias("x"), open_.alias("y")
-    met = x.join(y, c("x.token") == c("y.token")).where((c("x.sid") < c("y.sid")) & (c("x.root") != c("y.root"))).where(
-        _may_link(c("x.n"), c("y.n"), c("x.pos"), c("y.pos"), c("x.ranges"), c("y.ranges")))
-    both = met.select(c("x.sid").alias("x"), c("y.sid").alias("y")).unionByName(apart.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
-    more = _links(both.distinct(), rows, docs, key, text)
-    return _contract(links.unionByName(more))
+def _plausible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs that pass the suffix filter."""
+    facts = staged(_facts(rows, _ends(pairs)), "facts")
+    a, b, c = facts.alias("a"), facts.alias("b"), F.col
+    good = pairs.join(a, c("x") == c("a.id")).join(b, c("y") == c("b.id")).where(_suffix("a", "b")).select("x", "y")
+    made = staged(good, "pairs")
+    drop_staged(facts)
+    return made
 
 
-#: Rows of ids or names that are broadcast; of more, both sides are shuffled.
-BROADCAST_IDS = 1_000_000
+def _links(pairs: DataFrame, rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The linked ones of distinct pairs (x, y), a staged table; only the texts of their ends are read again."""
+    whose = rows.where("n > 0").join(_ends(pairs), "id", "left_semi").groupBy("id", "doc").agg(F.count("*").alias("k"))
+    whose = staged(whose.groupBy("id").agg(F.min_by(F.struct("doc", "k"), F.struct(F.col("doc").isNull(), "doc")).alias("d")).select("id", "d.doc", "d.k"), "ends")
+    sets = staged(_sets(docs, whose, key, text), "sets")
+    found = staged(_verified(pairs, sets), "links")
+    drop_staged(whose, sets)
+    return found
 
 
 def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
-    """sid and its shingles, read again from one document of each set asked for."""
+    """id and its shingles, read again from one document of each set asked for."""
     own = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
     ids = whose.where("doc is not null").select("doc").distinct()
     facts = whose.agg(F.count("*").alias("n"), F.coalesce(F.max("k"), F.lit(0)).alias("most"), F.count_if(F.col("doc").isNull()).alias("nameless")).first()
-    picked = own.join(F.broadcast(ids) if facts["n"] <= BROADCAST_IDS else ids, "doc", "left_semi").select("_t")
+    picked = own.join(_small(ids, facts["n"]), "doc", "left_semi").select("_t")
     if facts["nameless"]:  # sets that only documents without an id have
         picked = picked.unionByName(own.where("doc is null").select("_t"))
 
@@ -385,39 +384,104 @@ def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
             offsets = np.cumsum([0, *map(len, all_sets)]).astype(np.int32)
             flat = np.concatenate([*all_sets, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_name(s) for s in all_sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["sid", "s"])
+                [pa.array([set_name(s) for s in all_sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "s"])
 
-    made = picked.mapInArrow(run, "sid binary, s array<long>")
+    made = picked.mapInArrow(frugal(run, _words.clear), "id long, s array<long>")
     # only rows that repeat an id and a text, or have no id, can give a set twice
-    return made.dropDuplicates(["sid"]) if facts["most"] > 1 or facts["nameless"] else made
+    return made.dropDuplicates(["id"]) if facts["most"] > 1 or facts["nameless"] else made
+
+
+def _small(ids: DataFrame, n: int) -> DataFrame:
+    """ids, broadcast where its counted rows allow."""
+    return F.broadcast(ids) if n <= BROADCAST_IDS else ids
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """id and root of every linked set, a staged table."""
+    return staged(contracted(links, "x", "y").select(F.col("node").alias("id"), F.col("component").alias("root")), "roots")
+
+
+def _favourite(met: DataFrame) -> DataFrame:
+    """Of each set (x) the other one that it meets most often, the smaller on a tie."""
+    counts = met.groupBy("x", "y").agg(F.count("*").alias("k"))
+    return counts.groupBy("x").agg(F.max_by("y", F.struct("k", (-F.col("y")).alias("o"))).alias("y"))
+
 
+def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """The postings (token, id, n, pos) of shingles whose holders lie in different groups, with root and ``first``, the least holder."""
+    n = roots.count()
+    named = postings.select("token", "id", "n", "pos").join(_small(roots, n), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct("id", "n", "pos", "root")).alias("first")).where("lo <> hi").select("token", "first")
+    return named.join(mixed, "token")
 
-def _tidy(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of finished steps."""
-    for _ in range(2):  # Spark drops them once the plans that made them are collected, first here, then in its own memory
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
 
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
-def _named_rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """The row of each document (doc, n, sid), and of each sid its smallest doc (low) and its group's root."""
+
+def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, known) -> DataFrame:
+    """id and root of all sets that link with another, a staged table."""
+    spark, c = docs.sparkSession, F.col
+    size = rows.where("n > 0").agg(F.coalesce(F.sum(c("n") * (100 - SIMILARITY) / 100 + 1), F.lit(0)).alias("k")).first()["k"]
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // PARTITION_ROWS) + 1)
+    live = staged(_live(_postings(docs, text, known), partitions), "live")
+
+    first = staged(_favourite(live.where("lead is not null").select(c("id").alias("x"), c("lead").alias("y"))).select(*_ordered("x", "y")).distinct(), "pairs")
+    plausible = _plausible(first, rows)
+    links = _links(plausible, rows, docs, key, text)
+    drop_staged(plausible)
+    roots = _roots(links)
+
+    open_ = staged(_open(live.where("more"), roots), "open")
+    a = c("first")
+    wide = F.least("n", a["n"]) * 100 >= F.greatest("n", a["n"]) * SIMILARITY
+    met = open_.where((c("root") != a["root"]) & wide).select(c("id").alias("x"), a["id"].alias("y"))
+    # runs of two have no other pair than their own: those not yet tested come here, all at once
+    two = live.where("not more and lead is not null").select(*_ordered("id", "lead")).distinct()
+    n = roots.count()
+    of = lambda k: _small(roots.select(c("id").alias(k), c("root").alias(f"{k}_root")), n)
+    apart = two.join(of("x"), "x", "left").join(of("y"), "y", "left").where(F.coalesce("x_root", "x") != F.coalesce("y_root", "y")).select("x", "y")
+    second = staged(_favourite(met).select(*_ordered("x", "y")).unionByName(apart).distinct().join(first, ["x", "y"], "left_anti"), "pairs")
+    plausible = _plausible(second, rows)
+    more = _links(plausible, rows, docs, key, text)
+    links = links.unionByName(more)
+    drop_staged(roots, plausible)
+    roots = _roots(links)
+
+    still = staged(_open(open_, roots).drop("first"), "open")
+    drop_staged(open_, live)
+    before = W.partitionBy("id").orderBy("pos")
+    told = still.select("*", *[F.lag("token", k).over(before).alias(f"p{k}") for k in range(1, PREDECESSORS + 1)])
+    facts = _facts(rows, still.select("id").distinct()).drop("n")
+    sides = staged(told.join(facts, "id"), "sides")
+    x, y = sides.alias("x"), sides.alias("y")
+    both = x.join(y, c("x.token") == c("y.token")).where((c("x.id") < c("y.id")) & (c("x.root") != c("y.root"))).where(_may_link("x", "y"))
+    tested = first.unionByName(second)
+    third = staged(both.select(c("x.id").alias("x"), c("y.id").alias("y")).distinct().join(tested, ["x", "y"], "left_anti"), "pairs")
+    drop_staged(still, sides, roots)
+    last = _links(third, rows, docs, key, text)
+    roots = _roots(links.unionByName(last))
+    drop_staged(first, second, third)
+    return roots
+
+
+def _named_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The row of each document: doc, mark, n, id and its group's root."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    both = staged(_documents(docs, key, text), "sets-of-rows")
-    rows = both.where("sid is not null").select("doc", "n", "sid")
-    levels = spark.sparkContext.broadcast(_sum_counters(both).tobytes())
-    roots = _groups(rows, docs, key, text, levels)
-    least = rows.where("n > 0").groupBy("sid").agg(F.min("doc").alias("low")).join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    return rows, staged(least, "named")
+    scanned = staged(_scan(docs, key, text), "rows")
+    rows = scanned.where("id is not null").drop("token", "seen")
+    known = spark.sparkContext.broadcast(_levels(scanned))
+    roots = _groups(rows, docs, key, text, known)
+    known.unpersist()
+    return rows.select("doc", "mark", "n", "id").join(_small(roots, roots.count()), "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles and component_id of every row."""
-    rows, least = _named_rows(docs, key, text)
-    lowest = least.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = staged(least.join(lowest, "root").select("sid", "component_id"), "components")
-    full = rows.where("n > 0").join(named, "sid").select("doc", "n", "component_id")
+    rows = _named_rows(docs, key, text)
+    low = staged(rows.where("n > 0").groupBy("root").agg(F.min("doc").alias("component_id")), "components")
+    full = rows.where("n > 0").join(low, "root").select("doc", "n", "component_id")
     empty = rows.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
     return full.unionByName(empty).select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id")
 
@@ -425,25 +489,24 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group (that with the smallest id, null ids last), with all columns; wordless rows stay.
 
-    Groups go by their root, so different groups stay apart where they share an id or have none.
+    Groups go by their root, so different groups stay apart where they share an id or have none. Rows are found
+    again by id and a hash of their text; only those to drop meet the documents.
     """
-    _, least = _named_rows(docs, key, text)
-    first = least.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("nameless"), "low", "sid")).alias("f"))
-    kept = staged(first.select(F.col("f.low").alias("_doc"), F.col("f.sid").alias("_sid")), "kept")
-    bounded_batches(docs.sparkSession)
-    name = "_set"
-    while name in docs.columns:
-        name += "_"
-    at = docs.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [shingles(t) for t in utf8(b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([set_name(s) if len(s) else None for s in own], pa.binary())], names=[*b.schema.names, name])
-
-    from pyspark.sql import types as T
-
-    seen = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
-    good = seen.join(kept, seen[key].eqNullSafe(kept["_doc"]) & (seen[name] == kept["_sid"]), "left_semi")
-    once = good.dropDuplicates([key, name]).unionByName(seen.where(F.col(name).isNull()))
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _named_rows(docs, key, text).where("n > 0")
+    each = rows.groupBy("root", "doc", "mark").agg(F.count("*").alias("k"))
+    order = F.struct(F.col("doc").isNull().alias("nameless"), "doc", "mark")
+    each = staged(each, "each")
+    first = each.groupBy("root").agg(F.min(order).alias("f")).select("root", F.col("f.doc").alias("d"), F.col("f.mark").alias("m"))
+    same = each["doc"].eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
+    judged = staged(each.join(first, "root").select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), same.alias("_kept"), "k").where("k > 1 or not _kept"), "judged")
+    found = lambda t: docs[key].eqNullSafe(t["_doc"]) & (F.xxhash64(docs[text]) == t["_mark"])
+    sizes = judged.agg(F.count("*").alias("n"), F.count_if("_kept").alias("repeated")).first()
+    out = docs.join(_small(judged.select("_doc", "_mark"), sizes["n"]), found(judged), "left_anti")
+    if sizes["repeated"]:  # kept, but there several times over
+        again = judged.where("_kept").select("_doc", "_mark")
+        own = docs.join(_small(again, sizes["repeated"]), found(again), "left_semi")
+        name = "_text"
+        while name in docs.columns:
+            name += "_"
+        out = out.unionByName(own.withColumn(name, F.xxhash64(text)).dropDuplicates([key, name]).drop(name))
+    return out
