@@ -8,6 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that removes the shuffle files of a query at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
 _made: set[str] = set()
 
 
@@ -40,11 +44,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
         return
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read back: cuts lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    made = df.sparkSession.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
+    """df written once to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The shuffle files of the write go as it ends. ``spread`` keeps small partitions apart, for a step whose
+    work is far more than its bytes. Both are set for this write only.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    own = {CLEANUP: "true"} | ({COALESCE: "false"} if spread else {})
+    was = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.parquet(path)
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    made = spark.read.schema(df.schema).parquet(path)
     made._staged_path = path
     return made
 
