@@ -5,7 +5,7 @@ words have one shingle, the whole sequence; without words the set is empty and l
 nothing. Two documents link when 100 * |A & B| >= 80 * |A | B|.
 
 1. One pass over the texts makes a row for each document: set size, a 64-bit name of its set (exact
-   copies share it), numbers of shingles in four hash ranges and a parity bit for each of 512 hash
+   copies share it), numbers of shingles in four hash ranges and a parity bit for each of 1,024 hash
    classes. Each task also reports the shingles that it met twice or more within a block of
    BLOCK shingles; summed over all documents, the most frequent MOST_FREQUENT of them get a level.
    Levels only order the shingles (rare first, then by hash): any one order gives the same links.
@@ -14,12 +14,12 @@ nothing. Two documents link when 100 * |A & B| >= 80 * |A | B|.
 3. Postings are sorted by shingle within hash partitions and streamed: what shares its shingle
    with nothing is dropped there, and each other posting is told the first set of its run.
    Shingles of high levels are dealt to several partitions and kept whole.
-4. Links are sought in rounds. First every set is paired with the run leader that it meets most often,
-   then, where its group still differs, with that of the groups so made; that ties groups of near copies with a pair
-   or two for each set. Last, shingles whose holders still lie in different groups are joined with
+4. Links are sought in rounds. First every set is paired with the run leader that it meets most often; then, of
+   CANDIDATES others in different groups (each shingle shows one of its holders), with the one of the least difference by parities.
+   That ties groups of near copies with a pair or two for each set. Last, shingles whose holders still lie in different groups are joined with
    themselves on pairs of different groups. There a pair is made at the first shingle it shares only (as far as the
-   PREDECESSORS shingles before tell), and if it passes the length, positional and suffix filters: range counts bound the
-   common part from above, parity bits the difference from below. Tested pairs are taken out, so each is verified
+   PREDECESSORS shingles before tell), and if it passes the length, positional and suffix filters: parity bits bound the
+   difference from below, range counts the common part from above. Tested pairs are taken out, so each is verified
    once, on the whole sets. Pairs left out lie within one group already, so no link between groups is lost.
 
 Groups are named by min-label contraction over written tables. Nothing that grows
@@ -35,6 +35,7 @@ different sets, two share one with a probability of 3 %.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +60,11 @@ PARTITION_ROWS = 1_000_000
 #: Names that a task keeps to write copies once; words whose hashes it keeps.
 SEEN, WORD_CACHE = 50_000, 100_000
 #: Bits of the parity sketch, in longs.
-SKETCH = [f"s{k}" for k in range(8)]
+SKETCH = [f"s{k}" for k in range(16)]
+#: Longs of the sketch once folded for postings.
+FOLDED = [f"f{k}" for k in range(4)]
+#: Sets of other groups that a set is compared with by parities in the second round.
+CANDIDATES = 6
 #: Shared shingles before one that show a pair to have been made already.
 PREDECESSORS = 3
 #: Rows of ids or names that are broadcast; of more, both sides are shuffled.
@@ -120,8 +125,9 @@ def _ranges(own: np.ndarray) -> int:
 
 
 def _parities(own: np.ndarray) -> np.ndarray:
-    """A bit for each of 512 classes: whether the set has an odd number of shingles in it."""
-    odd = np.bincount((own >> np.uint64(20) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    """A bit for each class: whether the set has an odd number of shingles in it."""
+    classes = 64 * len(SKETCH)
+    odd = np.bincount((own >> np.uint64(20) & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -299,7 +305,7 @@ def _live(posts: DataFrame, partitions: int) -> DataFrame:
 # --- 4: verified links and groups ------------------------------------------------------------------------
 
 def _may_link(x: str, y: str) -> Column:
-    """Length, positional and suffix filters for two postings of one shingle, at the first that a pair shares."""
+    """Length and positional filter and the folded parities for two postings of one shingle, at the first that a pair shares."""
     c = F.col
     n, m, i, j = c(f"{x}.n"), c(f"{y}.n"), c(f"{x}.pos"), c(f"{y}.pos")
     length = F.least(n, m) * 100 >= F.greatest(n, m) * SIMILARITY
@@ -308,7 +314,7 @@ def _may_link(x: str, y: str) -> Column:
     for k in range(1, PREDECESSORS + 1):
         for h in range(1, PREDECESSORS + 1):
             new = new & ~F.coalesce(c(f"{x}.p{k}") == c(f"{y}.p{h}"), F.lit(False))
-    return length & positional & new & _suffix(x, y)
+    return length & positional & new & (_differing(x, y, FOLDED) * (100 + SIMILARITY) <= (n + m) * (100 - SIMILARITY))
 
 
 def _required(n: Column, m: Column) -> Column:
@@ -316,22 +322,51 @@ def _required(n: Column, m: Column) -> Column:
     return F.ceil((n + m) * SIMILARITY / (100 + SIMILARITY) - 1e-9)
 
 
+def _differing(x: str, y: str, sketch: list[str]) -> Column:
+    """At most as many shingles as are in one of the sets only."""
+    out = F.lit(0)
+    for s in sketch:
+        out = out + F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}")))
+    return out
+
+
 def _suffix(x: str, y: str) -> Column:
-    """Suffix filter on whole sets: bounds of the common part by hash ranges and of the difference by parities."""
+    """Suffix filter on whole sets: bounds of the difference by parities and of the common part by hash ranges."""
     c = F.col
-    n, m = c(f"{x}.n"), c(f"{y}.n")
-    differing, common = F.lit(0), F.lit(0)
-    for s in SKETCH:
-        differing = differing + F.bit_count(c(f"{x}.{s}").bitwiseXOR(c(f"{y}.{s}")))
+    n, m, common = c(f"{x}.n"), c(f"{y}.n"), F.lit(0)
     for k in range(4):
         part = lambda r, k=k: F.shiftrightunsigned(c(f"{r}.ranges"), 16 * k).bitwiseAND(F.lit(0xFFFF))
         common = common + F.least(part(x), part(y))
     unbounded = (c(f"{x}.ranges") == -1) | (c(f"{y}.ranges") == -1)
-    return (differing * (100 + SIMILARITY) <= (n + m) * (100 - SIMILARITY)) & (unbounded | (common >= _required(n, m)))
+    return (_differing(x, y, SKETCH) * (100 + SIMILARITY) <= (n + m) * (100 - SIMILARITY)) & (unbounded | (common >= _required(n, m)))
+
+
+def _wide(own: np.ndarray) -> bytes:
+    """Parities of a set in 8 to 16 hash classes a shingle."""
+    classes = max(64, 1 << int(8 * len(own) - 1).bit_length())
+    odd = np.bincount((own >> np.uint64(20) & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _nearly(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that wide parities leave: nearly those that link, at a sixth of the bytes of the sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            total = (b.column(2).to_numpy() + b.column(3).to_numpy()) * (100 - SIMILARITY)
+            good = np.zeros(b.num_rows, bool)
+            for i, (u, v) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)):
+                least = min(len(u), len(v))  # the longer one is folded: its classes fall together by their low bits
+                u, v = (np.bitwise_xor.reduce(np.frombuffer(w, np.uint8).reshape(-1, least), axis=0) for w in (u, v))
+                good[i] = int(np.bitwise_count(u ^ v).sum()) * (100 + SIMILARITY) <= total[i]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(good))
+
+    of = lambda k: sets.select(F.col("id").alias(k), F.col("n").cast("long").alias(f"{k}n"), F.col("wide").alias(f"{k}w"))
+    both = pairs.join(of("x"), "x").join(of("y"), "y").select("x", "y", "xn", "yn", "xw", "yw")
+    return both.mapInArrow(frugal(run), "x long, y long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the distinct (x, y) the linked ones."""
+    """Of the distinct (x, y) the linked ones, by their whole sets."""
     left = sets.select(F.col("id").alias("x"), F.col("s").alias("xs"))
     right = sets.select(F.col("id").alias("y"), F.col("s").alias("ys"))
     both = pairs.join(left, "x").join(right, "y")
@@ -350,12 +385,13 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs that pass the suffix filter."""
+    """The pairs (x, y and what else they bear) that pass the suffix filter, a staged table, and ``off``, their share of differing parities."""
+    pairs = staged(pairs, "pairs", spread=True)
     facts = staged(_facts(rows, _ends(pairs)), "facts")
-    a, b, c = facts.alias("a"), facts.alias("b"), F.col
-    good = pairs.join(a, c("x") == c("a.id")).join(b, c("y") == c("b.id")).where(_suffix("a", "b")).select("x", "y")
-    made = staged(good, "pairs")
-    drop_staged(facts)
+    c = F.col
+    near = pairs.join(facts.alias("a"), c("x") == c("a.id")).join(facts.alias("b"), c("y") == c("b.id")).where(_suffix("a", "b"))
+    made = staged(near.select(*pairs.columns, (_differing("a", "b", SKETCH) / (c("a.n") + c("b.n"))).alias("off")), "plausible")
+    drop_staged(facts, pairs)
     return made
 
 
@@ -364,13 +400,14 @@ def _links(pairs: DataFrame, rows: DataFrame, docs: DataFrame, key: str, text: s
     whose = rows.where("n > 0").join(_ends(pairs), "id", "left_semi").groupBy("id", "doc").agg(F.count("*").alias("k"))
     whose = staged(whose.groupBy("id").agg(F.min_by(F.struct("doc", "k"), F.struct(F.col("doc").isNull(), "doc")).alias("d")).select("id", "d.doc", "d.k"), "ends")
     sets = staged(_sets(docs, whose, key, text), "sets")
-    found = staged(_verified(pairs, sets), "links")
-    drop_staged(whose, sets)
+    near = staged(_nearly(pairs, sets), "near", spread=True)
+    found = staged(_verified(near, sets.join(_ends(near), "id", "left_semi")), "links", spread=True)
+    drop_staged(whose, sets, near)
     return found
 
 
 def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
-    """id and its shingles, read again from one document of each set asked for."""
+    """id, size, wide parities and shingles, read again from one document of each set asked for."""
     own = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
     ids = whose.where("doc is not null").select("doc").distinct()
     facts = whose.agg(F.count("*").alias("n"), F.coalesce(F.max("k"), F.lit(0)).alias("most"), F.count_if(F.col("doc").isNull()).alias("nameless")).first()
@@ -384,9 +421,10 @@ def _sets(docs: DataFrame, whose: DataFrame, key: str, text: str) -> DataFrame:
             offsets = np.cumsum([0, *map(len, all_sets)]).astype(np.int32)
             flat = np.concatenate([*all_sets, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_name(s) for s in all_sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "s"])
+                [pa.array([set_name(s) for s in all_sets], pa.int64()), pa.array(list(map(len, all_sets)), pa.int32()), pa.array(map(_wide, all_sets), pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "n", "wide", "s"])
 
-    made = picked.mapInArrow(frugal(run, _words.clear), "id long, s array<long>")
+    made = picked.mapInArrow(frugal(run, _words.clear), "id long, n int, wide binary, s array<long>")
     # only rows that repeat an id and a text, or have no id, can give a set twice
     return made.dropDuplicates(["id"]) if facts["most"] > 1 or facts["nameless"] else made
 
@@ -408,10 +446,11 @@ def _favourite(met: DataFrame) -> DataFrame:
 
 
 def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """The postings (token, id, n, pos) of shingles whose holders lie in different groups, with root and ``first``, the least holder."""
+    """The postings (token, id, n, pos) of shingles whose holders lie in different groups, with root and ``shown``, one of the holders."""
     n = roots.count()
     named = postings.select("token", "id", "n", "pos").join(_small(roots, n), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct("id", "n", "pos", "root")).alias("first")).where("lo <> hi").select("token", "first")
+    one = F.min(F.struct(F.xxhash64("token", "id").alias("h"), "id", "n", "root")).alias("shown")
+    mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), one).where("lo <> hi").select("token", "shown")
     return named.join(mixed, "token")
 
 
@@ -433,35 +472,39 @@ def _groups(rows: DataFrame, docs: DataFrame, key: str, text: str, known) -> Dat
     roots = _roots(links)
 
     open_ = staged(_open(live.where("more"), roots), "open")
-    a = c("first")
-    wide = F.least("n", a["n"]) * 100 >= F.greatest("n", a["n"]) * SIMILARITY
-    met = open_.where((c("root") != a["root"]) & wide).select(c("id").alias("x"), a["id"].alias("y"))
+    shown = c("shown")
+    wide = F.least("n", shown["n"]) * 100 >= F.greatest("n", shown["n"]) * SIMILARITY
+    met = open_.where((c("root") != shown["root"]) & wide).select(c("id").alias("x"), shown["id"].alias("y"))
+    some = met.groupBy("x").agg(F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("x", "y").alias("h"), "y"))), 1, CANDIDATES).alias("ys"))
+    some = some.select("x", F.explode("ys.y").alias("y"), F.lit(True).alias("one"))
     # runs of two have no other pair than their own: those not yet tested come here, all at once
     two = live.where("not more and lead is not null").select(*_ordered("id", "lead")).distinct()
     n = roots.count()
     of = lambda k: _small(roots.select(c("id").alias(k), c("root").alias(f"{k}_root")), n)
-    apart = two.join(of("x"), "x", "left").join(of("y"), "y", "left").where(F.coalesce("x_root", "x") != F.coalesce("y_root", "y")).select("x", "y")
-    second = staged(_favourite(met).select(*_ordered("x", "y")).unionByName(apart).distinct().join(first, ["x", "y"], "left_anti"), "pairs")
-    plausible = _plausible(second, rows)
-    more = _links(plausible, rows, docs, key, text)
-    links = links.unionByName(more)
+    apart = two.join(of("x"), "x", "left").join(of("y"), "y", "left").where(F.coalesce("x_root", "x") != F.coalesce("y_root", "y")).select("x", "y", F.lit(False).alias("one"))
+    old = first.unionByName(first.select(c("y").alias("x"), c("x").alias("y")))
+    plausible = _plausible(some.unionByName(apart).join(old, ["x", "y"], "left_anti"), rows)
+    best = plausible.where("one").groupBy("x").agg(F.min_by("y", F.struct("off", "y")).alias("y"))
+    second = staged(best.unionByName(plausible.where("not one").select("x", "y")).select(*_ordered("x", "y")).distinct(), "pairs")
+    links = links.unionByName(_links(second, rows, docs, key, text))
     drop_staged(roots, plausible)
     roots = _roots(links)
 
-    still = staged(_open(open_, roots).drop("first"), "open")
+    still = staged(_open(open_, roots).drop("shown"), "open")
     drop_staged(open_, live)
     before = W.partitionBy("id").orderBy("pos")
     told = still.select("*", *[F.lag("token", k).over(before).alias(f"p{k}") for k in range(1, PREDECESSORS + 1)])
-    facts = _facts(rows, still.select("id").distinct()).drop("n")
+    fold = lambda k: reduce(Column.bitwiseXOR, [c(SKETCH[k + len(FOLDED) * j]) for j in range(len(SKETCH) // len(FOLDED))])
+    folded = [fold(k) for k in range(len(FOLDED))]
+    facts = _facts(rows, still.select("id").distinct()).select("id", *[f.alias(name) for f, name in zip(folded, FOLDED, strict=True)])
     sides = staged(told.join(facts, "id"), "sides")
     x, y = sides.alias("x"), sides.alias("y")
     both = x.join(y, c("x.token") == c("y.token")).where((c("x.id") < c("y.id")) & (c("x.root") != c("y.root"))).where(_may_link("x", "y"))
     tested = first.unionByName(second)
-    third = staged(both.select(c("x.id").alias("x"), c("y.id").alias("y")).distinct().join(tested, ["x", "y"], "left_anti"), "pairs")
-    drop_staged(still, sides, roots)
-    last = _links(third, rows, docs, key, text)
-    roots = _roots(links.unionByName(last))
-    drop_staged(first, second, third)
+    third = _plausible(both.select(c("x.id").alias("x"), c("y.id").alias("y")).distinct().join(tested, ["x", "y"], "left_anti"), rows)
+    drop_staged(still, sides, roots, first, second)
+    roots = _roots(links.unionByName(_links(third.select("x", "y"), rows, docs, key, text)))
+    drop_staged(third)
     return roots
 
 

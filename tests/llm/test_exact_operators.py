@@ -248,6 +248,34 @@ def test_hot_shingles_are_dealt_and_kept(spark, monkeypatch):
     assert got == brute_components(docs)
 
 
+def test_a_family_near_the_limit(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, docs = [word() for _ in range(150)], []
+    for _ in range(70):  # of lengths and changes that put pairs on either side of 0.8, and some in groups of their own
+        own = list(base[: rng.randint(110, 150)])
+        for _ in range(rng.randint(0, 5)):
+            own[rng.randrange(len(own))] = word()
+        docs.append((len(docs), " ".join(own)))
+    want = brute_components(docs)
+    assert 1 < len({c for _, _, c in want}) < 40
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.components(docs_of(spark, docs).repartition(5)).collect()), key=repr)
+    assert got == want
+
+
+def test_parities_bound_the_difference():
+    rng = random.Random(4)
+    for _ in range(200):
+        a = [rng.getrandbits(64) for _ in range(rng.randint(1, 400))]
+        b = a[: rng.randint(0, len(a))] + [rng.getrandbits(64) for _ in range(rng.randint(0, 100))]
+        x, y = (ngram_join.np.unique(ngram_join.np.array(v or [1], ngram_join.np.uint64)) for v in (a, b))
+        differ = len(set(x.tolist()) ^ set(y.tolist()))
+        u, v = (ngram_join._parities(w).view(ngram_join.np.uint64) for w in (x, y))  # numpy counts the bits of a signed number's absolute value
+        assert int(ngram_join.np.bitwise_count(u ^ v).sum()) <= differ
+        fold = lambda w: ngram_join.np.bitwise_xor.reduce(w.reshape(-1, len(ngram_join.FOLDED)), axis=0)
+        assert int(ngram_join.np.bitwise_count(fold(u) ^ fold(v)).sum()) <= differ
+
+
 def test_one_of_each(spark):
     docs = near_copies(random.Random(3), 6) + EDGES
     frame = docs_of(spark, docs)
