@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, utf8
+from .common import bounded_batches, frugal, utf8
 
 #: Mean, least and largest bytes of a chunk; bytes that one worker's cache may hold.
 MEAN_CHUNK = 512
 LEAST_CHUNK = 64
 MOST_CHUNK = 16_384
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 24 << 20
 
 _rng = np.random.default_rng(20240229)
 _GEAR = _rng.integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -211,6 +211,10 @@ class Codec:
                 parts = self._segment(raw)
         return np.concatenate(parts).astype("<u4") if parts else np.empty(0, "<u4")
 
+    def forget(self) -> None:
+        self._cache.clear()
+        self._held = 0
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, special tokens included."""
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -219,6 +223,12 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
+def forget_chunks() -> None:
+    """Empties the chunk caches of this process."""
+    for c in _codecs.values():
+        c.forget()
+
+
 def codec(path: str) -> Codec:
     """This process's codec of a file."""
     if path not in _codecs:
@@ -244,7 +254,7 @@ def encode_rows(docs: DataFrame, text: str = "text", path: str | None = None, ke
                 [*b.columns[: len(keep)], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(map(c.decode, ids), pa.string())],
                 names=[*keep, "ids", "decoded"])
 
-    return own.mapInArrow(run, ", ".join([*(f"`{n}` {t}" for n, t in own.dtypes[: len(keep)]), "ids array<int>", "decoded string"]))
+    return own.mapInArrow(frugal(run, forget_chunks), ", ".join([*(f"`{n}` {t}" for n, t in own.dtypes[: len(keep)]), "ids array<int>", "decoded string"]))
 
 
 def _valid(raw: bytes) -> bytes:
@@ -274,4 +284,4 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
                 [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return own.mapInArrow(run, f"`{key}` {own.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return own.mapInArrow(frugal(run, forget_chunks), f"`{key}` {own.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_remainder, staged, utf8
+from .common import bounded_batches, crc_remainder, frugal, staged, utf8
 
 HELD_OUT = (7, 2)  # divisor and remainder
 TOP = 65_536
@@ -326,7 +326,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                     counts = Counter()
         yield from _rows(counts)
 
-    return docs.select("_t").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("_t").mapInArrow(frugal(run), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _rows(counts: Counter) -> Iterator[pa.RecordBatch]:
@@ -345,7 +345,7 @@ def _other_mass(counts: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(range(OTHER), pa.int32()), pa.array(mass)], names=["k", "m"])
 
     out = np.zeros(OTHER)
-    for r in counts.mapInArrow(run, "k int, m double").groupBy("k").agg(F.sum("m").alias("m")).collect():
+    for r in counts.mapInArrow(frugal(run), "k int, m double").groupBy("k").agg(F.sum("m").alias("m")).collect():
         out[r["k"]] = r["m"]
     return out
 
@@ -388,7 +388,7 @@ def fit_network(trainable: DataFrame, words: Words, n_docs: int) -> Weights:
             train(own, known.value, ((0, s) for s in held))
         yield pa.RecordBatch.from_pandas(_pack(own, 1), preserve_index=False).cast(_ARROW)
 
-    first = warm.coalesce(1).mapInArrow(start, _MODEL).first()
+    first = warm.coalesce(1).mapInArrow(frugal(start), _MODEL).first()
     if first is not None:
         w = pickle.loads(first["model"])
     begin = spark.sparkContext.broadcast(w)
@@ -399,7 +399,7 @@ def fit_network(trainable: DataFrame, words: Words, n_docs: int) -> Weights:
         if total:
             yield pa.RecordBatch.from_pandas(_pack(own, total), preserve_index=False).cast(_ARROW)
 
-    parts = trainable.select("_t").mapInArrow(go_on, _MODEL)
+    parts = trainable.select("_t").mapInArrow(frugal(go_on), _MODEL)
     some = parts.groupBy((F.xxhash64("model") % 64).alias("_part")).applyInPandas(_average, _MODEL)
     mean = some.groupBy("k").applyInPandas(_average, _MODEL).first()
     return w if mean is None else pickle.loads(mean["model"])
@@ -450,7 +450,7 @@ def _score(own: DataFrame, words: Words, w: Weights) -> DataFrame:
         if done:
             yield _scored(done, arrow_type[0], names)
 
-    return own.select("rid", "doc", "held_out", "_t").mapInArrow(run, f"rid long, doc {kind}, held_out boolean, n_words long, n_known long, log_all double, score double, rare array<binary>")
+    return own.select("rid", "doc", "held_out", "_t").mapInArrow(frugal(run), f"rid long, doc {kind}, held_out boolean, n_words long, n_known long, log_all double, score double, rare array<binary>")
 
 
 def _scored(rows: list[list], doc_type: pa.DataType, names: list[str]) -> pa.RecordBatch:

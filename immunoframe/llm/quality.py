@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, staged, utf8
+from .common import bounded_batches, frugal, staged, utf8
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
@@ -97,7 +97,7 @@ def with_stats(df: DataFrame, text: str, out: str) -> DataFrame:
             stats = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow, strict=True)], fields=list(arrow))
             yield pa.RecordBatch.from_arrays([*b.columns, stats], names=[*b.schema.names, out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, _STATS)]))
+    return df.mapInArrow(frugal(run), T.StructType([*df.schema.fields, T.StructField(out, _STATS)]))
 
 
 def base_failed(n_words: Column, n_repeat: Column) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, crc_remainder, staged
+from .common import bounded_batches, crc_remainder, frugal, staged
 
 #: Bounds of the training: labelled rows read, stems kept, letters of a stem.
 TRAIN_ROWS = 20_000
@@ -82,8 +82,8 @@ _folding = _Folding()
 
 
 def fold(text: str) -> str:
-    """Folded text between two blanks."""
-    return f" {text.lower().translate(_folding)} "
+    """Folded text between two blanks, its words one blank apart."""
+    return f" {' '.join(text.lower().translate(_folding).split())} "
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,8 @@ class Model:
         for stem, weight in self.lexicon.items():
             a.add_word(f" {stem}", (len(stem) + 1, weight))
         for phrase in self.exceptions:
-            a.add_word(f" {' '.join(fold(phrase).split())}", (len(phrase) + 1, None))
+            folded = fold(phrase).rstrip()
+            a.add_word(folded, (len(folded), None))
         a.make_automaton()
         return a
 
@@ -117,9 +118,15 @@ def evidence(text: str, automaton: ahocorasick.Automaton) -> tuple[float, float,
             spans.append((start, end))
         elif weight > hits.get(start, 0.0):
             hits[start] = weight
-    for a, b in spans:
-        for start in [s for s in hits if a <= s <= b]:
-            del hits[start]
+    if spans and hits:  # one sweep: what starts within a phrase is excused
+        spans.sort()
+        at, reach = 0, -1
+        for start in sorted(hits):
+            while at < len(spans) and spans[at][0] <= start:
+                reach = max(reach, spans[at][1])
+                at += 1
+            if start <= reach:
+                del hits[start]
     if not hits:
         return 0.0, 0.0, 0.0, 0
     total = sum(hits.values())
@@ -169,7 +176,7 @@ def learn_stems(train: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float
                 both = (Counter(), Counter())
         yield from _counted(both)
 
-    counts = train.mapInArrow(count, "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("c"))
+    counts = train.mapInArrow(frugal(count, _folding.clear), "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("c"))
     a, c = F.col("a").cast("double"), F.col("c").cast("double")
     n, share = float(n_toxic + n_clean), n_toxic / (n_toxic + n_clean)
     cells = [(a, (a + c) * share), (c, (a + c) * (1 - share)), (n_toxic - a, (n - a - c) * share), (n_clean - c, (n - a - c) * (1 - share))]
@@ -237,7 +244,7 @@ def score_rows(df: DataFrame, text: str, model: Model, out: str) -> DataFrame:
                 [*b.columns, pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow, strict=True)], fields=list(arrow))],
                 names=[*b.schema.names, out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, _SCORE)]))
+    return df.mapInArrow(frugal(run, _folding.clear), T.StructType([*df.schema.fields, T.StructField(out, _SCORE)]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -32,15 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, scratch_path, utf8
+from .common import bounded_batches, frugal, scratch_path, staged, utf8
 
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
 #: Rows of one archive file; at some kB each a file stays far under what one task may hold.
 FILE_ROWS = 2000
+#: Pages that revisit another, up to which their list is broadcast; a longer one is shuffled with the pages.
+BROADCAST_IDS = 1_000_000
+#: Bytes of an archive that are inflated at once.
+BLOCK = 1 << 16
 #: A record whose inflated size passes this is quarantined instead of read.
 MAX_RECORD_BYTES = 1 << 30
-RECORDS = "file string, at long, end long, record_type string, headers map<string,string>, payload binary, gap string"
+RECORDS = "file string, at long, end long, record_type string, headers map<string,string>, payload binary, payload_digest string, gap string"
 
 
 class Found(NamedTuple):
@@ -108,15 +112,25 @@ def _parse(raw: bytes, at: int = 0) -> tuple[str, dict[str, str], bytes, int]:
 
 
 def _inflate(raw: bytes, at: int) -> tuple[bytes, int]:
-    """The inflated member at ``at`` and where it ends."""
-    z = zlib.decompressobj(31)
+    """The inflated member at ``at`` and where it ends, read a block at a time."""
+    z, view, out, held = zlib.decompressobj(31), memoryview(raw), [], 0
     try:
-        out = z.decompress(memoryview(raw)[at:], MAX_RECORD_BYTES)
+        while not z.eof and at < len(raw):
+            piece = view[at : at + BLOCK]
+            while True:
+                out.append(z.decompress(piece, BLOCK * 16))
+                held += len(out[-1])
+                if held > MAX_RECORD_BYTES:
+                    raise ValueError("member size")
+                piece = z.unconsumed_tail
+                if z.eof or not piece:
+                    break
+            at = min(at + BLOCK, len(raw))
     except zlib.error as e:
         raise ValueError("gzip member") from e
     if not z.eof:
         raise ValueError("gzip member")
-    return out, len(raw) - len(z.unused_data)
+    return b"".join(out), at - len(z.unused_data)
 
 
 def _gzip_record(raw: bytes, at: int) -> tuple[str, dict[str, str], bytes, int]:
@@ -168,7 +182,6 @@ def salvage(raw: bytes) -> Iterator[Found]:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps (``gap`` not null) of all archives under path, see RECORDS."""
     bounded_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # rows are whole files here
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,37 +189,44 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for name, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows, held = [], 0
                 for f in salvage(raw.as_py()):
-                    rows.append((name, f.at, f.end, f.kind, None if f.headers is None else list(f.headers.items()), f.payload, f.gap or None))
+                    rows.append((name, f.at, f.end, f.kind, None if f.headers is None else list(f.headers.items()), f.payload, None if f.payload is None else base32_sha1(f.payload), f.gap or None))
                     held += len(f.payload or b"")
                     if len(rows) >= 1000 or held > 8 << 20:
                         yield _rows(rows)
                         rows, held = [], 0
                 yield _rows(rows)
 
-    return files.mapInArrow(run, RECORDS)
+    return files.mapInArrow(frugal(run), RECORDS)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.string()]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.string(), pa.string()]
     columns = list(zip(*rows, strict=True)) or [()] * len(types)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-        names=["file", "at", "end", "record_type", "headers", "payload", "gap"],
+        names=["file", "at", "end", "record_type", "headers", "payload", "payload_digest", "gap"],
     )
 
 
 # --- writing -------------------------------------------------------------------------------------
 
 def plan_records(pages: DataFrame) -> DataFrame:
-    """page_id, url, html and the digest, and the page_id of each payload's response.
+    """page_id, url, html and the page_id of each payload's response.
 
-    Only (digest, page_id) pairs are grouped, pre-aggregated on the map side; Spark deals a
-    digest that many pages share to several tasks in the join (adaptive skew join).
+    Only (digest, page_id) pairs are grouped, pre-aggregated on the map side. Pages whose payload no other has
+    need no join: of digests with several pages, a list of (page_id, response) is joined with the pages by page_id, so no
+    payload is dealt by its digest and a payload that a third of the pages share is no hot key.
     """
     digest = F.sha1(F.coalesce(F.col("html").cast("binary"), F.lit(b"")))
-    own = pages.select("page_id", "url", "html", digest.alias("digest"))
-    last = pages.select("page_id", digest.alias("digest")).groupBy("digest").agg(F.max("page_id").alias("response_id"))
-    return own.join(last, "digest").drop("digest")
+    ids = pages.select("page_id", digest.alias("digest"))
+    last = ids.groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("k")).where("k > 1").drop("k")
+    others = ids.join(last, "digest").where("page_id <> response_id or page_id is null")
+    others = staged(others.groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "response_id"))).alias("to")), "warc-revisits")
+    n = others.count()
+    own = pages.select("page_id", "url", "html")
+    known = F.broadcast(others) if n <= BROADCAST_IDS else others
+    joined = own.join(known.withColumnRenamed("page_id", "_id"), own["page_id"].eqNullSafe(F.col("_id")), "left")
+    return joined.select("page_id", "url", "html", F.coalesce(F.try_element_at("to", digest), "page_id").alias("response_id"))
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
@@ -233,21 +253,31 @@ def write_warc(pages: DataFrame, path: str) -> None:
                 out.append(_member(record)[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
-    members = plan_records(pages).select("page_id", "url", "html", "response_id").mapInArrow(run, "member binary")
+    members = plan_records(pages).select("page_id", "url", "html", "response_id").mapInArrow(frugal(run), "member binary")
     members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def quarantine(records: DataFrame) -> DataFrame:
+    """The log of what :func:`read_warc` could not read: file, first byte, end and the check that failed first."""
+    return records.where("gap is not null").select("file", "at", "end", "gap")
+
+
+def round_trip(pages: DataFrame, log: str | None = None) -> DataFrame:
     """Writes the pages to archives in the shared folder and reads the archives back.
 
-    page_id, payload_bytes, payload_digest, record_type and refers_to of each record.
+    page_id, payload_bytes, payload_digest, record_type and refers_to of each record. Length and digest of a
+    response are worked out anew from the payload read; a revisit has no payload, its headers tell them. ``log``
+    names a folder for the table of quarantined gaps.
     """
     path = scratch_path(pages.sparkSession, "warc")
     write_warc(pages, path)
+    if log:
+        quarantine(read_warc(pages.sparkSession, path)).write.mode("overwrite").parquet(log)
+    own = F.col("record_type") == "response"
     h = F.col("headers")
     refers = F.regexp_extract(h["WARC-Refers-To"], r"^<urn:page:(-?\d+)>$", 1)
     return read_warc(pages.sparkSession, path).where("gap is null").select(
-        h["Page-Id"].cast("long").alias("page_id"), h["Payload-Length"].cast("long").alias("payload_bytes"),
-        F.substring(h["WARC-Payload-Digest"], 6, 32).alias("payload_digest"), "record_type",
+        h["Page-Id"].cast("long").alias("page_id"), F.when(own, F.octet_length("payload")).otherwise(h["Payload-Length"]).cast("long").alias("payload_bytes"),
+        F.when(own, F.col("payload_digest")).otherwise(F.substring(h["WARC-Payload-Digest"], 6, 32)).alias("payload_digest"), "record_type",
         F.when(F.col("record_type") == "revisit", refers.cast("long")).alias("refers_to"),
     )

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -78,7 +79,7 @@ def test_sharding(spark):
     moved = sum(r.shard != r.grown_shard for r in out)
     assert 0.5 < moved / (len(out) / 25) < 1.6
     nulls = [r for r in out if r["size"] == 8 and r.text_crc32 is None]
-    assert len(nulls) == 1 and len({r.shard for r in out if r.doc_id == 4 or r.doc_id == 4}) == 1
+    assert len(nulls) == 1 and len({r.shard for r in out if r.doc_id == 4}) == 1
     assert sharding.shard_rows(docs_of(spark, EDGES).limit(0), "doc_id", "text", 24).count() == 0
 
 
@@ -306,6 +307,28 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_digests_are_worked_out_anew_and_gaps_are_logged(spark, tmp_path):
+    good = [warc.gzip_member(warc.record_bytes("response", {"Page-Id": str(i)}, b"x" * i)) for i in range(20)]
+    bad = bytearray(good[7])
+    bad[-9] ^= 0xFF
+    (tmp_path / "part-0").write_bytes(b"".join([*good[:7], bytes(bad), *good[8:]]))
+    found = warc.read_warc(spark, str(tmp_path))
+    at = len(b"".join(good[:7]))
+    assert [(r["at"], r["end"]) for r in warc.quarantine(found).collect()] == [(at, at + len(bad))]
+    assert all(r.payload_digest == warc.base32_sha1(r.payload) for r in found.where("gap is null").collect()) and found.where("gap is null").count() == 19
+
+
+def test_reading_an_archive_takes_time_in_proportion():
+    rng = random.Random(8)
+    block = [warc.gzip_member(warc.record_bytes("response", {}, rng.randbytes(20_000))) for _ in range(50)]
+    def seconds(times):
+        whole, began = b"".join(block * times), time.process_time()
+        assert sum(1 for _ in warc.salvage(whole)) == 50 * times
+        return time.process_time() - began
+    seconds(2)
+    assert seconds(80) < 14 * seconds(10) + 0.5  # 80 and 10 MB
+
+
 @pytest.mark.parametrize("zipped", [True, False])
 def test_salvage(zipped):
     rng = random.Random(6)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -222,3 +223,44 @@ def test_stages_return_the_columns_of_documents(spark, tmp_path, at):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     out = corpus_pipeline.STAGES[at][1](spark, docs.limit(0), str(tmp_path))
     assert out.columns == docs.columns and out.select(F.count("*")).first()[0] == 0
+
+
+def naive_evidence(text, model):
+    """Every stem at every word, and whether a phrase that begins before reaches over it, one by one."""
+    words = toxicity.fold(text).split()
+    phrases = [toxicity.fold(p).split() for p in model.exceptions]
+    line = " " + " ".join(words) + " "
+    starts, at = [], 0
+    for w in words:
+        starts.append(at)
+        at += len(w) + 1
+    excused = [False] * len(words)
+    for p in phrases:
+        mark = " " + " ".join(p)
+        for i in range(len(words)):
+            if line.startswith(mark, starts[i]):
+                for j in range(len(words)):
+                    if starts[i] <= starts[j] <= starts[i] + len(mark) - 1:
+                        excused[j] = True
+    weights = [max((v for stem, v in model.lexicon.items() if w.startswith(stem)), default=0.0) for w in words]
+    hits = [v for v, e in zip(weights, excused, strict=True) if v > 0 and not e]
+    if not hits:
+        return 0.0, 0.0, 0.0, 0
+    return float(np.log1p(sum(hits))), float(np.log1p(100 * sum(hits) / len(words))), max(hits), len(hits)
+
+
+def test_evidence_against_a_naive_matcher():
+    rng = random.Random(5)
+    model = toxicity.Model({"trash": 2.0, "tra": 0.5, "idiot": 3.0, "can": 0.3}, ("trash can", "the idiot box"), toxicity.FIXED_SLOPES)
+    automaton = model.automaton()
+    parts = ["trash", "tr4sh", "can", "the", "idiot", "1diotic", "box", "trashy", "a", "canned", "the  idiot,  box"]
+    for _ in range(300):
+        text = rng.choice([" ", ", ", "  "]).join(rng.choice(parts) for _ in range(rng.randint(0, 30)))
+        assert toxicity.evidence(text, automaton) == pytest.approx(naive_evidence(text, model))
+
+
+def test_a_very_long_text_of_phrases_takes_time_in_proportion():
+    automaton = toxicity.Model({"trash": 2.0, "idiot": 3.0}, ("trash can",), toxicity.FIXED_SLOPES).automaton()
+    began = time.process_time()
+    assert toxicity.evidence("trash can " * 100_000 + "idiot", automaton)[3] == 1
+    assert time.process_time() - began < 10
