@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents through five of the training-data operators, one after the other."""
+"""The corpus pipeline: documents through five of the training-data operators, one after the other.
+
+Every stage reads whole texts and keeps or drops rows one by one: null text counts as empty, null and repeated
+ids are no reason to drop a row, exact copies of a row share its fate in all stages but that of near copies, columns the
+stage does not know pass through whatever their names, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -9,27 +14,30 @@ from immunoframe.llm.common import drop_path, scratch_path, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep."""
+    """The documents that the quality rules keep; texts of fewer than 50 words, empty ones among them, go."""
     return quality.keep_good(docs)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not predicted toxic."""
+    """The documents that are not predicted toxic (a score below 0.5); empty texts stay."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents."""
+    """One document of each group of linked documents: that with the least id, null ids last, then by a hash of the text.
+
+    Of rows that repeat id and text one stays; texts without words link with nothing and all stay.
+    """
     return ngram_join.one_of_each(docs)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item; of rows that share an id each is judged by its own text."""
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token number and digests of each remaining document."""
+    """Token number and digests of each remaining document; an empty text has no tokens."""
     return bpe.digests(docs)
 
 

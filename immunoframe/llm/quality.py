@@ -1,9 +1,10 @@
 """Quality rules: plain limits on word statistics, then robust multivariate outliers.
 
 Every text gives a vector of transformed statistics. For each language and source, location
-and scatter are estimated by the minimum covariance determinant (MCD): starting from medians
-and quartile ranges, concentration steps refit mean and covariance to the ``SUPPORT`` share
-of rows with the smallest Mahalanobis distances until the steps end; the covariance is then
+and scatter are estimated by the minimum covariance determinant (MCD): from several starts (medians
+and quartile ranges, all rows, parts of the rows) concentration steps refit mean and covariance to the ``SUPPORT`` share
+of rows with the smallest Mahalanobis distances until the determinant falls no more, weak starts being
+left after ``TRIAL_STEPS``; that of the least determinant counts. Its covariance is then
 scaled to agree with the chi-squared median, refitted once to the rows inside its 97.5 %
 ellipsoid (one-step reweighting), and rows beyond the ``CUT`` quantile are rejected.
 
@@ -30,15 +31,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, frugal, staged, utf8
+from .common import bounded_batches, drop_staged, frugal, staged, utf8
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
 SUPPORT = 0.75
-STEPS = 4
+#: Starts of each group; after TRIAL_STEPS the BEST ones with the least determinant go on, to MOST_STEPS at most.
+STARTS, BEST = 4, 2
+TRIAL_STEPS, MOST_STEPS = 2, 10
+#: Fall of the log determinant below which a start has settled.
+SETTLED = 1e-3
 MIN_GROUP = 40
 CUT = 0.99999
 SYMBOLS = b"#*$%&|<>"
@@ -129,22 +135,26 @@ def _triangle(matrix: np.ndarray) -> list[float]:
     return [float(matrix[i, j]) for i in range(len(matrix)) for j in range(i, len(matrix))]
 
 
-def refit(n: float, sums: np.ndarray, products: np.ndarray, scale: float = 1.0) -> tuple[list[float], list[float]]:
-    """Mean and precision from n, the sums and the upper triangle of product sums of some rows."""
+def refit(n: float, sums: np.ndarray, products: np.ndarray) -> tuple[list[float], list[float], float]:
+    """Mean, precision and log determinant of the covariance from n, the sums and the upper triangle of product sums of some rows."""
     d = len(sums)
     mean = sums / n
     cov = np.zeros((d, d))
     cov[np.triu_indices(d)] = products / n
-    cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(mean, mean)
-    cov = cov * scale + np.diag(np.square(FLOOR))
-    return [float(v) for v in mean], _triangle(np.linalg.inv(cov))
+    cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(mean, mean) + np.diag(np.square(FLOOR))
+    return [float(v) for v in mean], _triangle(np.linalg.inv(cov)), float(np.linalg.slogdet(cov)[1])
 
 
-_FIT = "grp string, mean array<double>, precision array<double>, n long"
+_FIT = "grp string, start int, mean array<double>, precision array<double>, logdet double"
+
+
+def _fitted(rows: pd.DataFrame, n: float, s: np.ndarray, p: np.ndarray) -> pd.DataFrame:
+    mean, precision, logdet = refit(n, s, p)
+    return pd.DataFrame({"grp": [rows["grp"].iloc[0]], "start": [int(rows["start"].iloc[0])], "mean": [mean], "precision": [precision], "logdet": [logdet]})
 
 
 def _step(classes: pd.DataFrame, last: bool) -> pd.DataFrame:
-    """One step from the sums of one group's distance classes (a bounded number of rows)."""
+    """One step from the sums of one start's distance classes (a bounded number of rows)."""
     d = len(FEATURES)
     c = classes.sort_values("cls")
     n = c["n"].to_numpy(float)
@@ -158,10 +168,7 @@ def _step(classes: pd.DataFrame, last: bool) -> pd.DataFrame:
             keep = upto <= max(total * SUPPORT, upto[0])
     else:
         keep = np.arange(len(n)) <= np.searchsorted(upto, SUPPORT * total)
-    s = np.array(c["s"].tolist())[keep].sum(axis=0)
-    p = np.array(c["p"].tolist())[keep].sum(axis=0)
-    mean, precision = refit(n[keep].sum(), s, p)
-    return pd.DataFrame({"grp": [classes["grp"].iloc[0]], "mean": [mean], "precision": [precision], "n": [int(total)]})
+    return _fitted(classes, n[keep].sum(), np.array(c["s"].tolist())[keep].sum(axis=0), np.array(c["p"].tolist())[keep].sum(axis=0))
 
 
 def _concentrate(classes: pd.DataFrame) -> pd.DataFrame:
@@ -207,27 +214,58 @@ def fit(stats: DataFrame, by: list[str]) -> DataFrame:
     """
     keys = staged(group_keys(stats, by), "mcd-keys")
     rows = _named(stats.where(~F.col("base_failed")), by).join(keys, ["_lang", "_source"]).select(F.explode("feeds").alias("grp"), *FEATURES)
-    quartiles = [F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, f in enumerate(FEATURES)]
     d = len(FEATURES)
+    sums = F.array(*[F.sum(f) for f in FEATURES])
+    products = F.array(*[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i in range(d) for j in range(i, d)])
+    facts = [F.count("*").alias("n"), sums.alias("s"), products.alias("p")]
+    now = staged(_starts(rows, facts).withColumn("settled", F.lit(False)), "mcd-0")
 
-    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def step(fits: DataFrame, how) -> DataFrame:
+        at = F.floor(16 * F.log2(distance(F.col("mean"), F.col("precision")) + 1e-6)).cast("int")
+        classes = rows.join(fits.select("grp", "start", "mean", "precision"), "grp").withColumn("cls", at).groupBy("grp", "start", "cls").agg(*facts)
+        return classes.groupBy("grp", "start").applyInPandas(how, _FIT)
+
+    for k in range(1, MOST_STEPS + 1):
+        new = step(now.where("not settled"), _concentrate).select("grp", "start", F.struct("mean", "precision", "logdet").alias("new"))
+        better = F.coalesce(F.col("new")["logdet"] < F.col("logdet") - SETTLED, F.lit(False))
+        pick = lambda c, better=better: F.when(better, F.col("new")[c]).otherwise(F.col(c)).alias(c)
+        merged = now.join(new, ["grp", "start"], "left").select("grp", "start", pick("mean"), pick("precision"), pick("logdet"), (~better).alias("settled"))
+        if k == TRIAL_STEPS:  # at most STARTS rows of each group meet
+            merged = merged.withColumn("_r", F.row_number().over(W.partitionBy("grp").orderBy("logdet", "start"))).where(F.col("_r") <= BEST).drop("_r")
+        before, now = now, staged(merged, f"mcd-{k}")
+        drop_staged(before)
+        if not now.where("not settled").take(1):
+            break
+    least = now.groupBy("grp").agg(F.min_by(F.struct("start", "mean", "precision"), F.struct("logdet", "start")).alias("f")).select("grp", "f.*")
+    final = staged(step(least, _concentrate_last), "mcd")
+    drop_staged(now)
+    return keys.drop("feeds").join(final.select("grp", "mean", "precision"), "grp", "left").select("_lang", "_source", "mean", "precision")
+
+
+def _starts(rows: DataFrame, facts: list[Column]) -> DataFrame:
+    """Of each group the medians with quartile spreads, and mean and covariance of all rows and of two eighths dealt by a hash."""
+    d = len(FEATURES)
+    quartiles = [F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, f in enumerate(FEATURES)]
+
+    def robust(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
                 q = np.array([list(getattr(r, f"q{i}")) for i in range(d)])
                 spread = np.square((q[:, 2] - q[:, 0]) / 1.349) + np.square(FLOOR)
-                out.append((r.grp, [float(v) for v in q[:, 1]], _triangle(np.diag(1 / spread)), 0))
-            yield pd.DataFrame(out, columns=["grp", "mean", "precision", "n"])
+                out.append((r.grp, 0, [float(v) for v in q[:, 1]], _triangle(np.diag(1 / spread)), float("inf")))
+            yield pd.DataFrame(out, columns=["grp", "start", "mean", "precision", "logdet"])
 
-    now = staged(rows.groupBy("grp").agg(*quartiles).mapInPandas(start, _FIT), "mcd-0")
-    sums = F.array(*[F.sum(f) for f in FEATURES])
-    products = F.array(*[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i in range(d) for j in range(i, d)])
-    for step in range(1, STEPS + 1):
-        at = F.floor(16 * F.log2(distance(F.col("mean"), F.col("precision")) + 1e-6)).cast("int")
-        classes = rows.join(now, "grp").withColumn("cls", at).groupBy("grp", "cls").agg(F.count("*").alias("n"), sums.alias("s"), products.alias("p"))
-        last = step == STEPS
-        now = staged(classes.groupBy("grp").applyInPandas(_concentrate_last if last else _concentrate, _FIT), f"mcd-{step}")
-    return keys.drop("feeds").join(now.drop("n"), "grp", "left").select("_lang", "_source", "mean", "precision")
+    def plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(len(b)):
+                r = b.iloc[i : i + 1]
+                yield _fitted(r, float(r["n"].iloc[0]), np.array(list(r["s"].iloc[0])), np.array(list(r["p"].iloc[0]))).assign(logdet=float("inf"))
+
+    eighth = F.pmod(F.xxhash64(*FEATURES), F.lit(8))
+    subsets = F.array(F.lit(1), *[F.when(eighth == k, F.lit(k)) for k in range(2, STARTS)])
+    some = rows.withColumn("start", F.explode(F.filter(subsets, lambda x: x.isNotNull()))).groupBy("grp", "start").agg(*facts)
+    return rows.groupBy("grp").agg(*quartiles).mapInPandas(robust, _FIT).unionByName(some.mapInPandas(plain, _FIT))
 
 
 def judge(stats: DataFrame, fitted: DataFrame, by: list[str]) -> DataFrame:

@@ -57,14 +57,48 @@ def test_quality_rules(spark):
     assert quality.quality_rules(frame(spark, rows).limit(0)).count() == 0 and quality.keep_good(frame(spark, rows).limit(0)).count() == 0
 
 
+def plain_mcd(x, rng):
+    """Mean and covariance of the subset of least determinant over many starts with exact concentration steps."""
+    h, best = int(np.ceil(quality.SUPPORT * len(x))), None
+    floor = np.diag(np.square(quality.FLOOR))
+    for _ in range(30):
+        own = x[rng.choice(len(x), 12, replace=False)]
+        for _ in range(40):
+            mean, cov = own.mean(axis=0), np.cov(own.T, bias=True) + floor
+            d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            own = x[np.argsort(d2, kind="stable")[:h]]
+        det = np.linalg.slogdet(np.cov(own.T, bias=True) + floor)[1]
+        if best is None or det < best[0]:
+            best = det, own.mean(axis=0), np.cov(own.T, bias=True) + floor
+    return best
+
+
+def test_kept_against_a_plain_estimate(spark):
+    rng = np.random.default_rng(3)
+    mix = rng.normal(size=(6, 6)) * 0.3 + np.eye(6) * 0.4
+    x = rng.normal(size=(900, 6)) @ mix
+    x[:150] = rng.normal(size=(150, 6)) * 0.2 + [4, -4, 3, 5, -4, 6]  # a cluster that draws a plain mean and covariance to it
+    stats = spark.createDataFrame([("en", "s", False, *map(float, v), i) for i, v in enumerate(x)], f"lang string, source string, base_failed boolean, {', '.join(f'{f} double' for f in quality.FEATURES)}, i int")
+    out = quality.judge(stats, quality.fit(stats, ["lang", "source"]), ["lang", "source"]).collect()
+    kept = {r.i for r in out if r.kept}
+    _, mean, cov = plain_mcd(x, rng)
+    d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+    inside = d2 <= quality.chi2(0.975, 6) * np.median(d2) / quality.chi2(0.5, 6)
+    mean, cov = x[inside].mean(axis=0), np.cov(x[inside].T, bias=True) + np.diag(np.square(quality.FLOOR))
+    far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean) > quality.chi2(quality.CUT, 6)
+    want = set(np.flatnonzero(~far).tolist())
+    assert not kept & set(range(150)) and not want & set(range(150)) and len(kept ^ want) <= 3
+
+
 def test_refit_is_mean_and_inverse_covariance():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 6)) @ rng.normal(size=(6, 6))
-    mean, tri = quality.refit(500, x.sum(axis=0), (x.T @ x)[np.triu_indices(6)])
+    mean, tri, logdet = quality.refit(500, x.sum(axis=0), (x.T @ x)[np.triu_indices(6)])
     p = np.zeros((6, 6))
     p[np.triu_indices(6)] = tri
     p = np.triu(p) + np.triu(p, 1).T
     assert np.allclose(mean, x.mean(axis=0)) and np.allclose(np.linalg.inv(p), np.cov(x.T, bias=True) + np.diag(np.square(quality.FLOOR)))
+    assert abs(logdet + np.linalg.slogdet(p)[1]) < 1e-6
     assert abs(quality.chi2(0.975, 6) - 14.449) < 0.05
 
 
