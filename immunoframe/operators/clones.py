@@ -68,8 +68,8 @@ def conflicts(rows: DataFrame, molecule: str, clone: str = "clone_id") -> DataFr
 def proportions(rows: DataFrame, by: str) -> DataFrame:
     """n and proportion of each value."""
     counts = rows.groupBy(by).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    return counts.withColumn("proportion", F.round(F.col("n") / F.lit(max(total, 1)), 6))
+    total = counts.agg(F.sum("n").alias("_all"))  # one row
+    return counts.join(F.broadcast(total)).withColumn("proportion", F.round(F.col("n") / F.col("_all"), 6)).drop("_all")
 
 
 def rank_buckets(clones: DataFrame, limits: tuple[int, ...] = (1, 3, 10)) -> DataFrame:

@@ -256,6 +256,27 @@ def read_stages(records: DataFrame) -> DataFrame:
     return before.where(~(F.col("label").isin("Demux input", "Collapse input") & F.coalesce(F.col("_v") == F.col("value"), F.lit(False)))).drop("_v")
 
 
+#: Labels of the yield stages in the report.
+YIELD_LABELS = ("Consensus sequences", "Seqtag input", "Seqtag matches", "AIRR input represented", "Valid AIRR sequences", "Productive AIRR sequences")
+
+
+def yield_stages(records: DataFrame) -> DataFrame:
+    """The sequences' stages of each run: consensus, tagging, then AIRR; stages without a count are left out.
+
+    An input stage shows only where it differs from the stage before. Collapse and tagging count by run records where
+    there are any, else by samples; AIRR counts all its records.
+    """
+    sums = lambda own, **keys: own.groupBy("run_id").agg(*[F.sum(count(k)).alias(name) for name, k in keys.items()])
+    parts = [
+        sums(preferred(records, "collapse"), v0="consensus_sequences"), sums(preferred(records, "seqtag"), v1="input_sequences", v2="matched_sequences"),
+        sums(records.where("module = 'airr'"), v3="input_sequences", v4="airr_sequences", v5="productive_sequences")]
+    wide = parts[0].join(parts[1], "run_id", "full").join(parts[2], "run_id", "full")
+    each = F.array(*[F.struct(F.lit(i).alias("stage_no"), F.lit(t).alias("label"), F.col(f"v{i}").alias("value")) for i, t in enumerate(YIELD_LABELS)])
+    stages = wide.select("run_id", F.explode(each).alias("s")).select("run_id", "s.*").where("value is not null")
+    before = stages.withColumn("_v", F.lag("value").over(W.partitionBy("run_id").orderBy("stage_no")))
+    return before.where(~(F.col("stage_no").isin(1, 3) & F.coalesce(F.col("_v") == F.col("value"), F.lit(False)))).drop("_v")
+
+
 def loci(records: DataFrame) -> DataFrame:
     """AIRR counts and rates of each locus over all samples (sample null) and of each record, with the outcome parts."""
     own = records.where("module = 'airr'").select(

@@ -443,9 +443,9 @@ def spatial_bounds(spark, sf_dir):
     return spatial.bounds(cell_centroids(spark, sf_dir))
 
 
-@query(f"WITH {A} SELECT x, count(DISTINCT clone_id) AS n_clones FROM airr GROUP BY x HAVING count(DISTINCT clone_id) > 1")
+@query(f"WITH {A} SELECT umi, count(DISTINCT clone_id) AS n_clones FROM airr WHERE umi IS NOT NULL GROUP BY umi HAVING count(DISTINCT clone_id) > 1")
 def clone_conflicts(spark, sf_dir):
-    return clones.conflicts(airr(spark, sf_dir), "x")
+    return clones.conflicts(airr(spark, sf_dir).where("umi is not null"), "umi")
 
 
 @query(f"""WITH {A}, l AS (SELECT sequence_id AS barcode, clone_id FROM airr WHERE event_id % 2 = 0), p AS (SELECT 'sampleA_' || sequence_id AS barcode, locus FROM airr)
@@ -555,6 +555,61 @@ def demux_shares(spark, sf_dir):
     return s.select("o_custkey", "n", F.round(S.percent(F.col("n"), F.lit(total)), 6).alias("pct"))
 
 
+_FULL = """b AS (SELECT CAST(o_custkey % 5 AS STRING) AS run_id, o_custkey % 5 AS r, substr(o_orderpriority, 1, 1) AS s, count(*) AS n, count(*) FILTER (o_orderstatus <> 'F') AS m, count(*) FILTER (o_orderstatus = 'O') AS t
+FROM orders GROUP BY ALL)"""
+
+
+def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs with sample records of all modules, AIRR records of two loci, and run records of some modules (of collapse in every other run)."""
+    o, c = table(spark, sf_dir, "orders"), F.col
+    b = o.groupBy((c("o_custkey") % 5).alias("r"), F.substring("o_orderpriority", 1, 1).alias("s")).agg(
+        F.count("*").alias("n"), F.count_if(c("o_orderstatus") != "F").alias("m"), F.count_if(c("o_orderstatus") == "O").alias("t"))
+    whole = b.groupBy("r").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+    def of(own: DataFrame, module: str, sample, locus: str | None, **counts: str) -> DataFrame:
+        told = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.expr(v).cast("long"))])
+        scope = "run" if sample is None else "sample"
+        return own.select(c("r").cast("string").alias("run_id"), F.lit(module).alias("module"), F.lit(scope).alias("scope_type"),
+                          (F.lit(None).cast("string") if sample is None else c(sample)).alias("sample"), F.lit(locus).cast("string").alias("locus"), told.alias("counts"))
+
+    parts = [
+        of(b, "demux", "s", None, assigned_reads="n"), of(whole, "demux", None, None, input_reads="n + 10", matched_reads="n"),
+        of(b, "collapse", "s", None, consensus_sequences="m"), of(whole.where("r % 2 = 0"), "collapse", None, None, consensus_sequences="m + 1"),
+        of(b, "seqtag", "s", None, input_sequences="m", matched_sequences="t"),
+        of(b, "airr", "s", "IG", input_sequences="t", airr_sequences="t - t % 3", productive_sequences="t div 2"),
+        of(b.where("s < '3' and r % 2 = 1"), "airr", "s", "tr", input_sequences="t", airr_sequences="t", productive_sequences="t div 3")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query(f"""WITH {_FULL}, w AS (SELECT run_id, any_value(r) AS r, sum(m)::BIGINT AS m, sum(t)::BIGINT AS t, coalesce(sum(t) FILTER (s < '3' AND r % 2 = 1), 0)::BIGINT AS t2,
+ sum(t - t % 3)::BIGINT AS v, sum(t // 2)::BIGINT AS p, coalesce(sum(t // 3) FILTER (s < '3' AND r % 2 = 1), 0)::BIGINT AS p2 FROM b GROUP BY run_id)
+SELECT run_id, 0 AS stage_no, 'Consensus sequences' AS label, m + CASE WHEN r % 2 = 0 THEN 1 ELSE 0 END AS value FROM w UNION ALL SELECT run_id, 1, 'Seqtag input', m FROM w WHERE r % 2 = 0
+UNION ALL SELECT run_id, 2, 'Seqtag matches', t FROM w UNION ALL SELECT run_id, 3, 'AIRR input represented', t + t2 FROM w WHERE t2 > 0 UNION ALL SELECT run_id, 4, 'Valid AIRR sequences', v + t2 FROM w
+UNION ALL SELECT run_id, 5, 'Productive AIRR sequences', p + p2 FROM w""")
+def yield_stages(spark, sf_dir):
+    return runmeta.yield_stages(full_records(spark, sf_dir))
+
+
+@query(f"WITH {_FULL}, w AS (SELECT run_id, sum(n) AS a FROM b GROUP BY run_id) SELECT run_id, s AS sample, n AS assigned, round(n * 100.0 / a, 6)::DOUBLE AS pct_matched, round(n * 100.0 / (a + 10), 6)::DOUBLE AS pct_input FROM b JOIN w USING (run_id)")
+def demux_samples_share(spark, sf_dir):
+    return runmeta.demux_overview(full_records(spark, sf_dir))
+
+
+@query(f"""WITH {_FULL}, a AS (SELECT 'ig' AS locus, s AS sample, t AS i, t - t % 3 AS v, t // 2 AS p FROM b UNION ALL SELECT 'tr', s, t, t, t // 3 FROM b WHERE s < '3' AND r % 2 = 1)
+SELECT locus, sample, sum(i)::BIGINT AS input, sum(v)::BIGINT AS valid, sum(p)::BIGINT AS productive, round(sum(v) * 100.0 / nullif(sum(i), 0), 6)::DOUBLE AS annotation_rate, round(sum(p) * 100.0 / nullif(sum(v), 0), 6)::DOUBLE AS productive_rate,
+ greatest(sum(v) - sum(p), 0)::BIGINT AS nonproductive, greatest(sum(i) - sum(v), 0)::BIGINT AS unannotated FROM a GROUP BY GROUPING SETS ((locus), (locus, sample))""")
+def locus_rates(spark, sf_dir):
+    return runmeta.loci(full_records(spark, sf_dir)).drop("heavy", "is_total")
+
+
+@query(f"WITH {_FULL} SELECT run_id, (sum(m) + CASE WHEN any_value(r) % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS value FROM b GROUP BY run_id")
+def run_before_samples(spark, sf_dir):
+    return runmeta.module_sum(full_records(spark, sf_dir), "collapse", "consensus_sequences")
+
+
 # --- sequence search (beyond SQL; tests compare with brute force) ----------------------------------------------------------
 
 ANCHORS = [("A1", "ACGTTGCAAC"), ("A2", "GGATCCTTAG"), ("Ig | 1 | IGHA", "CCAATTGGAC")]
