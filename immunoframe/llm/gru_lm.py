@@ -49,7 +49,8 @@ BIN = 32  # words of a vocabulary class
 OTHER = 48
 HIDDEN = 24
 STEPS = 32
-TRAIN_LANES = 64
+TRAIN_LANES = 128
+START_LANES = 64  # more steps from the few documents of the start
 SCORE_LANES = 256
 WARM_DOCS = 1500
 WARM_EPOCHS = 2
@@ -119,10 +120,6 @@ def fresh(words: Words, seed: int = 7) -> Weights:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
 class Lanes:
     """Documents side by side: windows of inputs, targets, start marks and document numbers, each (steps, lanes)."""
 
@@ -177,37 +174,86 @@ class Lanes:
 def _forward(w: Weights, given: np.ndarray, starts: np.ndarray, h: np.ndarray, keep: bool):
     """Hidden states (steps, lanes, HIDDEN) after each input, and what backpropagation needs."""
     steps, lanes = given.shape
-    g = w["in"][given]
+    g, u = w["in"][given], w["u"].copy()
+    gates = slice(None, 2 * HIDDEN)
+    g[:, :, gates] *= 0.5  # a sigmoid is (1 + tanh(x / 2)) / 2
+    u[:, gates] *= 0.5
     states = np.empty((steps, lanes, HIDDEN), np.float32)
-    store = [np.empty((steps, lanes, k), np.float32) for k in (HIDDEN, 2 * HIDDEN, HIDDEN, HIDDEN)] if keep else None
+    kept = steps if keep else 1
+    before, news = (np.empty((kept, lanes, HIDDEN), np.float32) for _ in range(2))
+    parts = np.empty((kept, lanes, 3 * HIDDEN), np.float32)  # both gates and the inner product of the new state
     alive = (~starts).astype(np.float32)[:, :, None]
     any_start = starts.any(axis=1)
     for t in range(steps):
+        k = t if keep else 0
         if any_start[t]:
             h = h * alive[t]
-        a = h @ w["u"]
-        zr = a[:, : 2 * HIDDEN]
-        zr += g[t, :, : 2 * HIDDEN]
-        np.clip(zr, -30, 30, out=zr)
-        np.negative(zr, out=zr)
-        np.exp(zr, out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
-        z, r, hn = zr[:, :HIDDEN], zr[:, HIDDEN:], a[:, 2 * HIDDEN :]
-        n = np.tanh(g[t, :, 2 * HIDDEN :] + r * hn)
         if keep:
-            store[0][t], store[1][t], store[2][t], store[3][t] = h, zr, n, hn
-        h = n + z * (h - n)
-        states[t] = h
-    return states, h, store
+            before[t] = h
+        a, n = np.matmul(h, u, out=parts[k]), news[k]
+        zr = a[:, gates]
+        zr += g[t, :, gates]
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.multiply(zr[:, HIDDEN:], a[:, 2 * HIDDEN :], out=n)
+        n += g[t, :, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        h = np.subtract(h, n, out=states[t])
+        h *= zr[:, :HIDDEN]
+        h += n
+    return states, h.copy(), (before, parts, news) if keep else None
+
+
+def _shift(x: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
+    """Lowers each row by its largest value, in place, unless no state (all within -1 and 1) can bring its exponentials out of range."""
+    reach = np.abs(weights).sum(axis=-2)
+    if np.max(bias + reach) > 60 or np.min(np.max(bias - reach, axis=-1)) < -60:
+        x -= x.max(axis=1, keepdims=True)
+
+
+def _class_odds(w: Weights, flat: np.ndarray) -> np.ndarray:
+    """Of each row the classes' logits, made fit for exponentials."""
+    x = flat @ w["wc"]
+    x += w["bc"]
+    _shift(x, w["wc"], w["bc"])
+    return x
+
+
+def _word_odds(w: Weights, here: np.ndarray, own: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """The same for the words of each row's class; rows are in order of class."""
+    x = np.empty((len(here), BIN), here.dtype)
+    for k, part in parts:
+        np.matmul(here[part], w["ww"][k], out=x[part])
+    x += w["bw"][own]
+    _shift(x, w["ww"], w["bw"])
+    return x
+
+
+def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The log-softmax of one column of each row; x is used up."""
+    own = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _excess(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Softmax less one at the chosen column, in place: the gradient of minus the log-likelihood."""
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), chosen] -= 1
     return x
 
 
+def _by_bin(words: Words, goal: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """The rows with a word of the vocabulary in order of its class, their classes, and the span of each class."""
+    rows = np.flatnonzero(goal < words.n_vocab)
+    rows = rows[np.argsort(cls[rows].astype(np.int16), kind="stable")]
+    own = cls[rows]
+    edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+    return rows, own, [(int(own[a]), slice(a, b)) for a, b in zip(edges, edges[1:]) if b > a]
+
+
 def log_likelihood(w: Weights, words: Words, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log of each target's class and, in the vocabulary, of the word in it; 0 where there is no target."""
     flat, goal = states.reshape(-1, HIDDEN), target.ravel()
@@ -217,83 +263,75 @@ def log_likelihood(w: Weights, words: Words, states: np.ndarray, target: np.ndar
         flat = flat[at]
     goal = goal[at]
     cls = words.bin[goal]
-    out[at] = _log_softmax(flat @ w["wc"] + w["bc"])[np.arange(len(at)), cls]
-    for k, rows in _by_bin(words, goal, cls):
-        inner = _log_softmax(flat[rows] @ w["ww"][k] + w["bw"][k])
-        out[at[rows]] += inner[np.arange(len(rows)), goal[rows] % BIN]
+    out[at] = _log_chosen(_class_odds(w, flat), cls)
+    rows, own, parts = _by_bin(words, goal, cls)
+    out[at[rows]] += _log_chosen(_word_odds(w, flat[rows], own, parts), goal[rows] % BIN)
     return out.reshape(target.shape)
 
 
-def _by_bin(words: Words, goal: np.ndarray, cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The rows of each vocabulary class that has any."""
-    rows = np.flatnonzero(goal < words.n_vocab)
-    if not len(rows):
-        return
-    rows = rows[np.argsort(cls[rows], kind="stable")]
-    own = cls[rows]
-    edges = np.flatnonzero(np.diff(own)) + 1
-    for part in np.split(rows, edges):
-        yield int(cls[part[0]]), part
-
-
 def _gradients(w: Weights, words: Words, given, target, starts, states, store) -> tuple[Weights, int]:
     steps, lanes = given.shape
     flat, goal = states.reshape(-1, HIDDEN), target.ravel()
     at = np.flatnonzero(goal >= 0)
+    share = np.float32(1 / max(len(at), 1))
     grads: Weights = {k: np.zeros_like(v) for k, v in w.items() if k in ("ww", "bw")}
     seen, goal = flat[at], goal[at]
     cls = words.bin[goal]
-    p = np.exp(_log_softmax(seen @ w["wc"] + w["bc"]))
-    p[np.arange(len(at)), cls] -= 1
-    p /= max(len(at), 1)
-    grads["wc"], grads["bc"] = seen.T @ p, p.sum(axis=0)
+    p = _excess(_class_odds(w, seen), cls)
+    grads["wc"], grads["bc"] = seen.T @ p * share, p.sum(axis=0) * share
     back = p @ w["wc"].T
-    for k, rows in _by_bin(words, goal, cls):
-        q = np.exp(_log_softmax(seen[rows] @ w["ww"][k] + w["bw"][k]))
-        q[np.arange(len(rows)), goal[rows] % BIN] -= 1
-        q /= max(len(at), 1)
-        grads["ww"][k], grads["bw"][k] = seen[rows].T @ q, q.sum(axis=0)
-        back[rows] += q @ w["ww"][k].T
+    rows, own, parts = _by_bin(words, goal, cls)
+    here = seen[rows]
+    q = _excess(_word_odds(w, here, own, parts), goal[rows] % BIN)
+    inner_back = np.empty_like(here)
+    for k, part in parts:
+        grads["ww"][k], grads["bw"][k] = here[part].T @ q[part] * share, q[part].sum(axis=0) * share
+        np.matmul(q[part], w["ww"][k].T, out=inner_back[part])
+    back[rows] += inner_back
+    back *= share
     full = np.zeros((steps * lanes, HIDDEN), np.float32)
     full[at] = back
     full = full.reshape(steps, lanes, HIDDEN)
-    before, gates, news, inner = store
-    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-    to_n, to_r, to_z = (1 - z) * (1 - news * news), inner * r * (1 - r), (before - news) * z * (1 - z)
-    da = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
-    du = np.empty_like(da)
+    before, gates, news = store
+    z, r, inner = (gates[:, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
+    # factors of a state's gradient: new state, both gates, and the new state's inner product; the first
+    # three lead to the inputs, the last three to the recurrent weights
+    d = np.empty((steps, lanes, 4, HIDDEN), np.float32)
+    d[:, :, 0] = (1 - z) * (1 - news * news)
+    d[:, :, 1] = (before - news) * z * (1 - z)
+    np.multiply(d[:, :, 0], r, out=d[:, :, 3])
+    d[:, :, 2] = d[:, :, 3] * inner * (1 - r)
+    wide = d.reshape(steps, lanes, 4 * HIDDEN)
     alive = (~starts).astype(np.float32)[:, :, None]
     any_start = starts.any(axis=1)
     turned = np.ascontiguousarray(w["u"].T)
     carried = np.zeros((lanes, HIDDEN), np.float32)
     for t in range(steps - 1, -1, -1):
-        dh, a, b = full[t], da[t], du[t]
+        dh = full[t]
         dh += carried
-        dn = np.multiply(dh, to_n[t], out=a[:, 2 * HIDDEN :])
-        np.multiply(dn, to_r[t], out=a[:, HIDDEN : 2 * HIDDEN])
-        np.multiply(dh, to_z[t], out=a[:, :HIDDEN])
-        b[:, : 2 * HIDDEN] = a[:, : 2 * HIDDEN]
-        np.multiply(dn, r[t], out=b[:, 2 * HIDDEN :])
-        carried = b @ turned
+        np.multiply(d[t], dh[:, None], out=d[t])
+        np.matmul(wide[t, :, HIDDEN:], turned, out=carried)
         dh *= z[t]
         carried += dh
         if any_start[t]:
             carried *= alive[t]
-    grads["u"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
+    wide = wide.reshape(-1, 4 * HIDDEN)
+    grads["u"] = before.reshape(-1, HIDDEN).T @ wide[:, HIDDEN:]
     ids = given.ravel()
     order = np.argsort(ids, kind="stable")
     firsts = np.flatnonzero(np.diff(ids[order], prepend=-1))
+    sums = np.add.reduceat(wide[order, : 3 * HIDDEN], firsts, axis=0)
     grads["in"] = np.zeros_like(w["in"])
-    grads["in"][ids[order][firsts]] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0)
+    grads["in"][ids[order][firsts]] = np.roll(sums, -HIDDEN, axis=1)
     return grads, len(at)
 
 
-def train(w: Weights, words: Words, docs: Iterable[tuple[int, np.ndarray]], rate: float = RATE) -> int:
+def train(w: Weights, words: Words, docs: Iterable[tuple[int, np.ndarray]], rate: float = RATE, lanes: int = TRAIN_LANES) -> int:
     """Adam steps in place, one for each window; returns the number of words."""
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     total = step = 0
-    h = np.zeros((TRAIN_LANES, HIDDEN), np.float32)
-    for given, target, starts, _, kept in Lanes(docs, TRAIN_LANES, words.end).windows():
+    h = np.zeros((lanes, HIDDEN), np.float32)
+    for given, target, starts, _, kept in Lanes(docs, lanes, words.end).windows():
         if kept is not None:
             h = h[kept]
         states, h, store = _forward(w, given, starts, h, True)
@@ -301,7 +339,7 @@ def train(w: Weights, words: Words, docs: Iterable[tuple[int, np.ndarray]], rate
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         scale = min(1.0, 1.0 / (norm + 1e-12))
         total, step = total + n, step + 1
-        now = rate / (1 + step / 400) * min(1.0, n / (STEPS * TRAIN_LANES / 4))
+        now = rate / (1 + step / 400) * min(1.0, n / (STEPS * lanes / 4))
         for k, g in grads.items():
             m, v = moments[k]
             g *= scale
@@ -385,7 +423,7 @@ def fit_network(trainable: DataFrame, words: Words, n_docs: int) -> Weights:
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, held = fresh(known.value), [s for _, s in _symbols(known.value, batches)]
         for _ in range(WARM_EPOCHS):
-            train(own, known.value, ((0, s) for s in held))
+            train(own, known.value, ((0, s) for s in held), lanes=START_LANES)
         yield pa.RecordBatch.from_pandas(_pack(own, 1), preserve_index=False).cast(_ARROW)
 
     first = warm.coalesce(1).mapInArrow(frugal(start), _MODEL).first()
