@@ -44,12 +44,23 @@ def segments(seq: Column, length: int, parts: int) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("at"), F.substring(seq, edges[i] + 1, edges[i + 1] - edges[i]).alias("piece")) for i in range(parts)])
 
 
-def neighbours(seq: Column, alphabet: str = "ACGT") -> Column:
-    """All strings at one mismatch."""
-    at = F.sequence(F.lit(1), F.length(seq))
-    swap = lambda i, c: F.concat(F.substr(seq, F.lit(1), i - 1), F.lit(c), F.substr(seq, i + 1))
-    each = F.transform(at, lambda i: F.filter(F.array(*[swap(i, c) for c in alphabet]), lambda s: s != seq))
-    return F.flatten(each)
+def neighbours(seq: Column, alphabet: str = "ACGT", distance: int = 1) -> Column:
+    """All strings at exactly ``distance`` mismatches, each once; null gives null.
+
+    Positions are changed from left to right, so no set of positions comes twice.
+    """
+    def swapped(s: Column, i: Column) -> Column:
+        each = F.array(*[F.struct(F.concat(F.substr(s, F.lit(1), i - 1), F.lit(c), F.substr(s, i + 1)).alias("s"), i.alias("at")) for c in alphabet])
+        return F.filter(each, lambda x: x["s"] != s)
+
+    def further(x: Column) -> Column:
+        rest = F.when(x["at"] < F.length(seq), F.sequence(x["at"] + 1, F.length(seq))).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(rest, lambda i: swapped(x["s"], i)))
+
+    found = F.when(seq.isNotNull(), F.array(F.struct(seq.alias("s"), F.lit(0).alias("at"))))
+    for _ in range(distance):
+        found = F.flatten(F.transform(found, further))
+    return F.transform(found, lambda x: x["s"])
 
 
 def mean_phred(quality: Column) -> Column:
@@ -97,6 +108,12 @@ def spatial_xy(spatial: Column) -> tuple[Column, Column]:
     return part(2), part(3)
 
 
+def scalar(text: Column) -> Column:
+    """A parameter's text as a variant: its JSON value, or the text itself where it is no JSON; null stays null."""
+    row = F.to_json(F.struct(text.alias("v")))  # {"v":"..."}, or {} for null
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.substr(row, F.lit(6), F.length(row) - 6)))
+
+
 def slug(text: Column) -> Column:
     """A record id safe in paths."""
     return F.btrim(F.regexp_replace(text, r"[^A-Za-z0-9._-]+", "_"), F.lit("._"))

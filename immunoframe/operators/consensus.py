@@ -67,15 +67,22 @@ def numbered(rows: DataFrame, order: str, prefix: str = "seq") -> DataFrame:
         "sequence_id", F.concat(F.lit(prefix), (F.col("_n") + F.col("_before")).cast("string"))).drop("_part", "_n", "_before")
 
 
-def consensus_header(row_id: str, library: str) -> "F.Column":
-    """Header text of a consensus row, with the fields that the library has."""
-    c = F.col
-    fields = {"GROUP": c("group"), "CONSCOUNT": c("conscount"), "N_ORIG": c("n_orig"), "N_KEEP": c("n_keep"), "UMI": c("umi")}
-    if library != "bulk":
-        fields |= {"SPBC": c("spbc"), "PRCOUNT": c("prcount"), "X": c("x"), "Y": c("y")}
-    if library == "visiumhd":
-        fields |= {"SPBCID": c("spbcid"), "UMISPBC": c("umispbc")}
-    return S.header_of(c(row_id), **fields)
+#: Fields of a consensus header in their order: of all libraries, of the spatial ones, of Visium HD.
+HEADER_FIELDS = ("GROUP", "CONSCOUNT", "N_ORIG", "N_KEEP", "UMI")
+SPATIAL_FIELDS = ("SPBC", "PRCOUNT", "X", "Y")
+HD_FIELDS = ("BC1", "BC2", "SPBC10X", "SPBCID", "UMISPBC")
+
+
+def with_header(rows: DataFrame, library: str, row_id: str = "sequence_id") -> DataFrame:
+    """rows with ``header``: the library's fields that the rows have as columns (lower-case names) and that are not null.
+
+    The barcode comes from ``primer`` where the row has one, else from ``spbc``.
+    """
+    names = HEADER_FIELDS + (() if library == "bulk" else SPATIAL_FIELDS) + (HD_FIELDS if library == "visiumhd" else ())
+    held = {n: F.col(n.lower()) for n in names if n.lower() in rows.columns}
+    if "SPBC" in names and "primer" in rows.columns:
+        held["SPBC"] = F.coalesce("primer", held["SPBC"]) if "SPBC" in held else F.col("primer")
+    return rows.withColumn("header", S.header_of(F.col(row_id), **{n: held[n] for n in names if n in held}))
 
 
 # --- multiple alignment --------------------------------------------------------------------------------

@@ -277,6 +277,36 @@ def yield_stages(records: DataFrame) -> DataFrame:
     return before.where(~(F.col("stage_no").isin(1, 3) & F.coalesce(F.col("_v") == F.col("value"), F.lit(False)))).drop("_v")
 
 
+#: Input count, output count and the output's label of each module.
+MODULE_OUTPUTS = {
+    "filter": ("input_reads", "filtered_reads", "Filtered reads"), "demux": ("input_reads", "matched_reads", "Valid UDI matches"),
+    "collapse": ("input_reads", "consensus_sequences", "Consensus sequences"), "seqtag": ("input_sequences", "matched_sequences", "Seqtag matches"),
+    "airr": ("input_sequences", "productive_sequences", "Productive sequences"),
+}
+SAMPLE_OUTPUT, ALL_AIRR_OUTPUT = "Assigned sample reads", "Valid AIRR sequences"
+
+
+def module_summary(records: DataFrame) -> DataFrame:
+    """run_id, module, scope_type, sample, locus, input, output, label and retained (percent) of each record.
+
+    A sample's reads are held against all matched reads of its run; AIRR without a productive count shows the valid
+    sequences. A module that is none of these shows nulls; missing counts are null, and so is a share of 0 or of a null.
+    """
+    run = records.where("module = 'demux' and scope_type = 'run'").groupBy(F.col("run_id").alias("_run")).agg(F.max(count("matched_reads")).alias("_matched"))
+    own = records.join(run, F.col("run_id") == F.col("_run"), "left")
+    sample = (F.col("module") == "demux") & (F.col("scope_type") != "run")
+    valid = (F.col("module") == "airr") & count("productive_sequences").isNull()
+    before = F.when(sample, F.col("_matched"))
+    after = F.when(sample, count("assigned_reads")).when(valid, count("airr_sequences"))
+    label = F.when(sample, F.lit(SAMPLE_OUTPUT)).when(valid, F.lit(ALL_AIRR_OUTPUT))
+    for module, (a, b, text) in MODULE_OUTPUTS.items():
+        mine = F.col("module") == module
+        before, label = before.when(mine, count(a)), label.when(mine, F.lit(text))
+        after = after.when(mine, count(b))
+    shown = own.select("run_id", "module", "scope_type", "sample", "locus", before.alias("input"), after.alias("output"), label.alias("label"))
+    return shown.withColumn("retained", F.round(S.percent(F.col("output"), F.col("input")), 6))
+
+
 def loci(records: DataFrame) -> DataFrame:
     """AIRR counts and rates of each locus over all samples (sample null) and of each record, with the outcome parts."""
     own = records.where("module = 'airr'").select(

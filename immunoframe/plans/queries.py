@@ -593,6 +593,28 @@ def yield_stages(spark, sf_dir):
     return runmeta.yield_stages(full_records(spark, sf_dir))
 
 
+@query(f"""WITH {_FULL}, w AS (SELECT run_id, any_value(r) AS r, sum(n) AS n, sum(m) AS m FROM b GROUP BY run_id), e AS (
+SELECT run_id, 'demux' AS module, 'sample' AS scope_type, s AS sample, NULL AS locus, w.n AS i, b.n AS o, 'Assigned sample reads' AS label FROM b JOIN w USING (run_id)
+UNION ALL SELECT run_id, 'demux', 'run', NULL, NULL, n + 10, n, 'Valid UDI matches' FROM w
+UNION ALL SELECT run_id, 'collapse', 'sample', s, NULL, NULL, m, 'Consensus sequences' FROM b UNION ALL SELECT run_id, 'collapse', 'run', NULL, NULL, NULL, m + 1, 'Consensus sequences' FROM w WHERE r % 2 = 0
+UNION ALL SELECT run_id, 'seqtag', 'sample', s, NULL, m, t, 'Seqtag matches' FROM b UNION ALL SELECT run_id, 'airr', 'sample', s, 'IG', t, t // 2, 'Productive sequences' FROM b
+UNION ALL SELECT run_id, 'airr', 'sample', s, 'tr', t, t // 3, 'Productive sequences' FROM b WHERE s < '3' AND r % 2 = 1)
+SELECT run_id, module, scope_type, sample, locus, i::BIGINT AS input, o::BIGINT AS output, label, round(o * 100.0 / nullif(i, 0), 6)::DOUBLE AS retained FROM e""")
+def module_summary(spark, sf_dir):
+    return runmeta.module_summary(full_records(spark, sf_dir))
+
+
+@query("""SELECT event_id, 'seq' || event_id || '|GROUP=' || user_id || '|N_KEEP=' || (event_id % 9) || '|UMI=' || event_type || CASE WHEN event_id % 3 = 0 THEN '|SPBC=P' || (event_id % 4) ELSE '|SPBC=S' || (event_id % 5) END
+ || CASE WHEN event_id % 2 = 0 THEN '|BC1=B' || (event_id % 7) ELSE '' END || '|SPBCID=s' || user_id AS header FROM events""")
+def consensus_headers(spark, sf_dir):
+    c = F.col
+    own = table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit("seq"), "event_id").alias("sequence_id"), c("user_id").alias("group"), (c("event_id") % 9).alias("n_keep"), c("event_type").alias("umi"),
+        F.when(c("event_id") % 3 == 0, F.concat(F.lit("P"), c("event_id") % 4)).alias("primer"), F.concat(F.lit("S"), c("event_id") % 5).alias("spbc"),
+        F.when(c("event_id") % 2 == 0, F.concat(F.lit("B"), c("event_id") % 7)).alias("bc1"), F.concat(F.lit("s"), "user_id").alias("spbcid"))
+    return consensus.with_header(own, "visiumhd").select("event_id", "header")
+
+
 @query(f"WITH {_FULL}, w AS (SELECT run_id, sum(n) AS a FROM b GROUP BY run_id) SELECT run_id, s AS sample, n AS assigned, round(n * 100.0 / a, 6)::DOUBLE AS pct_matched, round(n * 100.0 / (a + 10), 6)::DOUBLE AS pct_input FROM b JOIN w USING (run_id)")
 def demux_samples_share(spark, sf_dir):
     return runmeta.demux_overview(full_records(spark, sf_dir))

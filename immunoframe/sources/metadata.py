@@ -32,13 +32,50 @@ def _write(path: Path, text: str) -> None:
 
 
 def start_run(root: str, version: str) -> str:
-    """The run's id; made where the folder has none."""
+    """The run's id; made where the folder has none. Of several that start at once, all get the first one's."""
     path = Path(root, FOLDER, "run.json")
     if not path.exists():
-        _write(path, json.dumps({"schema_version": SCHEMA_VERSION, "run_id": str(uuid.uuid4()), "version": version, "created_at": dt.datetime.now(dt.UTC).isoformat()}))
+        own = path.with_name(f"run.{uuid.uuid4()}.json")
+        _write(own, json.dumps({
+            "schema_version": SCHEMA_VERSION, "run_id": str(uuid.uuid4()), "version": version, "run_root": str(Path(root).resolve()), "created_at": dt.datetime.now(dt.UTC).isoformat()}))
+        try:
+            os.link(own, path)  # fails where there is one by now
+        except FileExistsError:
+            pass
+        finally:
+            own.unlink()
     return json.loads(path.read_text())["run_id"]
 
 
+def copy_config(config: str, results: str) -> Path:
+    """A run's configuration next to its results, as it was at this time; an older copy is replaced."""
+    path = Path(results, Path(config).name)
+    _write(path, Path(config).read_text())
+    return path
+
+
+def locate(recorded: str, first_root: str, root: str) -> tuple[str, str | None]:
+    """Status and place of a recorded path, where a run's folder may have moved from ``first_root`` to ``root``.
+
+    A relative path lies below the first root. ``present``: where it was recorded; ``relocated``: at the same place below
+    the present root; ``missing`` (no place): at neither. The present root comes first.
+    """
+    old = Path(first_root, Path(recorded).expanduser()).resolve()
+    start = Path(first_root).resolve()
+    if old.is_relative_to(start):
+        here = (Path(root) / old.relative_to(start)).resolve()
+        if here.exists():
+            return ("present" if here == old else "relocated"), str(here)
+    return ("present", str(old)) if old.exists() else ("missing", None)
+
+
+def file_places(records: DataFrame, root: str) -> list[tuple[str, str, str, str, str | None]]:
+    """module, record_id, recorded path, status and place of every recorded file (a few for each record, looked up by the driver)."""
+    first_root = json.loads(Path(root, FOLDER, "run.json").read_text()).get("run_root") or root
+    each = records.select("module", "record_id", F.explode(F.map_values("files")).alias("path")).where("path is not null")
+    return [(r.module, r.record_id, r.path, *locate(r.path, first_root, root)) for r in each.orderBy("module", "record_id", "path").collect()]
+
+
 def find_root(start: str) -> Path | None:
     here = Path(start).resolve()
     return next((p for p in (here, *here.parents) if (p / FOLDER / "run.json").exists()), None)
@@ -101,8 +138,10 @@ def write_html(records: DataFrame, path: str) -> None:
     _write(Path(path), f"<!doctype html><meta charset=utf-8><title>Run report</title><style>{style}</style>{''.join(parts)}")
 
 
-def report(spark: SparkSession, root: str, strict: bool = False, validate_only: bool = False) -> list[str]:
-    """Writes summary.tsv and report.html; returns warnings. Errors (and with strict, warnings) raise."""
+def report(spark: SparkSession, root: str, strict: bool = False, validate_only: bool = False, summary: bool = True, page: bool = True) -> list[str]:
+    """Writes summary.tsv and report.html, or one of them; returns warnings. Errors (and with strict, warnings) raise."""
+    if not (summary or page or validate_only):
+        raise ValueError("neither summary nor page: use validate_only")
     records = read_records(spark, root)
     run_id = json.loads(Path(root, FOLDER, "run.json").read_text())["run_id"]
     bad = [f"{r.module}/{r.record_id}: {r.problem}" for r in runmeta.errors(records, run_id).collect()] + [f"{r.module}/{r.record_id}: misplaced" for r in misplaced(spark, root).collect()]
@@ -111,8 +150,9 @@ def report(spark: SparkSession, root: str, strict: bool = False, validate_only:
     warnings = [str(tuple(r)) for check in (runmeta.rises, runmeta.wrong_sums, runmeta.mismatches, runmeta.unexpected_samples, runmeta.sample_totals) for r in check(records).collect()]
     if strict and warnings:
         raise ValueError("; ".join(warnings))
-    if not validate_only:
+    if summary and not validate_only:
         write_summary(records, f"{root}/summary.tsv")
+    if page and not validate_only:
         write_html(records, f"{root}/report.html")
     return warnings
 

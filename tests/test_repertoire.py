@@ -1,5 +1,6 @@
 """Hand-worked cases of decoders, groups, consensus, anchors, V(D)J, clones, records and sources."""
 
+import itertools
 import json
 import random
 import sqlite3
@@ -338,6 +339,51 @@ def test_run_records_and_report(spark, tmp_path):
         metadata.report(spark, root)
 
 
+def test_neighbours_at_a_distance(spark):
+    seq = "ACGT"
+    for k in range(5):
+        want = sorted("".join(x) for x in itertools.product("ACGT", repeat=4) if sum(a != b for a, b in zip(x, seq)) == k)
+        got = spark.createDataFrame([(seq,)], "s string").select(S.neighbours(F.col("s"), distance=k).alias("n")).first().n
+        assert sorted(got) == want
+    odd = spark.createDataFrame([("",), (None,)], "s string").select(S.neighbours(F.col("s"), distance=2).alias("n")).collect()
+    assert [r.n for r in odd] == [[], None]
+
+
+def test_scalar(spark):
+    texts = ["12", "1.5", "true", "null", "plain text", '"quoted"', "[1, 2]", "", 'a "b" }c\\', None]
+    got = [json.loads(r.v) if r.v is not None else None for r in spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string").orderBy("i").select(F.to_json(S.scalar(F.col("t"))).alias("v")).collect()]
+    assert got == [12, 1.5, True, None, "plain text", "quoted", [1, 2], "", 'a "b" }c\\', None]
+
+
+def test_headers_by_library(spark):
+    own = spark.createDataFrame([("seq1", "g", 3, "AC", "P", "S", 1, "b2"), ("seq2", "h", 1, None, None, "S", None, None)], "sequence_id string, group string, conscount int, umi string, primer string, spbc string, x int, bc2 string")
+    got = {lib: [r.header for r in consensus.with_header(own, lib).orderBy("sequence_id").collect()] for lib in ("bulk", "visium", "visiumhd")}
+    assert got["bulk"] == ["seq1|GROUP=g|CONSCOUNT=3|UMI=AC", "seq2|GROUP=h|CONSCOUNT=1"]
+    assert got["visium"] == ["seq1|GROUP=g|CONSCOUNT=3|UMI=AC|SPBC=P|X=1", "seq2|GROUP=h|CONSCOUNT=1|SPBC=S"]
+    assert got["visiumhd"] == ["seq1|GROUP=g|CONSCOUNT=3|UMI=AC|SPBC=P|X=1|BC2=b2", "seq2|GROUP=h|CONSCOUNT=1|SPBC=S"]
+
+
+def test_run_that_moved(spark, tmp_path):
+    old, new, away = tmp_path / "old", tmp_path / "new", tmp_path / "away.fa"
+    old.mkdir()
+    run = metadata.start_run(str(old), "1")
+    assert metadata.start_run(str(old), "2") == run and [p.name for p in (old / metadata.FOLDER).iterdir()] == ["run.json"]
+    for p in (old / "a.fa", away):
+        p.write_text("x")
+    t = ("2024-01-01T10:00:00+00:00", "2024-01-01T10:01:30+00:00")
+    metadata.write_record(str(old), "filter", "run", {"input_reads": 4}, *t, files={"a": "a.fa", "b": str(old / "b.fa"), "c": str(away), "n": None})
+    kinds = lambda root: {r[2].rsplit("/", 1)[-1]: r[3] for r in metadata.file_places(metadata.read_records(spark, str(root)), str(root))}
+    assert kinds(old) == {"a.fa": "present", "b.fa": "missing", "away.fa": "present"}
+    old.rename(new)
+    assert kinds(new) == {"a.fa": "relocated", "b.fa": "missing", "away.fa": "present"}
+    (tmp_path / "config.yaml").write_text("n: 1")
+    assert metadata.copy_config(str(tmp_path / "config.yaml"), str(new)).read_text() == "n: 1"
+    with pytest.raises(ValueError, match="neither"):
+        metadata.report(spark, str(new), summary=False, page=False)
+    metadata.report(spark, str(new), page=False)
+    assert (new / "summary.tsv").exists() and not (new / "report.html").exists()
+
+
 def test_streaming_decode(spark, tmp_path):
     from immunoframe.streaming import ingest
 
