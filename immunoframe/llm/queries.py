@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, gru_lm, licenses, ngram_join, quality, sharding, toxicity, url_filter, warc
+from . import bpe, decontaminate, divergence, fim, gru_lm, licenses, main_text, ngram_join, quality, sharding, toxicity, url_filter, warc
 from .common import table
 
 #: (verdict, host, path) of the registered URL query.
@@ -57,10 +57,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_url_filter, op3_sharding, op4_lm_scoring, op5_decontamination, op6_quality_rules, op7_license_scan,
-        op8_ngram_jaccard_join, op9_warc, op10_bpe)}
+        op8_ngram_jaccard_join, op9_warc, op10_bpe, op11_main_text, op12_source_divergence, op13_fill_in_middle)}
 
 
 OP2_SQL = """
@@ -149,5 +161,66 @@ FROM page JOIN last USING (hx) JOIN b32 USING (hx)
 """
 
 
+#: For pages that name their article and hold only headings, paragraphs, line breaks and bold text in it, as those given do.
+OP11_SQL = r"""
+WITH own AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS h FROM pages),
+plain AS (SELECT page_id, url, regexp_replace(regexp_replace(h, '</?b>', '', 'g'), '<(/?p|br|/?h1)>', ' ', 'g') AS h FROM own),
+said AS (SELECT page_id, url, replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS h FROM plain),
+done AS (SELECT page_id, url, trim(regexp_replace(h, '\s+', ' ', 'g')) AS text FROM said)
+SELECT page_id, url, text, length(text) AS n_chars FROM done
+"""
+
+OP12_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+tok AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM doc),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+tot AS (SELECT lang, source, sum(n) AS t FROM cnt GROUP BY lang, source),
+cell AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.t, 0) + 5 * v.v) AS p
+  FROM grp g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN tot t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+base AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(w.t) + 5 * any_value(v.v)) AS q
+  FROM cnt JOIN (SELECT lang, sum(t) AS t FROM tot GROUP BY lang) w USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM cell a JOIN cell b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.f, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM cell JOIN base USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pair UNION ALL FROM term))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+OP13_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+  FROM documents),
+dealt AS (
+  SELECT doc_id, t, u, len(u) AS n, t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain,
+    ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2,
+    ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 AS spm FROM doc),
+parts AS (
+  SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form, t, array_to_string(u[1:least(c1, c2)], '') AS p,
+    array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m, array_to_string(u[greatest(c1, c2) + 1:], '') AS s FROM dealt)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op3_sharding": OP3_SQL, "op5_decontamination": OP5_SQL, "op7_license_scan": OP7_SQL, "op9_warc": OP9_SQL}
+    return {
+        "op2_url_filter": OP2_SQL, "op3_sharding": OP3_SQL, "op5_decontamination": OP5_SQL, "op7_license_scan": OP7_SQL, "op9_warc": OP9_SQL,
+        "op11_main_text": OP11_SQL, "op12_source_divergence": OP12_SQL, "op13_fill_in_middle": OP13_SQL,
+    }
