@@ -378,6 +378,55 @@ def test_members_beyond_the_length_field(monkeypatch):
     assert m.endswith(b"\0") and [f.payload for f in warc.salvage(m)] == [b"x" * ((1 << 24) + 5)]
 
 
+def test_archives_as_others_write_them(spark, tmp_path):
+    record = lambda i, digest="": f"WARC/1.0\r\nwarc-type: response\r\nPage-Id: {i}\r\nWARC-Target-URI: http://a/\r\n  b\r\ncontent-length: 3\r\n{digest}\r\nab{i}\r\n\r\n".encode()
+    hexed = hashlib.sha1(b"ab3").hexdigest()
+    good = [record(0), record(1, "WARC-Block-Digest: md5:00\r\n"), record(3, f"WARC-BLOCK-DIGEST: SHA1:{hexed}\r\n")]
+    (tmp_path / "crawl-1.warc.gz").write_bytes(warc.gzip_member(b"".join(good)) + warc.gzip_member(record(4)))
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "crawl-2.warc").write_bytes(record(5) + record(6))
+    (tmp_path / "notes.txt").write_bytes(b"no archive")
+    found = warc.read_warc(spark, str(tmp_path), "*.warc*").collect()
+    assert all(r.gap is None and r.payload == b"ab" + r.headers["Page-Id"].encode() and r.headers["WARC-Target-URI"] == "http://a/ b" for r in found)
+    assert sorted((r.headers["Page-Id"], r.inside) for r in found) == [("0", 0), ("1", len(good[0])), ("3", len(good[0] + good[1])), ("4", 0), ("5", None), ("6", None)]
+    assert warc.read_warc(spark, str(tmp_path)).where("gap is not null").count() == 1
+    bad = record(3, f"WARC-Block-Digest: sha1:{'0' * 40}\r\n")
+    member = warc.gzip_member(record(0) + bad + record(1))
+    assert [(f.gap, f.headers and f.headers["Page-Id"], f.inside) for f in warc.salvage(member)] == [("", "0", 0), ("block digest", None, len(record(0))), ("", "1", len(record(0) + bad))]
+
+
+def test_a_record_within_a_damaged_one_is_marked():
+    inner = warc.record_bytes("response", {"Page-Id": "99"}, b"quoted")
+    outer = warc.record_bytes("response", {"Page-Id": "1"}, b"before " + inner + b" after")
+    late = warc.record_bytes("response", {"Page-Id": "2"}, b"x")
+    found = [(f.headers["Page-Id"], f.inner) for f in warc.salvage(outer[:-2] + b"??" + late) if not f.gap]
+    assert found == [("99", True), ("2", False)]
+    assert [(f.headers["Page-Id"], f.inner) for f in warc.salvage(outer + late)] == [("1", False), ("2", False)]
+    cut = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Le"
+    assert [f.headers["Page-Id"] for f in warc.salvage(cut + late + b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 12" + late) if not f.gap] == ["2", "2"]
+
+
+def test_damage_takes_time_in_proportion():
+    for piece in (b"WARC/1.1\r\n", b"WARC/1.1\r\na: b\r\n WARC/1.1\r\n", b"WARC/1.1\r\na: b\r\n\r\n", b"a: b\r\n", b"x: WARC/1.1\r\n", b" WARC/1.1\r\n\r\n"):
+        raw = b"WARC/1.1\r\n" + piece * ((16 << 20) // len(piece))
+        began = time.process_time()
+        assert all(f.gap for f in warc.salvage(raw))
+        assert time.process_time() - began < 30, piece
+
+
+def test_warc_round_trip_of_odd_ids_and_large_pages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    large = "".join(random.Random(4).choices("abcdefghijklmnop", k=4_000_000))
+    pages = [(None, "u", "alone"), (None, "u", "twice"), (None, "u", "twice"), (1, "u", "both"), (None, "u", "both"), (5, "u", "same"), (5, "v", "same"), (6, "w", "one"), (6, "w", "other"), (8, "x", large), (9, "x", large), *[(i, "y", large[i:]) for i in range(10, 16)]]
+    df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, volume string").coalesce(1)
+    log = f"file://{tmp_path}/gaps"
+    out = warc.round_trip(df, log).collect()
+    assert sorted((repr(r.page_id), r.payload_bytes, r.payload_digest) for r in out) == sorted((repr(i), len(h), warc.base32_sha1(h.encode())) for i, _, h in pages)
+    kinds = collections.Counter((r.page_id, r.record_type, r.refers_to) for r in out if r.page_id not in range(10, 16))
+    assert kinds == collections.Counter({(None, "response", None): 3, (1, "response", None): 1, (None, "revisit", 1): 1, (5, "response", None): 2, (6, "response", None): 2, (9, "response", None): 1, (8, "revisit", 9): 1})
+    assert spark.read.parquet(log).count() == 0
+
+
 # --- 10 -----------------------------------------------------------------------------------------------
 
 def test_bpe(spark):
