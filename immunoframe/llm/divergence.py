@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, frugal, staged
+from .common import bounded_batches, frugal, staged, utf8
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-LOWER = {c: c + 32 for c in range(65, 91)}
+#: A term: ASCII letters and everything beyond ASCII, in lower-cased UTF-8.
+TERM = rb"[a-z\x80-\xff]+"
 #: Sums (group and term) that a task holds before it hands them on.
-HELD = 200_000
+HELD = 400_000
 #: Documents of its language that a term must occur in.
 MIN_DOCS = 30
 SCALE = 1_000_000_000
@@ -66,31 +66,25 @@ def term_counts(named: DataFrame) -> DataFrame:
     bounded_batches(named.sparkSession)
     term = re.compile(TERM)
 
-    def rows(held: dict[tuple[str, str], dict[str, list[int]]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), sums in held.items():
-            n, docs = zip(*sums.values(), strict=True)
+    def rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(sums)), pa.array([source] * len(sums)), pa.array(list(sums)), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
+                [pa.array([lang] * len(n)), pa.array([source] * len(n)), pa.array(list(n), pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64()), pa.array([docs[t] for t in n], pa.int64())],
                 names=["lang", "source", "term", "n", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[str, list[int]]] = {}
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         size = 0
         for b in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                found = Counter(term.findall(text.translate(LOWER)))
+            for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True):
+                found = term.findall(text.lower())
                 if not found:
                     continue
-                sums = held.setdefault((lang, source), {})
-                size -= len(sums)
-                for t, n in found.items():
-                    s = sums.get(t)
-                    if s is None:
-                        sums[t] = [n, 1]
-                    else:
-                        s[0] += n
-                        s[1] += 1
-                size += len(sums)
+                n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(n)
+                n.update(found)
+                docs.update(set(found))
+                size += len(n)
                 if size > HELD:
                     yield from rows(held)
                     held, size = {}, 0

@@ -153,7 +153,7 @@ def test_pages_are_read_in_linear_time():
 # --- 12 -----------------------------------------------------------------------------------------------
 
 def brute_audit(rows, min_docs, top):
-    docs = [(la or "", so or "", [t.translate(divergence.LOWER) for t in re.findall(r"[A-Za-z\x80-\U0010ffff]+", x or "")]) for _, x, la, so in rows]
+    docs = [(la or "", so or "", [t.translate({c: c + 32 for c in range(65, 91)}) for t in re.findall(r"[A-Za-z\x80-\U0010ffff]+", x or "")]) for _, x, la, so in rows]
     out = set()
     for lang in {d[0] for d in docs}:
         own = [d for d in docs if d[0] == lang]
