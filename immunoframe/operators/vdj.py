@@ -1,9 +1,20 @@
-"""V(D)J annotation against user-supplied germlines, and the AIRR columns that follow from it."""
+"""V(D)J annotation against user-supplied germlines, and the AIRR columns that follow from it.
+
+Germlines are few (thousands of alleles) and go to every task with their seeds; reads are not shuffled. In a task, seeds
+shared with a read bound the score that an allele can reach, and only alleles that can reach the best are aligned: many
+reads and alleles at once (:mod:`.align`), with gaps. Positions of a read follow from the way of its alignment, so an insertion or
+deletion moves the junction with it.
+
+Defined cases: null and empty reads, and reads without a V match, have null calls; letters other than A, C, G, T match no seed and
+count as mismatches; alleles of equal score are all named, in name order, and the first gives the positions; a
+conserved codon that the alignment does not reach, or that is deleted, gives a null junction; no germline of a segment gives null calls
+of it; repeated reads give equal rows; no reads give no rows; columns of the reads pass through.
+"""
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -11,114 +22,287 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from . import align
 
-SEED = 9
 MAX_GERMLINES = 200_000
-_CALL = (
-    "locus string, v_call string, d_call string, j_call string, c_call string, v_identity double, v_sequence_start int, "
-    "v_sequence_end int, d_sequence_start int, j_sequence_start int, junction_start int, junction_end int, rev_comp boolean")
+#: Reads that are annotated together.
+BLOCK = 256
+#: Bases of a seed and least score of a call, by segment.
+SEED = {"V": 9, "D": 6, "J": 8, "C": 9}
+LEAST = {"V": 12, "D": 8, "J": 9, "C": 12}
+_FIELDS = (
+    "locus string, v_call string, d_call string, j_call string, c_call string, v_score int, v_identity double, d_identity double, j_identity double, "
+    "v_sequence_start int, v_sequence_end int, v_germline_start int, v_germline_end int, d_sequence_start int, d_sequence_end int, "
+    "d_germline_start int, d_germline_end int, j_sequence_start int, j_sequence_end int, j_germline_start int, j_germline_end int, "
+    "v_cigar string, d_cigar string, j_cigar string, junction_start int, junction_end int, rev_comp boolean, "
+    "v_row string, v_germline string, d_row string, d_germline string, j_row string, j_germline string")
+_NAMES = [x.split()[0] for x in _FIELDS.split(", ")]
 #: Fixed value: the standard genetic code, bases in the order TCAG.
 AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+#: Columns of the IMGT unique numbering of V regions, first and last nucleotide.
+REGIONS = {"fwr1": (1, 78), "cdr1": (79, 114), "fwr2": (115, 165), "cdr2": (166, 195), "fwr3": (196, 312)}
+_TURN = str.maketrans("ACGTN", "TGCAN")
+
+
+class Hit(NamedTuple):
+    """The best alignment of a read with a segment: alleles, path, and where the searched part of the read begins."""
+
+    alleles: list[int]
+    score: int
+    found: align.Alignments
+    at: int
+    offset: int
+
+    @property
+    def start(self) -> int:
+        return self.offset + int(self.found.query_start[self.at])
+
+    @property
+    def end(self) -> int:
+        return self.offset + int(self.found.query_end[self.at])
+
+    def partner(self, position: int) -> int | None:
+        """The read base that stands at a germline position."""
+        to = self.found.partners[self.at]
+        if 0 <= position < len(to) and to[position] >= 0:
+            return self.offset + int(to[position])
+        return None
 
 
 class Index:
-    """Seeds of all germlines of one segment."""
+    """Germlines of one segment: allele, locus, sequence, anchor, gapped sequence; and the places of their seeds."""
+
+    def __init__(self, rows: list[tuple], k: int, least: int):
+        self.rows, self.k, self.least = sorted(rows, key=lambda r: r[0]), k, least
+        self.refs = [align.codes(r[2]) for r in self.rows]
+        self.sizes = np.array([len(r) for r in self.refs], np.int64)
+        seeds = [self._seeds(r) for r in self.refs]
+        code = np.concatenate([np.empty(0, np.int64), *seeds])
+        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
+        place = np.concatenate([np.empty(0, np.int64), *(np.arange(len(s)) for s in seeds)])
+        order = np.argsort(code, kind="stable")
+        order = order[np.searchsorted(code[order], 0) :]  # without those of other letters
+        self.owner, self.place = owner[order], place[order]
+        self.first = np.searchsorted(code[order], np.arange((1 << 2 * k) + 1))
 
-    def __init__(self, rows: list[tuple[str, str, str, int | None]]):
-        self.rows = rows  # allele, locus, sequence, anchor
-        self.seeds: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for g, (_, _, seq, _) in enumerate(rows):
-            for i in range(len(seq) - SEED + 1):
-                self.seeds[seq[i : i + SEED]].append((g, i))
+    def _seeds(self, seq: np.ndarray) -> np.ndarray:
+        """The number of the seed at each position, -1 where it has another letter."""
+        digit = np.full(256, -1, np.int64)
+        digit[list(b"ACGT")] = range(4)
+        base, n = digit[seq], len(seq) - self.k + 1
+        if n <= 0:
+            return np.empty(0, np.int64)
+        code, bad = np.zeros(n, np.int64), np.zeros(n, bool)
+        for i in range(self.k):
+            code = code * 4 + base[i : i + n]
+            bad |= base[i : i + n] < 0
+        return np.where(bad, -1, code)
 
-    def bound(self, votes: int, length: int) -> int:
-        """The most that a stretch of an overlap of this length can score with so many seeds in it.
+    def votes(self, read: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shared seeds of each allele; the allele and the diagonal of every shared seed."""
+        code = self._seeds(read)
+        at = np.flatnonzero(code >= 0)
+        low = self.first[code[at]]
+        count = self.first[code[at] + 1] - low
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        which = np.repeat(low - ends + count, count) + np.arange(total)
+        owner = self.owner[which]
+        return np.bincount(owner, minlength=len(self.rows)), owner, np.repeat(at, count) - self.place[which]
 
-        With m mismatches it has m + 1 runs of matches, each at most SEED - 1 longer than its seeds' number, so its
-        score is at most votes + 8 (m + 1) - 2 m, and at most length - 3 m.
+    def bounds(self, votes: np.ndarray, length: int) -> np.ndarray:
+        """The most that an alignment with an allele can score, given their shared seeds.
+
+        E errors (each costs 2 at least and takes a base) leave E + 1 runs of matches, each at most k - 1 longer than its
+        seeds' number: a score of votes + (k - 1) (E + 1) - 2 E at most, and of length - 3 E at most.
+        """
+        size, k = np.minimum(self.sizes, length), self.k
+        e = np.maximum(0, (size - votes - k + 1) // k)
+        most = np.maximum(*(np.minimum(votes + (k - 1) * (x + 1) - 2 * x, size - 3 * x) for x in (e, e + 1)))
+        return np.where(votes > 0, most, 0)
+
+    def best(self, reads: list[list[tuple[int, np.ndarray]]]) -> list[tuple[int, Hit] | None]:
+        """For each read, given as its candidates (offset, bases), the number of the winning candidate and its hit.
+
+        One allele of the most seeds is aligned first; then all that can still reach its score.
         """
-        m = max(0, (length - votes - (SEED - 1)) // SEED)
-        return max(min(votes + (SEED - 1) * (k + 1) - 2 * k, length - 3 * k) for k in (m, m + 1))
-
-    def best(self, read: str, start: int = 0, least: int = 12) -> tuple[list[int], int, int, int, float] | None:
-        """Best germlines, first read base, first germline base, length and identity of the best ungapped overlap."""
-        votes: dict[tuple[int, int], int] = defaultdict(int)
-        for i in range(start, len(read) - SEED + 1):
-            for g, j in self.seeds.get(read[i : i + SEED], ()):
-                votes[g, i - j] += 1
-        if not votes:
-            return None
-        open_ = []
-        for (g, shift), n in votes.items():
-            seq = self.rows[g][2]
-            a, b = max(shift, start), min(shift + len(seq), len(read))
-            if b - a >= min(least, len(seq)):
-                open_.append((-self.bound(n, b - a), -n, g, shift, a, b))
-        found, top = [], 0
-        for limit, n, g, shift, a, b in sorted(open_):
-            if -limit < top:
-                break  # none of the rest can reach the best
-            seq = self.rows[g][2]
-            same = np.frombuffer(read[a:b].encode(), np.uint8) == np.frombuffer(seq[a - shift : b - shift].encode(), np.uint8)
-            gain = np.cumsum(np.where(same, 1, -2))
-            low = np.minimum.accumulate(np.concatenate([[0], gain[:-1]]))
-            end = int(np.argmax(gain - low))
-            first = int(np.argmin(np.concatenate([[0], gain[: end + 1]])[: end + 1]))
-            score = int(gain[end] - low[end])
-            top = max(top, score)
-            found.append((score, (n, g, shift), g, a + first, a + first - shift, end + 1 - first, float(same[first : end + 1].mean())))
-        if not found or top < min(least, SEED):
-            return None
-        found.sort(key=lambda f: f[1])  # of equal stretches the one with most seeds
-        ties = sorted({f[2] for f in found if f[0] == top}, key=lambda g: self.rows[g][0])
-        one = next(f for f in found if f[0] == top and f[2] == ties[0])
-        return ties, one[3], one[4], one[5], one[6]
+        if not self.rows:
+            return [None] * len(reads)
+        jobs: list[tuple[int, int, int, int]] = []  # read, candidate, allele, diagonal
+        later: list[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]] = []
+        for r, some in enumerate(reads):
+            seen = []
+            for c, (_, bases) in enumerate(some):
+                votes, owner, diagonal = self.votes(bases)
+                if len(owner):
+                    seen.append((c, self.bounds(votes, len(bases)), owner, diagonal, votes))
+            later.append(seen)
+            if seen:
+                c, _, owner, diagonal, votes = max(seen, key=lambda s: int(s[4].max()))
+                g = int(votes.argmax())
+                jobs.append((r, c, g, self._main(owner, diagonal, [g])[0]))
+        begun = self._aligned(reads, jobs, True)
+        top = np.zeros(len(reads), np.int64)
+        known, done = {}, {}
+        for i, ((r, c, g, d), s) in enumerate(zip(jobs, begun.score.tolist(), strict=True)):
+            top[r], known[r, c, g], done[r, c, g] = s, (s, d), i
+        more = []
+        for r, seen in enumerate(later):
+            for c, bound, owner, diagonal, _ in seen:
+                able = [g for g in np.flatnonzero(bound >= max(top[r], self.least)).tolist() if (r, c, g) not in known]
+                more += [(r, c, g, d) for g, d in zip(able, self._main(owner, diagonal, able), strict=True)]
+        for (r, c, g, d), s in zip(more, self._aligned(reads, more, False).score.tolist(), strict=True):
+            known[r, c, g] = (s, d)
+        won: dict[int, tuple[int, int, list[tuple[int, int]]]] = {}
+        for (r, c, g), (s, d) in sorted(known.items()):  # the first candidate, alleles in name order
+            now = won.get(r)
+            if s >= self.least and (now is None or s > now[0]):
+                won[r] = (s, c, [(g, d)])
+            elif now is not None and (s, c) == now[:2]:
+                now[2].append((g, d))
+        places = [(r, c, *alleles[0]) for r, (_, c, alleles) in won.items() if (r, c, alleles[0][0]) not in done]
+        again = self._aligned(reads, places, True)
+        at = {(r, c, g): (again, i) for i, (r, c, g, _) in enumerate(places)} | {k: (begun, i) for k, i in done.items()}
+        out: list[tuple[int, Hit] | None] = [None] * len(reads)
+        for r, (score, c, alleles) in won.items():
+            out[r] = (c, Hit([g for g, _ in alleles], score, *at[r, c, alleles[0][0]], reads[r][c][0]))
+        return out
+
+    def _main(self, owner: np.ndarray, diagonal: np.ndarray, alleles: list[int]) -> list[int]:
+        """The diagonal with the most shared seeds of each allele, the least of equal ones."""
+        if not alleles:
+            return []
+        wanted = np.zeros(len(self.rows), bool)
+        wanted[alleles] = True
+        own = wanted[owner]
+        shift = int(diagonal.min())
+        width = int(diagonal.max()) - shift + 1
+        key, count = np.unique(owner[own] * width + (diagonal[own] - shift), return_counts=True)
+        order = np.lexsort((key, -count, key // width))
+        key = key[order]
+        first = np.flatnonzero(np.diff(key // width, prepend=-1))
+        return [int(k % width) + shift for k in key[first]]
+
+    def _aligned(self, reads: list[list[tuple[int, np.ndarray]]], jobs: list[tuple[int, int, int, int]], paths: bool) -> align.Alignments:
+        return align.local([reads[r][c][1] for r, c, _, _ in jobs], [self.refs[g] for _, _, g, _ in jobs], np.array([d for *_, d in jobs], np.int64), paths=paths)
 
 
 def annotate(reads: DataFrame, germlines: DataFrame, column: str = "sequence") -> DataFrame:
-    """reads with gene calls and positions (1-based). germlines: allele, locus, segment (V, D, J, C), seq, anchor.
+    """reads with gene calls, positions (1-based), cigars and the aligned rows of each segment.
 
-    anchor is the 0-based germline position of the conserved codon that begins (V) or ends (J) the junction.
-    Seeds shared with a germline give diagonals; the best ungapped stretch on any of them decides, equal
-    ones are listed together. The strand with the better V match counts. The germline set is bounded and checked.
+    germlines: allele, locus, segment (V, D, J, C), seq, anchor and, where the IMGT regions are wanted, gapped (the V sequence with
+    its dots). anchor is the 0-based germline position of the conserved codon that begins (V) or ends (J) the
+    junction. The best gapped local alignment decides; the strand with the better V match counts, the given one
+    where both are equal. J is searched behind V, D between them, C behind J. The germline set is bounded and checked.
     """
     ship_package(reads.sparkSession)
-    rows = [tuple(r) for r in germlines.select("allele", "locus", "segment", "seq", "anchor").limit(MAX_GERMLINES + 1).collect()]
+    gapped = F.col("gapped") if "gapped" in germlines.columns else F.lit(None).cast("string")
+    rows = [tuple(r) for r in germlines.select("allele", "locus", "segment", "seq", "anchor", gapped).limit(MAX_GERMLINES + 1).collect()]
     if len(rows) > MAX_GERMLINES:
         raise ValueError(f"more than {MAX_GERMLINES} germlines")
-    turn = str.maketrans("ACGTN", "TGCAN")
 
-    @F.pandas_udf(_CALL)
+    @F.pandas_udf(_FIELDS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = {s: Index([(a, lo, q.upper(), n) for a, lo, seg, q, n in rows if seg == s]) for s in "VDJC"}
+        index = index_of(rows)
         for b in batches:
-            yield pd.DataFrame([call(index, (s or "").upper(), turn) for s in b], columns=[x.split()[0] for x in _CALL.split(", ")])
+            done = []
+            for at in range(0, len(b), BLOCK):
+                done += call([(s or "").upper() for s in b.iloc[at : at + BLOCK]], index)
+            yield _frame(done)
 
     return reads.withColumn("_c", run(F.col(column))).select(*reads.columns, "_c.*")
 
 
-def call(index: dict[str, Index], read: str, turn: dict) -> tuple:
-    back = read.translate(turn)[::-1]
-    v, w = index["V"].best(read), index["V"].best(back)
-    rev = bool(w and (not v or w[3] * w[4] > v[3] * v[4]))
-    if rev:
-        read, v = back, w
-    if not v:
-        return (None,) * 12 + (None,)
-    names = lambda seg, hit: ",".join(index[seg].rows[g][0] for g in hit[0]) if hit else None
-    end = v[1] + v[3]
-    j = index["J"].best(read, end, 10)
-    d = index["D"].best(read[: j[1]] if j else read, end, 8)
-    c = index["C"].best(read, j[1] + j[3] if j else end)
-    allele, locus, seq, anchor = index["V"].rows[v[0][0]]
-    first = last = None
-    if anchor is not None and not np.isnan(anchor):
-        first = int(v[1] + (anchor - v[2])) + 1
-    if j:
-        stop = index["J"].rows[j[0][0]][3]
-        if stop is not None and not np.isnan(stop):
-            last = int(j[1] + (stop - j[2])) + 3
-    return (locus, names("V", v), names("D", d), names("J", j), names("C", c), v[4], v[1] + 1, end, d[1] + 1 if d else None, j[1] + 1 if j else None, first, last, rev)
+def index_of(rows: list[tuple]) -> dict[str, Index]:
+    """An index for each segment from (allele, locus, segment, seq, anchor, gapped)."""
+    return {s: Index([(a, lo, q.upper(), None if n is None or n != n else int(n), x and x.upper()) for a, lo, seg, q, n, x in rows if seg == s], SEED[s], LEAST[s]) for s in "VDJC"}
+
+
+def _frame(done: list[dict]) -> pd.DataFrame:
+    made = pd.DataFrame(done, columns=_NAMES, dtype=object)
+    return made.astype({x.split()[0]: "Int32" for x in _FIELDS.split(", ") if x.endswith(" int")} | {x.split()[0]: "float64" for x in _FIELDS.split(", ") if x.endswith(" double")})
+
+
+def call(reads: list[str], index: dict[str, Index]) -> list[dict]:
+    """The fields of each read."""
+    both = [(s, s.translate(_TURN)[::-1]) for s in reads]
+    v = index["V"].best([[(0, align.codes(x)) for x in pair] if pair[0] else [] for pair in both])
+    own = [both[r][hit[0]] if hit else "" for r, hit in enumerate(v)]
+    bases = [align.codes(s) for s in own]
+
+    def behind(segment: str, start: list[int], end: list[int]) -> list[Hit | None]:
+        parts = [[(a, bases[r][a:b])] if v[r] and b > a else [] for r, (a, b) in enumerate(zip(start, end, strict=True))]
+        return [hit and hit[1] for hit in index[segment].best(parts)]
+
+    v_end, size = [hit[1].end if hit else 0 for hit in v], [len(s) for s in own]
+    j = behind("J", v_end, size)
+    d = behind("D", v_end, [hit.start if hit else n for hit, n in zip(j, size, strict=True)])
+    c = behind("C", [hit.end if hit else e for hit, e in zip(j, v_end, strict=True)], size)
+    return [_fields(own[r], index, v[r][1], bool(v[r][0]), d[r], j[r], c[r]) if v[r] else {} for r in range(len(reads))]
+
+
+def _fields(read: str, index: dict[str, Index], v: Hit, rev: bool, d: Hit | None, j: Hit | None, c: Hit | None) -> dict:
+    out: dict = {"rev_comp": rev, "locus": index["V"].rows[v.alleles[0]][1], "v_score": v.score}
+    for seg, hit in (("V", v), ("D", d), ("J", j), ("C", c)):
+        if hit is None:
+            continue
+        s, a, p = seg.lower(), hit.found, hit.at
+        out[f"{s}_call"] = ",".join(index[seg].rows[g][0] for g in hit.alleles)
+        if seg == "C":
+            continue
+        out |= {
+            f"{s}_identity": float(a.matches[p] / a.columns[p]), f"{s}_sequence_start": hit.start + 1, f"{s}_sequence_end": hit.end,
+            f"{s}_germline_start": int(a.ref_start[p]) + 1, f"{s}_germline_end": int(a.ref_end[p]),
+            f"{s}_cigar": align.cigar(_shifted(a, p, hit.offset), 0, len(read))}
+        _, _, seq, anchor, gapped = index[seg].rows[hit.alleles[0]]
+        if seg == "V":
+            out["v_row"], out["v_germline"] = _numbered_rows(read, seq, gapped, hit)
+            first = None if anchor is None else hit.partner(anchor)
+            out["junction_start"] = None if first is None else first + 1
+        else:
+            out[f"{s}_row"], out[f"{s}_germline"] = _rows(read, seq, hit)
+            if seg == "J":
+                last = None if anchor is None else hit.partner(anchor + 2)
+                out["junction_end"] = None if last is None else last + 1
+    return out
+
+
+def _shifted(a: align.Alignments, p: int, offset: int) -> align.Alignments:
+    """One pair of a batch with its query positions counted from the read's begin."""
+    to = a.partners[p]
+    return align.Alignments(*(x[p : p + 1] + (offset if i in (3, 4) else 0) for i, x in enumerate(a[:7])), [np.where(to >= 0, to + offset, to)])
+
+
+def _numbered_rows(read: str, seq: str, gapped: str | None, hit: Hit) -> tuple[str, str]:
+    """The read and the V germline in the germline's own numbering, up to the end of the alignment.
+
+    Insertions of the read have no column there and are left out, deletions are '-'; '.' stands for columns that the
+    allele lacks or that lie before the alignment.
+    """
+    to, end = hit.found.partners[hit.at], int(hit.found.ref_end[hit.at])
+    letters = np.concatenate([align.codes(read), np.frombuffer(b"-.", np.uint8)])
+    picked = letters[np.where(to[:end] >= 0, to[:end] + hit.offset, np.where(to[:end] == align.DELETED, len(read), len(read) + 1))]
+    whole = align.codes(gapped) if gapped else align.codes(seq)
+    held = whole != ord(".")
+    if held.sum() != len(seq):
+        raise ValueError("a gapped germline has other bases than its sequence")
+    stop = int(np.flatnonzero(held)[end - 1]) + 1
+    row = np.full(stop, ord("."), np.uint8)
+    row[held[:stop]] = picked
+    return row.tobytes().decode(), whole[:stop].tobytes().decode()
+
+
+def _rows(read: str, seq: str, hit: Hit) -> tuple[str, str]:
+    """The aligned stretches of read and germline, '-' for a base without partner."""
+    first, last = int(hit.found.ref_start[hit.at]), int(hit.found.ref_end[hit.at])
+    to = hit.found.partners[hit.at][first:last]
+    there = np.flatnonzero(to >= 0)
+    own, other = [read[to[0] + hit.offset]], [seq[first]]
+    for a, b in zip(there[:-1], there[1:], strict=True):
+        gone, more = int(b - a) - 1, read[to[a] + hit.offset + 1 : to[b] + hit.offset]
+        own += ["-" * gone, more, read[to[b] + hit.offset]]
+        other += [seq[first + a + 1 : first + b], "-" * len(more), seq[first + b]]
+    return "".join(own), "".join(other)
 
 
 def translate(seq: F.Column) -> F.Column:
@@ -130,10 +314,32 @@ def translate(seq: F.Column) -> F.Column:
 
 
 def to_airr(annotated: DataFrame) -> DataFrame:
-    """Junction and its reading frame: junction, junction_aa, junction_length, vj_in_frame, stop_codon, productive."""
-    seq = F.when(F.col("rev_comp"), F.reverse(F.translate(F.upper("sequence"), "ACGT", "TGCA"))).otherwise(F.upper("sequence"))
-    ok = F.col("junction_start").isNotNull() & F.col("junction_end").isNotNull() & (F.col("junction_start") >= 1) & (F.col("junction_end") <= F.length("sequence")) & (F.col("junction_end") > F.col("junction_start"))
-    own = annotated.withColumn("junction", F.when(ok, F.substr(seq, F.col("junction_start"), F.col("junction_end") - F.col("junction_start") + 1)))
-    own = own.withColumn("junction_length", F.length("junction")).withColumn("junction_aa", translate(F.col("junction")))
-    own = own.withColumn("vj_in_frame", F.col("junction_length") % 3 == 0).withColumn("stop_codon", F.col("junction_aa").contains("*"))
-    return own.withColumn("productive", F.coalesce(F.col("vj_in_frame") & ~F.col("stop_codon"), F.lit(False)))
+    """Junction and its reading frame, bases between the segments, aligned sequences and regions.
+
+    junction, junction_aa, junction_length, vj_in_frame, stop_codon, productive; np1 (between V and D, or V and J without
+    a D) and np2 (between D and J) with their lengths; sequence_alignment and germline_alignment over V, D and J, N in the
+    germline where no segment lies; fwr1 to fwr3, cdr1 and cdr2 by the columns of the numbering (null where the V row
+    does not reach their end), cdr3 (the junction without its two conserved codons) and fwr4.
+    """
+    turned = F.when(F.col("rev_comp"), F.reverse(F.translate(F.upper("sequence"), "ACGT", "TGCA"))).otherwise(F.upper("sequence"))
+    own = annotated.withColumn("_seq", turned)
+    part = lambda a, b: F.when(b >= a, F.substr("_seq", a, b - a + 1)).otherwise(F.when(a.isNotNull() & b.isNotNull(), ""))
+    c = F.col
+    ok = (c("junction_start") >= 1) & (c("junction_end") <= F.length("_seq")) & (c("junction_end") > c("junction_start"))
+    own = own.withColumn("junction", F.when(ok, part(c("junction_start"), c("junction_end"))))
+    own = own.withColumn("junction_length", F.length("junction")).withColumn("junction_aa", translate(c("junction")))
+    own = own.withColumn("vj_in_frame", c("junction_length") % 3 == 0).withColumn("stop_codon", c("junction_aa").contains("*"))
+    own = own.withColumn("productive", F.coalesce(c("vj_in_frame") & ~c("stop_codon"), F.lit(False)))
+    own = own.withColumn("np1", part(c("v_sequence_end") + 1, F.coalesce(c("d_sequence_start"), c("j_sequence_start")) - 1))
+    own = own.withColumn("np2", part(c("d_sequence_end") + 1, c("j_sequence_start") - 1))
+    own = own.withColumn("np1_length", F.length("np1")).withColumn("np2_length", F.length("np2"))
+    some = lambda *names: F.concat(*[F.coalesce(n, F.lit("")) for n in names])
+    blank = lambda n: F.repeat(F.lit("N"), F.coalesce(F.length(n), F.lit(0)))
+    own = own.withColumn("sequence_alignment", F.when(c("v_row").isNotNull(), some(c("v_row"), c("np1"), c("d_row"), c("np2"), c("j_row"))))
+    own = own.withColumn("germline_alignment", F.when(c("v_row").isNotNull(), some(c("v_germline"), blank("np1"), c("d_germline"), blank("np2"), c("j_germline"))))
+    bases = lambda x: F.regexp_replace(x, "[.-]", "")
+    for name, (a, b) in REGIONS.items():
+        own = own.withColumn(name, F.when(c("v_germline").contains(".") & (F.length("v_row") >= b), bases(F.substr("v_row", F.lit(a), F.lit(b - a + 1)))))
+    own = own.withColumn("cdr3", F.when(F.length("junction") >= 6, F.substr("junction", F.lit(4), F.length("junction") - 6)))
+    own = own.withColumn("fwr4", F.when(c("junction").isNotNull(), part(c("junction_end") - 2, c("j_sequence_end"))))
+    return own.drop("_seq", "v_row", "v_germline", "d_row", "d_germline", "j_row", "j_germline")

@@ -666,10 +666,67 @@ def molecule_alignment(spark, sf_dir):
     return consensus.consensus(consensus.align_groups(bounded, "user_id"), "user_id", max_error=1.0)
 
 
-@query()
+def amino_acids(seq: str) -> str:
+    """SQL that translates whole codons of A, C, G, T."""
+    digit = lambda k: f"(strpos('TCAG', substr({seq}, 3 * i + {k}, 1)) - 1)"
+    return f"array_to_string(list_transform(range(0, length({seq}) // 3), lambda i: substr('{vdj.AMINO_ACIDS}', 1 + 16 * {digit(1)} + 4 * {digit(2)} + {digit(3)}, 1)), '')"
+
+
+_V = [("IGHV1*01", "ACGTTGCAACGGTTAACCTGGATCTGT"), ("IGHV2*01", "GGATCCTTAGCATGCATTACGGATTGT")]
+_J = [("IGHJ1*01", "TGGGGCCAAGGAACC"), ("IGHJ2*01", "TGGGGTCGTGGTACA")]
+_INSERT = f"substr({dna('user_id')}, 1, CAST(9 + event_id % 4 AS INT))"
+_GERMLINES = "allele string, locus string, segment string, seq string, anchor int"
+
+
+@query(f"""WITH p AS (SELECT event_id, 'TGT' || {_INSERT} || 'TGG' AS junction FROM events), a AS (SELECT *, {amino_acids('junction')} AS junction_aa FROM p)
+SELECT event_id AS read_id, CASE WHEN event_id % 2 = 0 THEN 'IGHV1*01' ELSE 'IGHV2*01' END AS v_call, CASE WHEN event_id % 3 = 0 THEN 'IGHJ1*01' ELSE 'IGHJ2*01' END AS j_call,
+  junction, junction_aa, length(junction)::INT AS junction_length, length(junction) % 3 = 0 AND NOT contains(junction_aa, '*') AS productive FROM a""")
 def vdj_annotation(spark, sf_dir):
-    v = [(f"IGHV{i}*01", "IGH", "V", s) for i, s in ((1, "ACGTTGCAACGGTTAACCTGGATCTGT"), (2, "GGATCCTTAGCATGCATTACGGATTGT"))]
-    j = [(f"IGHJ{i}*01", "IGH", "J", s) for i, s in ((1, "TGGGGCCAAGGAACC"), (2, "TGGGGTCGTGGTACA"))]
-    g = spark.createDataFrame([(*r, len(r[3]) - 3) for r in v] + [(*r, 0) for r in j], "allele string, locus string, segment string, seq string, anchor int")
-    e = table(spark, sf_dir, "events").selectExpr("event_id AS read_id", f"concat(CASE WHEN event_id % 2 = 0 THEN '{v[0][3]}' ELSE '{v[1][3]}' END, substr({dna('user_id')}, 1, CAST(9 + event_id % 4 AS INT)), CASE WHEN event_id % 3 = 0 THEN '{j[0][3]}' ELSE '{j[1][3]}' END) AS sequence")
+    """Reads of a V, an insert and a J."""
+    g = spark.createDataFrame([(n, "IGH", "V", s, len(s) - 3) for n, s in _V] + [(n, "IGH", "J", s, 0) for n, s in _J], _GERMLINES)
+    e = table(spark, sf_dir, "events").selectExpr("event_id AS read_id", f"concat(CASE WHEN event_id % 2 = 0 THEN '{_V[0][1]}' ELSE '{_V[1][1]}' END, {_INSERT}, CASE WHEN event_id % 3 = 0 THEN '{_J[0][1]}' ELSE '{_J[1][1]}' END) AS sequence")
     return vdj.to_airr(vdj.annotate(e, g)).select("read_id", "v_call", "j_call", "junction", "junction_aa", "junction_length", "productive")
+
+
+#: Germlines whose planted insertion and deletion can be aligned in one way only.
+LONG = {
+    "V": [("TRBV1*01", "ATTACCGCACCCAACTTTGATTGGGTCATAAACAAACATCATGTTTCTGGAGGCGGTTTGTGAGACCGACAAACGCGATAGTGTGCGAGA"),
+          ("TRBV2*01", "GGGAGGGACATTAGTATGCCCATTATTGGAAACTGACTGTGTATTTCAAAATGCGGGCTCGCGGACTCTTTCAATCCCCTATGTGCGAGA")],
+    "D": [("TRBD1*01", "CAGCCTAATTTTAAGCTG"), ("TRBD2*01", "AAACTAGGATACCAATGAGG")],
+    "J": [("TRBJ1*01", "TGGGGCCAAGGGACCTTGGATTACAGAAAGTTA"), ("TRBJ2*01", "TGGGGTCGTGGTACATCCGTTGAACCCCTCACG")],
+    "C": [("TRBC1*01", "CCGGATATGGCACAGTCGAGGAAAACGAATCTGCAGTAGT"), ("TRBC2*01", "CATTACTATCTGGGCTTTTCTTGCTGCGTCTGAAGTCCTA")],
+}
+_ANCHOR = {"V": 81, "J": 0}
+
+
+def _dealt(segment: str, field: int, key: str) -> str:
+    return f"CASE WHEN ({key}) % 2 = 0 THEN '{LONG[segment][0][field]}' ELSE '{LONG[segment][1][field]}' END"
+
+
+#: Of four reads one has 3 bases of V deleted, one 2 inserted, one a wrong base, each before the junction; one in seven is turned.
+_PARTS = {
+    "lead": f"substr({dna('event_id')}, 1, CAST(event_id % 9 AS INT))", "v": _dealt("V", 1, "event_id"), "d": _dealt("D", 1, "user_id"), "j": _dealt("J", 1, "event_id + user_id"),
+    "c": _dealt("C", 1, "user_id + 1"), "n1": f"substr({dna('event_id + 7')}, 1, CAST(event_id % 5 AS INT))", "n2": f"substr({dna('event_id + 8')}, 1, CAST(event_id % 4 AS INT))",
+    "v_call": _dealt("V", 0, "event_id"), "d_call": _dealt("D", 0, "user_id"), "j_call": _dealt("J", 0, "event_id + user_id"), "c_call": _dealt("C", 0, "user_id + 1"),
+}
+_DAMAGED = ("CASE event_id % 4 WHEN 0 THEN v WHEN 1 THEN substr(v, 1, 40) || substr(v, 44) WHEN 2 THEN substr(v, 1, 50) || 'AC' || substr(v, 51) "
+            "ELSE substr(v, 1, 60) || translate(substr(v, 61, 1), 'ACGT', 'CATG') || substr(v, 62) END")
+
+
+@query(f"""WITH p AS (SELECT event_id, {', '.join(f'{x} AS {n}' for n, x in _PARTS.items())} FROM events),
+r AS (SELECT *, {_DAMAGED} AS own, substr(v, 82) || n1 || d || n2 || substr(j, 1, 3) AS junction FROM p), a AS (SELECT *, {amino_acids('junction')} AS junction_aa FROM r)
+SELECT event_id AS read_id, 'TRB' AS locus, v_call, d_call, j_call, c_call, event_id % 7 = 0 AS rev_comp, (length(lead) + 1)::INT AS v_sequence_start, (length(lead || own))::INT AS v_sequence_end,
+  CASE WHEN lead = '' THEN '' ELSE length(lead) || 'S' END || CASE event_id % 4 WHEN 1 THEN '40M3D47M' WHEN 2 THEN '50M2I40M' ELSE '90M' END
+    || length(n1 || d || n2 || j || c) || 'S' AS v_cigar,
+  round(CASE event_id % 4 WHEN 1 THEN 87 / 90.0 WHEN 2 THEN 90 / 92.0 WHEN 3 THEN 89 / 90.0 ELSE 1.0 END, 6)::DOUBLE AS v_identity,
+  junction, junction_aa, length(junction)::INT AS junction_length, length(junction) % 3 = 0 AND NOT contains(junction_aa, '*') AS productive,
+  CASE event_id % 4 WHEN 1 THEN substr(v, 1, 40) || '---' || substr(v, 44) WHEN 3 THEN own ELSE v END AS v_alignment FROM a""")
+def vdj_indels(spark, sf_dir):
+    """Reads with planted insertions and deletions: the junction moves with them."""
+    g = spark.createDataFrame([(n, "TRB", seg, s, _ANCHOR.get(seg)) for seg, some in LONG.items() for n, s in some], _GERMLINES)
+    parts = table(spark, sf_dir, "events").selectExpr("event_id", *[f"{x} AS {n}" for n, x in _PARTS.items()])
+    whole = parts.selectExpr("event_id AS read_id", f"concat(lead, {_DAMAGED}, n1, d, n2, j, c) AS sequence")
+    turned = whole.withColumn("sequence", F.when(F.col("read_id") % 7 == 0, S.reverse_complement(F.col("sequence"))).otherwise(F.col("sequence")))
+    return vdj.to_airr(vdj.annotate(turned, g)).select(
+        "read_id", "locus", "v_call", "d_call", "j_call", "c_call", "rev_comp", "v_sequence_start", "v_sequence_end", "v_cigar", F.round("v_identity", 6).alias("v_identity"),
+        "junction", "junction_aa", "junction_length", "productive", F.substring("sequence_alignment", 1, 90).alias("v_alignment"))

@@ -3,13 +3,15 @@
 import itertools
 import json
 import random
+import re
 import sqlite3
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from immunoframe.functions import sequence as S
-from immunoframe.operators import anchors, barcodes, clones, components, consensus, filters, groups, runmeta, vdj
+from immunoframe.operators import align, anchors, barcodes, clones, components, consensus, filters, groups, runmeta, vdj
 from immunoframe.plans import pipelines, queries
 from immunoframe.sources import metadata, sequences
 
@@ -208,38 +210,159 @@ def test_vdj(spark):
     assert out[2][1:] == out[3][1:] == (None, None, None, None, False)
 
 
-def brute_best(germlines, read):
-    """The best score of an ungapped stretch on any diagonal with a seed, and the alleles that have it."""
-    scores = {}
-    for name, seq in germlines:
-        for shift in range(-len(seq) + 1, len(read)):
-            a, b = max(shift, 0), min(shift + len(seq), len(read))
-            same = [read[i] == seq[i - shift] for i in range(a, b)]
-            if b - a < 12 or not any(all(same[i : i + 9]) for i in range(len(same) - 8)):
-                continue
-            now = 0
-            for x in same:
-                now = max(now, 0) + (1 if x else -2)
-                scores[name] = max(scores.get(name, 0), now)
-    top = max(scores.values(), default=0)
-    return sorted(n for n, s in scores.items() if s == top) if top >= 9 else None
-
-
-def test_every_germline_that_can_be_best_is_scored():
+def plain_alignment(query, ref):
+    """Score, begin and end in reference and query, matches and columns of the best local alignment, cell by cell."""
+    n, m, no = len(ref), len(query), -(10**6)
+    h, p, f, g = ([[x] * (m + 1) for _ in range(n + 1)] for x in (0, no, no, no))
+    best = (0, 0, 0)
+    for i in range(1, n + 1):
+        for j in range(1, m + 1):
+            f[i][j] = max(h[i - 1][j] - 4, f[i - 1][j] - 1)
+            g[i][j] = max(h[i][j - 1] - 4, g[i][j - 1] - 1)
+            p[i][j] = h[i - 1][j - 1] + (1 if query[j - 1] == ref[i - 1] else -2)
+            h[i][j] = max(0, p[i][j], f[i][j], g[i][j])
+            if h[i][j] > best[0]:
+                best = (h[i][j], i, j)
+    (score, i, j), same, columns, mode = best, 0, 0, "h"
+    while mode != "h" or h[i][j] > 0:
+        if mode == "h":
+            mode = "h" if h[i][j] == p[i][j] else "f" if h[i][j] == f[i][j] else "g"
+            if mode == "h":
+                same += query[j - 1] == ref[i - 1]
+                columns, i, j = columns + 1, i - 1, j - 1
+            continue
+        columns += 1
+        if mode == "f":
+            mode, i = "h" if f[i][j] == h[i - 1][j] - 4 else "f", i - 1
+        else:
+            mode, j = "h" if g[i][j] == h[i][j - 1] - 4 else "g", j - 1
+    return (score, i, best[1], j, best[2], same, columns) if score else (0,) * 7
+
+
+def text(rng, n):
+    return "".join(rng.choice("ACGT") for _ in range(n))
+
+
+def damaged(rng, seq, rate):
+    out = []
+    for c in seq:
+        x = rng.random() / rate
+        out.append(c if x > 1 else "" if x < 0.25 else c + text(rng, rng.randint(1, 4)) if x < 0.5 else rng.choice("ACGTN"))
+    return "".join(out)
+
+
+def test_alignment_against_cell_by_cell():
+    rng = random.Random(5)
+    refs = [text(rng, rng.randint(5, 90)) for _ in range(150)]
+    leads = [text(rng, rng.randint(0, 12)) for _ in refs]
+    queries_ = [lead + damaged(rng, r, 0.06)[rng.randint(0, 5) :] + text(rng, rng.randint(0, 12)) for lead, r in zip(leads, refs, strict=True)]
+    queries_[:3] = ["", "漢字ACGT" * 5, text(rng, 40)]
+    a = align.local([align.codes(q) for q in queries_], [align.codes(r) for r in refs], np.array([len(x) for x in leads]))
+    for i, (q, r) in enumerate(zip(queries_, refs, strict=True)):
+        want = plain_alignment(q.encode("ascii", "replace").decode(), r)
+        got = tuple(int(x[i]) for x in a[:7])
+        assert got[0] == want[0] and (not want[0] or got == want)
+        parts = [(int(n), k) for n, k in re.findall(r"([0-9]+)([SNMDI])", align.cigar(a, i, len(q)))]
+        if want[0]:
+            assert sum(n for n, k in parts if k in "SMI") == len(q) and sum(n for n, k in parts if k in "NMD") == want[2]
+            assert sum(n for n, k in parts if k in "MDI") == want[6]
+
+
+def test_alignment_in_many_tables(monkeypatch):
+    rng = random.Random(6)
+    refs = [text(rng, rng.randint(5, 200)) for _ in range(60)]
+    own = [align.codes(damaged(rng, r, 0.05)) for r in refs]
+    args = (own, [align.codes(r) for r in refs], np.zeros(60, np.int64))
+    whole = align.local(*args)
+    monkeypatch.setattr(align, "CELLS", 1)
+    monkeypatch.setattr(align, "PAIRS", 7)
+    assert all((x == y).all() for x, y in zip(align.local(*args)[:7], whole[:7], strict=True))
+    assert (align.local(*args, paths=False).score == whole.score).all()
+
+
+def best_of(index, read):
+    hit = index.best([[(0, align.codes(read))]])[0]
+    return hit and [index.rows[g][0] for g in hit[1].alleles]
+
+
+def test_every_germline_that_can_be_best_is_aligned():
     rng = random.Random(9)
-    text = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
-    shared = text(60)
-    family = [(f"V1*{i:02}", text(20) + shared) for i in range(30)]  # a 3' read cannot tell them apart
-    index = vdj.Index([(n, "IGH", s, None) for n, s in family])
-    assert [family[g][0] for g in index.best(shared)[0]] == [n for n, _ in family]
-    base = text(70)
-    near = [(f"V{i:02}", "".join(rng.choice("ACGT") if rng.random() < rng.choice([0.02, 0.15]) else c for c in base)) for i in range(40)]
-    index = vdj.Index([(n, "IGH", s, None) for n, s in near])
-    for _ in range(60):
-        own = "".join(rng.choice("ACGT") if rng.random() < 0.12 else c for c in rng.choice(near)[1])
-        read = text(rng.randint(0, 8)) + own[rng.randint(0, 30) :] + text(rng.randint(0, 8))
-        hit = index.best(read)
-        assert (hit and [near[g][0] for g in hit[0]]) == brute_best(near, read)
+    shared = text(rng, 60)
+    family = [(f"V1*{i:02}", "IGH", text(rng, 20) + shared, None, None) for i in range(30)]  # a 3' read cannot tell them apart
+    assert best_of(vdj.Index(family, 9, 12), shared) == [f[0] for f in family]
+    base = text(rng, 70)
+    near = [(f"V{i:02}", "IGH", "".join(rng.choice("ACGT") if rng.random() < rng.choice([0.02, 0.15]) else c for c in base), None, None) for i in range(25)]
+    index = vdj.Index(near, 9, 12)
+    for _ in range(25):
+        read = text(rng, rng.randint(0, 8)) + damaged(rng, rng.choice(near)[2], 0.1)[rng.randint(0, 30) :] + text(rng, rng.randint(0, 8))
+        scores = {n: plain_alignment(read, s)[0] for n, _, s, _, _ in near if any(read[i : i + 9] in s for i in range(len(read) - 8))}
+        top = max(scores.values(), default=0)
+        assert best_of(index, read) == (sorted(n for n, s in scores.items() if s == top) if top >= 12 else None)
+
+
+def test_junction_moves_with_indels(spark):
+    rng = random.Random(10)
+    v, d, j, c = text(rng, 281) + "TGTGCGAGA", text(rng, 20), "TGGGGCCAAGGGACC" + text(rng, 20), text(rng, 60)
+    g = spark.createDataFrame([("V1*01", "IGH", "V", v, 281), ("D1*01", "IGH", "D", d, None), ("J1*01", "IGH", "J", j, 0), ("C1*01", "IGH", "C", c, None), ("C2*01", "IGH", "C", text(rng, 60), None)],
+                              "allele string, locus string, segment string, seq string, anchor int")
+    tail = "GC" + d + "A" + j + c
+    reads = {"whole": v, "deleted at 200": v[:200] + v[203:], "deleted at 120": v[:120] + v[123:], "inserted": v[:100] + "ACGTA" + v[100:], "late begin": v[150:], "codon gone": v[:280] + v[284:]}
+    out = {r.i: r for r in vdj.to_airr(vdj.annotate(spark.createDataFrame([(k, x + tail) for k, x in reads.items()] + [("J lost", v + "GC" + d)], "i string, sequence string"), g)).collect()}
+    for k, x in reads.items():
+        r = out[k]
+        assert (r.v_call, r.d_call, r.j_call, r.c_call, r.locus, r.v_sequence_start, r.rev_comp) == ("V1*01", "D1*01", "J1*01", "C1*01", "IGH", 1, False), k
+        if k == "codon gone":
+            assert r.junction is None or len(r.junction) % 3 or r.junction.startswith("TGT")
+            continue
+        assert r.v_sequence_end == len(x) and r.junction == "TGTGCGAGAGC" + d + "ATGG" and (r.np1, r.np2, r.np1_length, r.np2_length) == ("GC", "A", 2, 1), k
+    assert out["late begin"].v_germline_start == 151 and out["deleted at 200"].v_identity == pytest.approx(287 / 290)
+    assert out["J lost"].junction is None and out["J lost"].j_call is None and not out["J lost"].productive
+
+
+def test_regions_by_hand(spark):
+    """A V with one missing column in CDR1 and ten in CDR2; the read lacks a base of FWR3 and has one too many in FWR2."""
+    rng = random.Random(11)
+    bases = text(rng, 81) + "C" + text(rng, 225 - 3) + "TGT" + "GCGAGA"
+    gapped = list("x" * 318)
+    for at in [90, *range(170, 180)]:
+        gapped[at] = "."
+    it = iter(bases)
+    gapped = "".join(c if c == "." else next(it, "") for c in gapped)
+    assert gapped.replace(".", "") == bases[: 318 - 11]
+    v = gapped.replace(".", "")
+    anchor = len(v) - 9
+    v = v[:anchor] + "TGTGCGAGA"
+    gapped = gapped[:309] + "TGTGCGAGA"
+    j = "TGGGGCCAAGGGACCACGGTCACC"
+    at = {n: (len(gapped[: a - 1].replace(".", "")), len(gapped[:b].replace(".", ""))) for n, (a, b) in vdj.REGIONS.items()}
+    insert, delete = at["fwr2"][0] + 20, at["fwr3"][0] + 30
+    while v[insert - 1 : insert + 1].count("G") or v[insert - 1] == v[insert]:
+        insert += 1
+    while v[delete] in (v[delete - 1], v[delete + 1]):
+        delete += 1
+    read = v[:insert] + "G" + v[insert:delete] + v[delete + 1 :] + "AA" + j
+    g = spark.createDataFrame([("V1*01", "IGH", "V", v, anchor, gapped), ("J1*01", "IGH", "J", j, 0, None)], "allele string, locus string, segment string, seq string, anchor int, gapped string")
+    r = vdj.to_airr(vdj.annotate(spark.createDataFrame([(read,), (v[100:] + "AA" + j,)], "sequence string"), g)).orderBy(F.length("sequence").desc()).collect()
+    whole, late = r
+    for n, (a, b) in at.items():
+        want = v[a:b] if n != "fwr3" else v[a:delete] + v[delete + 1 : b]
+        assert whole[n] == want, n
+    column = [i for i, c in enumerate(gapped) if c != "."][delete]
+    row = gapped[:column] + "-" + gapped[column + 1 :]
+    assert whole.sequence_alignment == row + "AA" + j and whole.germline_alignment == gapped + "NN" + j
+    assert (whole.cdr3, whole.fwr4, whole.junction, whole.np1, whole.np2) == ("GCGAGAAA", j, "TGTGCGAGAAATGG", "AA", None)
+    assert whole.v_cigar == f"{insert}M1I{delete - insert}M1D{len(v) - delete - 1}M{2 + len(j)}S"
+    assert late.fwr1 == "" and late.sequence_alignment.startswith("." * 101) and late.v_germline_start == 101 and late.fwr3 == v[slice(*at["fwr3"])]
+
+
+def test_vdj_of_odd_reads(spark):
+    g = spark.createDataFrame([("V1*01", "IGH", "V", "ACGTTGCAACGGTTAACCTGGATCTGT", 24)], "allele string, locus string, segment string, seq string, anchor int")
+    odd = [(None, 1), ("", 1), ("漢字" * 50, 2), ("n" * 300, 2), ("acgttgcaacggttaacctggatctgt", 3), ("ACGTTGCAACGGTTAACCTGGATCTGT", 3), ("ACGTTGCAACGGTTAACCTGGATCTGT", 3), ("ACGTTGCAACGGTT" * 4000, 4)]
+    df = spark.createDataFrame([(*x, "kept") for x in odd], "sequence string, i int, v_row_ string")
+    out = vdj.to_airr(vdj.annotate(df, g)).collect()
+    assert [r.v_call for r in out] == [None] * 4 + ["V1*01"] * 4 and all(r.v_row_ == "kept" and r.j_call is None for r in out)
+    none = vdj.annotate(df.limit(0), g)
+    assert none.count() == 0 and vdj.to_airr(vdj.annotate(df, g.limit(0))).where("v_call is null").count() == len(odd)
 
 
 def test_clones_of_golden_rows(spark):
