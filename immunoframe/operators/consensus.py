@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
 import numpy as np
 import pandas as pd
@@ -52,19 +52,26 @@ def consensus(aligned: DataFrame, group: str, column: str = "aligned", max_gap:
         group, "consensus", "conscount", F.round(1 - F.col("_same") / F.col("_all"), 6).alias("error")).where(F.col("error") <= max_error)
 
 
-def numbered(rows: DataFrame, order: str, prefix: str = "seq") -> DataFrame:
-    """sequence_id seq1, seq2, ... by ``order`` (nulls first; equal ones in the order of a hash of the row).
+def placed(rows: DataFrame, order: list[str], ties: list[F.Column] = (), name: str = "_at") -> DataFrame:
+    """rows with their 0-based place in the given order (nulls first).
 
     The range partitions are written once with their numbers, so that counting them and numbering their rows
-    see the same ones however often Spark evaluates the plan. No row is lost; no rows give none.
+    see the same ones however often Spark evaluates the plan. Ranges split a hot key wherever a later column of the order differs.
     """
-    parts = staged(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "numbered")
+    parts = staged(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
     counts = parts.groupBy("_part").agg(F.count("*").alias("_k"))
     before = counts.select("_part", (F.sum("_k").over(W.orderBy("_part")) - F.col("_k")).alias("_before"))  # a row for each partition
+    own = parts.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order, *ties)))
+    return own.join(F.broadcast(before), "_part").withColumn(name, F.col("_n") + F.col("_before") - 1).drop("_part", "_n", "_before")
+
+
+def numbered(rows: DataFrame, order: str, prefix: str = "seq") -> DataFrame:
+    """sequence_id seq1, seq2, ... by ``order`` (nulls first; equal ones in the order of a hash of the row).
+
+    No row is lost; no rows give none.
+    """
     hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map" not in f.dataType.simpleString()]
-    own = parts.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(order, F.xxhash64(*hashed))))
-    return own.join(F.broadcast(before), "_part").withColumn(
-        "sequence_id", F.concat(F.lit(prefix), (F.col("_n") + F.col("_before")).cast("string"))).drop("_part", "_n", "_before")
+    return placed(rows, [order], [F.xxhash64(*hashed)]).withColumn("sequence_id", F.concat(F.lit(prefix), (F.col("_at") + 1).cast("string"))).drop("_at")
 
 
 #: Fields of a consensus header in their order: of all libraries, of the spatial ones, of Visium HD.
@@ -88,8 +95,8 @@ def with_header(rows: DataFrame, library: str, row_id: str = "sequence_id") -> D
 # --- multiple alignment --------------------------------------------------------------------------------
 
 def pairwise(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
-    """Global alignment of two sequences."""
-    x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
+    """Global alignment of two sequences; letters beyond ASCII are compared as such."""
+    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
     n, m = len(x), len(y)
     score = np.empty((n + 1, m + 1), np.int32)
     score[0] = gap * np.arange(m + 1)
@@ -116,51 +123,86 @@ def pairwise(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2)
     return "".join(reversed(p)), "".join(reversed(q))
 
 
+def centre_of(seqs: set[str]) -> str:
+    """The middle one by length, then by letters."""
+    return sorted(seqs, key=lambda s: (len(s), s))[len(seqs) // 2]
+
+
+def insertions(c: str) -> list[tuple[int, int]]:
+    """Where an aligned centre has gaps: the number of its bases before the run, and the run's length."""
+    out, at = [], 0
+    for run in _RUNS.finditer(c):
+        if run[0][0] == "-":
+            out.append((at, len(run[0])))
+        else:
+            at += len(run[0])
+    return out
+
+
+def laid_out(c: str, q: str, profile: dict[int, int]) -> str:
+    """The aligned sequence ``q`` with the gaps that the whole group's profile opens before the bases of the centre."""
+    own, parts, at, base = dict(insertions(c)), [], 0, 0
+    for place in sorted(profile):
+        take = place - base
+        parts += [q[at : at + take], q[at + take : at + take + own.get(place, 0)], "-" * (profile[place] - own.get(place, 0))]
+        at, base = at + take + own.get(place, 0), place
+    return "".join([*parts, q[at:]])
+
+
 def star_alignment(seqs: list[str]) -> list[str]:
-    """Centre-star alignment: all against the sequence of median length, gaps merged; null counts as empty."""
+    """Centre-star alignment of one small group: all against its centre, gaps merged; null counts as empty."""
     seqs = [s or "" for s in seqs]
     if len({len(s) for s in seqs}) <= 1:
         return list(seqs)
-    centre = sorted(seqs, key=lambda s: (len(s), s))[len(seqs) // 2]
+    centre = centre_of(set(seqs))
     pairs = {s: pairwise(centre, s) for s in set(seqs)}
-    extra = [0] * (len(centre) + 1)  # gaps to open before each base of the centre
+    profile: dict[int, int] = {}
     for c, _ in pairs.values():
-        at = run = 0
-        for ch in c:
-            if ch == "-":
-                run += 1
-            else:
-                extra[at] = max(extra[at], run)
-                at, run = at + 1, 0
-        extra[at] = max(extra[at], run)
-    out = {}
-    for s, (c, q) in pairs.items():
-        row, at, held = [], 0, []
-        for ch, base in zip(c, q, strict=True):
-            if ch == "-":
-                held.append(base)
-            else:
-                row += held + ["-"] * (extra[at] - len(held)) + [base]
-                at, held = at + 1, []
-        row += held + ["-"] * (extra[at] - len(held))
-        out[s] = "".join(row)
-    return [out[s] for s in seqs]
+        for place, run in insertions(c):
+            profile[place] = max(profile.get(place, 0), run)
+    return [laid_out(*pairs[s], profile) for s in seqs]
 
 
 def align_groups(reads: DataFrame, group: str, column: str = "sequence") -> DataFrame:
-    """reads with ``aligned``: equally long within each group.
+    """reads with ``aligned``: equally long within each group, as :func:`star_alignment` has it.
 
-    Groups of one length need no alignment and stay in the JVM. The others go to Python group by group;
-    call after :func:`..groups.subsample`, which bounds a group. Sequences that repeat are aligned once.
+    Groups of one length need no alignment and stay in the JVM. Of the others every distinct sequence is aligned with its
+    group's centre (the middle place of the group in a global order by ranges), the gaps are merged as the greatest run by (group,
+    place), and each sequence is laid out by that profile: a group is split over tasks however large it is, and a group's
+    own data in a step is its centre and its profile, a few kB. Null groups and null sequences form no group of
+    their own: null sequences count as empty, null groups as one group.
     """
     ship_package(reads.sparkSession)
-    sizes = reads.groupBy(group).agg(F.min(F.length(column)).alias("_lo"), F.max(F.length(column)).alias("_hi"))
-    mixed = sizes.where("_lo <> _hi").select(group)
-    plain = reads.join(mixed, group, "left_anti").withColumn("aligned", F.col(column))
-    distinct = reads.join(mixed, group, "left_semi").select(group, column).distinct()
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.assign(aligned=star_alignment(rows[column].tolist()))
-
-    made = distinct.groupBy(group).applyInPandas(run, f"{', '.join(f'`{n}` {t}' for n, t in distinct.dtypes)}, aligned string")
-    return plain.unionByName(reads.join(made, [group, column]).select(*plain.columns))
+    paired, laid_by = F.pandas_udf(_paired, "c string, q string, places array<struct<place:int,run:int>>"), F.pandas_udf(_laid, "string")
+    own = reads.withColumn("_g", F.col(group)).withColumn("_s", F.coalesce(F.col(column), F.lit("")))
+    sizes = own.groupBy("_g").agg(F.min(F.length("_s")).alias("_lo"), F.max(F.length("_s")).alias("_hi"))
+    mixed = sizes.where("_lo <> _hi").select("_g")
+    same = lambda a, b: a["_g"].eqNullSafe(b["_g"])
+    plain = own.join(mixed, same(own, mixed), "left_anti").withColumn("aligned", F.col("_s"))
+    several = own.join(mixed, same(own, mixed), "left_semi")
+    distinct = placed(several.select("_g", F.length("_s").alias("_n_s"), "_s").distinct(), ["_g", "_n_s", "_s"])
+    middle = distinct.groupBy("_g").agg((F.min("_at") + F.floor(F.count("*") / 2)).alias("_middle")).select("_middle")
+    centres = distinct.join(middle, F.col("_at") == F.col("_middle")).select(F.col("_g").alias("_c"), F.col("_s").alias("_centre"))
+    pairs = distinct.join(centres, F.col("_g").eqNullSafe(F.col("_c"))).select("_g", "_s", "_centre")
+    made = staged(pairs.withColumn("_p", paired("_centre", "_s")).select("_g", "_s", "_p.*"), "alignment-pairs", spread=True)
+
+    runs = made.select("_g", F.explode("places").alias("r")).groupBy("_g", F.col("r.place").alias("place")).agg(F.max("r.run").alias("run"))
+    profile = runs.groupBy(F.col("_g").alias("_c")).agg(F.map_from_entries(F.collect_list(F.struct("place", "run"))).alias("_profile"))
+    joined = made.join(profile, F.col("_g").eqNullSafe(F.col("_c")), "left")
+    laid = joined.select("_g", "_s", F.when(F.col("_profile").isNull(), F.col("q")).otherwise(laid_by("c", "q", "_profile")).alias("aligned"))
+    laid = laid.select(F.col("_g").alias("_h"), F.col("_s").alias("_t"), "aligned")
+    done = several.join(laid, F.col("_g").eqNullSafe(F.col("_h")) & (F.col("_s") == F.col("_t")))
+    return plain.select(*reads.columns, "aligned").unionByName(done.select(*reads.columns, "aligned"))
+
+
+_RUNS = re.compile(r"-+|[^-]+")
+
+
+def _paired(centres: pd.Series, seqs: pd.Series) -> pd.DataFrame:
+    """Each sequence aligned with its centre, and the gaps that it opens there."""
+    rows = [pairwise(c, s) for c, s in zip(centres, seqs, strict=True)]
+    return pd.DataFrame([(c, q, [{"place": p, "run": n} for p, n in insertions(c)]) for c, q in rows], columns=["c", "q", "places"], dtype=object)
+
+
+def _laid(centres: pd.Series, seqs: pd.Series, profiles: pd.Series) -> pd.Series:
+    return pd.Series([q if p is None else laid_out(c, q, dict(p)) for c, q, p in zip(centres, seqs, profiles, strict=True)], dtype=object)

@@ -181,6 +181,32 @@ def test_molecule_alignment_of_all_reads_against_brute_force(spark, tmp_path):
     assert got == sorted(want) and len(got) == 6 and max(r[2] for r in got) == 30
 
 
+def test_a_hot_group_is_split_over_tasks(spark):
+    """One group of 3,000 reads beside small ones, null groups and null reads; joins split it, and the rows are the brute-force ones."""
+    rng = random.Random(21)
+    base = text(rng, 24)
+    data = [("hot", damaged(rng, base, 0.1)) for _ in range(3000)] + [(g, damaged(rng, base, 0.1)) for g in ("a", "b", None) for _ in range(6)] + [("c", None), ("c", "ACG"), ("c", "É漢GT"), ("d", "AC"), ("d", "GT"), ("e", None)]
+    df = spark.createDataFrame([(i, g, s, "q", 1) for i, (g, s) in enumerate(data)], "i int, g string, sequence string, q string, place int")
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1k"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        out = consensus.align_groups(df, "g")
+        assert out.columns == [*df.columns, "aligned"]
+        got = {r.i: r for r in out.withColumn("task", F.spark_partition_id()).collect()}
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    assert len(got) == len(data) and all(got[i].g == g and got[i].sequence == s for i, (g, s) in enumerate(data))
+    for g in ("hot", "a", "b", "c", "d", "e", None):
+        own = [i for i, (x, _) in enumerate(data) if x == g]
+        want = brute_alignment([data[i][1] or "" for i in own])
+        assert [got[i].aligned for i in own] == want == consensus.star_alignment([data[i][1] for i in own]), g
+    assert len({got[i].task for i in range(3000)}) >= 4
+    assert consensus.align_groups(df.limit(0), "g").count() == 0
+
+
 def test_anchor_search_against_brute_force(spark):
     def edits(p, t):  # least edits of p against any stretch of t
         row = [0] * (len(t) + 1)
