@@ -11,10 +11,14 @@ from ..functions import sequence as S
 
 
 def exact(reads: DataFrame, whitelist: DataFrame, column: str = "spbc") -> DataFrame:
-    """reads with the whitelist's columns; ``status`` says whether the barcode is listed."""
-    listed = whitelist.withColumn("_listed", F.lit(True))
+    """reads with the whitelist's columns; ``status`` says whether the barcode is listed.
+
+    Of a barcode that is listed several times the greatest row counts, so no read is multiplied.
+    """
+    rest = [c for c in whitelist.columns if c != column]
+    listed = whitelist.groupBy(column).agg(F.max(F.struct(F.lit(True).alias("_listed"), *rest)).alias("_row"))
     joined = reads.join(listed, column, "left")
-    return joined.withColumn("status", F.when(F.col("_listed"), "pass").otherwise("fail")).drop("_listed")
+    return joined.select(*[c for c in joined.columns if c != "_row"], *[F.col(f"_row.{c}").alias(c) for c in rest], F.when(F.col("_row._listed"), "pass").otherwise("fail").alias("status"))
 
 
 def closest(observed: DataFrame, whitelist: DataFrame, length: int, allowed: int) -> DataFrame:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from .components import components
+from .consensus import placed
 
 
 def genes(calls: F.Column) -> F.Column:
@@ -51,7 +51,8 @@ def summary(airr: DataFrame) -> DataFrame:
     """clone_id, molecules, spots, reads and rank (by molecules, then by id)."""
     own = airr.where(F.col("clone_id").isNotNull()).groupBy("clone_id").agg(
         F.count("*").alias("n_molecules"), F.countDistinct("spbcid").alias("n_spbcs"), F.sum("consensus_count").cast("long").alias("n_reads"))
-    return own.withColumn("clone_rank", F.row_number().over(W.orderBy(F.desc("n_molecules"), "clone_id")).cast("long"))
+    ranked = placed(own.withColumn("_order", -F.col("n_molecules")), ["_order", "clone_id"], name="_place")  # by ranges, not in one task
+    return ranked.withColumn("clone_rank", (F.col("_place") + 1).cast("long")).drop("_order", "_place")
 
 
 def top(airr: DataFrame, n: int) -> DataFrame:

@@ -58,6 +58,7 @@ TRANSITIONS = (
     ("airr", "AIRR", "airr_sequences", "productive_sequences", "", "Sequences with valid V(D)J annotation", "Productive receptor sequences"),
     ("airr", "AIRR", "productive_sequences", "productive_heavy_sequences", "", "Productive immunoglobulin receptor sequences", "Productive heavy-chain receptor sequences"),
 )
+#: What an annotated read is, by library.
 LIBRARY_TEXTS = {
     "visiumhd": "Reads with valid Visium HD spatial barcode/UMI annotation", "visium": "Reads with valid spatial barcode/UMI annotation",
     "bulk": "Reads with valid UMI annotation",
@@ -97,31 +98,31 @@ def errors(records: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def rises(records: DataFrame) -> DataFrame:
-    """Counts that exceed the one before them in their module's chain: module, record_id, key, value, previous_key, previous_value."""
+    """Counts that exceed the one before them in their module's chain: run_id, module, record_id, key, value, previous_key, previous_value."""
     out = None
     for module, keys in CHAINS.items():
         own = records.where(F.col("module") == module)
         if module == "demux":
             own = own.where("scope_type = 'run'")
         steps = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).alias("key"), count(k).alias("value")) for i, k in enumerate(keys)]), lambda s: s["value"].isNotNull())
-        pairs = own.select("module", "record_id", steps.alias("s")).where("size(s) > 1").select(
-            "module", "record_id", F.explode(F.zip_with(F.slice("s", 2, 100), F.slice("s", 1, F.size("s") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"))
+        pairs = own.select("run_id", "module", "record_id", steps.alias("s")).where("size(s) > 1").select(
+            "run_id", "module", "record_id", F.explode(F.zip_with(F.slice("s", 2, 100), F.slice("s", 1, F.size("s") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"))
         bad = pairs.where("p.a.value > p.b.value").select(
-            "module", "record_id", F.col("p.a.key").alias("key"), F.col("p.a.value").alias("value"), F.col("p.b.key").alias("previous_key"), F.col("p.b.value").alias("previous_value"))
+            "run_id", "module", "record_id", F.col("p.a.key").alias("key"), F.col("p.a.value").alias("value"), F.col("p.b.key").alias("previous_key"), F.col("p.b.value").alias("previous_value"))
         out = bad if out is None else out.unionByName(bad)
     return out
 
 
 def wrong_sums(records: DataFrame) -> DataFrame:
-    """Records whose parts do not sum to their whole: module, record_id, whole, parts_sum, value."""
+    """Records whose parts do not sum to their whole: run_id, module, record_id, whole, parts_sum, value."""
     out = []
     for module, parts, whole in SUMS:
         total = count(parts[0]) + count(parts[1])
-        out.append(records.where(F.col("module") == module).select("module", "record_id", F.lit(whole).alias("whole"), total.alias("parts_sum"), count(whole).alias("value")))
+        out.append(records.where(F.col("module") == module).select("run_id", "module", "record_id", F.lit(whole).alias("whole"), total.alias("parts_sum"), count(whole).alias("value")))
     split = F.map_filter("counts", lambda k, v: k.rlike("^split_.+_sequences$"))
     total = F.aggregate(F.map_values(split), F.lit(0).cast("long"), lambda s, x: s + x)
     tags = records.where("module = 'seqtag'").where(F.size(split) > 0)
-    out.append(tags.select("module", "record_id", F.lit("matched_sequences").alias("whole"), total.alias("parts_sum"), count("matched_sequences").alias("value")))
+    out.append(tags.select("run_id", "module", "record_id", F.lit("matched_sequences").alias("whole"), total.alias("parts_sum"), count("matched_sequences").alias("value")))
     joined = out[0]
     for o in out[1:]:
         joined = joined.unionByName(o)
@@ -135,7 +136,7 @@ def mismatches(records: DataFrame) -> DataFrame:
         side = lambda m, k, n: records.where((F.col("module") == m) & (F.col("scope_type") == scope)).select(
             "run_id", F.coalesce("sample", F.lit("")).alias("sample"), F.col("record_id").alias(f"{n}_record"), count(k).alias(f"{n}_value"))
         met = side(a, ka, "left").join(side(b, kb, "right"), ["run_id", "sample"]).where("left_value <> right_value").select(
-            F.concat_ws("/", F.lit(a), "left_record").alias("left"), F.lit(ka).alias("left_key"), "left_value",
+            "run_id", F.concat_ws("/", F.lit(a), "left_record").alias("left"), F.lit(ka).alias("left_key"), "left_value",
             F.concat_ws("/", F.lit(b), "right_record").alias("right"), F.lit(kb).alias("right_key"), "right_value")
         out = met if out is None else out.unionByName(met)
     tags = records.where("module = 'seqtag'").select(
@@ -147,16 +148,16 @@ def mismatches(records: DataFrame) -> DataFrame:
         F.lower("locus").alias("locus"), F.col("record_id").alias("right_record"), count("input_sequences").alias("right_value"))
     met = tags.join(own, ["run_id", "sample", "scope_type"]).withColumn("left_value", F.when(F.col("locus") == "ig", F.col("ig")).otherwise(F.col("tr"))).where("left_value <> right_value")
     return out.unionByName(met.select(
-        F.concat_ws("/", F.lit("seqtag"), "left_record").alias("left"), F.concat("locus", F.lit(" input")).alias("left_key"), "left_value",
+        "run_id", F.concat_ws("/", F.lit("seqtag"), "left_record").alias("left"), F.concat("locus", F.lit(" input")).alias("left_key"), "left_value",
         F.concat_ws("/", F.lit("airr"), "right_record").alias("right"), F.lit("input_sequences").alias("right_key"), "right_value"))
 
 
 def unexpected_samples(records: DataFrame) -> DataFrame:
-    """Samples of later modules that demultiplexing does not know (none where it recorded no samples): sample, modules."""
+    """Samples of later modules that demultiplexing does not know (none where it recorded no samples): run_id, sample, modules."""
     known = records.where("module = 'demux' and scope_type = 'sample' and sample is not null").select("run_id", "sample").distinct()
     later = records.where(F.col("module").isin("collapse", "seqtag", "airr") & F.col("sample").isNotNull())
     later = later.join(known.select("run_id").distinct(), "run_id", "left_semi")
-    return later.join(known, ["run_id", "sample"], "left_anti").groupBy("sample").agg(F.array_join(F.array_sort(F.collect_set("module")), ", ").alias("modules"))
+    return later.join(known, ["run_id", "sample"], "left_anti").groupBy("run_id", "sample").agg(F.array_join(F.array_sort(F.collect_set("module")), ", ").alias("modules"))
 
 
 def sample_totals(records: DataFrame) -> DataFrame:
@@ -258,20 +259,29 @@ def read_stages(records: DataFrame) -> DataFrame:
 
 #: Labels of the yield stages in the report.
 YIELD_LABELS = ("Consensus sequences", "Seqtag input", "Seqtag matches", "AIRR input represented", "Valid AIRR sequences", "Productive AIRR sequences")
+LOCI_NOTE = "Available loci: "
+
+
+def of_loci(records: DataFrame) -> DataFrame:
+    """AIRR records of a locus, its name in lower case; records of a run or sample as a whole are no part of these."""
+    return records.where("module = 'airr' and locus <> ''").withColumn("locus", F.lower("locus"))
 
 
 def yield_stages(records: DataFrame) -> DataFrame:
     """The sequences' stages of each run: consensus, tagging, then AIRR; stages without a count are left out.
 
     An input stage shows only where it differs from the stage before. Collapse and tagging count by run records where
-    there are any, else by samples; AIRR counts all its records.
+    there are any, else by samples; AIRR counts the records of its loci, which the note of its input stage names.
     """
     sums = lambda own, **keys: own.groupBy("run_id").agg(*[F.sum(count(k)).alias(name) for name, k in keys.items()])
+    airr = of_loci(records)
     parts = [
         sums(preferred(records, "collapse"), v0="consensus_sequences"), sums(preferred(records, "seqtag"), v1="input_sequences", v2="matched_sequences"),
-        sums(records.where("module = 'airr'"), v3="input_sequences", v4="airr_sequences", v5="productive_sequences")]
-    wide = parts[0].join(parts[1], "run_id", "full").join(parts[2], "run_id", "full")
-    each = F.array(*[F.struct(F.lit(i).alias("stage_no"), F.lit(t).alias("label"), F.col(f"v{i}").alias("value")) for i, t in enumerate(YIELD_LABELS)])
+        sums(airr, v3="input_sequences", v4="airr_sequences", v5="productive_sequences")]
+    names = airr.groupBy("run_id").agg(F.array_sort(F.collect_set(F.struct(_rank("locus", LOCI).alias("rank"), "locus"))).alias("_loci"))
+    note = F.concat(F.lit(LOCI_NOTE), F.array_join(F.transform("_loci", lambda x: S.locus_label(x["locus"])), ", "))
+    wide = parts[0].join(parts[1], "run_id", "full").join(parts[2], "run_id", "full").join(names, "run_id", "left")
+    each = F.array(*[F.struct(F.lit(i).alias("stage_no"), F.lit(t).alias("label"), F.col(f"v{i}").alias("value"), (note if i == 3 else F.lit(None).cast("string")).alias("note")) for i, t in enumerate(YIELD_LABELS)])
     stages = wide.select("run_id", F.explode(each).alias("s")).select("run_id", "s.*").where("value is not null")
     before = stages.withColumn("_v", F.lag("value").over(W.partitionBy("run_id").orderBy("stage_no")))
     return before.where(~(F.col("stage_no").isin(1, 3) & F.coalesce(F.col("_v") == F.col("value"), F.lit(False)))).drop("_v")
@@ -283,14 +293,14 @@ MODULE_OUTPUTS = {
     "collapse": ("input_reads", "consensus_sequences", "Consensus sequences"), "seqtag": ("input_sequences", "matched_sequences", "Seqtag matches"),
     "airr": ("input_sequences", "productive_sequences", "Productive sequences"),
 }
-SAMPLE_OUTPUT, ALL_AIRR_OUTPUT = "Assigned sample reads", "Valid AIRR sequences"
+SAMPLE_OUTPUT, ALL_AIRR_OUTPUT, OTHER_OUTPUT = "Assigned sample reads", "Valid AIRR sequences", "Output"
 
 
 def module_summary(records: DataFrame) -> DataFrame:
     """run_id, module, scope_type, sample, locus, input, output, label and retained (percent) of each record.
 
     A sample's reads are held against all matched reads of its run; AIRR without a productive count shows the valid
-    sequences. A module that is none of these shows nulls; missing counts are null, and so is a share of 0 or of a null.
+    sequences. A module that is none of these shows its first and its last count; missing counts are null, and so is a share of 0 or of a null.
     """
     run = records.where("module = 'demux' and scope_type = 'run'").groupBy(F.col("run_id").alias("_run")).agg(F.max(count("matched_reads")).alias("_matched"))
     own = records.join(run, F.col("run_id") == F.col("_run"), "left")
@@ -303,17 +313,19 @@ def module_summary(records: DataFrame) -> DataFrame:
         mine = F.col("module") == module
         before, label = before.when(mine, count(a)), label.when(mine, F.lit(text))
         after = after.when(mine, count(b))
+    values = F.map_values("counts")
+    before, after, label = before.otherwise(F.try_element_at(values, F.lit(1))), after.otherwise(F.try_element_at(values, F.lit(-1))), label.otherwise(OTHER_OUTPUT)
     shown = own.select("run_id", "module", "scope_type", "sample", "locus", before.alias("input"), after.alias("output"), label.alias("label"))
     return shown.withColumn("retained", F.round(S.percent(F.col("output"), F.col("input")), 6))
 
 
 def loci(records: DataFrame) -> DataFrame:
-    """AIRR counts and rates of each locus over all samples (sample null) and of each record, with the outcome parts."""
-    own = records.where("module = 'airr'").select(
-        F.lower("locus").alias("locus"), "sample", count("input_sequences").alias("input"), count("airr_sequences").alias("valid"),
+    """AIRR counts and rates of each run and locus over all samples (sample null) and of each sample, with the outcome parts."""
+    own = of_loci(records).select(
+        "run_id", "locus", "sample", count("input_sequences").alias("input"), count("airr_sequences").alias("valid"),
         count("productive_sequences").alias("productive"), count("productive_heavy_sequences").alias("heavy"))
     sums = [F.sum(c).alias(c) for c in ("input", "valid", "productive", "heavy")]
-    rolled = own.groupingSets([["locus"], ["locus", "sample"]], "locus", "sample").agg(F.grouping("sample").alias("is_total"), *sums)
+    rolled = own.groupingSets([["run_id", "locus"], ["run_id", "locus", "sample"]], "run_id", "locus", "sample").agg(F.grouping("sample").alias("is_total"), *sums)
     return rolled.withColumns({
         "annotation_rate": F.round(S.percent(F.col("valid"), F.col("input")), 6), "productive_rate": F.round(S.percent(F.col("productive"), F.col("valid")), 6),
         "nonproductive": F.greatest(F.col("valid") - F.col("productive"), F.lit(0)), "unannotated": F.greatest(F.col("input") - F.col("valid"), F.lit(0))})
@@ -349,9 +361,59 @@ def quality_links(records: DataFrame) -> DataFrame:
     return each.where(F.lower("path").endswith(".html") | F.lower("key").contains("nanoplot")).distinct()
 
 
+#: Roles of recorded files by module and key.
+FILE_KINDS = {
+    "filter": {"inputs": ("input_fastq",), "outputs": ("filtered_fastq", "filtered_fasta"), "diagnostics": ("log", "nanoplot_report")},
+    "demux": {"inputs": ("input_barcodes", "input_sequences"), "outputs": ("sample_fasta",), "diagnostics": ("unmatched_fasta", "log"),
+              "intermediates": ("forward_failed_fasta", "reverse_complement_fasta", "forward_matched_fasta", "reverse_matched_fasta", "matched_fasta")},
+    "collapse": {"inputs": ("input_anchor", "input_sequences", "visium_spatial_barcodes", "visiumhd_spatial_barcode_index"), "outputs": ("consensus_fasta",),
+                 "diagnostics": ("log", "failed_spatial_barcodes", "failed_adaptive_filter"),
+                 "intermediates": ("annotated_sequences", "length_filtered_sequences", "retained_group_sequences")},
+    "seqtag": {"inputs": ("input_anchor", "input_sequences"), "diagnostics": ("failed_fasta", "log")},
+    "airr": {"inputs": ("input_sequences", "igblast_database", "germline_database"), "outputs": ("productive_airr_tsv", "productive_heavy_airr_tsv"),
+             "diagnostics": ("log",), "intermediates": ("igblast_fmt7",)},
+}
+#: The command's flag of each parameter, by module.
+FLAGS = {
+    "filter": {"min_quality": "--min-qual", "min_length": "--minl", "max_length": "--maxl"},
+    "demux": {"window_length": "--window-length", "anchor_error": "--anchor-error"},
+    "collapse": {
+        "library": "--library", "demux": "--demux", "window_length": "--window-length", "anchor_error": "--anchor-error", "umi_length": "--umi-length",
+        "spbc_error": "--spbc-error", "spbc_length": "--spbc-length", "min_length": "--minl", "max_length": "--maxl", "group_field": "--group-field",
+        "adaptive_filter": "--adaptive-filter", "min_group_size": "--filter-min-size", "bin_size": "--bin-size", "peak_margin": "--peak-margin",
+        "consensus_max_gap": "--cons-gap", "consensus_max_error": "--cons-error", "max_reads_per_group": "--n-subsample", "groups_per_chunk": "--n-chunk",
+        "seed": "--seed", "parallel_jobs": "--cjobs"},
+    "seqtag": {"window_length": "--window-length", "anchor_error": "--anchor-error", "primer_field": "--pf", "split": "--split", "split_regex": "--split-regex"},
+    "airr": {"locus": "--loci", "filter_productive": "--ph"},
+}
+COMMAND_SECTION, OTHER_SECTION = "Command parameters", "Internal and fixed settings"
+
+
 def file_kinds(records: DataFrame) -> DataFrame:
-    """Files by role: inputs, outputs, diagnostics, intermediates or other, from their keys."""
-    key = F.lower("key")
-    kind = F.when(key.rlike("input|index|whitelist|anchors?$|database"), "inputs").when(key.rlike("log|failed|qc|nanoplot|report"), "diagnostics").when(
-        key.rlike("tmp|chunk|intermediate|aligned"), "intermediates").when(key.rlike("output|consensus|fasta|fastq|tsv"), "outputs").otherwise("other")
-    return records.select("run_id", "module", "record_id", F.explode("files").alias("key", "path")).withColumn("kind", kind)
+    """run_id, module, record_id, key, path and kind (inputs, outputs, diagnostics, intermediates, other) of every recorded file.
+
+    A rule table joined by (module, key) decides; the tagged and the annotated table are intermediates where files made
+    from them stand beside them in the record. Keys without a rule go by their names.
+    """
+    rules = records.sparkSession.createDataFrame([(m, k, kind) for m, kinds in FILE_KINDS.items() for kind, keys in kinds.items() for k in keys], "module string, key string, _rule string")
+    split = F.col("key").rlike("^split_.*_fasta$")
+    each = records.select(
+        "run_id", "module", "record_id", F.exists(F.map_keys("files"), lambda k: k.rlike("^split_.*_fasta$")).alias("_split"),
+        F.array_contains(F.map_keys("files"), "productive_airr_tsv").alias("_productive"), F.explode("files").alias("key", "path"))
+    lower = F.lower("key")
+    made = lambda there: F.when(there, "intermediates").otherwise("outputs")
+    kind = (
+        F.when((F.col("module") == "seqtag") & split, "outputs").when((F.col("module") == "seqtag") & (F.col("key") == "matched_fasta"), made(F.col("_split")))
+        .when((F.col("module") == "airr") & (F.col("key") == "airr_tsv"), made(F.col("_productive"))).when(F.col("_rule").isNotNull(), F.col("_rule"))
+        .when(lower.startswith("input_"), "inputs").when(lower.rlike("log|qc|failed|nanoplot"), "diagnostics").otherwise("other"))
+    return each.join(F.broadcast(rules), ["module", "key"], "left").select("run_id", "module", "record_id", "key", "path", kind.alias("kind"))
+
+
+def parameter_flags(records: DataFrame) -> DataFrame:
+    """run_id, module, record_id, section, label and value of every parameter: the command's flag, or the key in words."""
+    flags = records.sparkSession.createDataFrame([(m, k, f) for m, own in FLAGS.items() for k, f in own.items()], "module string, key string, _flag string")
+    each = records.select("run_id", "module", "record_id", F.explode("parameters").alias("key", "value"))
+    joined = each.join(F.broadcast(flags), ["module", "key"], "left")
+    return joined.select(
+        "run_id", "module", "record_id", F.when(F.col("_flag").isNotNull(), COMMAND_SECTION).otherwise(OTHER_SECTION).alias("section"),
+        F.coalesce("_flag", S.humanise(F.col("key"))).alias("label"), F.coalesce("value", F.lit("null")).alias("value"))

@@ -57,10 +57,22 @@ def centroids(positions: DataFrame, mapping: DataFrame, scale: float) -> DataFra
         F.round(F.avg("image_x"), 6).alias("image_x"), F.round(F.avg("image_y"), 6).alias("image_y"), F.count("*").alias("n_squares"))
 
 
-def bounds(places: DataFrame, x: str = "image_x", y: str = "image_y", padding: float = 0.05) -> DataFrame:
-    """One row: least and greatest coordinates, and those of a padded crop box."""
+def bounds(places: DataFrame, x: str = "image_x", y: str = "image_y", padding: float = 0.05, width: float | None = None, height: float | None = None) -> DataFrame:
+    """One row: least and greatest coordinates, and those of a padded crop box that stays within the image.
+
+    Without the image's size only the origin bounds the box.
+    """
     one = places.agg(F.min(x).alias("min_x"), F.max(x).alias("max_x"), F.min(y).alias("min_y"), F.max(y).alias("max_y"))
     pad = lambda a, b: (F.col(b) - F.col(a)) * padding
+    low = lambda a, b: F.round(F.greatest(F.lit(0.0), F.col(a) - pad(a, b)), 6)
+    high = lambda a, b, most: F.round(F.col(b) + pad(a, b) if most is None else F.least(F.lit(float(most)), F.col(b) + pad(a, b)), 6)
     return one.withColumns({
-        "crop_min_x": F.round(F.col("min_x") - pad("min_x", "max_x"), 6), "crop_max_x": F.round(F.col("max_x") + pad("min_x", "max_x"), 6),
-        "crop_min_y": F.round(F.col("min_y") - pad("min_y", "max_y"), 6), "crop_max_y": F.round(F.col("max_y") + pad("min_y", "max_y"), 6)})
+        "crop_min_x": low("min_x", "max_x"), "crop_max_x": high("min_x", "max_x", width), "crop_min_y": low("min_y", "max_y"), "crop_max_y": high("min_y", "max_y", height)})
+
+
+def zoom_box(cropped: DataFrame, share: float = 0.4) -> DataFrame:
+    """The box with a share of both sides in the corner of least x and greatest y (bottom left on an image) of a crop box."""
+    span = lambda a: (F.col(f"crop_max_{a}") - F.col(f"crop_min_{a}")) * share
+    return cropped.select(
+        F.col("crop_min_x").alias("zoom_min_x"), F.round(F.col("crop_min_x") + span("x"), 6).alias("zoom_max_x"),
+        F.round(F.col("crop_max_y") - span("y"), 6).alias("zoom_min_y"), F.col("crop_max_y").alias("zoom_max_y"))

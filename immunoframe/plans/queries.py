@@ -225,12 +225,12 @@ def durations(spark, sf_dir):
     return own.select("event_id", F.round(S.percent(F.col("event_id") % 50, F.col("event_id") % 60), 6).alias("pct"), S.duration(F.col("event_id") * 37 % 20000).alias("took"))
 
 
-@query(f"""WITH {R}, p AS (SELECT read_id, sequence, 'forward' AS pass FROM reads WHERE read_id % 3 = 0 UNION ALL SELECT read_id, reverse(translate(sequence, 'ACGT', 'TGCA')), 'reverse' FROM reads WHERE read_id % 3 = 1)
+@query(f"""WITH {R}, p AS (SELECT read_id, sequence, 'forward' AS pass FROM reads WHERE read_id % 2 = 0 UNION ALL SELECT read_id, reverse(translate(sequence, 'ACGT', 'TGCA')), 'reverse' FROM reads WHERE read_id % 2 = 1)
 SELECT pass, count(*) AS n, count(DISTINCT sequence) AS n_distinct FROM p GROUP BY pass""")
 def union_passes(spark, sf_dir):
     own = reads(spark, sf_dir).select("read_id", "sequence")
-    both = own.where("read_id % 3 = 0").withColumn("pass", F.lit("forward")).unionByName(
-        own.where("read_id % 3 = 1").withColumn("sequence", S.reverse_complement(F.col("sequence"))).withColumn("pass", F.lit("reverse")))
+    both = own.where("read_id % 2 = 0").withColumn("pass", F.lit("forward")).unionByName(
+        own.where("read_id % 2 = 1").withColumn("sequence", S.reverse_complement(F.col("sequence"))).withColumn("pass", F.lit("reverse")))
     return both.groupBy("pass").agg(F.count("*").alias("n"), F.countDistinct("sequence").alias("n_distinct"))
 
 
@@ -405,9 +405,11 @@ def richness_resolutions(spark, sf_dir):
     return levels(spark, sf_dir).groupBy("level", "place").agg(F.countDistinct("clone_id").alias("n_clones"), F.count("*").alias("n_chains"))
 
 
-@query(f"WITH {_MAPPED}, {_LEVELS} SELECT level, place, count(*) AS n_chains FROM l WHERE clone_id = 'c3' GROUP BY ALL")
+@query(f"""WITH {_MAPPED}, {_LEVELS}, t AS (SELECT clone_id FROM airr WHERE clone_id IS NOT NULL GROUP BY clone_id ORDER BY count(*) DESC, clone_id LIMIT 1)
+SELECT level, place, count(*) AS n_chains FROM l SEMI JOIN t USING (clone_id) GROUP BY ALL""")
 def top_clone_resolutions(spark, sf_dir):
-    return levels(spark, sf_dir).where("clone_id = 'c3'").groupBy("level", "place").agg(F.count("*").alias("n_chains"))
+    largest = clones.top(airr(spark, sf_dir), 1).select("clone_id").distinct()
+    return levels(spark, sf_dir).join(largest, "clone_id", "left_semi").groupBy("level", "place").agg(F.count("*").alias("n_chains"))
 
 
 @query(f"WITH {_MAPPED}, {_LEVELS}, p AS (SELECT DISTINCT level, place FROM l) SELECT level, count(*) AS n FROM p GROUP BY level")
@@ -438,9 +440,17 @@ def cell_centroids(spark, sf_dir):
 
 
 @query(f"""WITH {_MAPPED}, {_POSITIONS}, {_CENTRES}, b AS (SELECT min(image_x) AS min_x, max(image_x) AS max_x, min(image_y) AS min_y, max(image_y) AS max_y FROM ce)
-SELECT *, round(min_x - (max_x - min_x) * 0.05, 6) AS crop_min_x, round(max_x + (max_x - min_x) * 0.05, 6) AS crop_max_x, round(min_y - (max_y - min_y) * 0.05, 6) AS crop_min_y, round(max_y + (max_y - min_y) * 0.05, 6) AS crop_max_y FROM b""")
+SELECT *, round(greatest(0, min_x - (max_x - min_x) * 0.05), 6) AS crop_min_x, round(least(250, max_x + (max_x - min_x) * 0.05), 6) AS crop_max_x,
+ round(greatest(0, min_y - (max_y - min_y) * 0.05), 6) AS crop_min_y, round(least(400, max_y + (max_y - min_y) * 0.05), 6) AS crop_max_y FROM b""")
 def spatial_bounds(spark, sf_dir):
-    return spatial.bounds(cell_centroids(spark, sf_dir))
+    return spatial.bounds(cell_centroids(spark, sf_dir), width=250, height=400)
+
+
+@query(f"""WITH {_MAPPED}, {_POSITIONS}, {_CENTRES}, b AS (SELECT min(image_x) AS x0, max(image_x) AS x1, min(image_y) AS y0, max(image_y) AS y1 FROM ce),
+c AS (SELECT round(greatest(0, x0 - (x1 - x0) * 0.1), 6) AS x0, round(least(200, x1 + (x1 - x0) * 0.1), 6) AS x1, round(greatest(0, y0 - (y1 - y0) * 0.1), 6) AS y0, round(least(150, y1 + (y1 - y0) * 0.1), 6) AS y1 FROM b)
+SELECT x0 AS zoom_min_x, round(x0 + 0.4 * (x1 - x0), 6) AS zoom_max_x, round(y1 - 0.4 * (y1 - y0), 6) AS zoom_min_y, y1 AS zoom_max_y FROM c""")
+def spatial_zoom(spark, sf_dir):
+    return spatial.zoom_box(spatial.bounds(cell_centroids(spark, sf_dir), padding=0.1, width=200, height=150))
 
 
 @query(f"WITH {A} SELECT umi, count(DISTINCT clone_id) AS n_clones FROM airr WHERE umi IS NOT NULL GROUP BY umi HAVING count(DISTINCT clone_id) > 1")
@@ -498,18 +508,18 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("library"), F.lit("bulk")).alias("parameters"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("files"))
 
 
-@query(f"""WITH {_REC} SELECT 'collapse' AS module, 's' || k AS record_id, 'consensus_sequences' AS "key", cons AS "value", 'input_reads' AS previous_key, matched AS previous_value FROM rec WHERE cons > matched
-UNION ALL SELECT 'seqtag', 's' || k, 'matched_sequences', tagged, 'input_sequences', cons FROM rec WHERE tagged > cons""")
+@query(f"""WITH {_REC} SELECT 'run' AS run_id, 'collapse' AS module, 's' || k AS record_id, 'consensus_sequences' AS "key", cons AS "value", 'input_reads' AS previous_key, matched AS previous_value FROM rec WHERE cons > matched
+UNION ALL SELECT 'run', 'seqtag', 's' || k, 'matched_sequences', tagged, 'input_sequences', cons FROM rec WHERE tagged > cons""")
 def monotone_check(spark, sf_dir):
     return runmeta.rises(records(spark, sf_dir))
 
 
-@query(f"""WITH {_REC} SELECT 'demux/s' || k AS "left", 'assigned_reads' AS left_key, input AS left_value, 'collapse/s' || k AS "right", 'input_reads' AS right_key, matched AS right_value FROM rec WHERE k % 7 <> 0 AND input <> matched""")
+@query(f"""WITH {_REC} SELECT 'run' AS run_id, 'demux/s' || k AS "left", 'assigned_reads' AS left_key, input AS left_value, 'collapse/s' || k AS "right", 'input_reads' AS right_key, matched AS right_value FROM rec WHERE k % 7 <> 0 AND input <> matched""")
 def count_mismatch(spark, sf_dir):
     return runmeta.mismatches(records(spark, sf_dir))
 
 
-@query(f"WITH {_REC} SELECT 's' || k AS sample, 'collapse, seqtag' AS modules FROM rec WHERE k % 7 = 0")
+@query(f"WITH {_REC} SELECT 'run' AS run_id, 's' || k AS sample, 'collapse, seqtag' AS modules FROM rec WHERE k % 7 = 0")
 def unexpected_sample(spark, sf_dir):
     return runmeta.unexpected_samples(records(spark, sf_dir))
 
@@ -560,7 +570,7 @@ FROM orders GROUP BY ALL)"""
 
 
 def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five runs with sample records of all modules, AIRR records of two loci, and run records of some modules (of collapse in every other run)."""
+    """Five runs with sample records of all modules, AIRR records of two loci (some runs have one of the run besides), and run records of some modules (of collapse in every other run, and of one that no rule knows)."""
     o, c = table(spark, sf_dir, "orders"), F.col
     b = o.groupBy((c("o_custkey") % 5).alias("r"), F.substring("o_orderpriority", 1, 1).alias("s")).agg(
         F.count("*").alias("n"), F.count_if(c("o_orderstatus") != "F").alias("m"), F.count_if(c("o_orderstatus") == "O").alias("t"))
@@ -577,7 +587,8 @@ def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         of(b, "collapse", "s", None, consensus_sequences="m"), of(whole.where("r % 2 = 0"), "collapse", None, None, consensus_sequences="m + 1"),
         of(b, "seqtag", "s", None, input_sequences="m", matched_sequences="t"),
         of(b, "airr", "s", "IG", input_sequences="t", airr_sequences="t - t % 3", productive_sequences="t div 2"),
-        of(b.where("s < '3' and r % 2 = 1"), "airr", "s", "tr", input_sequences="t", airr_sequences="t", productive_sequences="t div 3")]
+        of(b.where("s < '3' and r % 2 = 1"), "airr", "s", "tr", input_sequences="t", airr_sequences="t", productive_sequences="t div 3"),
+        of(whole.where("r % 3 = 0"), "airr", None, None, input_sequences="n", airr_sequences="m"), of(whole, "polish", None, None, taken="n + m", kept="n", left="m")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -586,9 +597,9 @@ def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_FULL}, w AS (SELECT run_id, any_value(r) AS r, sum(m)::BIGINT AS m, sum(t)::BIGINT AS t, coalesce(sum(t) FILTER (s < '3' AND r % 2 = 1), 0)::BIGINT AS t2,
  sum(t - t % 3)::BIGINT AS v, sum(t // 2)::BIGINT AS p, coalesce(sum(t // 3) FILTER (s < '3' AND r % 2 = 1), 0)::BIGINT AS p2 FROM b GROUP BY run_id)
-SELECT run_id, 0 AS stage_no, 'Consensus sequences' AS label, m + CASE WHEN r % 2 = 0 THEN 1 ELSE 0 END AS value FROM w UNION ALL SELECT run_id, 1, 'Seqtag input', m FROM w WHERE r % 2 = 0
-UNION ALL SELECT run_id, 2, 'Seqtag matches', t FROM w UNION ALL SELECT run_id, 3, 'AIRR input represented', t + t2 FROM w WHERE t2 > 0 UNION ALL SELECT run_id, 4, 'Valid AIRR sequences', v + t2 FROM w
-UNION ALL SELECT run_id, 5, 'Productive AIRR sequences', p + p2 FROM w""")
+SELECT run_id, 0 AS stage_no, 'Consensus sequences' AS label, m + CASE WHEN r % 2 = 0 THEN 1 ELSE 0 END AS value, NULL AS note FROM w UNION ALL SELECT run_id, 1, 'Seqtag input', m, NULL FROM w WHERE r % 2 = 0
+UNION ALL SELECT run_id, 2, 'Seqtag matches', t, NULL FROM w UNION ALL SELECT run_id, 3, 'AIRR input represented', t + t2, 'Available loci: Ig, TCR' FROM w WHERE t2 > 0 UNION ALL SELECT run_id, 4, 'Valid AIRR sequences', v + t2, NULL FROM w
+UNION ALL SELECT run_id, 5, 'Productive AIRR sequences', p + p2, NULL FROM w""")
 def yield_stages(spark, sf_dir):
     return runmeta.yield_stages(full_records(spark, sf_dir))
 
@@ -598,7 +609,8 @@ SELECT run_id, 'demux' AS module, 'sample' AS scope_type, s AS sample, NULL AS l
 UNION ALL SELECT run_id, 'demux', 'run', NULL, NULL, n + 10, n, 'Valid UDI matches' FROM w
 UNION ALL SELECT run_id, 'collapse', 'sample', s, NULL, NULL, m, 'Consensus sequences' FROM b UNION ALL SELECT run_id, 'collapse', 'run', NULL, NULL, NULL, m + 1, 'Consensus sequences' FROM w WHERE r % 2 = 0
 UNION ALL SELECT run_id, 'seqtag', 'sample', s, NULL, m, t, 'Seqtag matches' FROM b UNION ALL SELECT run_id, 'airr', 'sample', s, 'IG', t, t // 2, 'Productive sequences' FROM b
-UNION ALL SELECT run_id, 'airr', 'sample', s, 'tr', t, t // 3, 'Productive sequences' FROM b WHERE s < '3' AND r % 2 = 1)
+UNION ALL SELECT run_id, 'airr', 'sample', s, 'tr', t, t // 3, 'Productive sequences' FROM b WHERE s < '3' AND r % 2 = 1
+ UNION ALL SELECT run_id, 'airr', 'run', NULL, NULL, n, m, 'Valid AIRR sequences' FROM w WHERE r % 3 = 0 UNION ALL SELECT run_id, 'polish', 'run', NULL, NULL, n + m, m, 'Output' FROM w)
 SELECT run_id, module, scope_type, sample, locus, i::BIGINT AS input, o::BIGINT AS output, label, round(o * 100.0 / nullif(i, 0), 6)::DOUBLE AS retained FROM e""")
 def module_summary(spark, sf_dir):
     return runmeta.module_summary(full_records(spark, sf_dir))
@@ -615,14 +627,111 @@ def consensus_headers(spark, sf_dir):
     return consensus.with_header(own, "visiumhd").select("event_id", "header")
 
 
+def whole_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs with records of all five modules, complete enough for the summary."""
+    c = F.col
+    o = table(spark, sf_dir, "orders")
+    b = o.groupBy((c("o_custkey") % 5).alias("r"), F.concat(F.lit("s"), F.substring("o_orderpriority", 1, 1)).alias("s")).agg(
+        F.count("*").alias("n"), F.count_if(c("o_orderstatus") != "F").alias("m"), F.count_if(c("o_orderstatus") == "O").alias("t"))
+    whole = b.groupBy("r").agg(F.sum("n").alias("n"))
+
+    def of(own: DataFrame, module: str, record: str, sample: str, locus: str | None, parameters: dict[str, str], **counts: str) -> DataFrame:
+        told = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.expr(v).cast("long"))])
+        kept = F.map_filter(told, lambda k, v: v.isNotNull())
+        known = F.create_map(*[x for k, v in parameters.items() for x in (F.lit(k), F.expr(v).cast("string"))]) if parameters else F.expr("cast(map() as map<string,string>)")
+        return own.select(
+            c("r").cast("string").alias("run_id"), F.lit(module).alias("module"), F.expr(record).alias("record_id"), F.expr(f"CASE WHEN {sample} IS NULL THEN 'run' ELSE 'sample' END").alias("scope_type"),
+            F.expr(f"cast({sample} as string)").alias("sample"), F.lit(locus).cast("string").alias("locus"), F.lit("2024-02-03T04:05:06.789+00:00").alias("finished_at"), kept.alias("counts"), known.alias("parameters"))
+
+    parts = [
+        of(whole, "filter", "'run'", "null", None, {"min_quality": "r + 10"}, input_reads="n + 30", filtered_reads="n + 10"),
+        of(whole, "demux", "'run'", "null", None, {}, input_reads="n + 10", matched_reads="n"), of(b, "demux", "s", "s", None, {}, assigned_reads="n"),
+        of(b, "collapse", "s", "s", None, {"library": "CASE r % 4 WHEN 0 THEN 'bulk' WHEN 1 THEN 'Visium' WHEN 2 THEN 'visiumhd' ELSE 'other' END"}, input_reads="n", annotated_reads="n - n % 7",
+           length_filtered_reads="CASE WHEN r % 2 = 0 THEN n - n % 7 END", retained_group_reads="m", consensus_sequences="m - m % 5"),
+        of(b, "seqtag", "s", "s", None, {}, input_sequences="m", matched_sequences="t", split_ig_sequences="t - t % 3", split_tr_sequences="t % 3"),
+        of(b, "airr", "concat(s, '_ig')", "s", "ig", {}, input_sequences="t - t % 3", airr_sequences="t div 2", productive_sequences="t div 3", productive_heavy_sequences="t div 4"),
+        of(b.where("r % 2 = 1"), "airr", "concat(s, '_tr')", "s", "tr", {}, input_sequences="t % 3", airr_sequences="t % 2")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("""WITH b AS (SELECT o_custkey % 5 AS r, 's' || substr(o_orderpriority, 1, 1) AS s, count(*) AS n, count(*) FILTER (o_orderstatus <> 'F') AS m, count(*) FILTER (o_orderstatus = 'O') AS t FROM orders GROUP BY ALL),
+w AS (SELECT r, sum(n)::BIGINT AS n FROM b GROUP BY r),
+e(r, s, mo, lo, rec, i, step, path, a, z, before, after) AS (
+ SELECT r, '', 10, 100, 'run', 0, 'Filtering', 'run', n + 30, n + 10, 'Unfiltered reads', 'Filtered reads (minimum quality: ' || (r + 10) || ')' FROM w
+ UNION ALL SELECT r, '', 20, 100, 'run', 1, 'Demux', 'run', n + 10, n, 'Filtered reads', 'Reads with a valid UDI assignment' FROM w
+ UNION ALL SELECT r, s, 20, 100, s, 50, 'Demux', s, w.n, b.n, 'Reads with a valid UDI assignment', 'Reads assigned to ' || s FROM b JOIN w USING (r)
+ UNION ALL SELECT r, s, 30, 100, s, 2, 'Collapse', s || ' | Annotation', n, n - n % 7, 'Reads entering collapse', CASE r % 4 WHEN 0 THEN 'Reads with valid UMI annotation' WHEN 1 THEN 'Reads with valid spatial barcode/UMI annotation'
+   WHEN 2 THEN 'Reads with valid Visium HD spatial barcode/UMI annotation' ELSE 'Reads with valid barcode/UMI annotation' END FROM b
+ UNION ALL SELECT r, s, 30, 100, s, 3, 'Collapse', s || ' | Length filtering', n - n % 7, n - n % 7, 'Annotated reads', 'Annotated reads passing length filters' FROM b WHERE r % 2 = 0
+ UNION ALL SELECT r, s, 30, 100, s, 4, 'Collapse', s || ' | Group retention', n - n % 7, m, 'Length-filtered reads', 'Reads retained for consensus generation' FROM b WHERE r % 2 = 0
+ UNION ALL SELECT r, s, 30, 100, s, 5, 'Collapse', s || ' | Consensus', m, m - m % 5, 'Reads retained in receptor groups', 'Consensus sequences generated' FROM b
+ UNION ALL SELECT r, s, 40, 100, s, 6, 'Seqtag', s, m, t, 'Consensus sequences', 'Sequences matching provided seqtag anchors' FROM b
+ UNION ALL SELECT r, s, 40, 100, s, 70, 'Seqtag', s || ' | Ig', t, t - t % 3, 'Sequences matching provided seqtag anchors', 'Sequences assigned to Ig' FROM b
+ UNION ALL SELECT r, s, 40, 100, s, 71, 'Seqtag', s || ' | TCR', t, t % 3, 'Sequences matching provided seqtag anchors', 'Sequences assigned to TCR' FROM b
+ UNION ALL SELECT r, s, 50, 0, s || '_ig', 7, 'AIRR', s || ' | Ig', t - t % 3, t // 2, 'Sequences provided to AIRR annotation', 'Sequences with valid V(D)J annotation' FROM b
+ UNION ALL SELECT r, s, 50, 0, s || '_ig', 8, 'AIRR', s || ' | Ig', t // 2, t // 3, 'Sequences with valid V(D)J annotation', 'Productive receptor sequences' FROM b
+ UNION ALL SELECT r, s, 50, 0, s || '_ig', 9, 'AIRR', s || ' | Ig', t // 3, t // 4, 'Productive immunoglobulin receptor sequences', 'Productive heavy-chain receptor sequences' FROM b
+ UNION ALL SELECT r, s, 50, 0, s || '_ig', 60, '>AIRRRate', s || ' | Ig', t - t % 3, t // 3, 'Sequences provided to AIRR annotation', 'Productive receptor sequences' FROM b
+ UNION ALL SELECT r, s, 50, 1, s || '_tr', 7, 'AIRR', s || ' | TCR', t % 3, t % 2, 'Sequences provided to AIRR annotation', 'Sequences with valid V(D)J annotation' FROM b WHERE r % 2 = 1
+ UNION ALL SELECT r, s, 50, 1, s || '_tr', 60, '>AIRRRate', s || ' | TCR', t % 3, t % 2, 'Sequences provided to AIRR annotation', 'Sequences with valid V(D)J annotation' FROM b WHERE r % 2 = 1)
+SELECT r::VARCHAR AS run_id, row_number() OVER (PARTITION BY r ORDER BY s, mo, lo, rec, i, path)::INT AS place, step AS "Step", path AS "PathInfo", '2024-02-03 04:05:06' AS "Date", a::BIGINT AS "InputReads", z::BIGINT AS "OutputReads",
+ round(z * 100.0 / nullif(a, 0), 6)::DOUBLE AS "PercentRetained", before AS "InputDescription", after AS "OutputDescription" FROM e""")
+def run_summary(spark, sf_dir):
+    """The whole summary of each run, in its order."""
+    rows = runmeta.summary_rows(whole_records(spark, sf_dir))
+    place = F.row_number().over(W.partitionBy("run_id").orderBy("ord"))
+    return rows.withColumn("place", place).withColumn("PercentRetained", F.round("PercentRetained", 6)).drop("ord")
+
+
+#: Keys of recorded files, of which each record has some.
+_KEYS = [
+    "input_fastq", "filtered_fastq", "filtered_fasta", "nanoplot_report", "log", "input_barcodes", "input_sequences", "sample_fasta", "unmatched_fasta", "forward_matched_fasta", "matched_fasta",
+    "visium_spatial_barcodes", "consensus_fasta", "failed_adaptive_filter", "annotated_sequences", "split_ig_fasta", "split_tr_fasta", "failed_fasta", "igblast_database", "airr_tsv",
+    "productive_airr_tsv", "productive_heavy_airr_tsv", "igblast_fmt7", "INPUT_extra", "run_QC", "notes"]
+_MODULE = "CASE event_id % 6 WHEN 0 THEN 'filter' WHEN 1 THEN 'demux' WHEN 2 THEN 'collapse' WHEN 3 THEN 'seqtag' WHEN 4 THEN 'airr' ELSE 'polish' END"
+
+
+@query(f"""WITH k AS (SELECT unnest({_KEYS!r}) AS key, unnest(range({len(_KEYS)})) AS i),
+f AS (SELECT event_id, {_MODULE} AS module, key FROM events, k WHERE (event_id // 6 + i * 7) % (i % 4 + 2) < 2),
+g AS (SELECT *, bool_or(key LIKE 'split!_%!_fasta' ESCAPE '!') OVER (PARTITION BY event_id) AS split, bool_or(key = 'productive_airr_tsv') OVER (PARTITION BY event_id) AS prod FROM f)
+SELECT 'r' || event_id % 3 AS run_id, module, event_id::VARCHAR AS record_id, key, '/' || key AS path, CASE
+ WHEN module = 'filter' AND key = 'input_fastq' OR module = 'demux' AND key IN ('input_barcodes', 'input_sequences') OR module = 'collapse' AND key IN ('input_sequences', 'visium_spatial_barcodes')
+  OR module = 'seqtag' AND key = 'input_sequences' OR module = 'airr' AND key IN ('input_sequences', 'igblast_database') THEN 'inputs'
+ WHEN module = 'filter' AND key IN ('filtered_fastq', 'filtered_fasta') OR module = 'demux' AND key = 'sample_fasta' OR module = 'collapse' AND key = 'consensus_fasta'
+  OR module = 'seqtag' AND (key LIKE 'split!_%!_fasta' ESCAPE '!' OR key = 'matched_fasta' AND NOT split) OR module = 'airr' AND (key LIKE 'productive!_%' ESCAPE '!' OR key = 'airr_tsv' AND NOT prod) THEN 'outputs'
+ WHEN module = 'demux' AND key IN ('forward_matched_fasta', 'matched_fasta') OR module = 'collapse' AND key = 'annotated_sequences' OR module = 'seqtag' AND key = 'matched_fasta' OR module = 'airr' AND key IN ('airr_tsv', 'igblast_fmt7') THEN 'intermediates'
+ WHEN module = 'demux' AND key = 'unmatched_fasta' THEN 'diagnostics' WHEN lower(key) LIKE 'input!_%' ESCAPE '!' THEN 'inputs' WHEN regexp_matches(lower(key), 'log|qc|failed|nanoplot') THEN 'diagnostics' ELSE 'other' END AS kind FROM g""")
+def file_classes(spark, sf_dir):
+    each = table(spark, sf_dir, "events").select("event_id", F.expr(_MODULE).alias("module"), F.posexplode(F.array(*map(F.lit, _KEYS))).alias("i", "key"))
+    held = each.where("(event_id div 6 + i * 7) % (i % 4 + 2) < 2").groupBy("event_id", "module").agg(F.map_from_entries(F.collect_list(F.struct("key", F.concat(F.lit("/"), "key").alias("path")))).alias("files"))
+    return runmeta.file_kinds(held.select(F.concat(F.lit("r"), F.col("event_id") % 3).alias("run_id"), "module", F.col("event_id").cast("string").alias("record_id"), "files"))
+
+
+@query("""WITH p(r, module, record_id, key, value) AS (
+ SELECT o_orderkey % 3, 'filter', o_orderkey::VARCHAR, 'min_quality', (o_orderkey % 20)::VARCHAR FROM orders UNION ALL SELECT o_orderkey % 3, 'filter', o_orderkey::VARCHAR, 'chunk_size', o_orderstatus FROM orders
+ UNION ALL SELECT o_orderkey % 3, 'airr', o_orderkey::VARCHAR, 'locus', CASE WHEN o_orderstatus = 'F' THEN NULL ELSE lower(o_orderstatus) END FROM orders)
+SELECT 'r' || r AS run_id, module, record_id, CASE WHEN key = 'chunk_size' THEN 'Internal and fixed settings' ELSE 'Command parameters' END AS section,
+ CASE key WHEN 'min_quality' THEN '--min-qual' WHEN 'locus' THEN '--loci' ELSE 'Chunk Size' END AS label, coalesce(value, 'null') AS value FROM p""")
+def parameter_flags(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    run = (F.concat(F.lit("r"), F.col("o_orderkey") % 3).alias("run_id"), F.col("o_orderkey").cast("string").alias("record_id"))
+    told = lambda **kw: F.create_map(*[x for k, v in kw.items() for x in (F.lit(k), v)]).alias("parameters")
+    own = o.select(*run, F.lit("filter").alias("module"), told(min_quality=(F.col("o_orderkey") % 20).cast("string"), chunk_size=F.col("o_orderstatus"))).unionByName(
+        o.select(*run, F.lit("airr").alias("module"), told(locus=F.when(F.col("o_orderstatus") != "F", F.lower("o_orderstatus")))))
+    return runmeta.parameter_flags(own)
+
+
 @query(f"WITH {_FULL}, w AS (SELECT run_id, sum(n) AS a FROM b GROUP BY run_id) SELECT run_id, s AS sample, n AS assigned, round(n * 100.0 / a, 6)::DOUBLE AS pct_matched, round(n * 100.0 / (a + 10), 6)::DOUBLE AS pct_input FROM b JOIN w USING (run_id)")
 def demux_samples_share(spark, sf_dir):
     return runmeta.demux_overview(full_records(spark, sf_dir))
 
 
-@query(f"""WITH {_FULL}, a AS (SELECT 'ig' AS locus, s AS sample, t AS i, t - t % 3 AS v, t // 2 AS p FROM b UNION ALL SELECT 'tr', s, t, t, t // 3 FROM b WHERE s < '3' AND r % 2 = 1)
-SELECT locus, sample, sum(i)::BIGINT AS input, sum(v)::BIGINT AS valid, sum(p)::BIGINT AS productive, round(sum(v) * 100.0 / nullif(sum(i), 0), 6)::DOUBLE AS annotation_rate, round(sum(p) * 100.0 / nullif(sum(v), 0), 6)::DOUBLE AS productive_rate,
- greatest(sum(v) - sum(p), 0)::BIGINT AS nonproductive, greatest(sum(i) - sum(v), 0)::BIGINT AS unannotated FROM a GROUP BY GROUPING SETS ((locus), (locus, sample))""")
+@query(f"""WITH {_FULL}, a AS (SELECT run_id, 'ig' AS locus, s AS sample, t AS i, t - t % 3 AS v, t // 2 AS p FROM b UNION ALL SELECT run_id, 'tr', s, t, t, t // 3 FROM b WHERE s < '3' AND r % 2 = 1)
+SELECT run_id, locus, sample, sum(i)::BIGINT AS input, sum(v)::BIGINT AS valid, sum(p)::BIGINT AS productive, round(sum(v) * 100.0 / nullif(sum(i), 0), 6)::DOUBLE AS annotation_rate, round(sum(p) * 100.0 / nullif(sum(v), 0), 6)::DOUBLE AS productive_rate,
+ greatest(sum(v) - sum(p), 0)::BIGINT AS nonproductive, greatest(sum(i) - sum(v), 0)::BIGINT AS unannotated FROM a GROUP BY GROUPING SETS ((run_id, locus), (run_id, locus, sample))""")
 def locus_rates(spark, sf_dir):
     return runmeta.loci(full_records(spark, sf_dir)).drop("heavy", "is_total")
 
