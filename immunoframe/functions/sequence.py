@@ -97,6 +97,19 @@ def header_of(read_id: Column, **fields: Column) -> Column:
     return F.concat_ws("|", read_id, *[F.when(v.isNotNull(), F.concat(F.lit(f"{k}="), v.cast("string"))) for k, v in fields.items()])
 
 
+def interleaved(seq: Column, length: Column, parts: Column) -> Column:
+    """A sequence dealt position by position into parts: each holds some of every stretch, so constant ends make no part constant."""
+    every = lambda i: F.transform(F.sequence(i + 1, F.greatest(length, i + 1), parts), lambda at: F.substr(seq, at, F.lit(1)))
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.array_join(every(i), ""))
+
+
+def two_of(pieces: Column) -> Column:
+    """(at, piece) of every two of an array's pieces."""
+    last = F.size(pieces) - 1
+    return F.flatten(F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.transform(
+        F.sequence(i + 1, last), lambda j: F.struct((i * 1000 + j).alias("at"), F.concat_ws("|", F.get(pieces, i), F.get(pieces, j)).alias("piece")))))
+
+
 def spatial_id(x: Column, y: Column, bins: str = "002um") -> Column:
     return F.format_string(f"s_{bins}_%05d_%05d-1", x, y)
 

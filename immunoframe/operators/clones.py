@@ -30,10 +30,9 @@ def assign(airr: DataFrame, threshold: float = 0.1) -> DataFrame:
     same = classed.groupBy("v", "j", "junction").agg(F.min("_row").alias("lead"))  # equal junctions hang on one row
     stars = classed.join(same, ["v", "j", "junction"]).select(F.col("_row").alias("x"), F.col("lead").alias("y"))
     cut = same.withColumn("n", F.length("junction")).withColumn("k", F.floor(F.col("n") * threshold).cast("int"))
-    at = F.sequence(F.lit(0), F.col("k"))
-    edge = lambda i: F.floor(F.col("n") * i / (F.col("k") + 1)).cast("int")
-    pieces = F.transform(at, lambda i: F.struct(i.alias("at"), F.substr("junction", edge(i) + 1, edge(i + 1) - edge(i)).alias("piece")))
-    part = cut.where("k > 0").select("v", "j", "n", "k", "junction", "lead", F.explode(pieces).alias("s")).select("v", "j", "n", "k", "junction", "lead", "s.*")
+    # k + 2 pieces, of which two agree wherever at most k positions differ; dealt by position, as junctions begin and end alike
+    dealt = cut.where("k > 0").withColumn("pieces", S.interleaved(F.col("junction"), F.col("n"), F.col("k") + 2))
+    part = dealt.select("v", "j", "n", "k", "junction", "lead", F.explode(S.two_of(F.col("pieces"))).alias("s")).select("v", "j", "n", "k", "junction", "lead", "s.*")
     a, b = part.alias("a"), part.alias("b")
     keys = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("v", "j", "n", "at", "piece")]
     on = keys[0]

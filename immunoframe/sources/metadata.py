@@ -93,12 +93,17 @@ def write_record(
     record = {
         "schema_version": SCHEMA_VERSION, "run_id": json.loads(Path(root, FOLDER, "run.json").read_text())["run_id"], "module": module, "record_id": record_id,
         "scope_type": kind, "sample": sample, "locus": locus, "status": status, "started_at": started_at, "finished_at": finished_at,
-        "duration_seconds": max(0.0, round(seconds, 3)), "counts": counts, "parameters": {k: str(v) for k, v in (parameters or {}).items()}, "files": files or {}}
+        "duration_seconds": max(0.0, round(seconds, 3)), "counts": counts, "parameters": {k: _parameter(v) for k, v in (parameters or {}).items()}, "files": files or {}}
     path = Path(root, FOLDER, "metadata", module, f"{record_id}.json")
     _write(path, json.dumps(record))
     return path
 
 
+def _parameter(value: object) -> str:
+    """A parameter as text: JSON words for truth values and nothing, JSON for lists and objects."""
+    return json.dumps(value, ensure_ascii=False) if value is None or isinstance(value, (bool, list, dict)) else str(value)
+
+
 def read_records(spark: SparkSession, root: str) -> DataFrame:
     """All records of a run; misplaced ones are reported by :func:`misplaced`."""
     return spark.read.schema(runmeta.RECORDS).json(f"{root}/{FOLDER}/metadata/*/*.json", multiLine=True)

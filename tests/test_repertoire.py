@@ -391,6 +391,76 @@ def test_vdj_of_odd_reads(spark):
     assert none.count() == 0 and vdj.to_airr(vdj.annotate(df, g.limit(0))).where("v_call is null").count() == len(odd)
 
 
+@pytest.mark.parametrize("allowed", [4, 5, 7])
+def test_barcodes_with_many_mismatches(spark, allowed):
+    rng = random.Random(allowed)
+    listed = [text(rng, 16) for _ in range(60)] + ["A" * 16]
+    seen = ["".join(rng.choice("ACGTN") if rng.random() < 0.3 else c for c in rng.choice(listed)) for _ in range(150)] + ["A" * 15, "C" * 16, "AAAACCCCGGGGTTTT"]
+    got = rows(barcodes.closest(spark.createDataFrame([(s,) for s in seen], "s string"), spark.createDataFrame([(s,) for s in listed], "w string"), 16, allowed))
+    want = []
+    for s in sorted({s for s in seen if len(s) == 16}):
+        d, w = min((sum(x != y for x, y in zip(s, w, strict=True)), w) for w in listed)
+        if d <= allowed:
+            want.append((s, w, d))
+    assert got == want
+    with pytest.raises(ValueError):
+        barcodes.closest(spark.createDataFrame([("AC",)], "s string"), spark.createDataFrame([("AC",)], "w string"), 2, 2)
+
+
+def test_clones_of_junctions_that_begin_and_end_alike(spark):
+    """Single linkage against brute force, and how many pairs the join compares."""
+    rng = random.Random(3)
+    seeds = ["TGTGCG" + text(rng, 33) + "TGG" for _ in range(250)]
+    own = sorted({s for x in seeds for s in [x, *("".join(rng.choice("ACGT") if 6 <= i < 39 and rng.random() < 0.06 else c for i, c in enumerate(x)) for _ in range(2))]})
+    out = {r.junction: r.clone_id for r in clones.assign(spark.createDataFrame([("IGHV1*01", "IGHJ1*01", s) for s in own], "v_call string, j_call string, junction string")).collect()}
+    lead = {s: s for s in own}
+
+    def find(s):
+        while lead[s] != s:
+            s = lead[s]
+        return s
+
+    near = [(a, b) for a, b in itertools.combinations(own, 2) if sum(x != y for x, y in zip(a, b, strict=True)) <= 4]
+    for a, b in near:
+        lead[find(a)] = find(b)
+    groups_ = {}
+    for s in own:
+        groups_.setdefault(find(s), set()).add(out[s])
+    assert all(len(g) == 1 for g in groups_.values()) and len({next(iter(g)) for g in groups_.values()}) == len(groups_)
+    dealt = lambda s: ["".join(s[i::6]) for i in range(6)]
+    keys = {}
+    for s in own:
+        for i, j in itertools.combinations(range(6), 2):
+            keys.setdefault((i, j, dealt(s)[i], dealt(s)[j]), []).append(s)
+    compared = {p for g in keys.values() for p in itertools.combinations(sorted(g), 2)}
+    assert set(map(tuple, map(sorted, near))) <= compared and len(compared) < 2 * len(near) < len(own) ** 2 / 100
+
+
+def test_a_collapse_searches_each_read_once_and_writes_its_record(spark, tmp_path):
+    rng = random.Random(17)
+    seen = spark.sparkContext.accumulator(0)
+    anchor, tags = "ACGTTGCAACGGTTAACC", [text(rng, 12) for _ in range(5)]
+    body = [text(rng, 50) for _ in tags]  # at the middle of its length class
+    reads = [(f"r{i}", ("CC" + tags[i % 5] + anchor + body[i % 5]) if i % 6 else text(rng, 70), i) for i in range(60)]
+
+    def counted(s):
+        seen.add(1)
+        return s
+
+    own = spark.createDataFrame(reads, "read_id string, sequence string, read_ord long").withColumn("sequence", F.udf(counted, "string")("sequence"))
+    root = str(tmp_path / "run")
+    metadata.start_run(root, "1")
+    p = pipelines.CollapseParams(library="bulk", window=40, error=0.1, umi_length=12, min_group=3)
+    counts = pipelines.collapse_run(own, spark.createDataFrame([("U", anchor)], "anchor_id string, seq string"), p, root, str(tmp_path / "out"), sample="s1")
+    assert seen.value == 60
+    assert counts == {"input_reads": 60, "annotated_reads": 50, "length_filtered_reads": 50, "retained_group_reads": 50, "consensus_sequences": 5}
+    made = spark.read.parquet(f"{tmp_path}/out/consensus").collect()
+    assert {(r.umi, r.sequence, r.conscount) for r in made} == {(t, b, 10) for t, b in zip(tags, body, strict=True)}
+    assert {r.fail_reason for r in spark.read.parquet(f"{tmp_path}/out/failed").collect()} == {"anchor"}
+    rec = metadata.read_records(spark, root).first()
+    assert rec.counts == counts and rec.sample == "s1" and rec.parameters["adaptive_filter"] == "true" and metadata.report(spark, root, strict=True) == []
+
+
 def test_clones_of_golden_rows(spark):
     data = [
         ("a", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"), ("b", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"),
