@@ -64,10 +64,13 @@ def neighbours(seq: Column, alphabet: str = "ACGT", distance: int = 1) -> Column
 
 
 def mean_phred(quality: Column) -> Column:
-    """Average quality of a read: that of its mean error probability (Phred + 33)."""
+    """Average quality of a read: that of its mean error probability (Phred + 33).
+
+    Rounded to nine places, so that a long read of one quality has that quality and passes a limit of it.
+    """
     errors = F.transform(F.split(quality, ""), lambda c: F.pow(F.lit(10.0), (F.lit(33) - F.ascii(c)) / 10))
     mean = F.aggregate(errors, F.lit(0.0), lambda s, x: s + x) / F.length(quality)
-    return F.when(F.length(quality) > 0, -10 * F.log10(mean))
+    return F.when(F.length(quality) > 0, F.round(-10 * F.log10(mean), 9))
 
 
 def length_bin(length: Column, size: int) -> Column:

@@ -37,6 +37,56 @@ def read_statistics(reads: DataFrame, column: str = "sequence") -> DataFrame:
         F.min("n").alias("min_length"), F.max("n").alias("max_length"), F.max("half").alias("n50"))
 
 
+def length_class(n: Column) -> Column:
+    """The least length of the class of n: lengths below 128 are classes of their own, others share their first seven binary digits.
+
+    A class is at most 1/64 of its least length wide.
+    """
+    shift = F.greatest(F.length(F.bin(n)) - 7, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", n.cast("long"), shift), shift)
+
+
+def read_report(reads: DataFrame, min_quality: float = -1, min_length: int = -1, max_length: int = -1) -> DataFrame:
+    """Counts of reads by class of length, whole mean quality and whether the limits keep them: what passes before and after a filter.
+
+    One aggregation in one pass. Tables of several files or runs are merged by adding up n_reads, n_bases and
+    quality_milli (sums of mean qualities in thousandths); there are a few thousand rows however many reads. -1
+    turns a limit off; null qualities have a class of their own and fail a quality limit.
+    """
+    n, q = F.length("sequence"), S.mean_phred(F.col("quality"))
+    own = reads.select(n.cast("long").alias("n"), q.alias("q"))
+    fits = F.lit(True)
+    for limit, holds in ((min_length, F.col("n") >= min_length), (max_length, F.col("n") <= max_length), (min_quality, F.coalesce(F.col("q") >= min_quality, F.lit(False)))):
+        fits = fits & holds if limit >= 0 else fits
+    return own.where("n is not null").groupBy(length_class(F.col("n")).alias("length_class"), F.floor("q").cast("int").alias("quality_class"), fits.alias("passed")).agg(
+        F.count("*").alias("n_reads"), F.sum("n").alias("n_bases"), F.sum(F.rint(F.col("q") * 1000).cast("long")).alias("quality_milli"))
+
+
+def report_statistics(report: DataFrame) -> DataFrame:
+    """A row for ``before`` and ``after`` from the classes of :func:`read_report`.
+
+    n_reads, n_bases, mean_length and mean_quality are exact; n50, median_length and median_quality are the least value
+    of the class that holds the true one, so lengths are at most 1/64 too small and qualities less than 1.
+    """
+    from pyspark.sql import Window as W
+
+    staged = report.withColumn("stage", F.explode(F.when(F.col("passed"), F.array(F.lit("before"), F.lit("after"))).otherwise(F.array(F.lit("before")))))
+    classes = lambda c: staged.groupBy("stage", F.col(c).alias("c")).agg(F.sum("n_reads").alias("k"), F.sum("n_bases").alias("b"))
+    whole = W.partitionBy("stage")
+
+    def reached(df: DataFrame, value: str, order: Column, name: str) -> DataFrame:
+        upto, total = F.sum(value).over(whole.orderBy(order)), F.sum(value).over(whole)
+        pick = F.max if "n50" in name else F.min
+        return df.withColumn("_m", F.when(upto * 2 >= total, F.col("c"))).groupBy("stage").agg(pick("_m").alias(name))
+
+    lengths = classes("length_class")
+    sums = staged.groupBy("stage").agg(
+        F.sum("n_reads").alias("n_reads"), F.sum("n_bases").alias("n_bases"), F.round(F.sum("n_bases") / F.sum("n_reads"), 6).alias("mean_length"),
+        F.round(F.sum("quality_milli") / 1000 / F.sum(F.when(F.col("quality_class").isNotNull(), F.col("n_reads"))), 6).alias("mean_quality"))
+    return sums.join(reached(lengths, "b", F.desc("c"), "n50"), "stage").join(reached(lengths, "k", F.asc("c"), "median_length"), "stage").join(
+        reached(classes("quality_class").where("c is not null"), "k", F.asc("c"), "median_quality"), "stage", "left")
+
+
 def tagged(reads: DataFrame, dx: int) -> DataFrame:
     """Simplex (0) or duplex (1) reads."""
     return reads.where(F.col("dx") == dx)

@@ -183,6 +183,27 @@ def read_statistics(spark, sf_dir):
     return filters.read_statistics(table(spark, sf_dir, "documents"), "text")
 
 
+_REPORT = f"""WITH {R}, l AS (SELECT length(sequence) AS n, {_PHRED} AS q FROM reads),
+h AS (SELECT (n >> greatest(length(bin(n)) - 7, 0)) << greatest(length(bin(n)) - 7, 0) AS length_class, floor(q)::INT AS quality_class, n >= 30 AND n <= 60 AND q >= 17.5 AS passed, count(*) AS n_reads,
+ sum(n)::BIGINT AS n_bases, sum(round_even(q * 1000, 0)::BIGINT)::BIGINT AS quality_milli FROM l GROUP BY ALL)"""
+
+
+@query(f"{_REPORT} SELECT * FROM h")
+def read_report(spark, sf_dir):
+    """Read numbers by class of length and quality, in one pass for before and after the filter."""
+    return filters.read_report(reads(spark, sf_dir), 17.5, 30, 60)
+
+
+@query(f"""{_REPORT}, s AS (SELECT 'before' AS stage, * FROM h UNION ALL SELECT 'after', * FROM h WHERE passed),
+c AS (SELECT stage, length_class AS c, sum(n_reads) AS k, sum(n_bases) AS b FROM s GROUP BY ALL), d AS (SELECT stage, quality_class AS c, sum(n_reads) AS k FROM s GROUP BY ALL),
+w AS (SELECT stage, c, sum(b) OVER (PARTITION BY stage ORDER BY c DESC) * 2 >= sum(b) OVER (PARTITION BY stage) AS far, sum(k) OVER (PARTITION BY stage ORDER BY c) * 2 >= sum(k) OVER (PARTITION BY stage) AS mid FROM c),
+x AS (SELECT stage, c, sum(k) OVER (PARTITION BY stage ORDER BY c) * 2 >= sum(k) OVER (PARTITION BY stage) AS mid FROM d)
+SELECT stage, sum(n_reads)::BIGINT AS n_reads, sum(n_bases)::BIGINT AS n_bases, round(sum(n_bases) / sum(n_reads), 6)::DOUBLE AS mean_length, round(sum(quality_milli) / 1000.0 / sum(n_reads), 6)::DOUBLE AS mean_quality,
+ (SELECT max(c) FROM w WHERE w.stage = s.stage AND far)::BIGINT AS n50, (SELECT min(c) FROM w WHERE w.stage = s.stage AND mid)::BIGINT AS median_length, (SELECT min(c) FROM x WHERE x.stage = s.stage AND mid)::INT AS median_quality FROM s GROUP BY stage""")
+def read_report_statistics(spark, sf_dir):
+    return filters.report_statistics(filters.read_report(reads(spark, sf_dir), 17.5, 30, 60))
+
+
 @query(f"WITH {R} SELECT read_id, reverse(translate(sequence, 'ACGT', 'TGCA')) AS rc FROM reads")
 def reverse_complement(spark, sf_dir):
     return reads(spark, sf_dir).select("read_id", S.reverse_complement(F.col("sequence")).alias("rc"))

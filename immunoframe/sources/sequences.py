@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..functions import sequence as S
 from ..session import ship_package
 
 SPLIT_BYTES = 64 << 20
+#: Records and letters of one Arrow batch.
+BATCH_ROWS, BATCH_LETTERS = 5000, 8 << 20
 FILE_SHIFT = 40  # read_ord: number of the file, then the byte at which the record starts
 
 
@@ -72,31 +75,131 @@ class _Reads(DataSourceReader):
             at += len(line)
 
 
+class Malformed(ValueError):
+    """A FASTQ file has lines that belong to no record."""
+
+
 class _FastqReader(_Reads):
+    """Records as Arrow batches. Lines that belong to no record are dropped, kept as rows without read_id, or an error (``malformed``).
+
+    A row kept for such lines has their number and the first of them as description. The first three lines of a
+    range may be the end of a record that begins in the range before, and count as that.
+    """
+
     suffixes = (".fastq", ".fq")
 
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.malformed = options.get("malformed", "drop")
+        if self.malformed not in ("drop", "keep", "fail"):
+            raise ValueError(f"malformed: drop, keep or fail, not {self.malformed}")
+
     def read(self, piece: Piece):
+        return _arrow(self.records(piece), ("read_id", "description", "sequence", "quality"))
+
+    def records(self, piece: Piece) -> Iterator[tuple]:
         held: list[tuple[int, bytes]] = []
+        stray: list[tuple[int, bytes]] = []
         whole = piece.path.endswith(".gz")
+        spare = 0 if whole or not piece.start else 3
+
+        def lost() -> Iterator[tuple]:
+            if stray and self.malformed == "fail":
+                raise Malformed(f"{piece.path}: {len(stray)} lines from byte {stray[0][0]} belong to no record")
+            if stray and self.malformed == "keep":
+                yield None, f"{len(stray)} lines: {stray[0][1].decode(errors='replace')}", None, None, (piece.number << FILE_SHIFT) | stray[0][0]
+            stray.clear()
+
         for item in self.lines(piece):
             held.append(item)
             if len(held) < 4:
                 continue
             (at, head), (_, seq), (_, plus), (_, qual) = held
             if not whole and at >= piece.stop:
+                yield from lost()
                 return
             if head[:1] == b"@" and plus[:1] == b"+" and len(seq) == len(qual):
-                name, _, rest = head[1:].decode().partition(" ")
-                yield name, rest, seq.decode(), qual.decode(), (piece.number << FILE_SHIFT) | at
-                held = []
-            else:  # a range that starts inside a record
-                held.pop(0)
+                yield from lost()
+                name, _, rest = head[1:].decode(errors="replace").partition(" ")
+                yield name, rest, seq.decode(errors="replace"), qual.decode(errors="replace"), (piece.number << FILE_SHIFT) | at
+                held, spare = [], 0
+            else:
+                gone = held.pop(0)
+                if spare:
+                    spare -= 1
+                elif gone[1]:
+                    stray.append(gone)
+        stray += [x for x in held[spare:] if x[1] and (whole or x[0] < piece.stop)]
+        yield from lost()
+
+
+class _FastqStream(DataSourceStreamReader):
+    """Files that arrive in a folder, moved in whole. An offset is the number of bytes of each file that batches have taken.
+
+    A batch reads the byte ranges between two offsets, so a restart from a checkpoint reads each record once. read_ord has a
+    checksum of the file's path in place of its number, which later files would shift.
+    """
+
+    def __init__(self, options: dict):
+        self.reader = _FastqReader(options)
+
+    def _files(self) -> dict[str, int]:
+        from pyarrow import fs
+
+        system, path = _filesystem(self.reader.path)
+        found = system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+        return {f.path: f.size for f in found if f.is_file and f.path.removesuffix(".gz").endswith(self.reader.suffixes)}
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        return self._files()
+
+    def partitions(self, start: dict, end: dict) -> list[Piece]:
+        out = []
+        for path, size in sorted(end.items()):
+            began = start.get(path, 0)
+            if size <= began:
+                continue
+            step = size if path.endswith(".gz") else self.reader.split
+            number = zlib.crc32(path.encode()) & 0x3FFFFF
+            out += [Piece(path, number, at, min(at + step, size)) for at in range(began, size, max(step, 1))]
+        return out
+
+    def read(self, piece: Piece):
+        return self.reader.read(piece)
+
+    def commit(self, end: dict) -> None:
+        return
+
+
+def _arrow(rows: Iterator[tuple], texts: tuple[str, ...]) -> Iterator:
+    """Rows of texts and read_ord in Arrow batches of bounded rows and letters."""
+    import pyarrow as pa
+
+    def batch(held: list[tuple]):
+        *columns, order = zip(*held, strict=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns), pa.array(order, pa.int64())], names=[*texts, "read_ord"])
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row[:-1] if x)
+        if len(held) >= BATCH_ROWS or size >= BATCH_LETTERS:
+            yield batch(held)
+            held, size = [], 0
+    if held:
+        yield batch(held)
 
 
 class _FastaReader(_Reads):
     suffixes = (".fasta", ".fa")
 
     def read(self, piece: Piece):
+        return _arrow(self.records(piece), ("header", "sequence"))
+
+    def records(self, piece: Piece) -> Iterator[tuple]:
         head, at, parts = None, 0, []
         whole = piece.path.endswith(".gz")
         for pos, line in self.lines(piece):
@@ -105,9 +208,9 @@ class _FastaReader(_Reads):
                     yield head, "".join(parts), (piece.number << FILE_SHIFT) | at
                 if not whole and pos >= piece.stop:
                     return
-                head, at, parts = line[1:].decode(), pos, []
+                head, at, parts = line[1:].decode(errors="replace"), pos, []
             elif head is not None:
-                parts.append(line.decode().strip())
+                parts.append(line.decode(errors="replace").strip())
         if head is not None:
             yield head, "".join(parts), (piece.number << FILE_SHIFT) | at
 
@@ -123,6 +226,9 @@ class Fastq(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _FastqReader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _FastqStream(self.options)
+
 
 class Fasta(DataSource):
     @classmethod
@@ -189,6 +295,12 @@ def read_fastq(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.format("fastq").options(path=path, **options).load()
 
 
+def stream_fastq(spark: SparkSession, path: str, **options) -> DataFrame:
+    """A stream of the records of FASTQ files that arrive in a folder."""
+    register(spark)
+    return spark.readStream.format("fastq").options(path=path, **options).load()
+
+
 def read_fasta(spark: SparkSession, path: str, **options) -> DataFrame:
     """read_id, annotations (map), sequence, header and read_ord of each record."""
     register(spark)

@@ -461,6 +461,74 @@ def test_a_collapse_searches_each_read_once_and_writes_its_record(spark, tmp_pat
     assert rec.counts == counts and rec.sample == "s1" and rec.parameters["adaptive_filter"] == "true" and metadata.report(spark, root, strict=True) == []
 
 
+def test_read_report_against_exact_numbers(spark):
+    rng = random.Random(31)
+    data = [(text(rng, int(rng.lognormvariate(6, 1)) + 1), rng.randint(34, 70)) for _ in range(800)] + [("", 40), ("ACGT" * 20_000, 60)]
+    df = spark.createDataFrame([(s, chr(q) * len(s) if s else None, "x") for s, q in data] + [(None, None, "x")], "sequence string, quality string, n string")
+    report = filters.read_report(df, 10, 100, 2000)
+    seen = report.collect()
+    assert sum(r.n_reads for r in seen) == len(data) and {r.quality_class for r in seen if r.n_bases == 0} == {None}
+    halves = filters.read_report(df.limit(300), 10, 100, 2000).unionByName(filters.read_report(df.offset(300), 10, 100, 2000))
+    out = {r.stage: r for r in filters.report_statistics(report).collect()}
+    assert out == {r.stage: r for r in filters.report_statistics(halves).collect()}  # reports add up
+    for stage, kept in (("before", data), ("after", [(s, q) for s, q in data if 100 <= len(s) <= 2000 and q - 33 >= 10])):
+        n = sorted(len(s) for s, _ in kept)
+        far, half = 0, sum(n) / 2
+        for x in reversed(n):
+            far += x
+            if far >= half:
+                break
+        r = out[stage]
+        assert (r.n_reads, r.n_bases) == (len(n), sum(n)) and r.mean_length == pytest.approx(sum(n) / len(n))
+        assert r.n50 <= x < r.n50 * (1 + 1 / 64) + 1 and r.median_length <= n[(len(n) - 1) // 2] < r.median_length * (1 + 1 / 64) + 1
+        assert r.mean_quality == pytest.approx(sum(q - 33 for s, q in kept if s) / sum(1 for s, _ in kept if s), abs=1e-3)
+    assert filters.report_statistics(filters.read_report(df.limit(0))).count() == 0
+
+
+def test_reads_of_one_quality_pass_that_limit(spark):
+    df = spark.createDataFrame([("ACGT" * n, chr(33 + q) * 4 * n) for q in range(1, 42) for n in (1, 25, 256, 427)], "sequence string, quality string")
+    for q in (10, 20, 30, 40):
+        assert filters.quality_length(df, q).count() == 4 * (42 - q)
+
+
+def test_malformed_fastq_is_counted(spark, tmp_path):
+    good = [f"@r{i} d\n{'ACGT' * (i % 5 + 1)}\n+\n{'IIII' * (i % 5 + 1)}\n" for i in range(60)]
+    broken = [*good[:20], "@short\nACGT\n+\nII\n", *good[20:40], "lost line\n\n", *good[40:], "@cut\nAC\n"]
+    (tmp_path / "a.fastq").write_text("".join(broken))
+    for split in (1 << 20, 150):
+        kept = sequences.read_fastq(spark, str(tmp_path), malformed="keep", splitBytes=split).collect()
+        assert [r.read_id for r in kept if r.read_id] == [f"r{i}" for i in range(60)] == [r.read_id for r in sequences.read_fastq(spark, str(tmp_path), splitBytes=split).collect()]
+        odd = [r.description for r in kept if r.read_id is None]
+        assert split == 150 or odd == ["4 lines: @short", "1 lines: lost line", "2 lines: @cut"]
+    with pytest.raises(Exception, match="belong to no record"):
+        sequences.read_fastq(spark, str(tmp_path), malformed="fail").collect()
+
+
+def test_a_stream_of_fastq_files_goes_on_where_it_stopped(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+
+    def arrive(name, ids):
+        whole = tmp_path / name
+        whole.write_text("".join(f"@r{i}\nACGT\n+\nIIII\n" for i in ids))
+        whole.rename(folder / name)
+
+    def run():
+        stream = sequences.stream_fastq(spark, str(folder), splitBytes=100)
+        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(once=True).start()
+        q.awaitTermination(120)
+        assert q.exception() is None
+        return sorted(int(r.read_id[1:]) for r in spark.read.parquet(out).collect())
+
+    arrive("b.fastq", range(0, 40))
+    assert run() == list(range(40))
+    assert run() == list(range(40))
+    arrive("a.fastq", range(40, 70))  # sorts before the one that has been read
+    arrive("c.fq", range(70, 75))
+    assert run() == list(range(75))
+    assert spark.read.parquet(out).select("read_ord").distinct().count() == 75
+
+
 def test_clones_of_golden_rows(spark):
     data = [
         ("a", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"), ("b", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"),
