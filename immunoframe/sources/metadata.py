@@ -6,6 +6,7 @@ import datetime as dt
 import html
 import json
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -90,10 +91,11 @@ def write_record(
         raise ValueError("counts are 0 or more")
     kind = "sample_locus" if sample and locus else "sample" if sample else "locus" if locus else "run"
     seconds = (dt.datetime.fromisoformat(finished_at) - dt.datetime.fromisoformat(started_at)).total_seconds()
+    run = json.loads(Path(root, FOLDER, "run.json").read_text())
     record = {
-        "schema_version": SCHEMA_VERSION, "run_id": json.loads(Path(root, FOLDER, "run.json").read_text())["run_id"], "module": module, "record_id": record_id,
+        "schema_version": SCHEMA_VERSION, "run_id": run["run_id"], "version": run["version"], "module": module, "record_id": record_id,
         "scope_type": kind, "sample": sample, "locus": locus, "status": status, "started_at": started_at, "finished_at": finished_at,
-        "duration_seconds": max(0.0, round(seconds, 3)), "counts": counts, "parameters": {k: _parameter(v) for k, v in (parameters or {}).items()}, "files": files or {}}
+        "duration_seconds": max(0.0, round(seconds, 3)), "counts": counts, "parameters": {k: _parameter(v) for k, v in (parameters or {}).items()}, "files": {k: v for k, v in (files or {}).items() if v is not None}}
     path = Path(root, FOLDER, "metadata", module, f"{record_id}.json")
     _write(path, json.dumps(record))
     return path
@@ -116,6 +118,86 @@ def misplaced(spark: SparkSession, root: str) -> DataFrame:
     return own.where((F.element_at(parts, -2) != F.col("module")) | (F.element_at(parts, -1) != F.concat("record_id", F.lit(".json")))).select("module", "record_id")
 
 
+#: Fields of a record; others are reported.
+KNOWN = (
+    "schema_version", "run_id", "version", "module", "record_id", "scope_type", "sample", "locus", "status", "started_at", "finished_at", "duration_seconds", "counts", "parameters", "files")
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
+def check_run(root: str) -> dict:
+    """The run's marker; ValueError where it is missing, no JSON object, of another schema version or lacks a field."""
+    path = Path(root, FOLDER, "run.json")
+    try:
+        marker = json.loads(path.read_text())
+    except (OSError, ValueError) as e:
+        raise ValueError(f"{path}: {e}") from e
+    if not isinstance(marker, dict):
+        raise ValueError(f"{path}: not an object")
+    if type(marker.get("schema_version")) is not int or marker["schema_version"] != SCHEMA_VERSION:
+        raise ValueError(f"{path}: schema_version is not {SCHEMA_VERSION}")
+    for key in ("run_id", "version", "created_at"):
+        if not isinstance(marker.get(key), str) or not marker[key].strip():
+            raise ValueError(f"{path}: {key} is no text")
+    dt.datetime.fromisoformat(marker["created_at"])
+    return marker
+
+
+def problems(spark: SparkSession, root: str) -> DataFrame:
+    """path, severity (error, warning) and problem of every record file that a strict reading refuses.
+
+    The raw text is read as a variant, so that wrong types and unknown fields show; the typed columns of
+    :func:`read_records` would hold nulls there. A file with no problem has no row.
+    """
+    marker = check_run(root)
+    top = f"{root}/{FOLDER}/metadata"
+    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(top)
+    own = text.select(F.input_file_name().alias("path"), F.try_parse_json("value").alias("v"))
+    below = F.split(F.regexp_extract("path", rf"/{re.escape(FOLDER)}/metadata/(.*)$", 1), "/")
+    own = own.withColumns({"folder": F.when(F.size(below) > 1, below[0]), "stem": F.regexp_replace(F.element_at(below, -1), r"\.json$", ""), "is_object": F.schema_of_variant("v").startswith("OBJECT<")})
+    broken = own.where("v is null").select("path", F.lit("error").alias("severity"), F.lit("no JSON").alias("problem"))
+    rootless = own.where("v is not null and not is_object").select("path", F.lit("error").alias("severity"), F.lit("not an object").alias("problem"))
+
+    field = lambda k: F.try_variant_get("v", f"$.{k}", "variant")
+    kind = lambda k: F.coalesce(F.schema_of_variant(field(k)), F.lit(""))
+    string = lambda k: F.try_variant_get("v", f"$.{k}", "string")
+    entries = lambda k: F.coalesce(F.try_variant_get("v", f"$.{k}", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
+    whole = lambda x: F.schema_of_variant(x).rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$")
+    blank = lambda k: (kind(k) != "STRING") | (F.trim(string(k)) == "")
+    moment = lambda k: string(k).rlike(_ISO) & F.try_to_timestamp(string(k)).isNotNull()
+    scope = string("scope_type")
+    rules = [
+        (~kind("schema_version").rlike("^(BIGINT|DECIMAL.*,0.*)$"), "schema_version is no whole number"),
+        (kind("schema_version").rlike("^BIGINT$") & (F.try_variant_get("v", "$.schema_version", "long") != SCHEMA_VERSION), "schema_version is another one"),
+        *[(blank(k), f"{k} is no text") for k in ("run_id", "module", "record_id", "status", "started_at", "finished_at")],
+        (~blank("run_id") & (string("run_id") != marker["run_id"]), "run_id is that of another run"),
+        (F.col("folder").isNull(), "not below a module's folder"), (~blank("module") & (string("module") != F.col("folder")), "module is not its folder"),
+        (~blank("record_id") & (string("record_id") != F.col("stem")), "record_id is not its file's name"),
+        ((kind("scope_type") != "STRING") | ~F.coalesce(scope.isin(*runmeta.SCOPES), F.lit(False)), "unknown scope"),
+        (scope.isin("sample", "sample_locus") & blank("sample"), "scope without a sample"), (scope.isin("locus", "sample_locus") & blank("locus"), "scope without a locus"),
+        (~blank("status") & ~string("status").isin(*runmeta.STATES), "unknown status"),
+        *[(~blank(k) & ~F.coalesce(moment(k), F.lit(False)), f"{k} is no ISO date") for k in ("started_at", "finished_at")],
+        (moment("started_at") & moment("finished_at") & (F.try_to_timestamp(string("finished_at")) < F.try_to_timestamp(string("started_at"))), "finished before start"),
+        *[(~kind(k).startswith("OBJECT<"), f"{k} is no object") for k in ("counts", "parameters", "files")],
+        (~kind("duration_seconds").rlike("^(|VOID|BIGINT|DOUBLE|DECIMAL.*)$") | (F.try_variant_get("v", "$.duration_seconds", "double") < 0), "duration_seconds is no number of 0 or more"),
+    ]
+    single = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(t)) for c, t in rules])
+    bad_count = F.transform(F.map_entries(entries("counts")), lambda e: F.when(
+        (e["key"] == "") | ~whole(e["value"]) | F.coalesce(F.try_variant_get(e["value"], "$", "decimal(38,0)") < 0, F.lit(True)), F.concat(F.lit("count '"), e["key"], F.lit("' is no whole number of 0 or more"))))
+    bad_file = F.transform(F.map_entries(entries("files")), lambda e: F.when(
+        (e["key"] == "") | (F.schema_of_variant(e["value"]) != "STRING") | (F.try_variant_get(e["value"], "$", "string") == ""), F.concat(F.lit("file '"), e["key"], F.lit("' is no path"))))
+    unknown = F.transform(F.array_except(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>")), F.array(*map(F.lit, KNOWN))), lambda k: F.concat(F.lit("unknown field "), k))
+    version = F.when(F.coalesce(string("version"), F.lit("")) != marker["version"], F.array(F.lit("version is not the run's"))).otherwise(F.array().cast("array<string>"))
+    objects = own.where("is_object")
+    found = lambda severity, texts: objects.select("path", F.lit(severity).alias("severity"), F.explode(texts).alias("problem")).where("problem is not null")
+    names = objects.select("path", string("module").alias("m"), string("record_id").alias("r")).where("m is not null and r is not null")
+    double = names.groupBy("m", "r").agg(F.sort_array(F.collect_list("path")).alias("paths")).where("size(paths) > 1").select(F.explode(F.slice("paths", 2, 1 << 20)).alias("path"), F.lit("error").alias("severity"), F.lit("duplicate record").alias("problem"))
+    parts = [broken, rootless, found("error", F.concat(single, bad_count, bad_file)), found("warning", F.concat(unknown, version)), double]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def write_summary(records: DataFrame, path: str, title: str = "summary") -> None:
     """The summary as tab-separated text behind two lines of preamble (a few rows for each record)."""
     rows = runmeta.summary_rows(records).orderBy("ord").collect()
@@ -147,12 +229,12 @@ def report(spark: SparkSession, root: str, strict: bool = False, validate_only:
     """Writes summary.tsv and report.html, or one of them; returns warnings. Errors (and with strict, warnings) raise."""
     if not (summary or page or validate_only):
         raise ValueError("neither summary nor page: use validate_only")
-    records = read_records(spark, root)
-    run_id = json.loads(Path(root, FOLDER, "run.json").read_text())["run_id"]
-    bad = [f"{r.module}/{r.record_id}: {r.problem}" for r in runmeta.errors(records, run_id).collect()] + [f"{r.module}/{r.record_id}: misplaced" for r in misplaced(spark, root).collect()]
-    if bad:
+    found = problems(spark, root).orderBy("path", "problem").collect()
+    if bad := [f"{'/'.join(r.path.split('/')[-2:])}: {r.problem}" for r in found if r.severity == "error"]:
         raise ValueError("; ".join(bad))
-    warnings = [str(tuple(r)) for check in (runmeta.rises, runmeta.wrong_sums, runmeta.mismatches, runmeta.unexpected_samples, runmeta.sample_totals) for r in check(records).collect()]
+    records = read_records(spark, root)
+    warnings = [f"{'/'.join(r.path.split('/')[-2:])}: {r.problem}" for r in found]
+    warnings += [str(tuple(r)) for check in (runmeta.rises, runmeta.wrong_sums, runmeta.mismatches, runmeta.unexpected_samples, runmeta.sample_totals) for r in check(records).collect()]
     if strict and warnings:
         raise ValueError("; ".join(warnings))
     if summary and not validate_only:

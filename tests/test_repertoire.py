@@ -491,6 +491,49 @@ def test_reads_of_one_quality_pass_that_limit(spark):
         assert filters.quality_length(df, q).count() == 4 * (42 - q)
 
 
+def test_strict_reading_of_records(spark, tmp_path):
+    root = tmp_path / "run"
+    metadata.start_run(str(root), "1.0")
+    t = ("2024-01-01T10:00:00+00:00", "2024-01-01T10:01:00+00:00")
+    metadata.write_record(str(root), "filter", "run", {"input_reads": 5, "filtered_reads": 4}, *t, files={"log": "x"})
+    folder = root / metadata.FOLDER / "metadata"
+    good = json.loads((folder / "filter" / "run.json").read_text())
+    assert metadata.problems(spark, str(root)).count() == 0
+    cases = {
+        "schema_version is no whole number": {"schema_version": "1"}, "schema_version is another one": {"schema_version": 2}, "run_id is no text": {"run_id": 5}, "run_id is that of another run": {"run_id": "x"},
+        "module is not its folder": {"module": "demux"}, "status is no text": {"status": " "}, "unknown status": {"status": "odd"}, "unknown scope": {"scope_type": "cell"},
+        "scope without a sample": {"scope_type": "sample"}, "scope without a locus": {"scope_type": "locus", "locus": ""}, "started_at is no ISO date": {"started_at": "yesterday"},
+        "finished before start": {"finished_at": "2023-01-01T00:00:00+00:00"}, "counts is no object": {"counts": [1]}, "parameters is no object": {"parameters": None}, "files is no object": {"files": "f"},
+        "count 'a' is no whole number of 0 or more": {"counts": {"a": -1, "b": 2}}, "count 'b' is no whole number of 0 or more": {"counts": {"a": 1, "b": True}},
+        "count 'c' is no whole number of 0 or more": {"counts": {"c": 1.5}}, "count 'd' is no whole number of 0 or more": {"counts": {"d": "7"}}, "file 'f' is no path": {"files": {"f": ""}}, "file 'g' is no path": {"files": {"g": 3}},
+        "duration_seconds is no number of 0 or more": {"duration_seconds": -1}, "finished_at is no text": {"finished_at": None}}
+    for i, change in enumerate(cases.values()):
+        (folder / "filter" / f"c{i}.json").write_text(json.dumps({**good, "record_id": f"c{i}", **change}))
+    (folder / "filter" / "text.json").write_text("{no json")
+    (folder / "filter" / "list.json").write_text("[1]")
+    (folder / "loose.json").write_text(json.dumps({**good, "record_id": "loose"}))
+    (folder / "filter" / "other.json").write_text(json.dumps({**good, "record_id": "named"}))
+    (folder / "filter" / "deeper").mkdir()
+    (folder / "filter" / "deeper" / "run.json").write_text(json.dumps(good))
+    (folder / "filter" / "more.json").write_text(json.dumps({**good, "record_id": "more", "version": "2", "extra": 1}))
+    got = {}
+    for r in metadata.problems(spark, str(root)).collect():
+        got.setdefault(r.path.split("/metadata/")[1], set()).add((r.severity, r.problem))
+    for i, (problem, change) in enumerate(cases.items()):
+        assert got.pop(f"filter/c{i}.json") == {("error", problem)}, change
+    assert got.pop("loose.json") >= {("error", "not below a module's folder")}
+    doubles = [got.pop(k) for k in ("filter/run.json", "filter/deeper/run.json") if k in got]
+    assert doubles == [{("error", "duplicate record")}]
+    assert got == {
+        "filter/text.json": {("error", "no JSON")}, "filter/list.json": {("error", "not an object")}, "filter/other.json": {("error", "record_id is not its file's name")},
+        "filter/more.json": {("warning", "unknown field extra"), ("warning", "version is not the run's")}}
+    with pytest.raises(ValueError, match="no JSON"):
+        metadata.report(spark, str(root))
+    (root / metadata.FOLDER / "run.json").write_text('{"schema_version": true}')
+    with pytest.raises(ValueError, match="schema_version"):
+        metadata.problems(spark, str(root))
+
+
 def test_malformed_fastq_is_counted(spark, tmp_path):
     good = [f"@r{i} d\n{'ACGT' * (i % 5 + 1)}\n+\n{'IIII' * (i % 5 + 1)}\n" for i in range(60)]
     broken = [*good[:20], "@short\nACGT\n+\nII\n", *good[20:40], "lost line\n\n", *good[40:], "@cut\nAC\n"]
