@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..session import ship_package
+from .align import codes
 
 _MATCH = "anchor_id string, strand string, start int, end int, error double"
 
@@ -21,8 +22,8 @@ def best_ends(reads: list[str], anchor: str) -> tuple[np.ndarray, np.ndarray, np
     width = max(map(len, reads), default=0)
     table = np.zeros((n, width), np.uint8)
     for i, r in enumerate(reads):
-        table[i, : len(r)] = np.frombuffer(r.encode(), np.uint8)
-    a = np.frombuffer(anchor.encode(), np.uint8)
+        table[i, : len(r)] = codes(r)
+    a = codes(anchor)
     cost = np.broadcast_to(np.arange(m + 1, dtype=np.int32), (n, m + 1)).copy()
     begin = np.zeros((n, m + 1), np.int32)
     best, start, end = np.full(n, m + 1, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
@@ -53,7 +54,7 @@ def match_anchors(
 
     The first (or, with tail, the last) ``window`` bases are searched. The anchor with the least share of
     edits wins, then the earlier one in the list; the reverse strand counts only where the forward one has
-    no match. Both strands are tried in one pass. anchors (anchor_id, seq) is a short list and goes along with the code.
+    no match. Null and empty reads have none; letters beyond ASCII match nothing. Both strands are tried in one pass. anchors (anchor_id, seq) is a short list and goes along with the code.
     """
     ship_package(reads.sparkSession)
     known = [(r[0], r[1]) for r in anchors.select("anchor_id", "seq").collect()]

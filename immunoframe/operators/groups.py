@@ -64,10 +64,3 @@ def first_of_each(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     rest = [c for c in rows.columns if c not in by]
     picked = rows.groupBy(*by).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_r"))
     return picked.select(*by, *[F.col("_r")[c].alias(c) for c in rest]).select(*rows.columns)
-
-
-def chunks(sizes: DataFrame, group: str, n: str, rows: int) -> DataFrame:
-    """A diagnostic plan of chunks of about ``rows`` reads; execution uses Spark's own partitions instead."""
-    before = F.sum(n).over(W.partitionBy("_salt").orderBy(F.desc(n), group).rowsBetween(W.unboundedPreceding, -1))
-    salted = sizes.withColumn("_salt", F.pmod(F.xxhash64(group), F.lit(64)))
-    return salted.withColumn("chunk", F.concat_ws("-", "_salt", F.floor(F.coalesce(before, F.lit(0)) / rows).cast("long"))).drop("_salt")

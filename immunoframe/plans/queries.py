@@ -776,13 +776,33 @@ def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("read_id"), F.when(F.col("event_id") % 6 == 5, S.reverse_complement(seq)).otherwise(seq).alias("sequence"))
 
 
+#: Each anchor and all strings one edit away from it, with their number of edits, and the reads of both strands.
+_NEAR = f"""anchors(id, seq, ord) AS (VALUES {', '.join(f"('{n}', '{q}', {i})" for i, (n, q) in enumerate(ANCHORS))}),
+places AS (SELECT *, unnest(range(0, length(seq) + 1)) AS i FROM anchors), letters(c) AS (VALUES ('A'), ('C'), ('G'), ('T')),
+near AS (SELECT id, ord, 0 AS d, seq AS v FROM anchors UNION SELECT id, ord, 1, substr(seq, 1, i) || substr(seq, i + 2) FROM places WHERE i < length(seq)
+ UNION SELECT id, ord, 1, substr(seq, 1, i) || c || substr(seq, i + 1) FROM places, letters UNION SELECT id, ord, 1, substr(seq, 1, i) || c || substr(seq, i + 2) FROM places, letters WHERE i < length(seq)),
+made AS (SELECT event_id, substr({dna('event_id')}, 1, 12) || CASE event_id % 4 WHEN 0 THEN 'ACGTTGCAAC' WHEN 1 THEN 'GGATCCTAAG' WHEN 2 THEN 'CCAATTGGAC' ELSE '' END || {dna('event_id + 500000')} AS s FROM events),
+own AS (SELECT event_id AS read_id, CASE WHEN event_id % 6 = 5 THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END AS s FROM made),
+strands AS (SELECT read_id, 0 AS turned, s FROM own UNION ALL SELECT read_id, 1, reverse(translate(s, 'ACGT', 'TGCA')) FROM own)"""
+
+
+@query(f"""WITH {_NEAR}, hit AS (SELECT read_id, min({{'t': turned, 'd': d, 'o': ord, 'id': id}}) AS h FROM strands JOIN near ON contains(substr(s, 1, 30), v) GROUP BY read_id)
+SELECT h.id AS anchor_id, CASE h.t WHEN 0 THEN '+' WHEN 1 THEN '-' END AS strand, h.d / 10.0::DOUBLE AS error, count(*) AS n FROM own LEFT JOIN hit USING (read_id) GROUP BY ALL""")
+def demux_calls(spark, sf_dir):
+    """Anchor, strand and share of edits of planted reads, and of those that match by chance."""
+    a = spark.createDataFrame(ANCHORS, "anchor_id string, seq string")
+    return anchors.match_anchors(planted(spark, sf_dir), a, 30, 0.1).groupBy("anchor_id", "strand", "error").agg(F.count("*").alias("n"))
+
+
 @query()
 def demux_samples(spark, sf_dir):
     a = spark.createDataFrame(ANCHORS, "anchor_id string, seq string")
     return anchors.cut(anchors.match_anchors(planted(spark, sf_dir), a, 30, 0.1), barcode=True).groupBy("anchor_id", "strand").agg(F.count("*").alias("n"), F.sum(F.length("barcode")).alias("barcode_bases"))
 
 
-@query()
+@query(f"""WITH {_NEAR}, hit AS (SELECT read_id, min({{'t': turned, 'd': d, 'o': ord, 'id': id}}) AS h FROM strands JOIN near ON contains(substr(s, greatest(length(s) - 45, 0) + 1), v) GROUP BY read_id),
+tag AS (SELECT h.id AS id FROM own LEFT JOIN hit USING (read_id))
+SELECT 'ig' AS locus, count(*) AS n FROM tag WHERE contains(id, 'Ig') UNION ALL SELECT 'tr', count(*) FROM tag WHERE contains(id, 'A') UNION ALL SELECT NULL, count(*) FROM tag WHERE id IS NULL OR NOT contains(id, 'Ig') AND NOT contains(id, 'A')""")
 def seqtag_split(spark, sf_dir):
     a = spark.createDataFrame(ANCHORS, "anchor_id string, seq string")
     tagged = anchors.match_anchors(planted(spark, sf_dir), a, 45, 0.1, tail=True)

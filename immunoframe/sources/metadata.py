@@ -242,7 +242,3 @@ def report(spark: SparkSession, root: str, strict: bool = False, validate_only:
     if page and not validate_only:
         write_html(records, f"{root}/report.html")
     return warnings
-
-
-def readable_duration(seconds: F.Column) -> F.Column:
-    return S.duration(seconds)

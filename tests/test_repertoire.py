@@ -572,6 +572,37 @@ def test_a_stream_of_fastq_files_goes_on_where_it_stopped(spark, tmp_path):
     assert spark.read.parquet(out).select("read_ord").distinct().count() == 75
 
 
+def test_small_sources_and_orders(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("ACGT first\n\n  GGTT\nAAAA 2\n")
+    assert rows(sequences.read_sequence_list(spark, str(tmp_path / "list.txt")), "ord") == [("ACGT", 0), ("GGTT", 1), ("AAAA", 2)]
+    (tmp_path / "anchors.fasta").write_text(">Ig | 1 | IGHA \nacgt\nAA\n>TCR | 2 | TRBC\nGG\n")
+    assert [tuple(r) for r in sequences.read_anchors(spark, str(tmp_path / "anchors.fasta")).collect()] == [("Ig | 1 | IGHA", "ACGTAA"), ("TCR | 2 | TRBC", "GG")]
+    (tmp_path / "scale.json").write_text('{\n"tissue_hires_scalef": 0.25,\n"tissue_lowres_scalef": 0.1}')
+    assert sequences.read_scale(spark, str(tmp_path / "scale.json")) == 0.25
+    spark.createDataFrame([("s_1", "b_1", "cell_1", True, 9)], "square_002um string, square_016um string, cell_id string, in_cell boolean, extra int").write.parquet(f"{tmp_path}/map")
+    spark.createDataFrame([(1.5, "s_1", 2.5, 0)], "pxl_row_in_fullres double, barcode string, pxl_col_in_fullres double, in_tissue int").write.parquet(f"{tmp_path}/pos")
+    assert rows(sequences.read_spatial_mapping(spark, f"{tmp_path}/map")) == [("s_1", "b_1", "cell_1", True)]
+    assert rows(sequences.read_positions(spark, f"{tmp_path}/pos")) == [("s_1", 1.5, 2.5)]
+    assert rows(filters.tagged(spark.createDataFrame([("a", 0), ("b", 1), ("c", None)], "r string, dx int"), 1)) == [("b", 1)]
+    root = tmp_path / "run"
+    metadata.start_run(str(root), "1")
+    (root / "deep" / "er").mkdir(parents=True)
+    assert metadata.find_root(str(root / "deep" / "er")) == root.resolve() and metadata.find_root(str(tmp_path)) is None
+    assert spark.createDataFrame([("min_group_size",), (None,)], "k string").select(S.humanise(F.col("k"))).collect() == [("Min Group Size",), (None,)]
+    own = [("airr", "b", "tr", "b_tr"), ("airr", "b", "ig", "b_ig"), ("airr", "a", "tr", "a_tr"), ("filter", None, None, "run"), ("polish", None, None, "x"), ("demux", "a", None, "a"), ("demux", None, None, "run")]
+    df = spark.createDataFrame([(*r, {"log": f"/{r[3]}.log", "nanoplot_report": "/q.HTML", "page": "/p.html"}) for r in own], "module string, sample string, locus string, record_id string, files map<string,string>").withColumn("run_id", F.lit("r"))
+    assert [(r.module, r.record_id) for r in runmeta.ordered(df).collect()] == [("filter", "run"), ("demux", "run"), ("demux", "a"), ("airr", "a_tr"), ("airr", "b_ig"), ("airr", "b_tr"), ("polish", "x")]
+    assert {(r.module, r.key) for r in runmeta.quality_links(df).collect()} == {(m, k) for m in ("airr", "filter", "polish", "demux") for k in ("nanoplot_report", "page")}
+
+
+def test_reads_beyond_ascii(spark):
+    reads = spark.createDataFrame([(1, "漢字漢字ACGTTGCAGGG"), (2, "é" * 30), (3, "")], "i int, sequence string")
+    found = anchors.match_anchors(reads, spark.createDataFrame([("x", "ACGTTGCA")], "anchor_id string, seq string"), 50, 0.1)
+    assert rows(found.select("i", "anchor_id", "start", "end")) == [(1, "x", 4, 12), (2, None, None, None), (3, None, None, None)]
+    a, b = consensus.pairwise("ACé漢T", "AC漢T")
+    assert (a, b) == ("ACé漢T", "AC-漢T")
+
+
 def test_clones_of_golden_rows(spark):
     data = [
         ("a", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"), ("b", "IGHV3-23*01,IGHV3-23D*01", "IGHJ4*01", "TGTGCGAAAGTTTACTACGGTGGTAAGGAAATTGACTACTGG"),
