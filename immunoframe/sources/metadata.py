@@ -209,20 +209,46 @@ def write_summary(records: DataFrame, path: str, title: str = "summary") -> None
     _write(Path(path), "\n".join(out) + "\n")
 
 
-def write_html(records: DataFrame, path: str) -> None:
-    """A page of its own: headline numbers, retention, loci, files and warnings."""
-    def block(title: str, df: DataFrame) -> str:
-        cells = lambda tag, r: "".join(f"<{tag}>{html.escape('' if v is None else str(v))}</{tag}>" for v in r)
-        body = "".join(f"<tr>{cells('td', r)}</tr>" for r in df.collect())
-        return f"<h2>{html.escape(title)}</h2><table><tr>{cells('th', df.columns)}</tr>{body}</table>"
-
-    parts = [
-        block("Overview", runmeta.overview(records)), block("Read retention", runmeta.retention(runmeta.read_stages(records)).orderBy("run_id", "stage_no")),
-        block("Demultiplexing", runmeta.demux_overview(records).orderBy("sample")), block("Loci", runmeta.loci(records).orderBy("locus", "sample")),
-        block("Summary", runmeta.summary_rows(records).orderBy("ord").drop("ord")), block("Falling counts", runmeta.rises(records)), block("Sums", runmeta.wrong_sums(records)),
-        block("Handovers", runmeta.mismatches(records)), block("Samples", runmeta.unexpected_samples(records)), block("Files", runmeta.file_kinds(records))]
-    style = "body{font-family:sans-serif;margin:2em}table{border-collapse:collapse}td,th{border:1px solid #ccc;padding:.3em .6em}"
-    _write(Path(path), f"<!doctype html><meta charset=utf-8><title>Run report</title><style>{style}</style>{''.join(parts)}")
+def write_html(records: DataFrame, path: str, warnings: list[str] = ()) -> None:
+    """A page of its own with three panels: overview (headline numbers, warnings, modules, retention, quality reports), loci, run details.
+
+    Panels change by radio buttons, so the page needs no script; every text is escaped.
+    """
+    text = lambda v: html.escape("" if v is None else str(v))
+
+    def block(title: str, df: DataFrame, bar: str | None = None) -> str:
+        found = df.collect()
+        cells = lambda tag, r: "".join(f"<{tag}>{text(v)}</{tag}>" for v in r)
+        drawn = lambda r: f"<td><div class=bar style='width:{float(r[bar] or 0):.1f}%'></div></td>" if bar else ""
+        body = "".join(f"<tr>{cells('td', r)}{drawn(r)}</tr>" for r in found)
+        return f"<h2>{text(title)}</h2><table><tr>{cells('th', df.columns)}{'<th></th>' if bar else ''}</tr>{body}</table>"
+
+    def cards(df: DataFrame) -> str:
+        return "".join(f"<div class=cards>{''.join(f'<div><b>{text(r[c])}</b>{text(c)}</div>' for c in df.columns if r[c] is not None)}</div>" for r in df.collect())
+
+    def stages(title: str, own: DataFrame) -> str:
+        return block(title, runmeta.retention(own).orderBy("run_id", "stage_no"), "bar")
+
+    listed = "".join(f"<li>{text(w)}</li>" for w in warnings)
+    panels = {
+        "Overview": [
+            cards(runmeta.overview(records)), f"<h2>Warnings</h2><ul>{listed}</ul>" if listed else "<h2>Warnings</h2><p class=none>none</p>",
+            block("Module summary", runmeta.module_summary(records)), block("Demultiplexing", runmeta.demux_overview(records).orderBy("sample")),
+            stages("Read processing retention", runmeta.read_stages(records)), stages("Consensus and receptor yield", runmeta.yield_stages(records)),
+            block("Quality reports", runmeta.quality_links(records)),
+            f"<details><summary>Full processing table</summary>{block('Summary', runmeta.summary_rows(records).orderBy('ord').drop('ord'))}</details>"],
+        "Loci": [block("Locus results", runmeta.loci(records).orderBy("run_id", "locus", "sample"))],
+        "Run details": [
+            block("Records", runmeta.ordered(records).select("module", "record_id", "status", "started_at", "finished_at", S.duration(F.col("duration_seconds")).alias("took"))),
+            block("Parameters", runmeta.parameter_flags(records).orderBy("module", "record_id", "section", "label")), block("Files", runmeta.file_kinds(records).orderBy("module", "record_id", "kind", "key"))],
+    }
+    style = (
+        "body{font-family:sans-serif;margin:2em}table{border-collapse:collapse}td,th{border:1px solid #ccc;padding:.3em .6em;text-align:left}.bar{background:#285e9a;height:1em}"
+        ".cards div{display:inline-block;margin:.4em;padding:.6em;border:1px solid #ccc}.cards b{display:block;font-size:1.4em}.cards{border:0}.panel{display:none}"
+        + "".join(f"#t{i}:checked~#p{i}" + "{display:block}" for i in range(len(panels))))
+    tabs = "".join(f"<input type=radio name=tab id=t{i}{' checked' if not i else ''}><label for=t{i}>{text(n)}</label>" for i, n in enumerate(panels))
+    shown = "".join(f"<section class=panel id=p{i}>{''.join(parts)}</section>" for i, parts in enumerate(panels.values()))
+    _write(Path(path), f"<!doctype html><html lang=en><meta charset=utf-8><title>Run report</title><style>{style}</style><h1>Run report</h1>{tabs}{shown}</html>")
 
 
 def report(spark: SparkSession, root: str, strict: bool = False, validate_only: bool = False, summary: bool = True, page: bool = True) -> list[str]:
@@ -240,5 +266,5 @@ def report(spark: SparkSession, root: str, strict: bool = False, validate_only:
     if summary and not validate_only:
         write_summary(records, f"{root}/summary.tsv")
     if page and not validate_only:
-        write_html(records, f"{root}/report.html")
+        write_html(records, f"{root}/report.html", warnings)
     return warnings

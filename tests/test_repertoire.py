@@ -684,6 +684,9 @@ def test_run_records_and_report(spark, tmp_path):
     lines = (tmp_path / "summary.tsv").read_text().splitlines()
     assert lines[2].startswith("Step\tPathInfo") and "Filtering\trun\t2024-01-01 10:01:30\t100\t90\t90.0%\tUnfiltered reads\tFiltered reads (minimum quality: 10)" in lines
     assert (tmp_path / "report.html").read_text().count("<table>") == 10
+    page = open(f"{root}/report.html").read()
+    assert all(f"<h2>{t}</h2>" in page for t in ("Warnings", "Module summary", "Consensus and receptor yield", "Locus results", "Parameters", "Files")) and page.count("class=panel") == 3
+    assert "--min-qual" in page and "UMI annotated" in page and page.count("class=bar") >= 8
     rec = metadata.read_records(spark, root)
     assert runmeta.overview(rec).first().consensus_sequences == 18
     assert [(r.label, r.value) for r in runmeta.retention(runmeta.read_stages(rec)).orderBy("stage_no").collect()] == [
