@@ -129,20 +129,27 @@ FROM m JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * 80
 """
 
 OP7_SQL = r"""
-WITH tpl(license_id, t) AS (VALUES """ + ", ".join(
+WITH tpl(license_id, x) AS (VALUES """ + ", ".join(
     "('{}', '{}')".format(i, t.replace("'", "''")) for i in sorted(licenses.TEMPLATES) for t in licenses.TEMPLATES[i]) + r"""),
-unit AS (
-  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10)))))::INT AS line, unnest(string_split(text, chr(10))) AS u FROM documents
-  UNION ALL SELECT doc_id, -1, text FROM documents WHERE contains(text, chr(10))),
-words AS (
-  SELECT doc_id, line, list_filter(string_split_regex(lower(u), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM unit),
-ub AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM words WHERE len(w) > 1),
-tw AS (SELECT license_id, list_filter(string_split_regex(lower(t), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM tpl),
-tb AS (SELECT license_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS tb FROM tw),
-met AS (
-  SELECT doc_id, line, license_id, round(2.0 * len(list_intersect(b, tb)) / (len(b) + len(tb)), 6)::DOUBLE AS dice FROM ub, tb
-  WHERE 2.0 * least(len(b), len(tb)) >= 0.799 * (len(b) + len(tb)))
-SELECT doc_id, line, arg_min(license_id, (-dice, license_id)) AS license_id, max(dice) AS dice FROM met WHERE dice >= 0.8 GROUP BY doc_id, line
+tw AS (SELECT row_number() OVER () AS t, license_id, list_filter(string_split_regex(lower(x), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM tpl),
+tg AS (SELECT t, license_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM tw),
+tm AS (SELECT t, license_id, len(g) AS m, ceil(len(g) * 0.8 / 1.2 - 1e-9)::INT AS need, floor(len(g) * 1.2 / 0.8 + 1e-9)::INT AS reach, unnest(g) AS gram FROM tg),
+dw AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+dg AS (SELECT r, doc_id, unnest(range(0, len(w) - 1)) AS "at", unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM dw WHERE len(w) > 1),
+hit AS (SELECT r, doc_id, t, license_id, m, reach, need, "at", gram, lag("at") OVER (PARTITION BY r, t, gram ORDER BY "at") AS before FROM dg JOIN tm USING (gram)),
+able AS (SELECT r, t FROM hit GROUP BY r, t HAVING count(DISTINCT gram) >= any_value(need)),
+own AS (SELECT hit.* FROM hit SEMI JOIN able USING (r, t)),
+span AS (
+  SELECT a.r, a.doc_id, a.t, a.license_id, a.m, a."at" AS s, b."at" AS e, sum(CASE WHEN b.before IS NULL OR b.before < a."at" THEN 1 ELSE 0 END) OVER w AS c, count(*) OVER w AS k
+  FROM own a JOIN own b ON a.r = b.r AND a.t = b.t AND b."at" >= a."at" AND b."at" < a."at" + a.reach WINDOW w AS (PARTITION BY a.r, a.t, a."at" ORDER BY b."at")),
+good AS (SELECT *, round(2.0 * c / (e - s + 1 - k + c + m), 6)::DOUBLE AS dice FROM span),
+best AS (
+  SELECT r, doc_id, s, e - s + 2 AS n, license_id, dice FROM good WHERE dice >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY r, s ORDER BY dice DESC, e DESC, license_id) = 1)
+SELECT doc_id, license_id, s::INT AS start, n::INT AS n_words, dice FROM best a
+WHERE NOT EXISTS (
+  SELECT 1 FROM best b WHERE a.r = b.r AND a.s < b.s + b.n AND b.s < a.s + a.n
+  AND (b.dice > a.dice OR b.dice = a.dice AND (b.n > a.n OR b.n = a.n AND b.s < a.s)))
 """
 
 #: Base 32 of the hex digest: five bits at a time.
