@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..session import ship_package
+from ..session import ship_package, spread
 from .align import codes
 
+#: Reads that are searched together.
+PART = 4000
 _MATCH = "anchor_id string, strand string, start int, end int, error double"
 
 
@@ -86,8 +88,8 @@ def match_anchors(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for at in range(0, len(b), 500):
-                seqs = b.iloc[at : at + 500].fillna("").tolist()
+            for at in range(0, len(b), PART):
+                seqs = b.iloc[at : at + PART].fillna("").tolist()
                 hits = [(f[0], "+", *f[1:]) if f[0] is not None else (None,) * 5 for f in one(seqs)]
                 if both_strands:
                     open_ = [i for i, f in enumerate(hits) if f[0] is None]
@@ -97,7 +99,7 @@ def match_anchors(
                 rows += hits
             yield pd.DataFrame(rows, columns=["anchor_id", "strand", "start", "end", "error"])
 
-    return reads.withColumn("_m", run(F.col(column))).select(*reads.columns, "_m.*")
+    return spread(reads).withColumn("_m", run(F.col(column))).select(*reads.columns, "_m.*")
 
 
 def oriented(matched: DataFrame, column: str = "sequence") -> DataFrame:

@@ -58,7 +58,7 @@ def placed(rows: DataFrame, order: list[str], ties: list[F.Column] = (), name: s
     The range partitions are written once with their numbers, so that counting them and numbering their rows
     see the same ones however often Spark evaluates the plan. Ranges split a hot key wherever a later column of the order differs.
     """
-    parts = staged(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    parts = staged(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered", spread=True)
     counts = parts.groupBy("_part").agg(F.count("*").alias("_k"))
     before = counts.select("_part", (F.sum("_k").over(W.orderBy("_part")) - F.col("_k")).alias("_before"))  # a row for each partition
     own = parts.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order, *ties)))
@@ -96,6 +96,8 @@ def with_header(rows: DataFrame, library: str, row_id: str = "sequence_id") -> D
 
 def pairwise(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
     """Global alignment of two sequences; letters beyond ASCII are compared as such."""
+    if a == b:
+        return a, b
     x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
     n, m = len(x), len(y)
     score = np.empty((n + 1, m + 1), np.int32)

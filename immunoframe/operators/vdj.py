@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, spread
 from . import align
 
 MAX_GERMLINES = 200_000
@@ -92,10 +92,12 @@ class Index:
         base, n = digit[seq], len(seq) - self.k + 1
         if n <= 0:
             return np.empty(0, np.int64)
-        code, bad = np.zeros(n, np.int64), np.zeros(n, bool)
-        for i in range(self.k):
-            code = code * 4 + base[i : i + n]
-            bad |= base[i : i + n] < 0
+        code, bad, width = np.maximum(base, 0), base < 0, 1
+        while 2 * width <= self.k:  # of two windows one of twice the width
+            code, bad, width = code[:-width] * 4**width + code[width:], bad[:-width] | bad[width:], 2 * width
+        rest = self.k - width
+        if rest:
+            code, bad = code[:n] * 4**rest + code[rest:] % 4**rest, bad[:n] | bad[rest:]
         return np.where(bad, -1, code)
 
     def votes(self, read: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,7 +182,8 @@ class Index:
         key, count = np.unique(owner[own] * width + (diagonal[own] - shift), return_counts=True)
         order = np.lexsort((key, -count, key // width))
         key = key[order]
-        first = np.flatnonzero(np.diff(key // width, prepend=-1))
+        owners = key // width
+        first = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
         return [int(k % width) + shift for k in key[first]]
 
     def _aligned(self, reads: list[list[tuple[int, np.ndarray]]], jobs: list[tuple[int, int, int, int]], paths: bool) -> align.Alignments:
@@ -210,7 +213,7 @@ def annotate(reads: DataFrame, germlines: DataFrame, column: str = "sequence") -
                 done += call([(s or "").upper() for s in b.iloc[at : at + BLOCK]], index)
             yield _frame(done)
 
-    return reads.withColumn("_c", run(F.col(column))).select(*reads.columns, "_c.*")
+    return spread(reads).withColumn("_c", run(F.col(column))).select(*reads.columns, "_c.*")
 
 
 def index_of(rows: list[tuple]) -> dict[str, Index]:

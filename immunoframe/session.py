@@ -7,7 +7,10 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Bytes a core reads at once; tables below that for every core, in fewer files than cores, are dealt out evenly.
+SPREAD_BYTES = 16 << 20
 
 _shipped: set[str] = set()
 
@@ -26,3 +29,11 @@ def ship_package(spark: SparkSession) -> None:
         for p in files:
             z.write(p, p.relative_to(top.parent))
     spark.sparkContext.addPyFile(str(out))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df for a step whose work is far more than its bytes: a small table in a few files is dealt to all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= SPREAD_BYTES * cores:
+        return df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
