@@ -141,7 +141,7 @@ def judge_urls(df: DataFrame, key: str, url: str, rules: Iterable[Rule], default
     parts = df.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     content = index_bytes(rules)
     if len(content) > MAX_INDEX_BYTES:
-        return judge_by_join(parts, key, spark.createDataFrame(rules, "verdict string, host string, path string"), default)
+        return judge_by_join(parts, key, spark.createDataFrame([(n, *r) for n, r in enumerate(rules)], "n long, verdict string, host string, path string"), default)
     bounded_batches(spark)
     name = ship(spark, content)
     schema = parts.select("*", F.lit("").alias("rule"), F.lit("").alias("verdict")).schema
@@ -162,9 +162,14 @@ def judge_urls(df: DataFrame, key: str, url: str, rules: Iterable[Rule], default
 
 
 def judge_by_join(parts: DataFrame, key: str, rules: DataFrame, default: str) -> DataFrame:
-    """The same verdicts by an equality join of candidate strings, for rule tables of any size."""
+    """The same verdicts by an equality join of candidate strings, for rule tables of any size.
+
+    Of rules that repeat host and path the first counts, as in the index: that with the least ``n`` where rules have such a column,
+    else the verdict that sorts first.
+    """
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())  # a path has bounded length
-    first = rules.groupBy("host", "path").agg(F.first("verdict").alias("verdict"))
+    order = F.col("n") if "n" in rules.columns else F.col("verdict")
+    first = rules.groupBy("host", "path").agg(F.min_by("verdict", order).alias("verdict"))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]), lambda p: p.isNotNull())

@@ -54,6 +54,19 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.judge_urls(df, "page_id", "url", [], "block").collect()} == {"block"}
 
 
+def test_repeated_rules_are_judged_alike_by_index_and_join(spark, monkeypatch):
+    rules = [(v, f"h{i % 50}.com", f"/{i % 3}") for i, v in enumerate(random.Random(5).choices(["allow", "block"], k=600))]
+    urls = [(i, f"http://a.h{i % 60}.com/{i % 4}x") for i in range(400)]
+    df = spark.createDataFrame(urls, "page_id int, url string").repartition(7)
+    known = {}
+    for v, h, p in rules:
+        known.setdefault((h, p), v)
+    want = {i: brute_url(u, [(v, h, p) for (h, p), v in known.items()], "none")[3] for i, u in urls}
+    by_index = {r.page_id: r.verdict for r in url_filter.judge_urls(df, "page_id", "url", rules, "none").collect()}
+    monkeypatch.setattr(url_filter, "MAX_INDEX_BYTES", 1)
+    assert by_index == want == {r.page_id: r.verdict for r in url_filter.judge_urls(df, "page_id", "url", rules, "none").collect()}
+
+
 def test_a_collision_does_not_decide(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter, "digest", lambda h, p: 7)  # all strings share a digest
     (tmp_path / "i").write_bytes(url_filter.index_bytes([("block", "a.com", "/x"), ("allow", "b.com", "/")]))
