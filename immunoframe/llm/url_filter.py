@@ -173,11 +173,10 @@ def judge_by_join(parts: DataFrame, key: str, rules: DataFrame, default: str) ->
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]), lambda p: p.isNotNull())
-    at = parts.withColumn("_id", F.monotonically_increasing_id())
-    wanted = at.where("host <> ''").select("_id", F.explode(suffixes).alias("h"), prefixes.alias("ps"))
-    wanted = wanted.select("_id", "h", F.explode("ps").alias("p"))
+    each = parts.select("host", "path").where("host <> ''").distinct()  # told apart by what is judged: a number of the row may differ between two readings
+    wanted = each.select("host", "path", F.explode(suffixes).alias("h"), prefixes.alias("ps")).select("host", "path", "h", F.explode("ps").alias("p"))
     rank = F.struct((F.length("h") + F.length("p")).alias("n"), F.length("h").alias("m"))
-    best = wanted.join(first, (F.col("h") == first.host) & (F.col("p") == first.path)).groupBy("_id").agg(
-        F.max_by(F.struct(F.concat("h", "p").alias("rule"), "verdict"), rank).alias("won"))
-    return at.join(best, "_id", "left").select(
+    rule = first.select(F.col("host").alias("h"), F.col("path").alias("p"), "verdict")
+    best = wanted.join(rule, ["h", "p"]).groupBy("host", "path").agg(F.max_by(F.struct(F.concat("h", "p").alias("rule"), "verdict"), rank).alias("won"))
+    return parts.join(best, ["host", "path"], "left").select(
         key, "host", "path", F.col("won.rule").alias("rule"), F.coalesce("won.verdict", F.lit(default)).alias("verdict"))
