@@ -707,6 +707,56 @@ def run_summary(spark, sf_dir):
     return rows.withColumn("place", place).withColumn("PercentRetained", F.round("PercentRetained", 6)).drop("ord")
 
 
+_COUNTED = """b AS (SELECT o_custkey % 5 AS r, 's' || substr(o_orderpriority, 1, 1) AS s, count(*) AS n, count(*) FILTER (o_orderstatus <> 'F') AS m, count(*) FILTER (o_orderstatus = 'O') AS t FROM orders GROUP BY ALL),
+w AS (SELECT r, sum(n)::BIGINT AS n, count(*) AS k FROM b GROUP BY r)"""
+
+
+def counted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs of which some have a wrong sum, a wrong number of samples, or counts that a later module does not confirm."""
+    c = F.col
+    b = table(spark, sf_dir, "orders").groupBy((c("o_custkey") % 5).alias("r"), F.concat(F.lit("s"), F.substring("o_orderpriority", 1, 1)).alias("s")).agg(
+        F.count("*").alias("n"), F.count_if(c("o_orderstatus") != "F").alias("m"), F.count_if(c("o_orderstatus") == "O").alias("t"))
+    w = b.groupBy("r").agg(F.sum("n").alias("n"), F.count("*").alias("k"))
+
+    def of(own: DataFrame, module: str, record: str, sample: str, locus: str, **counts: str) -> DataFrame:
+        scope = {("null", "null"): "run", ("s", "null"): "sample", ("null", "'ig'"): "locus"}.get((sample, locus), "sample_locus")
+        return own.select(
+            c("r").cast("string").alias("run_id"), F.lit(module).alias("module"), F.expr(record).alias("record_id"), F.lit(scope).alias("scope_type"), F.expr(f"cast({sample} as string)").alias("sample"),
+            F.expr(f"cast({locus} as string)").alias("locus"), F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.expr(v).cast("long"))]).alias("counts"))
+
+    parts = [
+        of(w, "demux", "'run'", "null", "null", input_reads="n + 10", matched_reads="n", forward_matched_reads="n div 2", reverse_matched_reads="n - n div 2 + if(r = 1, 1, 0)",
+           unmatched_reads="10 + if(r = 2, 3, 0)", sample_count="k + if(r = 3, 1, 0)"),
+        of(b, "demux", "s", "s", "null", assigned_reads="n + if(r = 4 and s = 's1', 2, 0)"), of(b, "collapse", "s", "s", "null", input_reads="n", consensus_sequences="m"),
+        of(b, "seqtag", "s", "s", "null", input_sequences="m + if(r = 0 and s = 's2', 5, 0)", matched_sequences="t", failed_sequences="m - t", split_ig_sequences="t - t % 3", split_tr_sequences="t % 3 + if(s = 's3', 1, 0)"),
+        of(b, "airr", "concat(s, '_ig')", "s", "'ig'", input_sequences="t - t % 3 + if(r = 1, 1, 0)"), of(b, "airr", "concat(s, '_tr')", "s", "'tr'", input_sequences="t % 3")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query(f"""WITH {_COUNTED} SELECT r::VARCHAR AS run_id, 'demux' AS module, 'run' AS record_id, 'matched_reads' AS whole, n + 1 AS parts_sum, n AS value FROM w WHERE r = 1
+UNION ALL SELECT r::VARCHAR, 'demux', 'run', 'input_reads', n + 13, n + 10 FROM w WHERE r = 2 UNION ALL SELECT r::VARCHAR, 'seqtag', s, 'input_sequences', m, m + 5 FROM b WHERE r = 0 AND s = 's2'
+UNION ALL SELECT r::VARCHAR, 'seqtag', s, 'matched_sequences', t + 1, t FROM b WHERE s = 's3'""")
+def sum_checks(spark, sf_dir):
+    return runmeta.wrong_sums(counted_records(spark, sf_dir))
+
+
+@query(f"""WITH {_COUNTED} SELECT r::VARCHAR AS run_id, k + CASE WHEN r = 3 THEN 1 ELSE 0 END AS sample_count, n AS matched_reads, k AS n_samples, n + CASE WHEN r = 4 THEN 2 ELSE 0 END AS assigned_reads, k AS n_assigned
+FROM w WHERE r IN (3, 4)""")
+def sample_number_checks(spark, sf_dir):
+    return runmeta.sample_totals(counted_records(spark, sf_dir))
+
+
+@query(f"""WITH {_COUNTED} SELECT r::VARCHAR AS run_id, 'demux/' || s AS "left", 'assigned_reads' AS left_key, n + 2 AS left_value, 'collapse/' || s AS "right", 'input_reads' AS right_key, n AS right_value FROM b WHERE r = 4 AND s = 's1'
+UNION ALL SELECT r::VARCHAR, 'collapse/' || s, 'consensus_sequences', m, 'seqtag/' || s, 'input_sequences', m + 5 FROM b WHERE r = 0 AND s = 's2'
+UNION ALL SELECT r::VARCHAR, 'seqtag/' || s, 'ig input', t - t % 3, 'airr/' || s || '_ig', 'input_sequences', t - t % 3 + 1 FROM b WHERE r = 1
+UNION ALL SELECT r::VARCHAR, 'seqtag/' || s, 'tr input', t % 3 + 1, 'airr/' || s || '_tr', 'input_sequences', t % 3 FROM b WHERE s = 's3'""")
+def handover_checks(spark, sf_dir):
+    return runmeta.mismatches(counted_records(spark, sf_dir))
+
+
 #: Keys of recorded files, of which each record has some.
 _KEYS = [
     "input_fastq", "filtered_fastq", "filtered_fasta", "nanoplot_report", "log", "input_barcodes", "input_sequences", "sample_fasta", "unmatched_fasta", "forward_matched_fasta", "matched_fasta",
