@@ -25,8 +25,11 @@ from ..session import ship_package, spread
 from . import align
 
 MAX_GERMLINES = 200_000
-#: Reads that are annotated together.
-BLOCK = 256
+#: Reads that are annotated together, at most, and bases of them.
+BLOCK = 1024
+BASES = 1 << 17
+#: Shared seeds, and pairs of a candidate and an allele, of one part.
+SHARED = 1 << 20
 #: Bases of a seed and least score of a call, by segment.
 SEED = {"V": 9, "D": 6, "J": 8, "C": 9}
 LEAST = {"V": 12, "D": 8, "J": 9, "C": 12}
@@ -69,6 +72,17 @@ class Hit(NamedTuple):
         return None
 
 
+class Part(NamedTuple):
+    """Some candidates in a row: the most seeds of an allele and which has them, what each allele can score at most; (candidate, allele) and diagonal of every shared seed."""
+
+    first: int
+    votes: np.ndarray
+    lead: np.ndarray
+    bound: np.ndarray
+    pair: np.ndarray
+    diagonal: np.ndarray
+
+
 class Index:
     """Germlines of one segment: allele, locus, sequence, anchor, gapped sequence; and the places of their seeds."""
 
@@ -84,6 +98,7 @@ class Index:
         order = order[np.searchsorted(code[order], 0) :]  # without those of other letters
         self.owner, self.place = owner[order], place[order]
         self.first = np.searchsorted(code[order], np.arange((1 << 2 * k) + 1))
+        self._columns: dict[int, tuple[str, np.ndarray]] = {}
 
     def _seeds(self, seq: np.ndarray) -> np.ndarray:
         """The number of the seed at each position, -1 where it has another letter."""
@@ -100,19 +115,34 @@ class Index:
             code, bad = code[:n] * 4**rest + code[rest:] % 4**rest, bad[:n] | bad[rest:]
         return np.where(bad, -1, code)
 
-    def votes(self, read: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shared seeds of each allele; the allele and the diagonal of every shared seed."""
-        code = self._seeds(read)
-        at = np.flatnonzero(code >= 0)
+    def parts(self, bases: list[np.ndarray]) -> Iterator[Part]:
+        """The seeds that candidates share with alleles, a few candidates at a time."""
+        sizes = np.array([len(x) for x in bases], np.int64)
+        begin = np.cumsum(sizes) - sizes
+        code = self._seeds(np.concatenate([np.empty(0, np.uint8), *bases]))
+        cand = np.repeat(np.arange(len(bases)), sizes)[: len(code)]
+        offset = np.arange(len(code)) - begin[cand]
+        at = np.flatnonzero((code >= 0) & (offset + self.k <= sizes[cand]))
         low = self.first[code[at]]
         count = self.first[code[at] + 1] - low
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        which = np.repeat(low - ends + count, count) + np.arange(total)
-        owner = self.owner[which]
-        return np.bincount(owner, minlength=len(self.rows)), owner, np.repeat(at, count) - self.place[which]
-
-    def bounds(self, votes: np.ndarray, length: int) -> np.ndarray:
+        at, low, count = at[count > 0], low[count > 0], count[count > 0]
+        cand, offset = cand[at], offset[at]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        edge = np.searchsorted(cand, np.arange(len(bases) + 1))  # where the seeds of each candidate begin
+        some, first = max(1, SHARED // len(self.rows)), 0
+        while first < len(bases):
+            last = int(np.searchsorted(upto[edge], upto[edge[first]] + SHARED, "right")) - 1
+            last = min(max(last, first + 1), first + some, len(bases))
+            own = slice(edge[first], edge[last])
+            total = int(upto[edge[last]] - upto[edge[first]])
+            which = np.repeat(low[own] - (upto[edge[first] : edge[last]] - upto[edge[first]]), count[own]) + np.arange(total)
+            pair = np.repeat((cand[own] - first) * len(self.rows), count[own]) + self.owner[which]
+            diagonal = np.repeat(offset[own], count[own]) - self.place[which]
+            votes = np.bincount(pair, minlength=(last - first) * len(self.rows)).reshape(-1, len(self.rows))
+            yield Part(first, votes.max(axis=1), votes.argmax(axis=1), self.bounds(votes, sizes[first:last, None]).astype(np.int32), pair.astype(np.int32), diagonal.astype(np.int32))
+            first = last
+
+    def bounds(self, votes: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         """The most that an alignment with an allele can score, given their shared seeds.
 
         E errors (each costs 2 at least and takes a base) leave E + 1 runs of matches, each at most k - 1 longer than its
@@ -128,66 +158,100 @@ class Index:
 
         One allele of the most seeds is aligned first; then all that can still reach its score.
         """
-        if not self.rows:
-            return [None] * len(reads)
-        jobs: list[tuple[int, int, int, int]] = []  # read, candidate, allele, diagonal
-        later: list[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]] = []
-        for r, some in enumerate(reads):
-            seen = []
-            for c, (_, bases) in enumerate(some):
-                votes, owner, diagonal = self.votes(bases)
-                if len(owner):
-                    seen.append((c, self.bounds(votes, len(bases)), owner, diagonal, votes))
-            later.append(seen)
-            if seen:
-                c, _, owner, diagonal, votes = max(seen, key=lambda s: int(s[4].max()))
-                g = int(votes.argmax())
-                jobs.append((r, c, g, self._main(owner, diagonal, [g])[0]))
-        begun = self._aligned(reads, jobs, True)
-        top = np.zeros(len(reads), np.int64)
-        known, done = {}, {}
-        for i, ((r, c, g, d), s) in enumerate(zip(jobs, begun.score.tolist(), strict=True)):
-            top[r], known[r, c, g], done[r, c, g] = s, (s, d), i
-        more = []
-        for r, seen in enumerate(later):
-            for c, bound, owner, diagonal, _ in seen:
-                able = [g for g in np.flatnonzero(bound >= max(top[r], self.least)).tolist() if (r, c, g) not in known]
-                more += [(r, c, g, d) for g, d in zip(able, self._main(owner, diagonal, able), strict=True)]
-        for (r, c, g, d), s in zip(more, self._aligned(reads, more, False).score.tolist(), strict=True):
-            known[r, c, g] = (s, d)
-        won: dict[int, tuple[int, int, list[tuple[int, int]]]] = {}
-        for (r, c, g), (s, d) in sorted(known.items()):  # the first candidate, alleles in name order
-            now = won.get(r)
-            if s >= self.least and (now is None or s > now[0]):
-                won[r] = (s, c, [(g, d)])
-            elif now is not None and (s, c) == now[:2]:
-                now[2].append((g, d))
-        places = [(r, c, *alleles[0]) for r, (_, c, alleles) in won.items() if (r, c, alleles[0][0]) not in done]
-        again = self._aligned(reads, places, True)
-        at = {(r, c, g): (again, i) for i, (r, c, g, _) in enumerate(places)} | {k: (begun, i) for k, i in done.items()}
         out: list[tuple[int, Hit] | None] = [None] * len(reads)
-        for r, (score, c, alleles) in won.items():
-            out[r] = (c, Hit([g for g, _ in alleles], score, *at[r, c, alleles[0][0]], reads[r][c][0]))
+        read = np.array([r for r, some in enumerate(reads) for _ in some], np.int64)
+        if not self.rows or not len(read):
+            return out
+        number = [c for some in reads for c in range(len(some))]
+        offsets, bases = [o for some in reads for o, _ in some], [x for some in reads for _, x in some]
+        parts = list(self.parts(bases))
+        votes, lead = np.concatenate([p.votes for p in parts]), np.concatenate([p.lead for p in parts])
+        order = np.lexsort((np.arange(len(read)), -votes, read))
+        order = order[np.concatenate([[True], read[order[1:]] != read[order[:-1]]])]
+        chosen = np.sort(order[votes[order] > 0])  # of each read the candidate of the most seeds
+        wanted = [self._within(p, chosen) for p in parts]
+        jobs = self._jobs(parts, [(c - p.first) * len(self.rows) + lead[c] for p, c in zip(parts, wanted, strict=True)])
+        begun = self._aligned(bases, jobs, True)
+        top = np.full(len(reads), self.least)
+        top[read[jobs[0]]] = np.maximum(begun.score, self.least)
+        able = []
+        for p, c in zip(parts, wanted, strict=True):
+            can = p.bound >= top[read[p.first : p.first + len(p.bound)], None]
+            can[c - p.first, lead[c]] = False
+            able.append(np.flatnonzero(can))
+        more = self._jobs(parts, able)
+        cand, allele, diagonal, seeds = (np.concatenate(x) for x in zip(jobs, more, strict=True))
+        score = np.concatenate([begun.score, self._aligned(bases, more, False).score])
+
+        rank = np.lexsort((allele, cand, -score, read[cand]))  # the first candidate, alleles in name order
+        rank = rank[score[rank] >= self.least]
+        if not len(rank):
+            return out
+        fresh = np.concatenate([[True], read[cand[rank[1:]]] != read[cand[rank[:-1]]]])
+        other = fresh | np.concatenate([[True], (score[rank[1:]] != score[rank[:-1]]) | (cand[rank[1:]] != cand[rank[:-1]])])
+        first, ends = np.flatnonzero(fresh), np.append(np.flatnonzero(other), len(rank))
+        last = ends[np.searchsorted(ends, first, "right")]
+        won = rank[first]
+        late = won[won >= len(begun.score)]
+        again = self._aligned(bases, (cand[late], allele[late], diagonal[late], seeds[late]), True)
+        place = {w: i for i, w in enumerate(late.tolist())}
+        alleles = allele[rank].tolist()
+        for w, c, s, lo, hi in zip(won.tolist(), cand[won].tolist(), score[won].tolist(), first.tolist(), last.tolist(), strict=True):
+            out[read[c]] = (number[c], Hit(alleles[lo:hi], s, *((again, place[w]) if w in place else (begun, w)), offsets[c]))
         return out
 
-    def _main(self, owner: np.ndarray, diagonal: np.ndarray, alleles: list[int]) -> list[int]:
-        """The diagonal with the most shared seeds of each allele, the least of equal ones."""
-        if not alleles:
-            return []
-        wanted = np.zeros(len(self.rows), bool)
-        wanted[alleles] = True
-        own = wanted[owner]
+    def _within(self, part: Part, cands: np.ndarray) -> np.ndarray:
+        return cands[(cands >= part.first) & (cands < part.first + len(part.bound))]
+
+    def _jobs(self, parts: list[Part], wanted: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Candidate, allele, main diagonal and its number of seeds of the wanted (candidate, allele) pairs of each part."""
+        made = [(p.first + w // len(self.rows), w % len(self.rows), *self._main(p, w)) for p, w in zip(parts, wanted, strict=True)]
+        return tuple(np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*made, strict=True))
+
+    def _main(self, part: Part, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The diagonal with the most shared seeds of each pair, the least of equal ones, and their number."""
+        if not len(wanted):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        which = np.full(part.bound.size, -1, np.int32)
+        which[wanted] = np.arange(len(wanted))
+        owner = which[part.pair]
+        own = owner >= 0
+        diagonal = part.diagonal[own].astype(np.int64)
         shift = int(diagonal.min())
         width = int(diagonal.max()) - shift + 1
-        key, count = np.unique(owner[own] * width + (diagonal[own] - shift), return_counts=True)
-        order = np.lexsort((key, -count, key // width))
-        key = key[order]
+        key, count = np.unique(owner[own] * width + (diagonal - shift), return_counts=True)
         owners = key // width
         first = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
-        return [int(k % width) + shift for k in key[first]]
-
-    def _aligned(self, reads: list[list[tuple[int, np.ndarray]]], jobs: list[tuple[int, int, int, int]], paths: bool) -> align.Alignments:
-        return align.local([reads[r][c][1] for r, c, _, _ in jobs], [self.refs[g] for _, _, g, _ in jobs], np.array([d for *_, d in jobs], np.int64), paths=paths)
+        most = np.flatnonzero(count == np.maximum.reduceat(count, first)[owners])
+        most = most[np.concatenate([[True], owners[most[1:]] != owners[most[:-1]]])]
+        return key[most] % width + shift, count[most]
+
+    def _aligned(self, bases: list[np.ndarray], jobs: tuple[np.ndarray, ...], paths: bool) -> align.Alignments:
+        """Alleles that lie whole in the candidate have all their seeds on one diagonal and need no table."""
+        cand, allele, diagonal, seeds = jobs
+        size = self.sizes[allele]
+        whole = seeds == size - self.k + 1
+        rest = np.flatnonzero(~whole)
+        found = align.local([bases[c] for c in cand[rest].tolist()], [self.refs[g] for g in allele[rest].tolist()], diagonal[rest], paths=paths)
+        zero = np.zeros(len(cand), np.int64)
+        made = align.Alignments(*(np.where(whole, x, 0) for x in (size, zero, size, diagonal, diagonal + size, size, size)), [None] * len(cand))
+        for all_, some in zip(made[:7], found[:7], strict=True):
+            all_[rest] = some
+        for i, x in zip(rest.tolist(), found.partners, strict=True):
+            made.partners[i] = x
+        for i in np.flatnonzero(whole).tolist():
+            made.partners[i] = np.arange(diagonal[i], diagonal[i] + size[i], dtype=np.int32)
+        return made
+
+    def numbering(self, g: int) -> tuple[str, np.ndarray]:
+        """An allele in its own numbering, and the column of each of its bases."""
+        if g not in self._columns:
+            whole = align.codes(self.rows[g][4])
+            held = np.flatnonzero(whole != ord("."))
+            if len(held) != len(self.rows[g][2]):
+                raise ValueError("a gapped germline has other bases than its sequence")
+            self._columns[g] = whole.tobytes().decode(), held
+        return self._columns[g]
 
 
 def annotate(reads: DataFrame, germlines: DataFrame, column: str = "sequence") -> DataFrame:
@@ -208,10 +272,8 @@ def annotate(reads: DataFrame, germlines: DataFrame, column: str = "sequence") -
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         index = index_of(rows)
         for b in batches:
-            done = []
-            for at in range(0, len(b), BLOCK):
-                done += call([(s or "").upper() for s in b.iloc[at : at + BLOCK]], index)
-            yield _frame(done)
+            own = [(s or "").upper() for s in b]
+            yield pd.concat([_frame(call(own[lo:hi], index)) for lo, hi in blocks(own, index)]) if own else _frame(call([], index))
 
     return spread(reads).withColumn("_c", run(F.col(column))).select(*reads.columns, "_c.*")
 
@@ -221,17 +283,36 @@ def index_of(rows: list[tuple]) -> dict[str, Index]:
     return {s: Index([(a, lo, q.upper(), None if n is None or n != n else int(n), x and x.upper()) for a, lo, seg, q, n, x in rows if seg == s], SEED[s], LEAST[s]) for s in "VDJC"}
 
 
-def _frame(done: list[dict]) -> pd.DataFrame:
-    made = pd.DataFrame(done, columns=_NAMES, dtype=object)
-    return made.astype({x.split()[0]: "Int32" for x in _FIELDS.split(", ") if x.endswith(" int")} | {x.split()[0]: "float64" for x in _FIELDS.split(", ") if x.endswith(" double")})
+def blocks(reads: list[str], index: dict[str, Index]) -> list[tuple[int, int]]:
+    """Begin and end of the stretches of reads that are annotated together."""
+    most = max(1, min(BLOCK, 16 * SHARED // max(1, *(len(x.rows) for x in index.values()))))
+    edges, bases = [0], 0
+    for i, s in enumerate(reads):
+        bases += len(s)
+        if i > edges[-1] and (bases > BASES or i - edges[-1] == most):
+            edges.append(i)
+            bases = len(s)
+    return list(zip(edges, [*edges[1:], len(reads)], strict=True))
+
+
+def _frame(columns: dict[str, list]) -> pd.DataFrame:
+    made = {}
+    for name, kind in (x.split() for x in _FIELDS.split(", ")):
+        if kind == "int":
+            held = np.array([x is not None for x in columns[name]], bool)
+            made[name] = pd.arrays.IntegerArray(np.array([x or 0 for x in columns[name]], np.int32), ~held)
+        else:
+            made[name] = np.array(columns[name], np.float64 if kind == "double" else object)
+    return pd.DataFrame(made)
 
 
-def call(reads: list[str], index: dict[str, Index]) -> list[dict]:
-    """The fields of each read."""
+def call(reads: list[str], index: dict[str, Index]) -> dict[str, list]:
+    """The fields of the reads."""
     both = [(s, s.translate(_TURN)[::-1]) for s in reads]
-    v = index["V"].best([[(0, align.codes(x)) for x in pair] if pair[0] else [] for pair in both])
+    coded = [[align.codes(x) for x in pair] if pair[0] else [] for pair in both]
+    v = index["V"].best([[(0, x) for x in pair] for pair in coded])
     own = [both[r][hit[0]] if hit else "" for r, hit in enumerate(v)]
-    bases = [align.codes(s) for s in own]
+    bases = [coded[r][hit[0]] if hit else None for r, hit in enumerate(v)]
 
     def behind(segment: str, start: list[int], end: list[int]) -> list[Hit | None]:
         parts = [[(a, bases[r][a:b])] if v[r] and b > a else [] for r, (a, b) in enumerate(zip(start, end, strict=True))]
@@ -241,70 +322,69 @@ def call(reads: list[str], index: dict[str, Index]) -> list[dict]:
     j = behind("J", v_end, size)
     d = behind("D", v_end, [hit.start if hit else n for hit, n in zip(j, size, strict=True)])
     c = behind("C", [hit.end if hit else e for hit, e in zip(j, v_end, strict=True)], size)
-    return [_fields(own[r], index, v[r][1], bool(v[r][0]), d[r], j[r], c[r]) if v[r] else {} for r in range(len(reads))]
-
-
-def _fields(read: str, index: dict[str, Index], v: Hit, rev: bool, d: Hit | None, j: Hit | None, c: Hit | None) -> dict:
-    out: dict = {"rev_comp": rev, "locus": index["V"].rows[v.alleles[0]][1], "v_score": v.score}
-    for seg, hit in (("V", v), ("D", d), ("J", j), ("C", c)):
-        if hit is None:
-            continue
-        s, a, p = seg.lower(), hit.found, hit.at
-        out[f"{s}_call"] = ",".join(index[seg].rows[g][0] for g in hit.alleles)
-        if seg == "C":
-            continue
-        out |= {
-            f"{s}_identity": float(a.matches[p] / a.columns[p]), f"{s}_sequence_start": hit.start + 1, f"{s}_sequence_end": hit.end,
-            f"{s}_germline_start": int(a.ref_start[p]) + 1, f"{s}_germline_end": int(a.ref_end[p]),
-            f"{s}_cigar": align.cigar(_shifted(a, p, hit.offset), 0, len(read))}
-        _, _, seq, anchor, gapped = index[seg].rows[hit.alleles[0]]
-        if seg == "V":
-            out["v_row"], out["v_germline"] = _numbered_rows(read, seq, gapped, hit)
-            first = None if anchor is None else hit.partner(anchor)
-            out["junction_start"] = None if first is None else first + 1
-        else:
-            out[f"{s}_row"], out[f"{s}_germline"] = _rows(read, seq, hit)
-            if seg == "J":
-                last = None if anchor is None else hit.partner(anchor + 2)
-                out["junction_end"] = None if last is None else last + 1
+    out: dict[str, list] = {n: [None] * len(reads) for n in _NAMES}
+    for r, hit in enumerate(v):
+        if hit:
+            out["rev_comp"][r], out["locus"][r], out["v_score"][r] = bool(hit[0]), index["V"].rows[hit[1].alleles[0]][1], hit[1].score
+            for segment, x in (("V", hit[1]), ("D", d[r]), ("J", j[r]), ("C", c[r])):
+                if x is not None:
+                    _fill(out, r, own[r], segment, index[segment], x)
     return out
 
 
-def _shifted(a: align.Alignments, p: int, offset: int) -> align.Alignments:
-    """One pair of a batch with its query positions counted from the read's begin."""
-    to = a.partners[p]
-    return align.Alignments(*(x[p : p + 1] + (offset if i in (3, 4) else 0) for i, x in enumerate(a[:7])), [np.where(to >= 0, to + offset, to)])
-
-
-def _numbered_rows(read: str, seq: str, gapped: str | None, hit: Hit) -> tuple[str, str]:
+def _fill(out: dict[str, list], r: int, read: str, segment: str, index: Index, hit: Hit) -> None:
+    """The fields of a read that one segment gives."""
+    s, a, p = segment.lower(), hit.found, hit.at
+    out[f"{s}_call"][r] = ",".join([index.rows[g][0] for g in hit.alleles])
+    if segment == "C":
+        return
+    start, end, first, last = hit.start, hit.end, int(a.ref_start[p]), int(a.ref_end[p])
+    _, _, seq, anchor, gapped = index.rows[hit.alleles[0]]
+    runs = align.runs(a, p)
+    out[f"{s}_identity"][r] = float(a.matches[p] / a.columns[p])
+    out[f"{s}_sequence_start"][r], out[f"{s}_sequence_end"][r], out[f"{s}_germline_start"][r], out[f"{s}_germline_end"][r] = start + 1, end, first + 1, last
+    out[f"{s}_cigar"][r] = align.joined(runs, start, first, len(read) - end)
+    if segment == "V":
+        out["v_row"][r], out["v_germline"][r] = _numbered_rows(read, seq, gapped and index.numbering(hit.alleles[0]), start, first, last, runs)
+        place = None if anchor is None else hit.partner(anchor)
+        out["junction_start"][r] = None if place is None else place + 1
+    else:
+        out[f"{s}_row"][r], out[f"{s}_germline"][r] = _rows(read, seq, start, first, runs)
+        if segment == "J":
+            place = None if anchor is None else hit.partner(anchor + 2)
+            out["junction_end"][r] = None if place is None else place + 1
+
+
+def _numbered_rows(read: str, seq: str, numbering: tuple[str, np.ndarray] | None, start: int, first: int, last: int, runs: list[tuple[int, str]]) -> tuple[str, str]:
     """The read and the V germline in the germline's own numbering, up to the end of the alignment.
 
     Insertions of the read have no column there and are left out, deletions are '-'; '.' stands for columns that the
     allele lacks or that lie before the alignment.
     """
-    to, end = hit.found.partners[hit.at], int(hit.found.ref_end[hit.at])
-    letters = np.concatenate([align.codes(read), np.frombuffer(b"-.", np.uint8)])
-    picked = letters[np.where(to[:end] >= 0, to[:end] + hit.offset, np.where(to[:end] == align.DELETED, len(read), len(read) + 1))]
-    whole = align.codes(gapped) if gapped else align.codes(seq)
-    held = whole != ord(".")
-    if held.sum() != len(seq):
-        raise ValueError("a gapped germline has other bases than its sequence")
-    stop = int(np.flatnonzero(held)[end - 1]) + 1
-    row = np.full(stop, ord("."), np.uint8)
-    row[held[:stop]] = picked
-    return row.tobytes().decode(), whole[:stop].tobytes().decode()
-
-
-def _rows(read: str, seq: str, hit: Hit) -> tuple[str, str]:
+    parts, at = ["." * first], start
+    for n, kind in runs:
+        if kind == "D":
+            parts.append("-" * n)
+        else:
+            parts.append(read[at : at + n] if kind == "M" else "")
+            at += n
+    row = align.codes("".join(parts))
+    if numbering is None:
+        return row.tobytes().decode(), align.codes(seq[:last]).tobytes().decode()
+    whole, held = numbering
+    stop = int(held[last - 1]) + 1
+    spaced = np.full(stop, ord("."), np.uint8)
+    spaced[held[:last]] = row
+    return spaced.tobytes().decode(), whole[:stop]
+
+
+def _rows(read: str, seq: str, start: int, first: int, runs: list[tuple[int, str]]) -> tuple[str, str]:
     """The aligned stretches of read and germline, '-' for a base without partner."""
-    first, last = int(hit.found.ref_start[hit.at]), int(hit.found.ref_end[hit.at])
-    to = hit.found.partners[hit.at][first:last]
-    there = np.flatnonzero(to >= 0)
-    own, other = [read[to[0] + hit.offset]], [seq[first]]
-    for a, b in zip(there[:-1], there[1:], strict=True):
-        gone, more = int(b - a) - 1, read[to[a] + hit.offset + 1 : to[b] + hit.offset]
-        own += ["-" * gone, more, read[to[b] + hit.offset]]
-        other += [seq[first + a + 1 : first + b], "-" * len(more), seq[first + b]]
+    own, other, at, to = [], [], start, first
+    for n, kind in runs:
+        own.append("-" * n if kind == "D" else read[at : at + n])
+        other.append("-" * n if kind == "I" else seq[to : to + n])
+        at, to = at + n * (kind != "D"), to + n * (kind != "I")
     return "".join(own), "".join(other)
 
 

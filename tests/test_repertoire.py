@@ -326,6 +326,25 @@ def test_every_germline_that_can_be_best_is_aligned():
         assert best_of(index, read) == (sorted(n for n, s in scores.items() if s == top) if top >= 12 else None)
 
 
+def test_blocks_of_reads_are_seeded_together(monkeypatch):
+    """Alleles that lie whole in a read need no table, however many reads; parts and blocks of any size give the same fields."""
+    rng = random.Random(12)
+    own = [(f"V{i}*01", "IGH", "V", text(rng, 60), 57, None) for i in range(6)] + [("J1*01", "IGH", "J", text(rng, 30), 0, None), ("D1*01", "IGH", "D", text(rng, 14), None, None)]
+    index = vdj.index_of(own)
+    whole = [own[i % 6][3] + text(rng, i % 5) + own[7][3] + text(rng, i % 4) + own[6][3] for i in range(200)]
+    with monkeypatch.context() as m:
+        m.setattr(align, "_table", None)
+        out = vdj.call(whole, index)
+    assert out["v_call"] == [own[i % 6][0] for i in range(200)] and set(out["v_cigar"]) == {f"60M{len(s) - 60}S" for s in whole} and set(out["j_call"]) == {"J1*01"}
+    reads = ["", text(rng, 5)] + [damaged(rng, s, 0.05) for s in whole] + [damaged(rng, s, 0.02)[::-1].translate(str.maketrans("ACGT", "TGCA")) for s in whole]
+    want = vdj.call(reads, index)
+    monkeypatch.setattr(vdj, "SHARED", 50)
+    assert vdj.call(reads, index) == want
+    monkeypatch.setattr(vdj, "BASES", 500)
+    parts = [vdj.call(reads[a:b], index) for a, b in vdj.blocks(reads, index)]
+    assert len(parts) > 9 and {k: [x for p in parts for x in p[k]] for k in want} == want
+
+
 def test_junction_moves_with_indels(spark):
     rng = random.Random(10)
     v, d, j, c = text(rng, 281) + "TGTGCGAGA", text(rng, 20), "TGGGGCCAAGGGACC" + text(rng, 20), text(rng, 60)
