@@ -94,35 +94,104 @@ def with_header(rows: DataFrame, library: str, row_id: str = "sequence_id") -> D
 
 # --- multiple alignment --------------------------------------------------------------------------------
 
+#: Cells of one table of pairs, most pairs in it, and pairs below which each has its own (long reads).
+CELLS = 1 << 24
+PAIRS = 1024
+FEW = 16
+#: A column of a pair: both bases, one of the first or one of the second sequence only.
+BOTH, FIRST, SECOND = 1, 2, 3
+
+
 def pairwise(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
     """Global alignment of two sequences; letters beyond ASCII are compared as such."""
-    if a == b:
-        return a, b
-    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
-    n, m = len(x), len(y)
-    score = np.empty((n + 1, m + 1), np.int32)
-    score[0] = gap * np.arange(m + 1)
-    step = gap * np.arange(m + 1)
+    return pairwise_all([a], [b], match, mismatch, gap)[0]
+
+
+def pairwise_all(first: list[str], second: list[str], match: int = 2, mismatch: int = -1, gap: int = -2) -> list[tuple[str, str]]:
+    """Global alignments of many pairs; pairs of like length share a table and advance together."""
+    out = list(zip(first, second, strict=True))
+    order = sorted((i for i, (a, b) in enumerate(out) if a != b), key=lambda i: (len(out[i][0]), len(out[i][1])))
+    at = 0
+    while at < len(order):
+        end, n, m = at, 0, 0
+        while end < len(order) and end - at < PAIRS:
+            a, b = out[order[end]]
+            if end > at and (max(n, len(a)) + 1) * (max(m, len(b)) + 1) * (end - at + 1) > CELLS:
+                break
+            n, m, end = max(n, len(a)), max(m, len(b)), end + 1
+        own = order[at:end]
+        for part in [own] if len(own) >= FEW else [[i] for i in own]:
+            for i, pair in zip(part, _table([out[i] for i in part], match, mismatch, gap), strict=True):
+                out[i] = pair
+        at = end
+    return out
+
+
+def _letters(seqs: list[str], width: int) -> np.ndarray:
+    table = np.zeros((len(seqs), width), np.uint32)
+    for row, s in zip(table, seqs, strict=True):
+        row[: len(s)] = np.frombuffer(s.encode("utf-32-le"), np.uint32)
+    return table
+
+
+def _table(pairs: list[tuple[str, str]], match: int, mismatch: int, gap: int) -> list[tuple[str, str]]:
+    """Rows of the table are bases of the first sequences, each a step over all pairs; then the ways back, together as well."""
+    sizes, widths = (np.array([len(p[k]) for p in pairs]) for k in (0, 1))
+    n, m, count = int(sizes.max()), int(widths.max()), len(pairs)
+    x, y = _letters([p[0] for p in pairs], n), _letters([p[1] for p in pairs], m)
+    kind = np.int16 if 2 * max(abs(match), abs(mismatch), abs(gap)) * (n + m + 2) < 1 << 15 else np.int32
+    x_t, y_t = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    came = np.full((n + 1, m + 1, count), SECOND, np.uint8)
+    score = np.repeat((gap * np.arange(m + 1)).astype(kind)[:, None], count, axis=1)
+    steps = score[1:].copy()
+    new, diagonal, up = np.empty_like(score), np.empty_like(steps), np.empty_like(steps)
     for i in range(1, n + 1):
-        best = np.empty(m + 1, np.int32)
-        best[0] = gap * i
-        best[1:] = np.maximum(score[i - 1, :-1] + np.where(y == x[i - 1], match, mismatch), score[i - 1, 1:] + gap)
-        score[i] = np.maximum.accumulate(best - step) + step  # gaps along the row
-    i, j, p, q = n, m, [], []
-    while i or j:
-        if i and j and score[i, j] == score[i - 1, j - 1] + (match if x[i - 1] == y[j - 1] else mismatch):
-            i, j = i - 1, j - 1
-            p.append(a[i])
-            q.append(b[j])
-        elif i and score[i, j] == score[i - 1, j] + gap:
-            i -= 1
-            p.append(a[i])
-            q.append("-")
+        np.multiply(y_t == x_t[i - 1], kind(match - mismatch), out=diagonal, casting="unsafe")
+        diagonal += score[:-1]
+        diagonal += kind(mismatch)
+        np.add(score[1:], kind(gap), out=up)
+        new[0] = gap * i
+        np.maximum(diagonal, up, out=new[1:])
+        new[1:] -= steps
+        if count == 1:  # gaps along the row
+            new[:, 0] = np.maximum.accumulate(new[:, 0])
         else:
-            j -= 1
-            p.append("-")
-            q.append(b[j])
-    return "".join(reversed(p)), "".join(reversed(q))
+            for k in range(1, m + 1):
+                np.maximum(new[k], new[k - 1], out=new[k])
+        new[1:] += steps
+        both = (new[1:] == diagonal).view(np.uint8)
+        both *= SECOND - BOTH
+        np.maximum(both, new[1:] == up, out=both)
+        np.subtract(SECOND, both, out=came[i, 1:])
+        came[i, 0] = FIRST
+        score, new = new, score
+
+    row, at, live, taken = sizes.copy(), widths.copy(), np.arange(count), []
+    if count == 1:
+        i, j = n, m
+        while i or j:
+            told = int(came[i, j, 0])
+            taken.append((told,))
+            i, j = i - (told != SECOND), j - (told != FIRST)
+        live = live[:0]
+    while len(live):
+        told = came[row[live], at[live], live]
+        step = np.zeros(count, np.uint8)
+        step[live] = told
+        taken.append(step)
+        row[live] -= told != SECOND
+        at[live] -= told != FIRST
+        live = live[(row[live] > 0) | (at[live] > 0)]
+    way = np.array(taken[::-1], np.uint8).reshape(-1, count).T
+    length = (way > 0).sum(axis=1).tolist()
+    sides = []
+    for letters, other in ((x, SECOND), (y, FIRST)):
+        held = (way > 0) & (way != other)
+        place = np.maximum(np.cumsum(held, axis=1) - 1, 0)
+        padded = letters if letters.shape[1] else np.zeros((count, 1), np.uint32)
+        sides.append(np.where(held, np.take_along_axis(padded, place, axis=1), np.uint32(ord("-"))))
+    own = lambda line, k: line[len(line) - k :].tobytes().decode("utf-32-le")
+    return [(own(a, k), own(b, k)) for a, b, k in zip(*sides, length, strict=True)]
 
 
 def centre_of(seqs: set[str]) -> str:
@@ -133,6 +202,8 @@ def centre_of(seqs: set[str]) -> str:
 def insertions(c: str) -> list[tuple[int, int]]:
     """Where an aligned centre has gaps: the number of its bases before the run, and the run's length."""
     out, at = [], 0
+    if "-" not in c:
+        return out
     for run in _RUNS.finditer(c):
         if run[0][0] == "-":
             out.append((at, len(run[0])))
@@ -157,7 +228,8 @@ def star_alignment(seqs: list[str]) -> list[str]:
     if len({len(s) for s in seqs}) <= 1:
         return list(seqs)
     centre = centre_of(set(seqs))
-    pairs = {s: pairwise(centre, s) for s in set(seqs)}
+    distinct = sorted(set(seqs))
+    pairs = dict(zip(distinct, pairwise_all([centre] * len(distinct), distinct), strict=True))
     profile: dict[int, int] = {}
     for c, _ in pairs.values():
         for place, run in insertions(c):
@@ -202,7 +274,7 @@ _RUNS = re.compile(r"-+|[^-]+")
 
 def _paired(centres: pd.Series, seqs: pd.Series) -> pd.DataFrame:
     """Each sequence aligned with its centre, and the gaps that it opens there."""
-    rows = [pairwise(c, s) for c, s in zip(centres, seqs, strict=True)]
+    rows = pairwise_all(centres.tolist(), seqs.tolist())
     return pd.DataFrame([(c, q, [{"place": p, "run": n} for p, n in insertions(c)]) for c, q in rows], columns=["c", "q", "places"], dtype=object)
 
 

@@ -345,6 +345,37 @@ def test_blocks_of_reads_are_seeded_together(monkeypatch):
     assert len(parts) > 9 and {k: [x for p in parts for x in p[k]] for k in want} == want
 
 
+def plain_pair(a, b):
+    """Cell by cell; on the way back a pair of bases comes before a base of the first and that before a base of the second."""
+    score = [[-2 * (i + j) for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
+        score[i][j] = max(score[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), score[i - 1][j] - 2, score[i][j - 1] - 2)
+    i, j, p, q = len(a), len(b), "", ""
+    while i or j:
+        if i and j and score[i][j] == score[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1):
+            i, j, p, q = i - 1, j - 1, a[i - 1] + p, b[j - 1] + q
+        elif i and score[i][j] == score[i - 1][j] - 2:
+            i, p, q = i - 1, a[i - 1] + p, "-" + q
+        else:
+            j, p, q = j - 1, "-" + p, b[j - 1] + q
+    return p, q
+
+
+def test_pairs_are_aligned_together(monkeypatch):
+    """Many pairs of any lengths share tables, and each is aligned as alone."""
+    rng = random.Random(14)
+    a = ["", "", "ACGT", "漢字A"] + [text(rng, rng.randint(0, 50)) for _ in range(150)]
+    b = ["", "AC", "", "漢A"] + [damaged(rng, s, 0.1) + text(rng, rng.randint(0, 5)) for s in a[4:]]
+    want = [plain_pair(x, y) for x, y in zip(a, b, strict=True)]
+    tables, own = [], consensus._table
+    monkeypatch.setattr(consensus, "_table", lambda pairs, *rest: tables.append(len(pairs)) or own(pairs, *rest))
+    assert consensus.pairwise_all(a, b) == want and len(tables) == 1
+    for cells in (20_000, 1):
+        monkeypatch.setattr(consensus, "CELLS", cells)
+        assert consensus.pairwise_all(a, b) == want
+    assert tables[-1] == 1 < max(tables[1:-1])
+
+
 def test_junction_moves_with_indels(spark):
     rng = random.Random(10)
     v, d, j, c = text(rng, 281) + "TGTGCGAGA", text(rng, 20), "TGGGGCCAAGGGACC" + text(rng, 20), text(rng, 60)
