@@ -21,28 +21,28 @@ def exact(reads: DataFrame, whitelist: DataFrame, column: str = "spbc") -> DataF
     return joined.select(*[c for c in joined.columns if c != "_row"], *[F.col(f"_row.{c}").alias(c) for c in rest], F.when(F.col("_row._listed"), "pass").otherwise("fail").alias("status"))
 
 
-#: Mismatches up to which one shared piece makes a candidate.
-ONE_PIECE = 3
+#: Pieces that a candidate shares at most; fewer mismatches need fewer.
+TOGETHER = 3
 
 
 def closest(observed: DataFrame, whitelist: DataFrame, length: int, allowed: int) -> DataFrame:
     """observed, corrected and distance: the nearest listed barcode within ``allowed`` mismatches.
 
-    Of equally near ones the smallest wins. Both sides are cut into allowed + 1 pieces; barcodes
-    within the limit agree in one of them, so candidates come from an equality join. Beyond ``ONE_PIECE`` mismatches
-    such pieces are short and shared by chance; there allowed + 2 pieces are made, of which two must agree. Only
-    distinct barcodes are compared.
+    Of equally near ones the smallest wins. Both sides are dealt position by position into allowed + t pieces, of which barcodes
+    within the limit share t, so candidates come from an equality join on every t pieces. t is 1 for one mismatch, 2 for
+    two, else 3: the t pieces hold half of 16 bases, so that few are shared by chance. Only distinct barcodes are compared.
     """
     if allowed >= length:
         raise ValueError(f"as many mismatches allowed as a barcode of {length} has bases")
     seen = observed.select(F.col(observed.columns[0]).alias("observed")).where(F.length("observed") == length).distinct()
     listed = whitelist.select(F.col(whitelist.columns[0]).alias("listed")).where(F.length("listed") == length).distinct()
-    if allowed > ONE_PIECE and allowed + 2 <= length:
-        dealt = lambda df, c: df.select(c, S.interleaved(F.col(c), F.lit(length), F.lit(allowed + 2)).alias("_p"))
-        cut = lambda df, c: dealt(df, c).select(c, F.explode(S.two_of(F.col("_p"))).alias("s")).select(c, "s.*")
-    else:
-        cut = lambda df, c: df.select(c, F.explode(S.segments(F.col(c), length, allowed + 1)).alias("s")).select(c, "s.*")
-    pairs = cut(seen, "observed").join(cut(listed, "listed"), ["at", "piece"]).select("observed", "listed").distinct()
+    together = max(1, min(TOGETHER, allowed, length - allowed))
+
+    def cut(df: DataFrame, c: str) -> DataFrame:
+        dealt = df.select(c, S.interleaved(F.col(c), F.lit(length), F.lit(allowed + together)).alias("_p"))
+        return dealt.select(c, F.explode(S.some_of(F.col("_p"), allowed + together, together)).alias("s")).select(c, "s.*")
+
+    pairs = cut(seen, "observed").join(cut(listed, "listed"), ["at", "piece"]).select("observed", "listed")
     near = pairs.withColumn("d", S.hamming(F.col("observed"), F.col("listed"))).where(F.col("d") <= allowed)
     best = near.groupBy("observed").agg(F.min(F.struct("d", "listed")).alias("m"))
     return best.select("observed", F.col("m.listed").alias("corrected"), F.col("m.d").alias("distance"))

@@ -62,6 +62,16 @@ def test_fuzzy_against_brute_force(spark):
     assert out == want
 
 
+@pytest.mark.parametrize("allowed", [2, 3])
+def test_one_shared_piece_makes_no_candidate(spark, monkeypatch, allowed):
+    """Barcodes that begin alike are no candidates by that; those within the limit are, wherever they differ."""
+    monkeypatch.setattr(S, "hamming", lambda a, b: F.lit(0))
+    listed = spark.createDataFrame([("ACGTAC" + "G" * 10,)], "w string")
+    assert barcodes.closest(spark.createDataFrame([("ACGTAC" + "T" * 10,)], "s string"), listed, 16, allowed).count() == 0
+    near = ["".join("N" if i in at else c for i, c in enumerate("ACGTAC" + "G" * 10)) for at in itertools.combinations(range(16), allowed)]
+    assert barcodes.closest(spark.createDataFrame([(s,) for s in near], "s string"), listed, 16, allowed).count() == len(near)
+
+
 def test_hd_index(spark):
     idx = spark.createDataFrame([("ACGTACGTACGTAC", "a", 1, 1, 5), ("CGTACGTACGTACG", "a", 1, 1, 9), ("GGGGGGGGGGGGGG", "b", None, None, None), ("GGGGGGGGGGGGGC", "c", 2, 2, 1), ("ttttttttttttta", "s_002um_01509_01169-1", None, None, None)],
                                 "raw_spbc string, spbc_id string, x int, y int, read_count long")
