@@ -95,7 +95,8 @@ def hd_index(reads: DataFrame, index: DataFrame, umi_length: int = 9, offsets: S
         F.struct(F.lit(o).alias("off"), F.lit(n).alias("len"), F.upper(S.window(F.col("sequence"), umi_length + o, n)).alias("raw"))
         for o in offsets for n in lengths])
     hits = reads.where(F.length("sequence") >= umi_length + min(offsets) + min(lengths)).select("read_id", F.explode(probes).alias("p")).select("read_id", "p.*")
-    found = hits.where(F.length("raw") == F.col("len")).join(own, "raw")
+    # by size alone Spark may broadcast the windows, as they come from a small file, and join all of them in the index's one task
+    found = hits.where(F.length("raw") == F.col("len")).join(own.hint("shuffle_hash"), "raw")
     rank = F.struct((-F.col("rc")).alias("a"), "off", (-F.col("len")).alias("b"), "raw")
     one = found.groupBy("read_id").agg(
         F.min_by(F.struct("raw", "spbcid", "x", "y", "off", "len"), rank).alias("h"), F.min("spbcid").alias("lo"), F.max("spbcid").alias("hi"))

@@ -62,6 +62,14 @@ def test_fuzzy_against_brute_force(spark):
     assert out == want
 
 
+def test_hd_windows_are_not_broadcast(spark):
+    """However small the files say they are, windows meet the index in a join that is dealt by them."""
+    reads = spark.range(50).selectExpr("id AS read_id", "concat('ACGTACGTA', md5(CAST(id AS STRING))) AS sequence")
+    index = spark.range(50).selectExpr("substr(md5(CAST(id AS STRING)), 1, 14) AS raw_spbc", "concat('id', id) AS spbc_id", "0 AS x", "0 AS y", "1 AS read_count")
+    plan = barcodes.hd_index(reads, index, 9, (0, 1), (14,))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [raw#" in plan
+
+
 @pytest.mark.parametrize("allowed", [2, 3])
 def test_one_shared_piece_makes_no_candidate(spark, monkeypatch, allowed):
     """Barcodes that begin alike are no candidates by that; those within the limit are, wherever they differ."""
