@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,6 +225,79 @@ def test_language_model(spark, monkeypatch):
     assert alone and all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in alone)
 
 
+def test_words_read_through_arrow():
+    rng = random.Random(8)
+    texts = [None, "", " \t\n", "  A\tb\x0bC\x0cd\re\x1cf\x85g\u2003h\xa0 É9, ", *(prose(rng, rng.randint(0, 90)) + rng.choice(["", " 7.", "\n", " ü-Ö"]) for _ in range(50))]
+    split = [(t or "").encode().lower().split() for t in texts]
+    for own, want in ((texts, split), (texts[:0], []), (texts[:3], split[:3])):
+        flat, numbers = gru_lm.split_words(pa.array(own, pa.string()))
+        assert flat.to_pylist() == sum(want, []) and numbers.tolist() == [len(x) for x in want]
+    counts = Counter(w for x in split for w in x)
+    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:60]
+    old, gru_lm.VOCAB = gru_lm.VOCAB, 20
+    try:
+        words = gru_lm.Words(top, len(texts), np.full(gru_lm.OTHER, 9.0))
+    finally:
+        gru_lm.VOCAB = old
+    rank = {w: i for i, (w, _) in enumerate(top)}
+    symbol = lambda w: rank[w] if rank.get(w, 20) < 20 else 20 + gru_lm.other_class(w)
+    for x, n, known, log_all, log_other, rare, symbols in zip(split, *(c.to_pylist() for c in words.read(pa.array(texts, pa.string()))), strict=True):
+        assert n == len(x) and known == sum(w in rank for w in x) and rare == [w for w in x if w not in rank]
+        assert np.frombuffer(symbols, np.int16).tolist() == [*map(symbol, x), words.end]
+        logs = {w: math.log10(c + 1) for w, c in top}
+        outside = [w for w in x if rank.get(w, 20) >= 20]
+        assert log_all == pytest.approx(sum(logs.get(w, 0) for w in x))
+        assert log_other == pytest.approx(sum(logs.get(w, 0) - math.log10(10) for w in outside))
+
+
+def test_top_words(spark, monkeypatch):
+    counts = [(b"e", 1), (b"a", 9), (b"d", 4), (b"c", 4), (b"b", 7), (b"f", 1)]
+    df = spark.createDataFrame(counts, "word binary, c long")
+    for vocab, top, want in ((1, 6, "abcdef"), (1, 5, "abcd"), (1, 3, "ab"), (3, 3, "abc"), (2, 1, "a"), (6, 6, "abcdef")):
+        monkeypatch.setattr(gru_lm, "VOCAB", vocab)
+        monkeypatch.setattr(gru_lm, "TOP", top)
+        assert gru_lm.top_words(df) == [(w.encode(), dict(counts)[w.encode()]) for w in want]
+    assert gru_lm.top_words(df.limit(0)) == []
+
+
+def test_network_reads_each_text_once(spark, monkeypatch):
+    """Training and scoring take the written symbols."""
+    asked = []
+    read = gru_lm.read_texts
+    monkeypatch.setattr(gru_lm, "read_texts", lambda docs, words: asked.append(docs.columns) or read(docs, words))
+    rows = [(i, "a b c a", None, None) for i in range(40)]
+    assert gru_lm.score_documents(frame(spark, rows)).count() == 40
+    assert len(asked) == 1 and "_t" in asked[0]
+
+
+def test_class_logs_in_and_out_of_range():
+    rng = np.random.default_rng(6)
+    words = small_words()
+    for factor in (1, 300):
+        w = {k: v * np.float32(factor) if k == "wc" else v for k, v in gru_lm.fresh(words).items()}
+        h, own = rng.uniform(-1, 1, (200, gru_lm.HIDDEN)).astype(np.float32), rng.integers(0, words.n_classes, 200)
+        x = h.astype(float) @ w["wc"] + w["bc"]
+        want = x[np.arange(200), own] - np.logaddexp.reduce(x, axis=1)
+        assert np.allclose(gru_lm._class_logs(w, h, own, {}), want, atol=1e-4, rtol=1e-5)
+
+
+def test_sums_by_id_and_reused_arrays():
+    rng = np.random.default_rng(4)
+    ids, d = rng.integers(0, 30, 500).astype(np.int32), rng.normal(size=(4, 500, gru_lm.HIDDEN)).astype(np.float32)
+    want = np.zeros((40, 3 * gru_lm.HIDDEN))
+    np.add.at(want, ids, np.hstack([d[1], d[2], d[0]]))
+    assert np.allclose(gru_lm._sums_by_id(ids, d, 40), want, atol=1e-4)
+    words = small_words()
+    w, room = gru_lm.fresh(words), {}
+    for lanes in (5, 5, 3):  # the same with arrays of the window before
+        given, target = (rng.integers(0, words.end + 1, (gru_lm.STEPS, lanes)) for _ in range(2))
+        starts, h = rng.random((gru_lm.STEPS, lanes)) < 0.1, rng.normal(size=(lanes, gru_lm.HIDDEN)).astype(np.float32)
+        (a, ha, sa), (b, hb, sb) = gru_lm._forward(w, given, starts, h, True), gru_lm._forward(w, given, starts, h, True, room)
+        assert np.array_equal(a, b) and np.array_equal(ha, hb)
+        one, two = gru_lm._gradients(w, words, given, target, starts, a, sa)[0], gru_lm._gradients(w, words, given, target, starts, b, sb, room)[0]
+        assert all(np.allclose(one[k], two[k], atol=1e-7) for k in w)
+
+
 # --- pipeline -----------------------------------------------------------------------------------------
 
 def test_pipeline(spark, tmp_path):
